@@ -1,0 +1,154 @@
+"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame whose column
+names match the DuckDB oracle in ``plans.oracle_queries``.
+
+Outputs are flat (BIGINT / INT / DOUBLE / STRING) and every double that comes out of
+an average is rounded with D27 so both engines hash the same values.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from scorewright.functions.scores import CRITERIA, SCORE_COLS, round4
+from scorewright.operators import jury as J
+from scorewright.operators import results as R
+from scorewright.operators.scoring import number_judges, score_verdicts
+from scorewright.plans import views as V
+
+ANSWER = ["doc_id"]
+
+
+# ---------------------------------------------------------------- scoring
+
+def scored(spark: SparkSession, sf: str) -> DataFrame:
+    return score_verdicts(V.v_verdicts(spark, sf))
+
+
+def q_verdict_scores(spark, sf):
+    return (scored(spark, sf).filter("usable")
+            .select("doc_id", "judge_pos", "round", *SCORE_COLS))
+
+
+def q_verdict_usability(spark, sf):
+    return (scored(spark, sf).groupBy("round", "judge_pos", F.col("usable").cast("int").alias("usable"))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
+def q_judge_numbering(spark, sf):
+    return number_judges(scored(spark, sf), ANSWER).select("doc_id", "judge_pos", "judge_name", "judge_key")
+
+
+# ---------------------------------------------------------------- jury
+
+def _jury(spark, sf, strategy):
+    j = J.jury_scores(scored(spark, sf), ANSWER, strategy)
+    return j.select("doc_id", "n_usable", *[round4(F.col(c)).alias(c) for c in SCORE_COLS])
+
+
+def q_jury_average(spark, sf):
+    return _jury(spark, sf, "average")
+
+
+def q_jury_vote(spark, sf):
+    return _jury(spark, sf, "vote")
+
+
+# ---------------------------------------------------------------- results
+
+def judged_from_verdicts(spark: SparkSession, sf: str, strategy: str = "vote") -> tuple[DataFrame, DataFrame]:
+    """Judged long table (usable judges renumbered + the jury) and the entry table:
+    file = model (doc_id % 8), ordinal = doc_id, task = lang."""
+    s = scored(spark, sf).withColumns({"file_id": F.col("model_id"), "ordinal": F.col("doc_id")})
+    keys = ["file_id", "ordinal", "doc_id", "task"]
+    judges = number_judges(s, keys).select("file_id", "ordinal", "task", "judge_key", "judge_name", *SCORE_COLS)
+    jury = J.jury_rows(s, keys, strategy, len(V.VIEW_JUDGES)).select(
+        "file_id", "ordinal", "task", "judge_key", "judge_name", *SCORE_COLS)
+    judged = judges.unionByName(jury)
+    entries = (V.table(spark, sf, "documents")
+               .select((F.col("doc_id") % V.N_VIEW_MODELS).alias("file_id"), F.col("doc_id").alias("ordinal"),
+                       F.col("lang").alias("task"),
+                       F.concat(F.lit("org/model-"), (F.col("doc_id") % V.N_VIEW_MODELS).cast("string"))
+                       .alias("model_name")))
+    return judged, entries
+
+
+def _results(spark, sf):
+    judged, entries = judged_from_verdicts(spark, sf)
+    return R.model_results(judged, entries, "vote")
+
+
+def q_criterion_averages(spark, sf):
+    return _results(spark, sf)["criteria"].select(
+        F.col("file_id").alias("model_id"), "judge_key", "judge_name", "criterion", "score")
+
+
+def q_task_averages(spark, sf):
+    return _results(spark, sf)["tasks"].select(
+        F.col("file_id").alias("model_id"), "judge_key", "judge_name", "task", "score")
+
+
+def q_entry_counts(spark, sf):
+    return _results(spark, sf)["meta"].select(
+        F.col("file_id").alias("model_id"), "model_name", "total_entries", "successful_entries",
+        "failed_entries", "success_ratio")
+
+
+def q_common_judges(spark, sf):
+    judged, _ = judged_from_verdicts(spark, sf)
+    return R.common_judges(R.judge_rosters(judged))
+
+
+def q_judge_rosters(spark, sf):
+    judged, _ = judged_from_verdicts(spark, sf)
+    return R.judge_rosters(judged).select(F.col("file_id").alias("model_id"), "judge_key")
+
+
+# ---------------------------------------------------------------- large aggregates on lineitem (v_big)
+
+def big_scores(spark, sf) -> DataFrame:
+    b = V.v_big(spark, sf)
+    s = None
+    for c in CRITERIA:
+        s = F.col(c) if s is None else s + F.col(c)
+    return b.withColumn("final_score", round4(s / F.lit(6.0))).withColumn("usable", F.lit(True))
+
+
+def q_big_jury_vote(spark, sf):
+    j = J.jury_scores(big_scores(spark, sf), ["answer_id"], "vote")
+    return j.select("answer_id", "n_usable", *[round4(F.col(c)).alias(c) for c in SCORE_COLS])
+
+
+def q_big_jury_average(spark, sf):
+    j = J.jury_scores(big_scores(spark, sf), ["answer_id"], "average")
+    return j.select("answer_id", "n_usable", *[round4(F.col(c)).alias(c) for c in SCORE_COLS])
+
+
+def q_big_criterion_averages(spark, sf):
+    b = big_scores(spark, sf)
+    return b.groupBy("model_id", "judge_pos").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"),
+        *[round4(F.avg(c)).alias(c) for c in SCORE_COLS])
+
+
+def q_big_task_averages(spark, sf):
+    b = big_scores(spark, sf)
+    return b.groupBy("model_id", "judge_pos", "task").agg(round4(F.avg("final_score")).alias("score"))
+
+
+QUERIES = {
+    "verdict_scores": q_verdict_scores,
+    "verdict_usability": q_verdict_usability,
+    "judge_numbering": q_judge_numbering,
+    "jury_average": q_jury_average,
+    "jury_vote": q_jury_vote,
+    "criterion_averages": q_criterion_averages,
+    "task_averages": q_task_averages,
+    "entry_counts": q_entry_counts,
+    "common_judges": q_common_judges,
+    "judge_rosters": q_judge_rosters,
+    "big_jury_vote": q_big_jury_vote,
+    "big_jury_average": q_big_jury_average,
+    "big_criterion_averages": q_big_criterion_averages,
+    "big_task_averages": q_big_task_averages,
+}
