@@ -264,4 +264,286 @@ scored AS (SELECT *, true AS usable,
                                    + " FROM scored GROUP BY model_id, judge_pos")
     q["big_task_averages"] = (f"{big}\nSELECT model_id, judge_pos, task, {r4('avg(final_score)')} AS score "
                               f"FROM scored GROUP BY model_id, judge_pos, task")
+    q.update(more_oracle_queries())
+    return q
+
+
+# ------------------------------------------------------------------ items, models, requests
+
+
+def dstrip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def dblank(x: str) -> str:
+    return f"nullif({dstrip(x)}, '')"
+
+
+V_ITEMS = f"""v_items AS (
+  SELECT 'conv' AS task_set, conv_id AS sn, conv_id,
+    CASE WHEN conv_id % 23 = 22 THEN 3 ELSE CAST(conv_id % 3 AS INTEGER) END AS round,
+    'task' || CAST(conv_id % 4 AS VARCHAR) AS task,
+    'cat' || CAST(conv_id % 3 AS VARCHAR) AS category,
+    CASE WHEN conv_id % 5 = 0 THEN 'Arabic' WHEN conv_id % 5 = 1 THEN 'HINDI'
+         WHEN conv_id % 5 = 2 THEN NULL ELSE 'English' END AS language,
+    q1, CASE WHEN conv_id % 19 = 7 THEN ' ' || chr(10) || chr(9) || ' ' ELSE a1 END AS a1, q2, a2
+  FROM (
+    SELECT conv_id,
+      max(CASE WHEN role = 'user' AND nu = 1 THEN text END) AS q1,
+      max(CASE WHEN role = 'assistant' AND na = 1 THEN text END) AS a1,
+      max(CASE WHEN role = 'user' AND nu = 2 THEN text END) AS q2,
+      max(CASE WHEN role = 'assistant' AND na = 2 THEN text END) AS a2
+    FROM (
+      SELECT *,
+        sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nu,
+        sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS na
+      FROM conversations WHERE role <> 'system') t
+    GROUP BY conv_id) p
+)"""
+
+V_ANSWERS = """v_answers AS (
+  SELECT i.*, m.model_pos, m.model_name,
+    CASE WHEN (i.conv_id + m.model_pos) % 7 = 0 THEN '' ELSE i.a1 END AS m1,
+    CASE WHEN (i.conv_id + m.model_pos) % 7 = 0 THEN '' ELSE i.a2 END AS m2
+  FROM v_items i, (VALUES (1, 'org0/alpha-7b'), (2, 'org1/beta-13b'), (3, 'gpt-4o'), (4, 'claude-3-5-sonnet'))
+       AS m(model_pos, model_name)
+)"""
+
+
+def _missing(fields: list[str]) -> str:
+    return "CASE " + " ".join(f"WHEN {dblank(f)} IS NULL THEN 'missing_{f}'" for f in fields) + " END"
+
+
+GEN_REASON = (f"CASE WHEN round IS NULL OR round NOT IN (0, 1, 2) THEN 'unsupported_round' "
+              f"WHEN round = 0 THEN {_missing(['q1'])} ELSE {_missing(['q1', 'q2'])} END")
+JUDGE_REASON = (f"CASE WHEN round IS NULL OR round NOT IN (0, 1, 2) THEN 'unsupported_round' "
+                f"WHEN round = 0 THEN {_missing(['q1', 'a1', 'm1'])} "
+                f"WHEN round = 1 THEN {_missing(['q1', 'a1', 'q2', 'a2', 'm1'])} "
+                f"WHEN round = 2 THEN {_missing(['q1', 'a1', 'm1', 'q2', 'a2', 'm2'])} END")
+
+FORMS = f"""passes AS (
+  SELECT *, unnest(CASE WHEN round = 2 THEN [1, 2] WHEN round = 1 AND {dblank('a1')} IS NULL THEN [0, 1]
+                        ELSE [1] END) AS pass
+  FROM v_items WHERE ({GEN_REASON}) IS NULL
+),
+forms AS (
+  SELECT *,
+    CASE WHEN round = 0 OR (round = 1 AND pass = 0) OR (round = 2 AND pass = 1) THEN 'first'
+         WHEN round = 1 THEN 'conv1' ELSE 'conv2' END AS form,
+    CASE lower(coalesce(language, '')) WHEN 'arabic' THEN 'SYS-AR' WHEN 'hindi' THEN 'SYS-HI'
+         ELSE 'SYS-DEFAULT' END AS sys,
+    'model answer to: ' || {dstrip('q1')} AS prior
+  FROM passes
+),
+msgs AS (
+  SELECT *, CASE WHEN form = 'conv1' THEN coalesce({dblank('a1')}, prior) ELSE prior END AS mid
+  FROM forms
+)"""
+
+
+def _layout_sql(layout: str, closing: str) -> str:
+    parts, rest = [], layout
+    while "{" in rest:
+        pre, _, tail = rest.partition("{")
+        name, _, rest = tail.partition("}")
+        if pre:
+            parts.append("'" + pre.replace("'", "''").replace("\n", "' || chr(10) || '") + "'")
+        parts.append("'" + closing.replace("'", "''") + "'" if name == "closing" else dstrip(name))
+    if rest:
+        parts.append("'" + rest.replace("'", "''").replace("\n", "' || chr(10) || '") + "'")
+    return " || ".join(parts)
+
+
+def _state_sql(src: str = "v_requests") -> str:
+    return f"""(SELECT request_id, status, model_name, task_set,
+    CASE WHEN status = 'RUNNING' THEN 'PENDING' ELSE status END AS reset_status,
+    CASE upper(coalesce(status, 'PENDING')) WHEN 'FINISHED' THEN 'finished' WHEN 'FAILED' THEN 'failed'
+         ELSE 'pending' END AS category,
+    CAST(upper(coalesce(status, 'PENDING')) NOT IN ('PENDING', 'RUNNING', 'FINISHED', 'FAILED') AS INTEGER)
+      AS unknown_status
+  FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY ts DESC, event_id DESC) AS rn
+        FROM {src}) t WHERE rn = 1)"""
+
+
+V_REQUESTS = """v_requests AS (
+  SELECT event_id, ts, user_id AS request_id,
+    CASE WHEN event_id % 13 = 0 THEN lower(st) ELSE st END AS status,
+    CASE WHEN user_id % 2 = 0 THEN 'conv' ELSE 'other' END AS task_set,
+    CASE WHEN user_id % 3 = 0 THEN 'gpt-4o-' || CAST(user_id AS VARCHAR)
+         ELSE 'org' || CAST(user_id % 5 AS VARCHAR) || '/model-' || CAST(user_id AS VARCHAR) END AS model_name
+  FROM (SELECT *, CASE event_type WHEN 'view' THEN 'PENDING' WHEN 'click' THEN 'RUNNING'
+                    WHEN 'purchase' THEN 'FINISHED' WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'REJECTED' END AS st
+        FROM events) e
+)"""
+
+V_MODELS = """v_models AS (
+  SELECT p_partkey AS model_key,
+    CASE p_partkey % 12
+      WHEN 0 THEN 'gpt-4o-' || CAST(p_size AS VARCHAR)
+      WHEN 1 THEN 'o1-preview-' || CAST(p_size AS VARCHAR)
+      WHEN 2 THEN 'Claude-3-' || CAST(p_size AS VARCHAR)
+      WHEN 3 THEN 'jais-' || CAST(p_size AS VARCHAR) || 'b'
+      WHEN 4 THEN 'Llama-3-' || CAST(p_size AS VARCHAR) || 'B'
+      WHEN 5 THEN 'gemini-1.5-' || CAST(p_size AS VARCHAR)
+      WHEN 6 THEN 'deepseek-v' || CAST(p_size AS VARCHAR)
+      WHEN 7 THEN 'mistral-large-' || CAST(p_size AS VARCHAR)
+      WHEN 8 THEN 'grok-' || CAST(p_size AS VARCHAR)
+      WHEN 9 THEN 'nanda-' || CAST(p_size AS VARCHAR)
+      WHEN 10 THEN '/org' || CAST(p_partkey % 13 AS VARCHAR) || '/' || replace(p_name, ' ', '-') || '-'
+                   || CAST(p_size AS VARCHAR) || '/'
+      ELSE replace(p_name, ' ', '_') END AS model_name,
+    CASE WHEN p_partkey % 3 = 0 THEN 'main' ELSE 'rev' || CAST(p_partkey % 5 AS VARCHAR) END AS revision,
+    CASE p_size % 9 WHEN 0 THEN 'bfloat16' WHEN 1 THEN 'float16' WHEN 2 THEN 'float32' WHEN 3 THEN 'fp8'
+      WHEN 4 THEN '4bit' WHEN 5 THEN '8bit' WHEN 6 THEN 'UNK' WHEN 7 THEN 'BF16' ELSE 'int8' END AS precision,
+    CASE p_partkey % 8 WHEN 0 THEN '7' WHEN 1 THEN '0' WHEN 2 THEN '0.5' WHEN 3 THEN '8.03' WHEN 4 THEN '7B'
+      WHEN 5 THEN '' WHEN 6 THEN 'UNK' ELSE '70' END AS params,
+    p_partkey * 7340033 + p_size * 1048576 AS total_bytes
+  FROM part
+)"""
+
+
+def _bits(p: str) -> str:
+    return (f"(CASE WHEN lower({p}) IN ('float32', 'fp32') THEN 32 "
+            f"WHEN lower({p}) IN ('float16', 'fp16', 'bfloat16', 'bf16') THEN 16 "
+            f"WHEN lower({p}) = 'int8' THEN 8 ELSE 32 END)")
+
+
+def _params_b(params: str, nbytes: str, prec: str) -> str:
+    gib = f"({nbytes} / 1073741824.0)"
+    b = _bits(prec)
+    est = (f"CAST(floor(CASE WHEN {b} = 8 THEN {gib} * 1e9 WHEN {b} = 16 THEN ({gib} / 2) * 1e9 "
+           f"WHEN {b} = 32 THEN ({gib} / 4) * 1e9 ELSE {nbytes} / ({b} / 8) END) AS BIGINT)")
+    val = (f"(CASE WHEN regexp_matches(coalesce({params}, ''), '^[0-9]+$') THEN TRY_CAST({params} AS DOUBLE) "
+           f"ELSE {est} / 1e9 END)")
+    return f"CAST(round(TRY_CAST({val} AS DECIMAL(30,12)), 3) AS DOUBLE)"
+
+
+def _has(m: str, *words: str) -> str:
+    return "(" + " OR ".join(f"contains({m}, '{w}')" for w in words) + ")"
+
+
+def _provider(m: str) -> str:
+    lm = f"lower({m})"
+    return (f"CASE WHEN {_has(lm, 'gpt', 'o1', 'o3', 'o4')} THEN 'openai' WHEN {_has(lm, 'claude')} THEN 'anthropic' "
+            f"WHEN {_has(lm, 'jais', 'k2', 'llama')} THEN 'inception' WHEN {_has(lm, 'gemini')} THEN 'google' "
+            f"WHEN {_has(lm, 'deepseek')} THEN 'deepseek' WHEN {_has(lm, 'mistral')} THEN 'mistral' "
+            f"WHEN {_has(lm, 'grok')} THEN 'xai' END")
+
+
+def _req_org(m: str) -> str:
+    lm = f"lower({m})"
+    return (f"CASE WHEN {_has(lm, 'gpt')} OR starts_with({lm}, 'o') THEN 'openai' "
+            f"WHEN {_has(lm, 'claude')} THEN 'anthropic' WHEN {_has(lm, 'gemini')} THEN 'google' "
+            f"WHEN {_has(lm, 'jais', 'k2', 'nanda')} THEN 'inception' WHEN {_has(lm, 'deepseek')} THEN 'deepseek' "
+            f"WHEN {_has(lm, 'mistral')} THEN 'mistral' WHEN {_has(lm, 'grok')} THEN 'xai' ELSE 'unknown' END")
+
+
+def more_oracle_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["item_validity"] = (f"WITH {V_ITEMS}\nSELECT conv_id, round, CAST(({GEN_REASON}) IS NULL AS INTEGER) AS gen_ok, "
+                          f"{GEN_REASON} AS gen_reason FROM v_items")
+    q["answer_validity"] = (f"WITH {V_ITEMS}, {V_ANSWERS}\nSELECT conv_id, model_pos, "
+                            f"CAST(({JUDGE_REASON}) IS NULL AS INTEGER) AS judge_ok, {JUDGE_REASON} AS reject_reason "
+                            f"FROM v_answers")
+    q["conversation_messages"] = f"""WITH {V_ITEMS}, {FORMS}
+SELECT conv_id, pass, 0 AS pos, 'system' AS role, sys AS content FROM msgs
+UNION ALL SELECT conv_id, pass, 1, 'user', {dstrip('q1')} FROM msgs
+UNION ALL SELECT conv_id, pass, 2, 'assistant', mid FROM msgs WHERE form <> 'first'
+UNION ALL SELECT conv_id, pass, 3, 'user', {dstrip('q2')} FROM msgs WHERE form <> 'first'"""
+    nl = "chr(10)"
+    q["flat_prompts"] = f"""WITH {V_ITEMS}, {FORMS}
+SELECT conv_id, pass,
+  CASE WHEN form = 'first' THEN sys || {nl} || {dstrip('q1')}
+       ELSE sys || {nl} || {dstrip('q1')} || {nl} || mid || {nl} || {dstrip('q2')} END AS prompt,
+  CASE WHEN form = 'first' THEN 1 ELSE 3 END AS n_no_system,
+  sys AS system_text
+FROM msgs"""
+    from scorewright.operators.items import JUDGE_LAYOUTS
+    closing = {0: "Evaluate the answer.", 1: "Evaluate the answer.", 2: "Evaluate both answers."}
+    prompt = "CASE " + " ".join(f"WHEN round = {r} THEN {_layout_sql(JUDGE_LAYOUTS[r], closing[r])}"
+                                for r in (0, 1, 2)) + " END"
+    q["judge_prompts"] = f"""WITH {V_ITEMS}, {V_ANSWERS}
+SELECT conv_id, model_pos, 'JUDGE-BASE R' || CAST(round AS VARCHAR) AS system_text, {prompt} AS prompt
+FROM v_answers WHERE ({JUDGE_REASON}) IS NULL"""
+    lic = "CASE WHEN contains(model_name, '/') THEN 'Open' ELSE 'Proprietary' END"
+    q["stamped_answers"] = f"""WITH {V_ITEMS}, {V_ANSWERS}, a AS (SELECT *, {lic} AS license FROM v_answers)
+SELECT conv_id, model_pos, model_name, license,
+  CASE WHEN license = 'Proprietary' THEN 'UNK' ELSE 'main' END AS revision,
+  CASE WHEN license = 'Proprietary' THEN 'UNK' ELSE 'bfloat16' END AS precision,
+  CASE WHEN license = 'Proprietary' THEN 'UNK' ELSE '7.0' END AS params,
+  coalesce(nullif(m1, ''), CASE WHEN license = 'Proprietary' THEN 'ERROR' ELSE 'None' END) AS m1,
+  coalesce(nullif(m2, ''), CASE WHEN license = 'Proprietary' THEN 'ERROR' ELSE 'None' END) AS m2
+FROM a"""
+    q["expand_runs"] = f"""WITH {V_ITEMS}, {V_REQUESTS}, st AS {_state_sql()}
+SELECT i.task_set, i.conv_id, i.round, s.request_id, s.model_name
+FROM v_items i JOIN st s ON s.task_set = i.task_set WHERE s.reset_status = 'PENDING'"""
+    q["unjudged_answers"] = f"""WITH {V_ITEMS}, {V_ANSWERS}
+SELECT conv_id, model_pos FROM v_answers WHERE (conv_id + model_pos) % 4 <> 0"""
+    m = "model_name"
+    path_parts = f"string_split(regexp_replace({m}, '^/+|/+$', '', 'g'), '/')"
+    porg = f"CASE WHEN len({path_parts}) >= 2 THEN {path_parts}[-2] END"
+    pid = f"CASE WHEN len({path_parts}) >= 2 THEN {path_parts}[-1] END"
+    org = f"CASE WHEN contains({m}, '/') THEN split_part({m}, '/', 1) ELSE {_req_org(m)} END"
+    mid = f"CASE WHEN contains({m}, '/') THEN split_part({m}, '/', 2) ELSE {m} END"
+    q["model_routing"] = f"""WITH {V_MODELS}
+SELECT model_key, model_name,
+  {_provider(m)} AS provider,
+  {_req_org(m)} AS request_org,
+  CASE WHEN regexp_matches(lower({m}), 'gpt|o\\d+') THEN 'openai' WHEN contains(lower({m}), 'claude') THEN 'anthropic'
+       WHEN {m} IN ('jais-30b', 'jais-70b', 'k2-65b') THEN 'inception' END AS judge_route,
+  CASE WHEN contains({m}, '/') THEN 'Open' ELSE 'Proprietary' END AS license,
+  CASE WHEN contains({m}, '/') THEN 'OpenRequests' ELSE 'ProprietaryRequests' END AS bucket,
+  {org} AS org, {mid} AS model_id,
+  {porg} AS path_org, {pid} AS path_model,
+  ({mid}) || '_eval_request_' || revision || '_' || precision || '.json' AS request_file,
+  concat_ws('_', coalesce({porg}, 'x'), translate({m}, '/ ', '__'), revision, precision, 'answers.json')
+    AS answers_file,
+  CAST(regexp_matches(lower({m}), '^o\\d') OR contains(lower({m}), 'o1') OR contains(lower({m}), 'o3') AS INTEGER)
+    AS o_series
+FROM v_models"""
+    q["model_params"] = f"""WITH {V_MODELS}
+SELECT model_key, precision, params, {_bits('precision')} AS bits,
+  {_params_b('params', 'total_bytes', 'precision')} AS params_b,
+  CASE WHEN regexp_matches(coalesce(params, ''), '^[0-9]+$') THEN 'given' ELSE 'estimated' END AS params_source
+FROM v_models"""
+    prec = "CASE WHEN total_bytes % 2 = 0 THEN 'bfloat16' ELSE 'float32' END"
+    q["folder_bytes"] = f"""WITH f AS (
+  SELECT source AS model, CAST(count(*) AS BIGINT) AS n_files, CAST(sum(n_chars) AS BIGINT) AS total_bytes
+  FROM documents GROUP BY source)
+SELECT model, n_files, total_bytes, {_params_b('CAST(NULL AS VARCHAR)', 'total_bytes', prec)} AS params_b FROM f"""
+    q["request_state"] = (f"WITH {V_REQUESTS}\nSELECT request_id, model_name, task_set, status, reset_status, "
+                          f"category, unknown_status FROM {_state_sql()} s")
+    q["pending_requests"] = (f"WITH {V_REQUESTS}\nSELECT request_id, model_name FROM {_state_sql()} s "
+                             f"WHERE reset_status = 'PENDING'")
+    q["unfinished_requests"] = (f"WITH {V_REQUESTS}\nSELECT request_id, status FROM {_state_sql()} s "
+                                f"WHERE coalesce(status <> 'FINISHED', true)")
+    q["run_summary"] = f"""WITH {V_REQUESTS}
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id,
+  CAST(count(*) FILTER (WHERE upper(status) = 'RUNNING') AS BIGINT) AS attempted,
+  CAST(count(*) FILTER (WHERE upper(status) = 'FINISHED') AS BIGINT) AS succeeded,
+  CAST(count(*) FILTER (WHERE upper(status) = 'FAILED') AS BIGINT) AS failed
+FROM v_requests GROUP BY 1"""
+    q["register_requests"] = f"""WITH {V_REQUESTS}, {V_MODELS}, st AS {_state_sql()},
+models AS (SELECT model_name FROM v_models UNION SELECT model_name FROM v_requests WHERE request_id % 4 = 0)
+SELECT m.model_name, coalesce(s.status, 'PENDING') AS status, CAST(s.status IS NULL AS INTEGER) AS is_new
+FROM models m LEFT JOIN st s ON s.model_name = m.model_name"""
+    snap = f"""{V_REQUESTS},
+cut AS (SELECT CAST(floor((min(epoch_us(ts)) + max(epoch_us(ts))) / 2) AS BIGINT) AS c FROM v_requests),
+old_src AS (SELECT * FROM v_requests WHERE epoch_us(ts) <= (SELECT c FROM cut)),
+old AS {_state_sql('old_src')}, new AS {_state_sql()}"""
+    q["pull_new"] = f"""WITH {snap},
+loc AS (SELECT request_id, status FROM old WHERE request_id % 3 = 0)
+SELECT n.request_id, n.status, 'remote' AS source FROM new n
+WHERE NOT EXISTS (SELECT 1 FROM loc l WHERE l.request_id = n.request_id)
+UNION ALL SELECT request_id, status, 'local' FROM loc"""
+    q["mirror_plan"] = f"""WITH {snap},
+put AS (SELECT category, task_set AS org, CAST(request_id AS VARCHAR) || '.json' AS file FROM new),
+remote AS (SELECT category, task_set AS org, CAST(request_id AS VARCHAR) || '.json' AS file FROM old)
+SELECT category || '/' || org || '/' || file AS path, 'put' AS action FROM put
+UNION SELECT r.category || '/' || r.org || '/' || r.file, 'delete' FROM remote r
+  JOIN put p ON p.org = r.org AND p.file = r.file WHERE r.category <> p.category
+UNION SELECT r.category || '/' || r.org || '/' || r.file, 'keep' FROM remote r
+  WHERE NOT EXISTS (SELECT 1 FROM put p WHERE p.org = r.org AND p.file = r.file)"""
     return q

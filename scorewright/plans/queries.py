@@ -136,6 +136,175 @@ def q_big_task_averages(spark, sf):
     return b.groupBy("model_id", "judge_pos", "task").agg(round4(F.avg("final_score")).alias("score"))
 
 
+# ---------------------------------------------------------------- items and messages
+
+from scorewright.functions import text as T  # noqa: E402
+from scorewright.operators import items as I  # noqa: E402
+from scorewright.operators import requests as Rq  # noqa: E402
+
+# Stand-in closing instructions and judge system texts for the prompt queries.
+VIEW_CLOSING = {0: "Evaluate the answer.", 1: "Evaluate the answer.", 2: "Evaluate both answers."}
+VIEW_JUDGE_BASE = "JUDGE-BASE"
+VIEW_JUDGE_SUFFIX = {0: " R0", 1: " R1", 2: " R2"}
+
+
+def q_item_validity(spark, sf):
+    return I.generation_check(V.v_items(spark, sf)).select(
+        "conv_id", "round", F.col("gen_ok").cast("int").alias("gen_ok"), "gen_reason")
+
+
+def q_answer_validity(spark, sf):
+    return I.judging_check(V.v_answers(spark, sf)).select(
+        "conv_id", "model_pos", F.col("judge_ok").cast("int").alias("judge_ok"), "reject_reason")
+
+
+def _messages(spark, sf):
+    items = I.generation_check(V.v_items(spark, sf)).filter("gen_ok")
+    p = I.generation_passes(items)
+    sysp = I.system_prompt(F.col("language"), V.VIEW_PROMPTS)
+    prior = F.concat(F.lit("model answer to: "), T.strip(F.col("q1")))
+    return p.withColumn("messages", I.build_messages(F.col("round"), F.col("q1"), F.col("a1"), F.col("q2"),
+                                                     prior, sysp, F.col("pass")))
+
+
+def q_conversation_messages(spark, sf):
+    m = _messages(spark, sf)
+    return m.select("conv_id", "pass", F.posexplode("messages").alias("pos", "msg")).select(
+        "conv_id", "pass", "pos", F.col("msg.role").alias("role"), F.col("msg.content").alias("content"))
+
+
+def q_flat_prompts(spark, sf):
+    m = _messages(spark, sf)
+    o_model = F.lit("o1-mini")
+    return m.select("conv_id", "pass",
+                    I.flatten_messages(F.col("messages")).alias("prompt"),
+                    F.size(I.drop_system(F.col("messages"), o_model)).cast("int").alias("n_no_system"),
+                    I.split_system(F.col("messages"))[0].alias("system_text"))
+
+
+def q_judge_prompts(spark, sf):
+    a = I.judging_check(V.v_answers(spark, sf)).filter("judge_ok")
+    return a.select("conv_id", "model_pos",
+                    I.judge_system(F.col("round"), VIEW_JUDGE_BASE, VIEW_JUDGE_SUFFIX).alias("system_text"),
+                    I.judge_prompt(F.col("round"), VIEW_CLOSING).alias("prompt"))
+
+
+def q_stamped_answers(spark, sf):
+    a = V.v_answers(spark, sf)
+    lic = T.detect_license(F.col("model_name"))
+    a = a.withColumn("_lic", lic)
+    a = I.stamp_model(a, F.col("model_name"), F.col("_lic"), F.lit("main"), F.lit("bfloat16"), F.lit("7.0"))
+    a = I.with_default_answers(a)
+    return a.select("conv_id", "model_pos", "model_name", "license", "revision", "precision", "params",
+                    "m1", "m2")
+
+
+def q_expand_runs(spark, sf):
+    pending = Rq.pending_requests(Rq.request_state(V.v_requests(spark, sf)))
+    items = V.v_items(spark, sf)
+    return I.expand_runs(items.select("task_set", "conv_id", "round"),
+                         pending.select("task_set", "request_id", "model_name"))
+
+
+def q_unjudged_answers(spark, sf):
+    answers = V.v_answers(spark, sf).select("conv_id", "model_pos")
+    judged = answers.filter((F.col("conv_id") + F.col("model_pos")) % 4 == 0)
+    return I.unjudged(answers, judged, ["conv_id", "model_pos"])
+
+
+# ---------------------------------------------------------------- models and files
+
+def q_model_routing(spark, sf):
+    m = V.v_models(spark, sf)
+    name = F.col("model_name")
+    org, mid = T.model_name_fields(name)
+    porg, pid = T.model_path_parts(name)
+    return m.select(
+        "model_key", "model_name",
+        T.route_provider(name).alias("provider"),
+        T.request_org(name).alias("request_org"),
+        T.route_judge(name).alias("judge_route"),
+        T.detect_license(name).alias("license"),
+        T.request_bucket(name).alias("bucket"),
+        org.alias("org"), mid.alias("model_id"),
+        porg.alias("path_org"), pid.alias("path_model"),
+        T.request_file_name(mid, F.col("revision"), F.col("precision")).alias("request_file"),
+        T.answers_file_name(F.coalesce(porg, F.lit("x")), name, F.col("revision"), F.col("precision"))
+        .alias("answers_file"),
+        T.is_o_series(name).cast("int").alias("o_series"))
+
+
+def q_model_params(spark, sf):
+    m = V.v_models(spark, sf)
+    return m.select(
+        "model_key", "precision", "params",
+        T.precision_bits(F.col("precision")).alias("bits"),
+        T.params_billion(F.col("params"), F.col("total_bytes"), F.col("precision")).alias("params_b"),
+        T.params_source(F.col("params")).alias("params_source"))
+
+
+def q_folder_bytes(spark, sf):
+    f = V.v_files(spark, sf)
+    sizes = Rq.folder_bytes(f, "model", "size")
+    prec = F.when(F.col("total_bytes") % 2 == 0, F.lit("bfloat16")).otherwise(F.lit("float32"))
+    return sizes.select("model", "n_files", "total_bytes",
+                        T.params_billion(F.lit(None).cast("string"), F.col("total_bytes"), prec).alias("params_b"))
+
+
+# ---------------------------------------------------------------- requests
+
+def q_request_state(spark, sf):
+    st = Rq.request_state(V.v_requests(spark, sf))
+    return st.select("request_id", "model_name", "task_set", "status", "reset_status", "category",
+                     F.col("unknown_status").cast("int").alias("unknown_status"))
+
+
+def q_pending_requests(spark, sf):
+    return Rq.pending_requests(Rq.request_state(V.v_requests(spark, sf))).select("request_id", "model_name")
+
+
+def q_unfinished_requests(spark, sf):
+    return Rq.unfinished(Rq.request_state(V.v_requests(spark, sf))).select("request_id", "status")
+
+
+def q_run_summary(spark, sf):
+    r = V.v_requests(spark, sf).withColumn("run_id", F.to_date("ts").cast("string"))
+    return Rq.run_summary(r, "run_id")
+
+
+def q_register_requests(spark, sf):
+    st = Rq.request_state(V.v_requests(spark, sf)).select("model_name", "status")
+    models = V.v_models(spark, sf).select("model_name").union(
+        V.v_requests(spark, sf).filter(F.col("request_id") % 4 == 0).select("model_name")).distinct()
+    return Rq.register_requests(models, st, "model_name")
+
+
+def _snapshots(spark, sf):
+    r = V.v_requests(spark, sf)
+    # midpoint of the time range: one scalar aggregate
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    cut_us = r.agg(F.floor((F.min(us) + F.max(us)) / 2).alias("c")).first()["c"]
+    old = Rq.request_state(r.filter(us <= cut_us))
+    new = Rq.request_state(r)
+    return old, new
+
+
+def q_pull_new(spark, sf):
+    old, new = _snapshots(spark, sf)
+    local = old.filter(F.col("request_id") % 3 == 0).select("request_id", "status")
+    remote = new.select("request_id", "status")
+    return Rq.pull_new(remote, local, ["request_id"])
+
+
+def q_mirror_plan(spark, sf):
+    old, new = _snapshots(spark, sf)
+    local = new.select(F.col("task_set").alias("org"), F.concat(F.col("request_id").cast("string"), F.lit(".json"))
+                       .alias("file"), "status")
+    remote = old.select(F.col("category"), F.col("task_set").alias("org"),
+                        F.concat(F.col("request_id").cast("string"), F.lit(".json")).alias("file"))
+    return Rq.mirror_plan(local, remote)
+
+
 QUERIES = {
     "verdict_scores": q_verdict_scores,
     "verdict_usability": q_verdict_usability,
@@ -151,4 +320,22 @@ QUERIES = {
     "big_jury_average": q_big_jury_average,
     "big_criterion_averages": q_big_criterion_averages,
     "big_task_averages": q_big_task_averages,
+    "item_validity": q_item_validity,
+    "answer_validity": q_answer_validity,
+    "conversation_messages": q_conversation_messages,
+    "flat_prompts": q_flat_prompts,
+    "judge_prompts": q_judge_prompts,
+    "stamped_answers": q_stamped_answers,
+    "expand_runs": q_expand_runs,
+    "unjudged_answers": q_unjudged_answers,
+    "model_routing": q_model_routing,
+    "model_params": q_model_params,
+    "folder_bytes": q_folder_bytes,
+    "request_state": q_request_state,
+    "pending_requests": q_pending_requests,
+    "unfinished_requests": q_unfinished_requests,
+    "run_summary": q_run_summary,
+    "register_requests": q_register_requests,
+    "pull_new": q_pull_new,
+    "mirror_plan": q_mirror_plan,
 }

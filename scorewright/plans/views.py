@@ -122,3 +122,119 @@ def v_big(spark: SparkSession, sf_dir: str) -> DataFrame:
         (correct * tax * 12.5).alias("honest"),
         (correct * ((q + F.col("l_linenumber")) % 5) / 4).alias("harmless"),
     )
+
+
+# Models answering the items view, in order.
+VIEW_MODELS = ["org0/alpha-7b", "org1/beta-13b", "gpt-4o", "claude-3-5-sonnet"]
+# Stand-in system prompts for the items view (real prompts come from the caller).
+VIEW_PROMPTS = {"arabic": "SYS-AR", "hindi": "SYS-HI", "default": "SYS-DEFAULT"}
+
+
+def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` -> one question item per conversation.
+
+    System turns are dropped; user and assistant turns are numbered per conversation;
+    the first two of each become q1, a1, q2, a2.  round = conv_id % 3, except every
+    23rd conversation (round 3, unsupported); a1 is blanked to whitespace on every 19th
+    (C3/C4 rejections must be injected: the table has no blank text).
+    The numbering window and the pivot aggregate are both keyed by conv_id, so Spark
+    plans a single shuffle.
+    """
+    from pyspark.sql import Window
+    t = table(spark, sf_dir, "conversations").filter(F.col("role") != "system")
+    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = t.withColumns({
+        "nu": F.sum(F.when(F.col("role") == "user", 1).otherwise(0)).over(w),
+        "na": F.sum(F.when(F.col("role") == "assistant", 1).otherwise(0)).over(w),
+    })
+    pick = lambda role, n, col: F.max(F.when((F.col("role") == role) & (F.col(col) == n), F.col("text")))
+    items = t.groupBy("conv_id").agg(
+        pick("user", 1, "nu").alias("q1"), pick("assistant", 1, "na").alias("a1"),
+        pick("user", 2, "nu").alias("q2"), pick("assistant", 2, "na").alias("a2"))
+    c = F.col("conv_id")
+    return items.select(
+        F.lit("conv").alias("task_set"),
+        c.alias("sn"), c.alias("conv_id"),
+        F.when(c % 23 == 22, F.lit(3)).otherwise((c % 3).cast("int")).alias("round"),
+        _cat("task", _s(c % 4)).alias("task"),
+        _cat("cat", _s(c % 3)).alias("category"),
+        F.when(c % 5 == 0, F.lit("Arabic")).when(c % 5 == 1, F.lit("HINDI"))
+        .when(c % 5 == 2, F.lit(None).cast("string")).otherwise(F.lit("English")).alias("language"),
+        "q1",
+        F.when(c % 19 == 7, F.lit(" \n\t ")).otherwise(F.col("a1")).alias("a1"),
+        "q2", "a2")
+
+
+def v_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``v_items`` x 4 models: m1 / m2 copy a1 / a2 and are blanked when
+    (conv_id + model_pos) % 7 = 0."""
+    items = v_items(spark, sf_dir)
+    arr = F.array(*[F.struct(F.lit(i + 1).alias("model_pos"), F.lit(m).alias("model_name"))
+                    for i, m in enumerate(VIEW_MODELS)])
+    a = items.withColumn("_m", F.explode(arr)).select("*", "_m.*").drop("_m")
+    blank = (F.col("conv_id") + F.col("model_pos")) % 7 == 0
+    return a.withColumns({
+        "m1": F.when(blank, F.lit("")).otherwise(F.col("a1")),
+        "m2": F.when(blank, F.lit("")).otherwise(F.col("a2")),
+    })
+
+
+def v_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part`` -> model names with and without ``/`` and with provider keywords, plus
+    revision, precision, params text and a folder size, all by key arithmetic."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    k, size = F.col("p_partkey"), _s(F.col("p_size"))
+    dashed = F.regexp_replace(F.col("p_name"), " ", "-")
+    name = (F.when(k % 12 == 0, _cat("gpt-4o-", size))
+            .when(k % 12 == 1, _cat("o1-preview-", size))
+            .when(k % 12 == 2, _cat("Claude-3-", size))
+            .when(k % 12 == 3, _cat("jais-", size, "b"))
+            .when(k % 12 == 4, _cat("Llama-3-", size, "B"))
+            .when(k % 12 == 5, _cat("gemini-1.5-", size))
+            .when(k % 12 == 6, _cat("deepseek-v", size))
+            .when(k % 12 == 7, _cat("mistral-large-", size))
+            .when(k % 12 == 8, _cat("grok-", size))
+            .when(k % 12 == 9, _cat("nanda-", size))
+            .when(k % 12 == 10, _cat("/org", _s(k % 13), "/", dashed, "-", size, "/"))
+            .otherwise(F.regexp_replace(F.col("p_name"), " ", "_")))
+    precision = (F.when(F.col("p_size") % 9 == 0, "bfloat16").when(F.col("p_size") % 9 == 1, "float16")
+                 .when(F.col("p_size") % 9 == 2, "float32").when(F.col("p_size") % 9 == 3, "fp8")
+                 .when(F.col("p_size") % 9 == 4, "4bit").when(F.col("p_size") % 9 == 5, "8bit")
+                 .when(F.col("p_size") % 9 == 6, "UNK").when(F.col("p_size") % 9 == 7, "BF16")
+                 .otherwise("int8"))
+    params = (F.when(k % 8 == 0, "7").when(k % 8 == 1, "0").when(k % 8 == 2, "0.5")
+              .when(k % 8 == 3, "8.03").when(k % 8 == 4, "7B").when(k % 8 == 5, "")
+              .when(k % 8 == 6, "UNK").otherwise("70"))
+    return p.select(
+        k.alias("model_key"), name.alias("model_name"),
+        F.when(k % 3 == 0, F.lit("main")).otherwise(_cat("rev", _s(k % 5))).alias("revision"),
+        precision.alias("precision"), params.alias("params"),
+        (k * 7340033 + F.col("p_size") * 1048576).alias("total_bytes"))
+
+
+# Event type -> request status for the requests view.
+EVENT_STATUS = {"view": "PENDING", "click": "RUNNING", "purchase": "FINISHED", "error": "FAILED",
+                "signup": "REJECTED"}
+
+
+def v_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` -> request status changes: request = user_id; view -> PENDING,
+    click -> RUNNING, purchase -> FINISHED, error -> FAILED, signup -> REJECTED; every
+    13th event writes the status lower-case.  Time = ts, ties broken by event_id."""
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    st = None
+    for k, v in EVENT_STATUS.items():
+        st = F.when(F.col("event_type") == k, F.lit(v)) if st is None else st.when(F.col("event_type") == k, F.lit(v))
+    u = F.col("user_id")
+    return e.select(
+        "event_id", "ts", u.alias("request_id"),
+        F.when(F.col("event_id") % 13 == 0, F.lower(st)).otherwise(st).alias("status"),
+        F.when(u % 2 == 0, F.lit("conv")).otherwise(F.lit("other")).alias("task_set"),
+        F.when(u % 3 == 0, _cat("gpt-4o-", _s(u))).otherwise(_cat("org", _s(u % 5), "/model-", _s(u)))
+        .alias("model_name"))
+
+
+def v_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as model folder listings: model = source, file = doc_id, size = n_chars."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("source").alias("model"), F.col("doc_id").alias("file_id"), F.col("n_chars").alias("size"))
