@@ -64,7 +64,8 @@ def expected_judges(judged: DataFrame) -> list[str]:
 def valid_entries(judged: DataFrame, expected: list[str]) -> DataFrame:
     """Entry keys where every expected judge has a complete score set (Q11: one
     missing judge fails the entry for all judges)."""
-    ok = judged.filter(F.col("judge_key").isin(expected) & _complete(judged))
+    complete = F.col("score_ok") if "score_ok" in judged.columns else _complete(judged)
+    ok = judged.filter(F.col("judge_key").isin(expected) & complete)
     return (ok.groupBy(*ENTRY).agg(F.count_distinct("judge_key").alias("n_ok"))
             .filter(F.col("n_ok") == len(expected)).select(*ENTRY))
 

@@ -1,0 +1,81 @@
+"""Writers (B1-B6).
+
+Tables are written as Parquet through Spark's commit protocol (a failed or retried
+task never leaves partial output).  JSON exports are JSON-lines, one document per
+line; nothing is gathered on the driver.  Status tables are never read and
+overwritten in place: every write goes to a new version directory.
+"""
+
+from __future__ import annotations
+
+import time
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from scorewright.functions.scores import CRITERION_LABELS, SCORE_COLS
+
+MODEL_KEYS = ["org", "model_name", "revision", "precision"]
+
+
+def write_answers(df: DataFrame, path: str, keys: list[str] | None = None, mode: str = "overwrite") -> None:
+    """B1: one output unit per (org, model, revision, precision): partitioned Parquet."""
+    keys = [k for k in (keys or MODEL_KEYS) if k in df.columns]
+    df.write.mode(mode).partitionBy(*keys).parquet(path)
+
+
+def write_judged(df: DataFrame, path: str, keys: tuple[str, ...] = ("task_set", "model_key")) -> None:
+    """B2: answers + verdicts + scores, appended batch by batch (a crash keeps earlier batches)."""
+    df.write.mode("append").partitionBy(*[k for k in keys if k in df.columns]).parquet(path)
+
+
+def write_results(df: DataFrame, path: str, strategy: str | None = None) -> None:
+    """Result table keyed by strategy (the file name of the reference carries it)."""
+    if strategy is not None:
+        df = df.withColumn("strategy", F.lit(strategy))
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("strategy").parquet(path)
+
+
+def results_json(assembled: DataFrame) -> DataFrame:
+    """E11 -> one JSON document per model: ``{"<judge> Scores": {...}, "Meta": {...}}``."""
+    meta = F.struct(
+        F.col("model_name").alias("Model Name"), F.col("license").alias("License"),
+        F.col("revision").alias("Revision"), F.col("precision").alias("Precision"),
+        F.col("params").alias("Params"), F.col("total_entries").alias("Total Entries"),
+        F.col("successful_entries").alias("Successful Entries"), F.col("failed_entries").alias("Failed Entries"),
+        F.col("success_ratio").alias("Success Ratio"))
+    judges = F.transform_values(F.col("judges"), lambda k, v: F.to_variant_object(v))
+    doc = F.map_concat(F.coalesce(judges, F.create_map().cast("map<string,variant>")),
+                       F.create_map(F.lit("Meta"), F.to_variant_object(meta)))
+    return assembled.select(F.to_json(doc).alias("value"))
+
+
+def export_json(docs: DataFrame, path: str) -> None:
+    """Write a single-column ``value`` DataFrame of JSON texts as JSON lines."""
+    docs.write.mode("overwrite").text(path)
+
+
+def export_leaderboard(results: DataFrame, path: str) -> DataFrame:
+    """Flat union of all results plus the sync time as a *column* (the reference appends
+    a marker element to the list instead)."""
+    out = results.withColumn("exported_at", F.current_timestamp())
+    out.write.mode("overwrite").json(path)
+    return out
+
+
+def write_request_status(df: DataFrame, base: str, version: str | None = None) -> str:
+    """Persist request statuses to a fresh version directory (atomic per version via the
+    commit protocol; never read-and-overwrite the same path).  Returns the path written."""
+    version = version or time.strftime("%Y%m%dT%H%M%S")
+    out = f"{base.rstrip('/')}/version={version}"
+    df.write.mode("errorifexists").parquet(out)
+    return out
+
+
+def write_outcomes(df: DataFrame, path: str) -> None:
+    """Success / failure model lists, partitioned by ``ok``."""
+    df.write.mode("append").partitionBy("ok").parquet(path)
+
+
+__all__ = ["write_answers", "write_judged", "write_results", "results_json", "export_json",
+           "export_leaderboard", "write_request_status", "write_outcomes", "CRITERION_LABELS", "SCORE_COLS"]
