@@ -168,18 +168,30 @@ def union_results(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _sorted_entries(items, key_field: str):
+    """Sort an array of structs by one string field (ordering of whole structs with maps
+    inside is not defined)."""
+    return F.array_sort(items, lambda l, r: F.when(l[key_field] < r[key_field], -1)
+                        .when(l[key_field] > r[key_field], 1).otherwise(0))
+
+
 def assemble_results(wide: DataFrame, tasks: DataFrame, meta: DataFrame) -> DataFrame:
     """Nested, JSON-ready results: one row per file with one struct per judge
-    (criterion averages + task map) and the metadata struct.  Task and judge maps are
-    built by grouped aggregation, so no group is collected on the driver."""
+    (criterion averages + task map) and the metadata struct.  The maps are built by
+    grouped aggregation over (file, judge) and (file) groups whose size is bounded by
+    the number of tasks and judges, never by the number of entries.  Two judge keys with
+    one display name collide like dict keys do (last key wins, Q6)."""
     tmap = (tasks.groupBy("file_id", "judge_name")
-            .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("task", "score")))).alias("tasks_scores")))
+            .agg(F.map_from_entries(_sorted_entries(F.collect_list(F.struct("task", "score")), "task"))
+                 .alias("tasks_scores")))
     per_judge = (wide.join(tmap, ["file_id", "judge_name"], "left")
-                 .select("file_id", "judge_name",
+                 .select("file_id", "judge_key", "judge_name",
                          F.struct(F.struct(*[F.col(c).alias(CRITERION_LABELS[c]) for c in SCORE_COLS]).alias("3C3H Scores"),
                                   F.coalesce(F.col("tasks_scores"), F.create_map().cast("map<string,double>"))
                                   .alias("Tasks Scores")).alias("v")))
+    entries = F.collect_list(F.struct(F.col("judge_key").alias("k"),
+                                      F.concat(F.col("judge_name"), F.lit(" Scores")).alias("name"), F.col("v")))
     judges = (per_judge.groupBy("file_id")
-              .agg(F.map_from_entries(F.array_sort(F.collect_list(
-                  F.struct(F.concat(F.col("judge_name"), F.lit(" Scores")), F.col("v"))))).alias("judges")))
+              .agg(F.map_from_entries(F.transform(_sorted_entries(entries, "k"),
+                                                  lambda e: F.struct(e["name"], e["v"]))).alias("judges")))
     return meta.join(judges, "file_id", "left")

@@ -19,6 +19,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Python's json keeps the last duplicate key; so does the variant parser with this.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Maps built from judge names behave like the dicts they replace: a repeated key overwrites.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Judge and model calls have side effects: never run a task twice on purpose.
     "spark.speculation": "false",
@@ -39,7 +41,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    for k in ("spark.sql.session.timeZone", "spark.sql.variant.allowDuplicateKeys"):
+    for k in ("spark.sql.session.timeZone", "spark.sql.variant.allowDuplicateKeys", "spark.sql.mapKeyDedupPolicy"):
         spark.conf.set(k, conf[k])
     ensure_checkpoint_dir(spark)
     return spark

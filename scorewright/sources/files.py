@@ -154,9 +154,12 @@ def read_requests(spark: SparkSession, root: str) -> DataFrame:
     """A4: every request manifest under ``root`` (recursive); task_set, bucket, org and file
     come from the path ``<task_set>/<bucket>/<org>/<file>.json``; files not at that depth
     or not JSON objects are left out."""
+    import re
     docs = read_documents(spark, root, "*.json", recursive=True)
-    pat = r"([^/]+)/([^/]+)/([^/]+)/([^/]+\.json)$"
-    p = F.col("src_file")
+    root_path = re.sub(r"^[a-z]+:(//)?", "", root).rstrip("/")
+    pat = r"^([^/]+)/([^/]+)/([^/]+)/([^/]+\.json)$"
+    # path relative to the root: everything after the root folder
+    p = F.regexp_extract(F.col("src_file"), re.escape(root_path) + "/(.*)$", 1)
     d = F.col("doc")
     fields = ["model_name", "license", "revision", "precision", "params", "status", "modality"]
     out = docs.filter(F.try_variant_get(d, "$", "map<string,variant>").isNotNull()).select(
