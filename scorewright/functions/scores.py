@@ -49,15 +49,29 @@ def is_usable_block(block: Column) -> Column:
     return block.isNotNull() & F.coalesce(F.size(keys) > 0, F.lit(False))
 
 
+_SCALAR_NUMBERS = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE", "BOOLEAN")
+
+
+def is_number_type(t: Column) -> Column:
+    """A ``schema_of_variant`` type name that counts as a number (JSON true/false included)."""
+    return F.coalesce(t.isin(*_SCALAR_NUMBERS) | t.startswith("DECIMAL"), F.lit(False))
+
+
 def _is_number(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).rlike(_NUMERIC_TYPE), F.lit(False))
+    return is_number_type(F.schema_of_variant(v))
+
+
+def _json_number(x: Column) -> Column:
+    """A variant member is a number (or boolean) iff its JSON text starts with a digit,
+    ``-``, ``t`` or ``f``: strings start with a quote, null with ``n``, containers with a
+    bracket.  Cheaper inside a lambda than building the type name."""
+    return F.substring(F.to_json(x), 1, 1).isin("-", "0", "1", "2", "3", "4", "5", "6", "7", "8", "9", "t", "f")
 
 
 def _mean_of_numbers(values: Column) -> Column:
     """Mean of the numeric members of an ARRAY<VARIANT>; 0 when none."""
-    nums = F.filter(values, lambda x: _is_number(x))
-    total = F.aggregate(nums, F.lit(0.0).cast("double"),
-                        lambda acc, x: acc + F.try_variant_get(x, "$", "double"))
+    nums = F.transform(F.filter(values, _json_number), lambda x: F.try_variant_get(x, "$", "double"))
+    total = F.aggregate(nums, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
     return F.when(F.size(nums) > 0, total / F.size(nums)).otherwise(F.lit(0.0))
 
 
@@ -72,6 +86,81 @@ def _coerce_variant(v: Column) -> Column:
             .otherwise(F.lit(0.0)))
 
 
+def coerce_typed(v: Column, t: Column) -> Column:
+    """D17 given the variant value ``v`` and its type name ``t`` (``schema_of_variant``):
+    the higher-order functions run only for list and object values; a missing key is 0."""
+    return (F.when(is_number_type(t), F.try_variant_get(v, "$", "double"))
+            .when(t.startswith("ARRAY"), _mean_of_numbers(F.try_variant_get(v, "$", "array<variant>")))
+            .when(t.startswith("OBJECT"), _mean_of_numbers(F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))))
+            .otherwise(F.lit(0.0)))
+
+
+def scalar_score(v: Column, t: Column) -> Column:
+    """D17 fast path: the value of a numeric variant, NULL for anything else."""
+    return F.when(is_number_type(t), F.try_variant_get(v, "$", "double"))
+
+
+def is_container_type(t: Column) -> Column:
+    return F.coalesce(t.startswith("ARRAY") | t.startswith("OBJECT"), F.lit(False))
+
+
+def container_score(v: Column, t: Column) -> Column:
+    """D17 slow path: mean of the numeric members of a list or of an object's values."""
+    return (F.when(t.startswith("ARRAY"), _mean_of_numbers(F.try_variant_get(v, "$", "array<variant>")))
+            .otherwise(_mean_of_numbers(F.map_values(F.try_variant_get(v, "$", "map<string,variant>")))))
+
+
+# ---- SQL-text forms of the per-criterion stages (one JVM parse per expression instead of
+# thousands of Python -> JVM calls when the expression tree is built column by column)
+
+_NUM_SQL = ", ".join(f"'{t}'" for t in _SCALAR_NUMBERS)
+_FIRST_CHARS = ", ".join(f"'{c}'" for c in "-0123456789tf")
+
+
+def sql_scalar_score(v: str, t: str) -> str:
+    return f"CASE WHEN {t} IN ({_NUM_SQL}) OR startswith({t}, 'DECIMAL') THEN try_variant_get({v}, '$', 'double') END"
+
+
+def sql_is_container(t: str) -> str:
+    return f"coalesce(startswith({t}, 'ARRAY') OR startswith({t}, 'OBJECT'), false)"
+
+
+def _sql_mean(arr: str) -> str:
+    nums = (f"transform(filter({arr}, x -> substr(to_json(x), 1, 1) IN ({_FIRST_CHARS})), "
+            f"x -> try_variant_get(x, '$', 'double'))")
+    return (f"(CASE WHEN size({nums}) > 0 THEN aggregate({nums}, CAST(0 AS DOUBLE), (acc, x) -> acc + x) "
+            f"/ size({nums}) ELSE 0.0 END)")
+
+
+def sql_container_score(v: str, t: str) -> str:
+    """D17 slow path in SQL: mean of the numeric members of a list or an object's values."""
+    return (f"CASE WHEN startswith({t}, 'ARRAY') THEN {_sql_mean(f'try_variant_get({v}, {chr(39)}${chr(39)}, {chr(39)}array<variant>{chr(39)})')} "
+            f"ELSE {_sql_mean(f'map_values(try_variant_get({v}, {chr(39)}${chr(39)}, {chr(39)}map<string,variant>{chr(39)}))')} END")
+
+
+def sql_normalise_one(i: int, v: str, correct: str) -> str:
+    if i > 0:
+        v = f"(CASE WHEN {correct} = 1.0 THEN {v} ELSE 0.0 END)"
+    if i < 2:
+        return f"CASE WHEN {v} >= 1 THEN 1.0 ELSE 0.0 END"
+    return f"CASE WHEN {v} >= 1 THEN ({v} - 1) / 4 ELSE 0.0 END"
+
+
+def sql_round4(x: str) -> str:
+    """D27 in SQL text (same rule as ``round4``)."""
+    return (f"(CASE WHEN abs({x}) < 1e9 THEN CAST(round(CAST({x} AS DECIMAL(18,8)), 4) AS DOUBLE) "
+            f"ELSE {x} END)")
+
+
+def normalise_one(i: int, v: Column, correct: Column) -> Column:
+    """D18 + D19 for criterion ``i`` given its coerced value and the coerced Correct."""
+    if i > 0:
+        v = F.when(correct == F.lit(1.0), v).otherwise(F.lit(0.0))
+    if i < 2:
+        return F.when(v >= 1, F.lit(1.0)).otherwise(F.lit(0.0))
+    return F.when(v >= 1, (v - 1) / 4).otherwise(F.lit(0.0))
+
+
 def as_object(block: Column) -> Column:
     """A parsed block as MAP<STRING, VARIANT>; NULL when it isn't a JSON object."""
     return F.try_variant_get(block, "$", "map<string,variant>")

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewright.functions.scores import (
-    CRITERIA, SCORE_COLS, as_object, coerced_array, extract_block, final_score, normalised_array,
-    weighted_array,
+    CRITERIA, CRITERIA_KEYS, SCORE_COLS, as_object, extract_block, final_score, sql_container_score,
+    sql_is_container, sql_normalise_one, sql_round4, sql_scalar_score,
+    weighted_criteria,
 )
 
 
@@ -21,12 +22,16 @@ def score_verdicts(verdicts: DataFrame, response_col: str = "response",
                    round_col: str = "round") -> DataFrame:
     """Add ``usable`` and the seven score columns to a verdict table (narrow, no shuffle).
 
-    Each block is parsed once into MAP<STRING, VARIANT>; the six criteria are coerced,
-    normalised and weighted as one array expression, so the per-row code stays compact
-    and whole-stage codegen compiles it.  The scores come out of a one-row ``inline``
-    generator: a later ``filter(usable)`` cannot be pushed below it, so the regex and
-    JSON parse run once per verdict instead of once for the filter and once more for
-    the projection."""
+    Staged projections, each reading the previous stage's columns, so nothing is
+    evaluated twice and every stage compiles into whole-stage code:
+      1. regex-extract each block and parse it once into MAP<STRING, VARIANT>;
+      2. ``usable`` comes out of a one-row ``inline`` generator: a later
+         ``filter(usable)`` cannot be pushed below it, so the parse runs once per
+         verdict, and everything above it runs on usable verdicts only;
+      3. per criterion and block: the variant value, its type name, the coerced value
+         (higher-order functions only for list / object values), the normalised value;
+      4. E1 weights (1, or 2 and 1 in round 2) and the E2 final score.
+    """
     resp, rnd = F.col(response_col), F.col(round_col)
     is_two = rnd == F.lit(2)
     t = verdicts.withColumns({
@@ -36,13 +41,33 @@ def score_verdicts(verdicts: DataFrame, response_col: str = "response",
     ok1 = F.coalesce(F.size(F.col("_o1")) > 0, F.lit(False))
     ok2 = F.coalesce(F.size(F.col("_o2")) > 0, F.lit(False))
     usable = F.when(rnd.isin(0, 1), ok1).when(is_two, ok1 & ok2).otherwise(F.lit(False))
-    n1 = normalised_array(coerced_array(F.col("_o1")))
-    n2 = normalised_array(coerced_array(F.col("_o2")))
-    weighted = F.when(usable, F.when(is_two, weighted_array(n1, n2)).otherwise(weighted_array(n1)))
-    t = t.select("*", F.inline(F.array(F.struct(usable.alias("usable"), weighted.alias("_w")))))
-    t = t.withColumns({c: F.col("_w")[i] for i, c in enumerate(CRITERIA)})
-    t = t.withColumn("final_score", final_score([F.col(c) for c in CRITERIA]))
-    return t.drop("_o1", "_o2", "_w")
+    t = t.select("*", F.inline(F.array(F.struct(usable.alias("usable")))))
+    blocks = (1, 2)
+    tmp = []
+
+    def stage(exprs: dict) -> None:
+        nonlocal t
+        t = t.withColumns({k: F.expr(e) for k, e in exprs.items()})
+        tmp.extend(exprs)
+
+    stage({f"_v{b}{i}": f"element_at(_o{b}, '{k}')" for b in blocks for i, k in enumerate(CRITERIA_KEYS)})
+    stage({f"_t{b}{i}": f"schema_of_variant(_v{b}{i})" for b in blocks for i in range(6)})
+    # numbers are read in compiled code; only list / object values need the
+    # higher-order functions (evaluated interpreted), in their own stage.
+    stage({f"_s{b}{i}": sql_scalar_score(f"_v{b}{i}", f"_t{b}{i}") for b in blocks for i in range(6)})
+    stage({f"_c{b}{i}": sql_is_container(f"_t{b}{i}") for b in blocks for i in range(6)})
+    stage({f"_r{b}{i}": f"CASE WHEN _s{b}{i} IS NOT NULL THEN _s{b}{i} WHEN _c{b}{i} THEN "
+           f"{sql_container_score(f'_v{b}{i}', f'_t{b}{i}')} ELSE 0.0 END" for b in blocks for i in range(6)})
+    stage({f"_n{b}{i}": sql_normalise_one(i, f"_r{b}{i}", f"_r{b}0") for b in blocks for i in range(6)})
+    rq = f"`{round_col}`"
+    crit = {}
+    for i, c in enumerate(CRITERIA):
+        one = sql_round4(f"(_n1{i} * 1.0) / 1.0")
+        two = sql_round4(f"((_n1{i} * 2.0) + (_n2{i} * 1.0)) / 3.0")
+        crit[c] = f"CASE WHEN usable THEN (CASE WHEN {rq} = 2 THEN {two} ELSE {one} END) END"
+    t = t.withColumns({c: F.expr(e) for c, e in crit.items()})
+    t = t.withColumn("final_score", F.expr(sql_round4("(" + " + ".join(CRITERIA) + ") / 6.0")))
+    return t.drop("_o1", "_o2", *tmp)
 
 
 def number_judges(scored: DataFrame, answer_keys: list[str], judge_pos: str = "judge_pos") -> DataFrame:

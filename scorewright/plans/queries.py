@@ -15,6 +15,7 @@ from scorewright.operators import jury as J
 from scorewright.operators import results as R
 from scorewright.operators.scoring import number_judges, score_verdicts
 from scorewright.plans import views as V
+from scorewright.session import materialize
 
 ANSWER = ["doc_id"]
 
@@ -59,7 +60,10 @@ def q_jury_vote(spark, sf):
 def judged_from_verdicts(spark: SparkSession, sf: str, strategy: str = "vote") -> tuple[DataFrame, DataFrame]:
     """Judged long table (usable judges renumbered + the jury) and the entry table:
     file = model (doc_id % 8), ordinal = doc_id, task = lang."""
-    s = scored(spark, sf).withColumns({"file_id": F.col("model_id"), "ordinal": F.col("doc_id")})
+    # Score once: the scores (not the verdict text) are checkpointed, and the renumbering,
+    # the jury, the roster and every average read that table.
+    s = materialize(scored(spark, sf).drop("response")
+                    .withColumns({"file_id": F.col("model_id"), "ordinal": F.col("doc_id")}))
     keys = ["file_id", "ordinal", "doc_id", "task"]
     judges = number_judges(s, keys).select("file_id", "ordinal", "task", "judge_key", "judge_name", *SCORE_COLS)
     jury = J.jury_rows(s, keys, strategy, len(V.VIEW_JUDGES)).select(

@@ -81,3 +81,14 @@ def balance(df, min_partitions: int | None = None):
     target = min_partitions or spark.sparkContext.defaultParallelism
     n = df.rdd.getNumPartitions()
     return df.repartition(target) if n < target else df
+
+
+def materialize(df):
+    """Cut lineage after an expensive step that several later jobs read.
+
+    A reliable ``checkpoint`` into the checkpoint folder (the cluster's shared
+    ``spark.checkpoint.dir``): later jobs read the written rows instead of recomputing
+    them, and a lost executor does not send the recomputation back to the raw input.
+    Never a ``localCheckpoint`` (executor-local blocks die with the executor)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
