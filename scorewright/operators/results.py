@@ -51,6 +51,13 @@ def common_judges(rosters: DataFrame) -> DataFrame:
             .filter(F.col("n_with") == F.lit(n_files)).select("judge_key"))
 
 
+def jury_everywhere(rosters: DataFrame) -> DataFrame:
+    """One row: whether every file's roster holds the jury (1) or not (0)."""
+    per_file = rosters.groupBy("file_id").agg(F.max((F.col("judge_key") == JURY).cast("int")).alias("j"))
+    return per_file.agg(F.coalesce(F.min("j"), F.lit(0)).alias("jury_everywhere"),
+                        F.count(F.lit(1)).cast("bigint").alias("n_files"))
+
+
 def expected_judges(judged: DataFrame) -> list[str]:
     """The judge keys every entry must have: common judges, plus the jury when all
     rosters carry it.  Bounded by the configured judges + 1, so it is collected."""

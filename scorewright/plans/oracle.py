@@ -241,21 +241,7 @@ SELECT t.file_id AS model_id, m.model_name, t.total_entries, coalesce(o.successf
 FROM tot t LEFT JOIN ok o ON o.file_id = t.file_id JOIN meta m ON m.file_id = t.file_id"""
     q["common_judges"] = f"{_judged_sql()}\nSELECT judge_key FROM common"
     q["judge_rosters"] = f"{_judged_sql()}\nSELECT file_id AS model_id, judge_key FROM roster"
-    big = f"""WITH big0 AS (
-  SELECT l_orderkey AS answer_id, l_orderkey % 50 AS model_id, l_linenumber AS judge_pos,
-         'task' || CAST(l_orderkey % 7 AS VARCHAR) AS task,
-         CASE WHEN l_quantity % 3 = 0 THEN 0.0 ELSE 1.0 END AS correct, l_quantity AS q, l_discount, l_tax
-  FROM lineitem),
-big1 AS (
-  SELECT answer_id, model_id, judge_pos, task, correct,
-         correct * (CASE WHEN q % 2 = 0 THEN 1.0 ELSE 0.0 END) AS complete,
-         correct * (q % 5) / 4 AS concise,
-         correct * l_discount * 10 AS helpful,
-         correct * l_tax * 12.5 AS honest,
-         correct * ((q + judge_pos) % 5) / 4 AS harmless
-  FROM big0),
-scored AS (SELECT *, true AS usable,
-  {r4('(correct + complete + concise + helpful + honest + harmless) / 6.0')} AS final_score FROM big1)"""
+    big = oracle_queries_big_cte()
     for strat in ("average", "vote"):
         q["big_jury_" + strat] = (f"{big}\nSELECT answer_id, n_usable, {_r4cols()} FROM "
                                   f"({_jury_sql(strat).replace('doc_id', 'answer_id')}) t")
@@ -265,6 +251,7 @@ scored AS (SELECT *, true AS usable,
     q["big_task_averages"] = (f"{big}\nSELECT model_id, judge_pos, task, {r4('avg(final_score)')} AS score "
                               f"FROM scored GROUP BY model_id, judge_pos, task")
     q.update(more_oracle_queries())
+    q.update(extra_oracle_queries())
     return q
 
 
@@ -547,3 +534,98 @@ UNION SELECT r.category || '/' || r.org || '/' || r.file, 'delete' FROM remote r
 UNION SELECT r.category || '/' || r.org || '/' || r.file, 'keep' FROM remote r
   WHERE NOT EXISTS (SELECT 1 FROM put p WHERE p.org = r.org AND p.file = r.file)"""
     return q
+
+
+def extra_oracle_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["jury_everywhere"] = f"""{_judged_sql()}
+SELECT coalesce(min(j), 0) AS jury_everywhere, CAST(count(*) AS BIGINT) AS n_files
+FROM (SELECT file_id, max(CAST(judge_key = 'Jury' AS INTEGER)) AS j FROM roster GROUP BY file_id) t"""
+    big = oracle_queries_big_cte()
+    part = ("SELECT model_id, judge_pos, CAST(count(*) AS BIGINT) AS n, "
+            + r4("avg(final_score)") + " AS final_score, {g} AS generation FROM scored WHERE {cond} "
+            "GROUP BY model_id, judge_pos")
+    q["results_upsert"] = f"""{big},
+old AS ({part.format(g=1, cond="answer_id % 2 = 0")}),
+new AS ({part.format(g=2, cond="model_id % 3 = 0")})
+SELECT * FROM new
+UNION ALL SELECT * FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.model_id = o.model_id AND n.judge_pos = o.judge_pos)"""
+    q["leaderboard_rank"] = f"""{_judged_sql()},
+agg AS (SELECT file_id, {r4('avg(coalesce(final_score, 0.0))')} AS final_score FROM vrows
+        WHERE judge_key = 'Jury' GROUP BY file_id),
+jf AS (SELECT f.file_id, a.final_score FROM (SELECT DISTINCT file_id FROM entries) f
+       JOIN (SELECT judge_key FROM common WHERE judge_key = 'Jury') c ON true
+       LEFT JOIN agg a ON a.file_id = f.file_id)
+SELECT file_id AS model_id, final_score, dense_rank() OVER (ORDER BY final_score DESC NULLS LAST) AS rank FROM jf"""
+    base = scored_verdicts_sql()
+    pairs = [(1, 2), (1, 3), (2, 3)]
+    q["judge_agreement"] = f"""{base},
+w AS (SELECT doc_id, max(CASE WHEN judge_pos = 1 THEN correct END) AS c1,
+             max(CASE WHEN judge_pos = 2 THEN correct END) AS c2,
+             max(CASE WHEN judge_pos = 3 THEN correct END) AS c3
+      FROM scored WHERE usable GROUP BY doc_id)
+""" + "\nUNION ALL ".join(
+        f"SELECT {a} AS judge_a, {b} AS judge_b, n, agree, CASE WHEN n > 0 THEN {r4('agree / n')} END AS share FROM "
+        f"(SELECT CAST(count(*) FILTER (WHERE c{a} IS NOT NULL AND c{b} IS NOT NULL) AS BIGINT) AS n, "
+        f"CAST(count(*) FILTER (WHERE c{a} IS NOT NULL AND c{b} IS NOT NULL AND c{a} = c{b}) AS BIGINT) AS agree FROM w) t{a}{b}"
+        for a, b in pairs)
+    q["gold_agreement"] = f"""{base}
+SELECT s.judge_pos, CAST(count(*) AS BIGINT) AS n,
+  {r4('avg(CASE WHEN s.correct = CAST(l.quality AS DOUBLE) THEN 1.0 ELSE 0.0 END)')} AS agreement
+FROM scored s JOIN labels l ON l.doc_id = s.doc_id WHERE s.usable GROUP BY s.judge_pos"""
+    q["source_averages"] = f"""{base}
+SELECT d.source, s.judge_pos, CAST(count(*) AS BIGINT) AS n, {r4('avg(s.final_score)')} AS score
+FROM scored s JOIN documents d ON d.doc_id = s.doc_id WHERE s.usable GROUP BY d.source, s.judge_pos"""
+    q["vision_messages"] = f"""WITH {V_ITEMS}, {FORMS},
+vm AS (SELECT *, CASE WHEN conv_id % 4 = 3 THEN 'Text+Vision' ELSE 'Text' END AS modality,
+              (conv_id % 2 <> 0) OR (conv_id % 4 = 3) AS inc_sys FROM msgs)
+SELECT conv_id, pass, modality,
+  CAST((CASE WHEN form = 'first' THEN 1 ELSE 3 END) + (CASE WHEN inc_sys THEN 1 ELSE 0 END) AS INTEGER) AS n_messages,
+  CASE WHEN inc_sys THEN 'system' ELSE 'user' END AS first_role,
+  CASE WHEN modality <> 'Text' THEN 'text' END AS first_part_type,
+  CASE WHEN modality <> 'Text' THEN (CASE WHEN form = 'first' THEN {dstrip('q1')} ELSE {dstrip('q2')} END) END
+    AS last_part_text
+FROM vm"""
+    jn = "regexp_replace(lower(model_name), '^claude-3-([0-9]+)$', 'claude-3.5-sonnet')"
+    q["judge_routes"] = f"""WITH {V_MODELS}, j AS (SELECT model_key, {jn} AS judge_name FROM v_models)
+SELECT model_key, judge_name,
+  CASE judge_name WHEN 'claude-3.5-sonnet' THEN 'claude-3-5-sonnet-20241022'
+                  WHEN 'claude-3-haiku' THEN 'claude-3-haiku-20240307' ELSE judge_name END AS judge_id,
+  CASE WHEN regexp_matches(lower(judge_name), 'gpt|o\\d+') THEN 'openai'
+       WHEN contains(lower(judge_name), 'claude') THEN 'anthropic'
+       WHEN judge_name IN ('jais-30b', 'jais-70b', 'k2-65b') THEN 'inception' END AS route
+FROM j"""
+    secs = "((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6)"
+    q["run_durations"] = f"""WITH {V_REQUESTS},
+d AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, {secs} AS secs FROM v_requests GROUP BY 1)
+SELECT run_id, {r4('secs')} AS secs,
+  printf('%02d:%02d:%05.2f', CAST(floor(secs / 3600) AS INTEGER),
+         CAST(floor((secs - floor(secs / 3600) * 3600) / 60) AS INTEGER),
+         secs - floor(secs / 3600) * 3600 - floor((secs - floor(secs / 3600) * 3600) / 60) * 60) AS elapsed
+FROM d"""
+    last = f"(CASE WHEN form = 'first' THEN {dstrip('q1')} ELSE {dstrip('q2')} END)"
+    q["stub_generation"] = f"""WITH {V_ITEMS}, {FORMS}, lm AS (SELECT conv_id, pass, {last} AS last FROM msgs)
+SELECT conv_id, pass, 'echo: ' || CAST(length(last) AS VARCHAR) || ' chars '
+  || CAST(CASE WHEN {dstrip('last')} = '' THEN 0 ELSE len(regexp_split_to_array({dstrip('last')}, '\\s+')) END AS VARCHAR)
+  || ' words' AS completion
+FROM lm"""
+    return q
+
+
+def oracle_queries_big_cte() -> str:
+    """The ``scored`` CTE over lineitem (v_big) used by the large-aggregate queries."""
+    return f"""WITH big0 AS (
+  SELECT l_orderkey AS answer_id, l_orderkey % 50 AS model_id, l_linenumber AS judge_pos,
+         'task' || CAST(l_orderkey % 7 AS VARCHAR) AS task,
+         CASE WHEN l_quantity % 3 = 0 THEN 0.0 ELSE 1.0 END AS correct, l_quantity AS q, l_discount, l_tax
+  FROM lineitem),
+big1 AS (
+  SELECT answer_id, model_id, judge_pos, task, correct,
+         correct * (CASE WHEN q % 2 = 0 THEN 1.0 ELSE 0.0 END) AS complete,
+         correct * (q % 5) / 4 AS concise,
+         correct * l_discount * 10 AS helpful,
+         correct * l_tax * 12.5 AS honest,
+         correct * ((q + judge_pos) % 5) / 4 AS harmless
+  FROM big0),
+scored AS (SELECT *, true AS usable,
+  {r4('(correct + complete + concise + helpful + honest + harmless) / 6.0')} AS final_score FROM big1)"""

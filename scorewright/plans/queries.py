@@ -309,6 +309,143 @@ def q_mirror_plan(spark, sf):
     return Rq.mirror_plan(local, remote)
 
 
+# ---------------------------------------------------------------- more results operators
+
+def q_jury_everywhere(spark, sf):
+    judged, _ = judged_from_verdicts(spark, sf)
+    rost = R.judge_rosters(judged)
+    return R.jury_everywhere(rost)
+
+
+def _big_partial(spark, sf, cond):
+    b = big_scores(spark, sf).filter(cond)
+    return b.groupBy("model_id", "judge_pos").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), round4(F.avg("final_score")).alias("final_score"))
+
+
+def q_results_upsert(spark, sf):
+    """F8 + H3: old results (answers with an even order key) upserted with new results for
+    every third model (all answers); key (model_id, judge_pos)."""
+    old = _big_partial(spark, sf, F.col("answer_id") % 2 == 0).withColumn("generation", F.lit(1))
+    new = _big_partial(spark, sf, F.col("model_id") % 3 == 0).withColumn("generation", F.lit(2))
+    return R.upsert_results(old, new, ["model_id", "judge_pos"]).select(
+        "model_id", "judge_pos", "n", "final_score", "generation")
+
+
+# ---------------------------------------------------------------- small additions (X1-X4), labelled as ours
+
+def q_leaderboard_rank(spark, sf):
+    """Models ranked by the jury's 3C3H score (dense rank; ties share a rank).  The
+    window runs over the aggregated results (models x judges rows), not over entries."""
+    from pyspark.sql import Window
+    crit = _results(spark, sf)["wide"].filter(F.col("judge_key") == "Jury")
+    w = Window.orderBy(F.col("final_score").desc_nulls_last())
+    return crit.select(F.col("file_id").alias("model_id"), "final_score",
+                       F.dense_rank().over(w).cast("bigint").alias("rank"))
+
+
+def q_judge_agreement(spark, sf):
+    """Share of answers on which two configured judges gave the same Correct value.
+    One pivot per answer over the configured judge positions (a bounded list), then
+    one aggregate: no self-join and no pair rows per answer."""
+    s = scored(spark, sf).filter("usable")
+    n = len(V.VIEW_JUDGES)
+    wide = s.groupBy("doc_id").pivot("judge_pos", list(range(1, n + 1))).agg(F.first("correct"))
+    aggs = []
+    for a in range(1, n + 1):
+        for b in range(a + 1, n + 1):
+            both = F.col(str(a)).isNotNull() & F.col(str(b)).isNotNull()
+            aggs += [F.count_if(both).cast("bigint").alias(f"n_{a}_{b}"),
+                     F.count_if(both & (F.col(str(a)) == F.col(str(b)))).cast("bigint").alias(f"agree_{a}_{b}")]
+    out = wide.agg(*aggs)
+    pairs = [(a, b) for a in range(1, n + 1) for b in range(a + 1, n + 1)]
+    stack = ", ".join(f"{a}, {b}, n_{a}_{b}, agree_{a}_{b}" for a, b in pairs)
+    return out.selectExpr(f"stack({len(pairs)}, {stack}) AS (judge_a, judge_b, n, agree)").select(
+        "judge_a", "judge_b", "n", "agree",
+        F.when(F.col("n") > 0, round4(F.col("agree") / F.col("n"))).alias("share"))
+
+
+def q_gold_agreement(spark, sf):
+    """Agreement of each judge's Correct with the gold ``labels.quality``."""
+    s = scored(spark, sf).filter("usable").select("doc_id", "judge_pos", "correct")
+    gold = V.table(spark, sf, "labels").select("doc_id", "quality")
+    j = s.join(gold, "doc_id")
+    return j.groupBy("judge_pos").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"),
+        round4(F.avg(F.when(F.col("correct") == F.col("quality").cast("double"), 1.0).otherwise(0.0))).alias("agreement"))
+
+
+def q_source_averages(spark, sf):
+    """Average final score per (document source, judge) - the category-style roll-up."""
+    s = scored(spark, sf).filter("usable")
+    src = V.table(spark, sf, "documents").select("doc_id", "source")
+    return (s.select("doc_id", "judge_pos", "final_score").join(src, "doc_id")
+            .groupBy("source", "judge_pos").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                                round4(F.avg("final_score")).alias("score")))
+
+
+# ---------------------------------------------------------------- message variants, aliases, timing
+
+def q_vision_messages(spark, sf):
+    """D12 + D29: vision models get typed content parts; open models with a chat template
+    get no system message.  modality by conv_id % 4: 3 -> Text+Vision, 2 -> missing
+    (Text), else Text; chat template on for even conversations."""
+    m = _messages(spark, sf)
+    modality = I.modality_of(F.when(F.col("conv_id") % 4 == 3, F.lit("Text+Vision"))
+                             .when(F.col("conv_id") % 4 == 2, F.lit(None).cast("string")).otherwise(F.lit("Text")))
+    template = F.col("conv_id") % 2 == 0
+    sysp = I.system_prompt(F.col("language"), V.VIEW_PROMPTS)
+    prior = F.concat(F.lit("model answer to: "), T.strip(F.col("q1")))
+    msgs = I.build_messages(F.col("round"), F.col("q1"), F.col("a1"), F.col("q2"), prior, sysp, F.col("pass"),
+                            include_system=~template | (modality != "Text"))
+    m = m.withColumns({"modality": modality, "msgs": msgs})
+    vision = I.to_vision(F.col("msgs"))
+    return m.select(
+        "conv_id", "pass", "modality",
+        F.size("msgs").cast("int").alias("n_messages"),
+        F.get(F.col("msgs"), 0)["role"].alias("first_role"),
+        F.when(F.col("modality") != "Text", F.get(F.get(vision, 0)["content"], 0)["type"]).alias("first_part_type"),
+        F.when(F.col("modality") != "Text", F.get(F.get(vision, -1 + F.size("msgs"))["content"], 0)["text"])
+        .alias("last_part_text"))
+
+
+# Short judge names and the model ids they stand for (view data).
+VIEW_ALIASES = {"claude-3.5-sonnet": "claude-3-5-sonnet-20241022", "claude-3-haiku": "claude-3-haiku-20240307"}
+
+
+def q_judge_routes(spark, sf):
+    """D5 + D26 on model names used as judge names."""
+    from scorewright.operators.jury import judge_alias
+    m = V.v_models(spark, sf)
+    name = F.regexp_replace(F.lower(F.col("model_name")), r"^claude-3-(\d+)$", "claude-3.5-sonnet")
+    return m.select("model_key", name.alias("judge_name"),
+                    judge_alias(name, VIEW_ALIASES).alias("judge_id"),
+                    T.route_judge(name).alias("route"))
+
+
+def q_run_durations(spark, sf):
+    """Per run (day) the span between first and last status change as HH:MM:SS.ss."""
+    r = V.v_requests(spark, sf).withColumn("run_id", F.to_date("ts").cast("string"))
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    d = r.groupBy("run_id").agg(((F.max(us) - F.min(us)) / 1e6).alias("secs"))
+    return d.select("run_id", round4(F.col("secs")).alias("secs"), T.hms(F.col("secs")).alias("elapsed"))
+
+
+# ---------------------------------------------------------------- caller-supplied generation (U1) with a stub model
+
+def stub_model(messages: list[dict]) -> str:
+    """Deterministic stand-in for a model: describes the whole last user turn."""
+    last = [m for m in messages if m["role"] == "user"][-1]["content"]
+    return f"echo: {len(last)} chars {len(last.split())} words"
+
+
+def q_stub_generation(spark, sf):
+    """U1 on every generation pass of the items view, with a deterministic stub model."""
+    from scorewright.operators.inference import complete
+    m = _messages(spark, sf).select("conv_id", "pass", "messages")
+    return complete(m, stub_model).select("conv_id", "pass", "completion")
+
+
 QUERIES = {
     "verdict_scores": q_verdict_scores,
     "verdict_usability": q_verdict_usability,
@@ -342,4 +479,14 @@ QUERIES = {
     "register_requests": q_register_requests,
     "pull_new": q_pull_new,
     "mirror_plan": q_mirror_plan,
+    "jury_everywhere": q_jury_everywhere,
+    "results_upsert": q_results_upsert,
+    "leaderboard_rank": q_leaderboard_rank,
+    "judge_agreement": q_judge_agreement,
+    "gold_agreement": q_gold_agreement,
+    "source_averages": q_source_averages,
+    "vision_messages": q_vision_messages,
+    "judge_routes": q_judge_routes,
+    "run_durations": q_run_durations,
+    "stub_generation": q_stub_generation,
 }
