@@ -267,7 +267,7 @@ def dblank(x: str) -> str:
 
 
 V_ITEMS = f"""v_items AS (
-  SELECT 'conv' AS task_set, conv_id AS sn, conv_id,
+  SELECT 'conv' || CAST(conv_id % 2 AS VARCHAR) AS task_set, conv_id AS sn, conv_id,
     CASE WHEN conv_id % 23 = 22 THEN 3 ELSE CAST(conv_id % 3 AS INTEGER) END AS round,
     'task' || CAST(conv_id % 4 AS VARCHAR) AS task,
     'cat' || CAST(conv_id % 3 AS VARCHAR) AS category,
@@ -357,7 +357,7 @@ def _state_sql(src: str = "v_requests") -> str:
 V_REQUESTS = """v_requests AS (
   SELECT event_id, ts, user_id AS request_id,
     CASE WHEN event_id % 13 = 0 THEN lower(st) ELSE st END AS status,
-    CASE WHEN user_id % 2 = 0 THEN 'conv' ELSE 'other' END AS task_set,
+    'conv' || CAST(user_id % 3 AS VARCHAR) AS task_set,
     CASE WHEN user_id % 3 = 0 THEN 'gpt-4o-' || CAST(user_id AS VARCHAR)
          ELSE 'org' || CAST(user_id % 5 AS VARCHAR) || '/model-' || CAST(user_id AS VARCHAR) END AS model_name
   FROM (SELECT *, CASE event_type WHEN 'view' THEN 'PENDING' WHEN 'click' THEN 'RUNNING'

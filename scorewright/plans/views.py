@@ -153,7 +153,7 @@ def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         pick("user", 2, "nu").alias("q2"), pick("assistant", 2, "na").alias("a2"))
     c = F.col("conv_id")
     return items.select(
-        F.lit("conv").alias("task_set"),
+        _cat("conv", _s(c % 2)).alias("task_set"),
         c.alias("sn"), c.alias("conv_id"),
         F.when(c % 23 == 22, F.lit(3)).otherwise((c % 3).cast("int")).alias("round"),
         _cat("task", _s(c % 4)).alias("task"),
@@ -220,7 +220,8 @@ EVENT_STATUS = {"view": "PENDING", "click": "RUNNING", "purchase": "FINISHED", "
 def v_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> request status changes: request = user_id; view -> PENDING,
     click -> RUNNING, purchase -> FINISHED, error -> FAILED, signup -> REJECTED; every
-    13th event writes the status lower-case.  Time = ts, ties broken by event_id."""
+    13th event writes the status lower-case; task set conv0-conv2 by user_id % 3.  Time =
+    ts, ties broken by event_id."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     st = None
     for k, v in EVENT_STATUS.items():
@@ -229,7 +230,7 @@ def v_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         "event_id", "ts", u.alias("request_id"),
         F.when(F.col("event_id") % 13 == 0, F.lower(st)).otherwise(st).alias("status"),
-        F.when(u % 2 == 0, F.lit("conv")).otherwise(F.lit("other")).alias("task_set"),
+        _cat("conv", _s(u % 3)).alias("task_set"),
         F.when(u % 3 == 0, _cat("gpt-4o-", _s(u))).otherwise(_cat("org", _s(u % 5), "/model-", _s(u)))
         .alias("model_name"))
 

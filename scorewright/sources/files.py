@@ -211,3 +211,14 @@ def result_tasks(results: DataFrame) -> DataFrame:
                  F.explode(F.try_variant_get(F.col("v"), _path("Tasks Scores"), "map<string,variant>"))
                  .alias("task", "s"))
     return t.select("model_name", "judge_name", "task", F.try_variant_get("s", "$", "double").alias("score"))
+
+
+def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """E9 input: a file listing (path, folder, size) from the ``binaryFile`` source.  Only
+    ``path`` and ``length`` are selected, so file contents are never read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    df = reader.load(path).select("path", "length")
+    return df.select("path", F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder"),
+                     F.col("length").alias("size"))

@@ -92,3 +92,25 @@ def test_writers(spark, tmp):
     assert spark.read.parquet(f"{tmp}/outcomes").filter(F.col("ok").cast("string") == "true").count() == 1
     out = W.export_leaderboard(df, f"{tmp}/lb")
     assert "exported_at" in out.columns and spark.read.json(f"{tmp}/lb").count() == 2
+
+
+def test_list_files_and_folder_bytes(spark, tmp):
+    from scorewright.operators.requests import folder_bytes
+    for name, n in (("m1/a.bin", 10), ("m1/b.bin", 5), ("m2/c.bin", 7)):
+        dump(f"{tmp}/models/{name}", "x" * n, raw=True)
+    listing = S.list_files(spark, f"{tmp}/models")
+    got = {r["folder"].rsplit("/", 1)[-1]: (r["n_files"], r["total_bytes"])
+           for r in folder_bytes(listing, "folder", "size").collect()}
+    assert got == {"m1": (2, 15), "m2": (1, 7)}
+
+
+def test_write_judged_and_results(spark, tmp):
+    df = spark.createDataFrame([("set", "m", 1, 0.5)], "task_set string, model_key string, ordinal int, score double")
+    W.write_judged(df, f"{tmp}/judged")
+    W.write_judged(df, f"{tmp}/judged")
+    assert spark.read.parquet(f"{tmp}/judged").count() == 2
+    W.write_results(df.drop("task_set"), f"{tmp}/results", "vote")
+    W.write_results(df.drop("task_set"), f"{tmp}/results", "average")
+    W.write_results(df.drop("task_set"), f"{tmp}/results", "vote")
+    r = spark.read.parquet(f"{tmp}/results")
+    assert sorted(x["strategy"] for x in r.collect()) == ["average", "vote"]
