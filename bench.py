@@ -25,6 +25,9 @@ HEADLINE = [
     "conversation_messages",   # item assembly from conversations
     "judge_prompts",
     "request_state",           # latest status per request from events
+    "expand_runs",             # pending requests x items of their task set
+    "judge_agreement",         # pivot over configured judges, no pair join
+    "stub_generation",         # caller-supplied model function through mapInPandas
 ]
 
 

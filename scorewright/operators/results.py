@@ -60,8 +60,13 @@ def jury_everywhere(rosters: DataFrame) -> DataFrame:
 
 def expected_judges(judged: DataFrame) -> list[str]:
     """The judge keys every entry must have: common judges, plus the jury when all
-    rosters carry it.  Bounded by the configured judges + 1, so it is collected."""
-    keys = sorted(r["judge_key"] for r in common_judges(judge_rosters(judged)).collect())
+    rosters carry it.  One job: a rollup gives the per-judge file counts and the file
+    total together; the result is bounded by the configured judges + 1, so it is
+    collected (an empty intersection must stop the run)."""
+    rows = (judge_rosters(judged).rollup("judge_key")
+            .agg(F.count_distinct("file_id").alias("n")).collect())
+    total = next((r["n"] for r in rows if r["judge_key"] is None), 0)
+    keys = sorted(r["judge_key"] for r in rows if r["judge_key"] is not None and r["n"] == total)
     judges = [k for k in keys if k != JURY]
     if not judges:
         raise ValueError("no common judges across judged files")

@@ -59,16 +59,19 @@ def q_jury_vote(spark, sf):
 
 def judged_from_verdicts(spark: SparkSession, sf: str, strategy: str = "vote") -> tuple[DataFrame, DataFrame]:
     """Judged long table (usable judges renumbered + the jury) and the entry table:
-    file = model (doc_id % 8), ordinal = doc_id, task = lang."""
-    # Score once: the scores (not the verdict text) are checkpointed, and the renumbering,
-    # the jury, the roster and every average read that table.
+    file = model (doc_id % 8), ordinal = doc_id, task = lang.
+
+    The scores and then the judged table are written under the checkpoint folder
+    (``materialize``): the verdict text is parsed once, renumbering and the jury run
+    once, and the roster, validity and average jobs read the written rows."""
+    # the judge rows and the jury both read the scores: score once, write the scores
     s = materialize(scored(spark, sf).drop("response")
-                    .withColumns({"file_id": F.col("model_id"), "ordinal": F.col("doc_id")}))
+                    .withColumns({"file_id": F.col("model_id"), "ordinal": F.col("doc_id")}), "scores")
     keys = ["file_id", "ordinal", "doc_id", "task"]
     judges = number_judges(s, keys).select("file_id", "ordinal", "task", "judge_key", "judge_name", *SCORE_COLS)
     jury = J.jury_rows(s, keys, strategy, len(V.VIEW_JUDGES)).select(
         "file_id", "ordinal", "task", "judge_key", "judge_name", *SCORE_COLS)
-    judged = judges.unionByName(jury)
+    judged = materialize(judges.unionByName(jury), "judged")
     entries = (V.table(spark, sf, "documents")
                .select((F.col("doc_id") % V.N_VIEW_MODELS).alias("file_id"), F.col("doc_id").alias("ordinal"),
                        F.col("lang").alias("task"),

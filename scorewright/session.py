@@ -83,12 +83,15 @@ def balance(df, min_partitions: int | None = None):
     return df.repartition(target) if n < target else df
 
 
-def materialize(df):
+def materialize(df, name: str | None = None):
     """Cut lineage after an expensive step that several later jobs read.
 
-    A reliable ``checkpoint`` into the checkpoint folder (the cluster's shared
-    ``spark.checkpoint.dir``): later jobs read the written rows instead of recomputing
-    them, and a lost executor does not send the recomputation back to the raw input.
-    Never a ``localCheckpoint`` (executor-local blocks die with the executor)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    The rows are written once as a Parquet table under the checkpoint folder (the
+    cluster's shared ``spark.checkpoint.dir``) and read back: later jobs scan the
+    written table instead of recomputing it, and a lost executor does not send the
+    recomputation back to the raw input.  (An RDD ``checkpoint()`` without a persist
+    would compute the plan twice; ``localCheckpoint`` would die with the executor.)"""
+    import uuid
+    path = scratch_path(df.sparkSession, f"tables/{name or 'table'}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
