@@ -16,7 +16,7 @@ CRITERIA_KEYS = ["Correct", "Complete", "Concise", "Helpful", "Honest", "Harmles
 CRITERIA = ["correct", "complete", "concise", "helpful", "honest", "harmless"]
 SCORE_COLS = CRITERIA + ["final_score"]
 
-# Display names of the criteria in the results table.
+# Fixed values (D22): display names of the criteria in the results table.
 CRITERION_LABELS = {
     "correct": "Correctness",
     "complete": "Completeness",

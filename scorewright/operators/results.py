@@ -116,7 +116,7 @@ def criterion_averages(judged: DataFrame, valid: DataFrame, expected: list[str],
 
 
 def unpivot_criteria(wide: DataFrame, keep: list[str]) -> DataFrame:
-    """Wide criterion columns -> (criterion label, score) rows."""
+    """Wide criterion columns -> (criterion label (D22), score) rows."""
     return wide.unpivot(keep, SCORE_COLS, "criterion_col", "score").select(
         *keep, F.create_map(*[x for k, v in CRITERION_LABELS.items() for x in (F.lit(k), F.lit(v))])
         [F.col("criterion_col")].alias("criterion"), "score")
