@@ -1,8 +1,8 @@
 """Structured Streaming operators.
 
-S1 ``score_new_verdicts``: each arriving verdict file is scored once.  File source +
-    checkpoint give exactly-once file tracking; scoring is stateless (the batch
-    ``score_verdicts`` plan) and every micro-batch is appended to the scored table.
+S1 ``score_new_verdicts``: each arriving verdict file is scored once.  File source,
+    checkpoint and the file sink give exactly-once processing; scoring is stateless
+    (the batch ``score_verdicts`` plan).
 S2 ``request_state_stream``: latest status per request as a streaming aggregate
     (``max_by`` over (ts, event_id)) in update mode.
 S3 ``running_averages``: sums and counts per (model, judge, task) refreshed as scored
@@ -31,14 +31,15 @@ def _ckpt(spark: SparkSession, name: str, given: str | None) -> str:
 def score_new_verdicts(spark: SparkSession, source_dir: str, schema, sink_dir: str,
                        checkpoint: str | None = None, fmt: str = "parquet",
                        available_now: bool = True) -> StreamingQuery:
-    """Score verdict files as they arrive; append scored rows to ``sink_dir``."""
+    """Score verdict files as they arrive into a Parquet table at ``sink_dir``.
+
+    Spark's file sink commits each micro-batch through its metadata log, so a batch
+    retried after a lost executor or a restart is not written twice (exactly-once);
+    read the table back with ``spark.read.parquet(sink_dir)``."""
     stream = spark.readStream.format(fmt).schema(schema).load(source_dir)
     scored = score_verdicts(stream)
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").parquet(sink_dir)
-
-    w = scored.writeStream.foreachBatch(append).option("checkpointLocation", _ckpt(spark, "s1", checkpoint))
+    w = (scored.writeStream.format("parquet").option("path", sink_dir).outputMode("append")
+         .option("checkpointLocation", _ckpt(spark, "s1", checkpoint)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scorewright.functions.scores import SCORE_COLS
 from scorewright.operators.scoring import score_verdicts
 from scorewright.operators.requests import request_state
-from scorewright.streaming.pipelines import request_state_stream, running_averages, score_new_verdicts
+from scorewright.streaming.jobs import request_state_stream, running_averages, score_new_verdicts
 
 SCHEMA = "doc_id bigint, judge_pos int, round int, model_id bigint, task string, response string"
 
