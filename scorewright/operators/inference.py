@@ -69,9 +69,10 @@ def complete(df: DataFrame, fn: Callable[[list[dict]], str], messages_col: str =
              fallback_col: str | None = None, concurrency: int | None = None) -> DataFrame:
     """U1 (+U4): run ``fn(messages) -> text`` on every row's message list.
 
-    A failure (exception or empty text) after the policy's attempts becomes ``ERROR``;
-    with ``fallback_col`` (U4: the flattened prompt, D14) a failed row is tried once more
-    with a single user message holding that text before giving up."""
+    A failure (an exception after the policy's attempts) becomes ``ERROR``; an empty
+    answer stays empty (D20 turns it into ``None`` / ``ERROR`` by licence).  With
+    ``fallback_col`` (U4: the flattened prompt, D14) a failed row is tried once more with
+    a single user message holding that text before giving up."""
     policy = policy or RetryPolicy(attempts=1, wait=0.0)
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType())])
 
@@ -81,10 +82,10 @@ def complete(df: DataFrame, fn: Callable[[list[dict]], str], messages_col: str =
             for i in range(len(pdf)):
                 msgs = _messages(pdf[messages_col].iloc[i])
                 text, _, _ = policy.run(lambda: fn(msgs))
-                if not text and fallback_col is not None:
+                if text is None and fallback_col is not None:
                     flat = pdf[fallback_col].iloc[i]
                     text, _, _ = policy.run(lambda: fn([{"role": "user", "content": flat}]))
-                out.append(text.strip() if text else ERROR)
+                out.append(text.strip() if text is not None else ERROR)
             pdf = pdf.copy()
             pdf[out_col] = out
             yield pdf
