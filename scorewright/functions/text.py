@@ -214,8 +214,10 @@ def hms(seconds: Column) -> Column:
     """Elapsed seconds as ``HH:MM:SS.ss``."""
     h = F.floor(seconds / 3600)
     m = F.floor((seconds - h * 3600) / 60)
-    s = seconds - h * 3600 - m * 60
-    return F.format_string("%02d:%02d:%05.2f", h.cast("int"), m.cast("int"), s.cast("double"))
+    # seconds rounded to 2 digits in decimal (HALF_UP) before formatting, so the text does
+    # not depend on how a formatter rounds a binary double
+    s = F.round((seconds - h * 3600 - m * 60).cast("decimal(20,8)"), 2).cast("double")
+    return F.format_string("%02d:%02d:%05.2f", h.cast("int"), m.cast("int"), s)
 
 
 def is_o_series(model: Column) -> Column:

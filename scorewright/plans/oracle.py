@@ -601,7 +601,8 @@ d AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, {secs} AS secs FROM v_
 SELECT run_id, {r4('secs')} AS secs,
   printf('%02d:%02d:%05.2f', CAST(floor(secs / 3600) AS INTEGER),
          CAST(floor((secs - floor(secs / 3600) * 3600) / 60) AS INTEGER),
-         secs - floor(secs / 3600) * 3600 - floor((secs - floor(secs / 3600) * 3600) / 60) * 60) AS elapsed
+         round(CAST(secs - floor(secs / 3600) * 3600 - floor((secs - floor(secs / 3600) * 3600) / 60) * 60
+               AS DECIMAL(20,8)), 2)) AS elapsed
 FROM d"""
     last = f"(CASE WHEN form = 'first' THEN {dstrip('q1')} ELSE {dstrip('q2')} END)"
     q["stub_generation"] = f"""WITH {V_ITEMS}, {FORMS}, lm AS (SELECT conv_id, pass, {last} AS last FROM msgs)
