@@ -138,12 +138,15 @@ def sql_container_score(v: str, t: str) -> str:
             f"ELSE {_sql_mean(f'map_values(try_variant_get({v}, {chr(39)}${chr(39)}, {chr(39)}map<string,variant>{chr(39)}))')} END")
 
 
-def sql_normalise_one(i: int, v: str, correct: str) -> str:
+def sql_normalise_one(i: int, v: str, correct: str, clamp: bool = False) -> str:
+    """D18 + D19 in SQL.  ``clamp`` caps the 1-5 criteria at 1 (off by default: the
+    reference lets a 7 become 1.5, Q2)."""
     if i > 0:
         v = f"(CASE WHEN {correct} = 1.0 THEN {v} ELSE 0.0 END)"
     if i < 2:
         return f"CASE WHEN {v} >= 1 THEN 1.0 ELSE 0.0 END"
-    return f"CASE WHEN {v} >= 1 THEN ({v} - 1) / 4 ELSE 0.0 END"
+    scaled = f"least(({v} - 1) / 4, 1.0)" if clamp else f"({v} - 1) / 4"
+    return f"CASE WHEN {v} >= 1 THEN {scaled} ELSE 0.0 END"
 
 
 def sql_round4(x: str) -> str:

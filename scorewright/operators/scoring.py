@@ -19,7 +19,7 @@ from scorewright.functions.scores import (
 
 
 def score_verdicts(verdicts: DataFrame, response_col: str = "response",
-                   round_col: str = "round") -> DataFrame:
+                   round_col: str = "round", clamp: bool = False) -> DataFrame:
     """Add ``usable`` and the seven score columns to a verdict table (narrow, no shuffle).
 
     Staged projections, each reading the previous stage's columns, so nothing is
@@ -31,6 +31,7 @@ def score_verdicts(verdicts: DataFrame, response_col: str = "response",
       3. per criterion and block: the variant value, its type name, the coerced value
          (higher-order functions only for list / object values), the normalised value;
       4. E1 weights (1, or 2 and 1 in round 2) and the E2 final score.
+    ``clamp=True`` caps normalised 1-5 criteria at 1 (off by default, as in the reference).
     """
     resp, rnd = F.col(response_col), F.col(round_col)
     is_two = rnd == F.lit(2)
@@ -43,30 +44,28 @@ def score_verdicts(verdicts: DataFrame, response_col: str = "response",
     usable = F.when(rnd.isin(0, 1), ok1).when(is_two, ok1 & ok2).otherwise(F.lit(False))
     t = t.select("*", F.inline(F.array(F.struct(usable.alias("usable")))))
     blocks = (1, 2)
-    tmp = []
-
-    def stage(exprs: dict) -> None:
-        nonlocal t
-        t = t.withColumns({k: F.expr(e) for k, e in exprs.items()})
-        tmp.extend(exprs)
-
-    stage({f"_v{b}{i}": f"element_at(_o{b}, '{k}')" for b in blocks for i, k in enumerate(CRITERIA_KEYS)})
-    stage({f"_t{b}{i}": f"schema_of_variant(_v{b}{i})" for b in blocks for i in range(6)})
-    # numbers are read in compiled code; only list / object values need the
-    # higher-order functions (evaluated interpreted), in their own stage.
-    stage({f"_s{b}{i}": sql_scalar_score(f"_v{b}{i}", f"_t{b}{i}") for b in blocks for i in range(6)})
-    stage({f"_c{b}{i}": sql_is_container(f"_t{b}{i}") for b in blocks for i in range(6)})
-    stage({f"_r{b}{i}": f"CASE WHEN _s{b}{i} IS NOT NULL THEN _s{b}{i} WHEN _c{b}{i} THEN "
-           f"{sql_container_score(f'_v{b}{i}', f'_t{b}{i}')} ELSE 0.0 END" for b in blocks for i in range(6)})
-    stage({f"_n{b}{i}": sql_normalise_one(i, f"_r{b}{i}", f"_r{b}0") for b in blocks for i in range(6)})
     rq = f"`{round_col}`"
-    crit = {}
-    for i, c in enumerate(CRITERIA):
-        one = sql_round4(f"(_n1{i} * 1.0) / 1.0")
-        two = sql_round4(f"((_n1{i} * 2.0) + (_n2{i} * 1.0)) / 3.0")
-        crit[c] = f"CASE WHEN usable THEN (CASE WHEN {rq} = 2 THEN {two} ELSE {one} END) END"
-    t = t.withColumns({c: F.expr(e) for c, e in crit.items()})
-    t = t.withColumn("final_score", F.expr(sql_round4("(" + " + ".join(CRITERIA) + ") / 6.0")))
+    stages = [
+        {f"_v{b}{i}": f"element_at(_o{b}, '{k}')" for b in blocks for i, k in enumerate(CRITERIA_KEYS)},
+        {f"_t{b}{i}": f"schema_of_variant(_v{b}{i})" for b in blocks for i in range(6)},
+        # numbers are read in compiled code; only list / object values need the
+        # higher-order functions (evaluated interpreted), in their own stage
+        {f"_s{b}{i}": sql_scalar_score(f"_v{b}{i}", f"_t{b}{i}") for b in blocks for i in range(6)},
+        {f"_c{b}{i}": sql_is_container(f"_t{b}{i}") for b in blocks for i in range(6)},
+        {f"_r{b}{i}": f"CASE WHEN _s{b}{i} IS NOT NULL THEN _s{b}{i} WHEN _c{b}{i} THEN "
+                      f"{sql_container_score(f'_v{b}{i}', f'_t{b}{i}')} ELSE 0.0 END"
+         for b in blocks for i in range(6)},
+        {f"_n{b}{i}": sql_normalise_one(i, f"_r{b}{i}", f"_r{b}0", clamp) for b in blocks for i in range(6)},
+        {c: f"CASE WHEN usable THEN (CASE WHEN {rq} = 2 THEN "
+            f"{sql_round4(f'((_n1{i} * 2.0) + (_n2{i} * 1.0)) / 3.0')} "
+            f"ELSE {sql_round4(f'(_n1{i} * 1.0) / 1.0')} END) END" for i, c in enumerate(CRITERIA)},
+        {"final_score": sql_round4("(" + " + ".join(CRITERIA) + ") / 6.0")},
+    ]
+    # one select: later expressions refer to earlier aliases (lateral column aliases), which
+    # Spark resolves into a chain of projections - one analysis instead of one per stage
+    t = t.drop(*[c for c in SCORE_COLS if c in t.columns])
+    t = t.selectExpr("*", *[f"{e} AS {k}" for stage in stages for k, e in stage.items()])
+    tmp = [k for stage in stages[:-2] for k in stage]
     return t.drop("_o1", "_o2", *tmp)
 
 

@@ -115,3 +115,9 @@ def test_extract_block_returns_variant(spark):
     df = spark.createDataFrame([(block("results1", scores(1, 1, 3, 5, 5, 5)),)], "r string")
     v = df.select(F.to_json(extract_block(F.col("r"), "results1")).alias("j")).collect()[0]["j"]
     assert json.loads(v)["Concise"] == 3
+
+
+def test_optional_clamp(spark):
+    df = spark.createDataFrame([(1, block("results1", scores(1, 1, 7, 5, 5, 5)), 0)], "id int, response string, round int")
+    assert score_verdicts(df).collect()[0]["concise"] == 1.5
+    assert score_verdicts(df, clamp=True).collect()[0]["concise"] == 1.0
