@@ -467,7 +467,7 @@ FROM a"""
 SELECT i.task_set, i.conv_id, i.round, s.request_id, s.model_name
 FROM v_items i JOIN st s ON s.task_set = i.task_set WHERE s.reset_status = 'PENDING'"""
     q["unjudged_answers"] = f"""WITH {V_ITEMS}, {V_ANSWERS}
-SELECT conv_id, model_pos FROM v_answers WHERE (conv_id + model_pos) % 4 <> 0"""
+SELECT conv_id, model_pos FROM v_answers a WHERE NOT coalesce(round = 0 AND m1 <> '', false)"""
     m = "model_name"
     path_parts = f"string_split(regexp_replace({m}, '^/+|/+$', '', 'g'), '/')"
     porg = f"CASE WHEN len({path_parts}) >= 2 THEN {path_parts}[-2] END"
@@ -513,7 +513,7 @@ SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id,
   CAST(count(*) FILTER (WHERE upper(status) = 'FAILED') AS BIGINT) AS failed
 FROM v_requests GROUP BY 1"""
     q["register_requests"] = f"""WITH {V_REQUESTS}, {V_MODELS}, st AS {_state_sql()},
-models AS (SELECT model_name FROM v_models UNION SELECT model_name FROM v_requests WHERE request_id % 4 = 0)
+models AS (SELECT model_name FROM v_models UNION SELECT model_name FROM st WHERE status = 'FINISHED')
 SELECT m.model_name, coalesce(s.status, 'PENDING') AS status, CAST(s.status IS NULL AS INTEGER) AS is_new
 FROM models m LEFT JOIN st s ON s.model_name = m.model_name"""
     snap = f"""{V_REQUESTS},
@@ -521,7 +521,7 @@ cut AS (SELECT CAST(floor((min(epoch_us(ts)) + max(epoch_us(ts))) / 2) AS BIGINT
 old_src AS (SELECT * FROM v_requests WHERE epoch_us(ts) <= (SELECT c FROM cut)),
 old AS {_state_sql('old_src')}, new AS {_state_sql()}"""
     q["pull_new"] = f"""WITH {snap},
-loc AS (SELECT request_id, status FROM old WHERE request_id % 3 = 0)
+loc AS (SELECT request_id, status FROM old)
 SELECT n.request_id, n.status, 'remote' AS source FROM new n
 WHERE NOT EXISTS (SELECT 1 FROM loc l WHERE l.request_id = n.request_id)
 UNION ALL SELECT request_id, status, 'local' FROM loc"""

@@ -214,8 +214,11 @@ def q_expand_runs(spark, sf):
 
 
 def q_unjudged_answers(spark, sf):
-    answers = V.v_answers(spark, sf).select("conv_id", "model_pos")
-    judged = answers.filter((F.col("conv_id") + F.col("model_pos")) % 4 == 0)
+    """answers not judged yet; the judged side is every round-0 answer with a model
+    answer (the part of the work already done)."""
+    a = V.v_answers(spark, sf)
+    answers = a.select("conv_id", "model_pos")
+    judged = a.filter((F.col("round") == 0) & (F.col("m1") != "")).select("conv_id", "model_pos")
     return I.unjudged(answers, judged, ["conv_id", "model_pos"])
 
 
@@ -281,8 +284,9 @@ def q_run_summary(spark, sf):
 
 def q_register_requests(spark, sf):
     st = Rq.request_state(V.v_requests(spark, sf)).select("model_name", "status")
+    # the models asked for: every model of the models view plus those whose last run finished
     models = V.v_models(spark, sf).select("model_name").union(
-        V.v_requests(spark, sf).filter(F.col("request_id") % 4 == 0).select("model_name")).distinct()
+        st.filter(F.col("status") == "FINISHED").select("model_name")).distinct()
     return Rq.register_requests(models, st, "model_name")
 
 
@@ -297,8 +301,10 @@ def _snapshots(spark, sf):
 
 
 def q_pull_new(spark, sf):
+    """the local copy is the state at the midpoint of the time range; the remote side
+    is the state now.  Requests first seen after the midpoint are pulled, local ones kept."""
     old, new = _snapshots(spark, sf)
-    local = old.filter(F.col("request_id") % 3 == 0).select("request_id", "status")
+    local = old.select("request_id", "status")
     remote = new.select("request_id", "status")
     return Rq.pull_new(remote, local, ["request_id"])
 
