@@ -36,8 +36,8 @@ def _complete(df: DataFrame) -> F.Column:
 
 
 def judge_rosters(judged: DataFrame) -> DataFrame:
-    """Per file, the judge keys of the first entry (lowest ordinal) that has any
-    ``Judge <n>`` key; ``has_jury`` tells whether that entry also has the jury."""
+    """Per file, the keys (``Judge <n>`` and ``Jury``) of the first entry (lowest
+    ordinal) that has any ``Judge <n>`` key.  Files without any judge have no roster."""
     first = (judged.filter(F.col("judge_key").startswith("Judge "))
              .groupBy("file_id").agg(F.min("ordinal").alias("ordinal")))
     return judged.join(first, ENTRY, "left_semi").select("file_id", "judge_key").distinct()
@@ -75,10 +75,12 @@ def expected_judges(judged: DataFrame) -> list[str]:
 
 def valid_entries(judged: DataFrame, expected: list[str]) -> DataFrame:
     """Entry keys where every expected judge has a complete score set (Q11: one
-    missing judge fails the entry for all judges)."""
+    missing judge fails the entry for all judges).  A judged table holds one row per
+    (file, entry, judge key) - the keys of a JSON object - so a plain count per entry
+    (one shuffle, no distinct aggregate) is the number of complete expected judges."""
     complete = F.col("score_ok") if "score_ok" in judged.columns else _complete(judged)
     ok = judged.filter(F.col("judge_key").isin(expected) & complete)
-    return (ok.groupBy(*ENTRY).agg(F.count_distinct("judge_key").alias("n_ok"))
+    return (ok.groupBy(*ENTRY).agg(F.count(F.lit(1)).alias("n_ok"))
             .filter(F.col("n_ok") == len(expected)).select(*ENTRY))
 
 
