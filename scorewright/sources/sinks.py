@@ -79,3 +79,47 @@ def write_outcomes(df: DataFrame, path: str) -> None:
 
 __all__ = ["write_answers", "write_judged", "write_results", "results_json", "export_json",
            "export_leaderboard", "write_request_status", "write_outcomes", "CRITERION_LABELS", "SCORE_COLS"]
+
+
+# Document keys written back (column -> key), in document order.
+META_KEYS = [("sn", "SN."), ("round", "Round"), ("task", "Task"), ("dataset", "Dataset"),
+             ("category", "Category"), ("sub_category", "Sub-Category"), ("source", "Source"),
+             ("fact_checking", "Fact Checking"), ("comment", "Comment"), ("model_name", "Model Name"),
+             ("license", "License"), ("revision", "Revision"), ("precision", "Precision"), ("params", "Params")]
+TEST_KEYS = [("q1", "Question 1"), ("a1", "Answer 1"), ("q2", "Question 2"), ("a2", "Answer 2")]
+SCORE_KEYS = [("correct", "Correct"), ("complete", "Complete"), ("concise", "Concise"), ("helpful", "Helpful"),
+              ("honest", "Honest"), ("harmless", "Harmless"), ("final_score", "Final Score")]
+
+
+def _entry_struct(df: DataFrame) -> F.Column:
+    meta = F.struct(*[F.col(c).alias(k) for c, k in META_KEYS if c in df.columns])
+    test = F.struct(*[F.col(c).alias(k) for c, k in TEST_KEYS if c in df.columns])
+    model = F.struct(F.col("m1").alias("Answer 1"),
+                     *([F.col("m2").alias("Answer 2")] if "m2" in df.columns else []))
+    return F.struct(meta.alias("Meta"), test.alias("Test"), model.alias("Model"))
+
+
+def answers_json(answers: DataFrame) -> DataFrame:
+    """B1 export: one answered entry per row as JSON text in the document shape
+    (``Meta`` / ``Test`` / ``Model``); NULL fields are left out."""
+    return answers.select(F.to_json(_entry_struct(answers)).alias("value"))
+
+
+def judged_json(answers: DataFrame, judged: DataFrame, keys: list[str], strategy: str | None = None) -> DataFrame:
+    """B2 export: answered entries plus one ``Judge <n>`` object per usable judge (name,
+    comments, 3C3H Scores) and, with a strategy, the ``Jury`` object.  The judge objects
+    of an entry are gathered by a grouped aggregate whose group is one entry (at most the
+    configured judges), joined back on the entry key."""
+    scores = F.struct(*[F.col(c).alias(k) for c, k in SCORE_KEYS])
+    comments = F.col("response") if "response" in judged.columns else F.lit(None).cast("string")
+    obj = F.when(F.col("judge_key") == "Jury",
+                 F.to_variant_object(F.struct(F.lit(strategy).alias("Strategy"), scores.alias("3C3H Scores"))))
+    obj = obj.otherwise(F.to_variant_object(F.struct(F.col("judge_name").alias("Judge Name"),
+                                                     comments.alias("Judge Comments"),
+                                                     scores.alias("3C3H Scores"))))
+    per_entry = judged.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("judge_key", obj))).alias("_j"))
+    joined = answers.join(per_entry, keys, "left")
+    entry = F.to_variant_object(_entry_struct(joined))
+    doc = F.map_concat(F.try_variant_get(entry, "$", "map<string,variant>"),
+                       F.coalesce(F.col("_j"), F.create_map().cast("map<string,variant>")))
+    return joined.select(F.to_json(doc).alias("value"))

@@ -114,3 +114,20 @@ def test_write_judged_and_results(spark, tmp):
     W.write_results(df.drop("task_set"), f"{tmp}/results", "vote")
     r = spark.read.parquet(f"{tmp}/results")
     assert sorted(x["strategy"] for x in r.collect()) == ["average", "vote"]
+
+
+def test_answers_and_judged_json_shapes(spark):
+    answers = spark.createDataFrame(
+        [("set", 1, 0, "history", "q", "a", "m", "org/m", "Open")],
+        "task_set string, sn bigint, round int, task string, q1 string, a1 string, m1 string, model_name string, "
+        "license string")
+    doc = json.loads(W.answers_json(answers).collect()[0]["value"])
+    assert doc["Meta"]["SN."] == 1 and doc["Test"]["Question 1"] == "q" and doc["Model"]["Answer 1"] == "m"
+    judged = spark.createDataFrame(
+        [("set", 1, "Judge 1", "gpt-4o", "text", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0),
+         ("set", 1, "Jury", "Jury", None, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0)],
+        "task_set string, sn bigint, judge_key string, judge_name string, response string, correct double, "
+        "complete double, concise double, helpful double, honest double, harmless double, final_score double")
+    doc = json.loads(W.judged_json(answers, judged, ["task_set", "sn"], "vote").collect()[0]["value"])
+    assert doc["Judge 1"]["Judge Name"] == "gpt-4o" and doc["Judge 1"]["3C3H Scores"]["Final Score"] == 1.0
+    assert doc["Jury"]["Strategy"] == "vote" and doc["Meta"]["Task"] == "history"
