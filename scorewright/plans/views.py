@@ -45,58 +45,50 @@ def v_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     7 empty object, 8 boolean Correct, 9 decimal value and tab whitespace, 10 missing key.
     """
     docs = balance(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    v = expand_judges(docs, VIEW_JUDGES)
-    d, j = F.col("doc_id"), F.col("judge_pos").cast("bigint")
-    # Stage 1: the case selector and the twelve criterion values as columns.
-    v = v.select(
-        "doc_id", "judge_pos", "judge_name", "text",
-        ((d + j) % 11).alias("k"),
-        (d % 3).cast("int").alias("round"),
-        (d % N_VIEW_MODELS).alias("model_id"),
-        F.col("lang").alias("task"),
-        F.when((d * 3 + j) % 7 == 0, 0).when((d * 3 + j) % 7 == 1, 2).otherwise(1).alias("c1"),
-        ((d * 5 + j * 2) % 3).alias("x1"),
-        ((d * 7 + j * 3) % 8).alias("y1"),
-        (1 + (d * 11 + j * 5) % 5).alias("h1"),
-        (1 + (d * 13 + j) % 5).alias("o1"),
-        ((d * 17 + j * 7) % 6).alias("m1"),
-        F.when((d * 5 + j) % 4 == 0, 0).otherwise(1).alias("c2"),
-        ((d + j) % 2).alias("x2"),
-        (1 + (d * 3 + j) % 5).alias("y2"),
-        (1 + (d + j * 3) % 5).alias("h2"),
-        (1 + (d * 7 + j) % 5).alias("o2"),
-        (1 + (d * 9 + j) % 5).alias("m2"),
-    )
-    k, r = F.col("k"), F.col("round")
-    c1, x1, y1, h1, o1, m1 = (F.col(n) for n in ("c1", "x1", "y1", "h1", "o1", "m1"))
-    c2, x2, y2, h2, o2, m2 = (F.col(n) for n in ("c2", "x2", "y2", "h2", "o2", "m2"))
-    cv = F.when(k == 8, F.when(c1 == 1, F.lit("true")).otherwise(F.lit("false"))).otherwise(_s(c1))
-    complete = F.when(k == 10, F.lit("")).otherwise(_cat('"Complete": ', _s(x1), ", "))
-    yv = (F.when(k == 2, _cat("[", _s(y1), ', "x", ', _s(h1), "]"))
-          .when(k == 9, _cat(_s(y1), ".5")).otherwise(_s(y1)))
-    hv = F.when(k == 3, _cat('{"a": ', _s(h1), ', "b": "x", "c": ', _s(y1), "}")).otherwise(_s(h1))
-    ov = F.when(k == 4, _cat('"', _s(o1), '"')).otherwise(_s(o1))
-    mv = F.when(k == 5, F.lit("null")).otherwise(_s(m1))
-    full = _cat('{"Correct": ', cv, ", ", complete, '"Concise": ', yv, ', "Helpful": ', hv,
-                ', "Honest": ', ov, ', "Harmless": ', mv, "}")
-    json1 = (F.when(k == 7, F.lit("{}"))
-             .when(k == 1, _cat('{"Correct": ', _s(c1), ', "Complete": ', _s(x1), ', "Concise"'))
-             .otherwise(full))
-    json2 = _cat('{"Correct": ', _s(c2), ', "Complete": ', _s(x2), ', "Concise": ', _s(y2),
-                 ', "Helpful": ', _s(h2), ', "Honest": ', _s(o2), ', "Harmless": ', _s(m2), "}")
-    # Stage 2: the pieces; stage 3: the response text.
-    v = v.select("doc_id", "judge_pos", "judge_name", "round", "model_id", "task", "text", "k",
-                 json1.alias("json1"), json2.alias("json2"),
-                 F.when(k == 0, F.lit("result1")).otherwise(F.lit("results1")).alias("tag"),
-                 F.when(k == 9, F.lit(" \t")).otherwise(F.lit(NL)).alias("sep"))
-    tag, sep = F.col("tag"), F.col("sep")
-    block1 = _cat("<", tag, ">", sep, "```json", sep, F.col("json1"), sep, "```", sep, "</", tag, ">")
-    block2 = F.when((r == 2) & (k != 6),
-                    _cat(NL, "<results2>", NL, "```json", NL, F.col("json2"), NL, "```", NL, "</results2>")
-                    ).otherwise(F.lit(""))
-    response = _cat(F.coalesce(F.col("text"), F.lit("")), NL, block1, block2)
-    return v.select("doc_id", "judge_pos", "judge_name", "round", "model_id", "task",
-                    response.alias("response"))
+    v = expand_judges(docs, VIEW_JUDGES).withColumn("j", F.col("judge_pos").cast("bigint"))
+    # One select; later expressions use earlier aliases (Spark resolves them into a chain
+    # of projections): the case selector, the twelve criterion values, the JSON pieces,
+    # then the response text.
+    nl, tab = "chr(10)", "chr(9)"
+    exprs = {
+        "k": "(doc_id + j) % 11",
+        "round": "CAST(doc_id % 3 AS INT)",
+        "model_id": f"doc_id % {N_VIEW_MODELS}",
+        "task": "lang",
+        "c1": "CASE WHEN (doc_id * 3 + j) % 7 = 0 THEN 0 WHEN (doc_id * 3 + j) % 7 = 1 THEN 2 ELSE 1 END",
+        "x1": "(doc_id * 5 + j * 2) % 3",
+        "y1": "(doc_id * 7 + j * 3) % 8",
+        "h1": "1 + (doc_id * 11 + j * 5) % 5",
+        "o1": "1 + (doc_id * 13 + j) % 5",
+        "m1": "(doc_id * 17 + j * 7) % 6",
+        "c2": "CASE WHEN (doc_id * 5 + j) % 4 = 0 THEN 0 ELSE 1 END",
+        "x2": "(doc_id + j) % 2",
+        "y2": "1 + (doc_id * 3 + j) % 5",
+        "h2": "1 + (doc_id + j * 3) % 5",
+        "o2": "1 + (doc_id * 7 + j) % 5",
+        "m2": "1 + (doc_id * 9 + j) % 5",
+        "json1": """CASE WHEN k = 7 THEN '{}'
+            WHEN k = 1 THEN concat('{"Correct": ', c1, ', "Complete": ', x1, ', "Concise"')
+            ELSE concat('{"Correct": ', CASE WHEN k = 8 THEN (CASE WHEN c1 = 1 THEN 'true' ELSE 'false' END)
+                                            ELSE CAST(c1 AS STRING) END, ', ',
+                        CASE WHEN k = 10 THEN '' ELSE concat('"Complete": ', x1, ', ') END,
+                        '"Concise": ', CASE WHEN k = 2 THEN concat('[', y1, ', "x", ', h1, ']')
+                                            WHEN k = 9 THEN concat(y1, '.5') ELSE CAST(y1 AS STRING) END,
+                        ', "Helpful": ', CASE WHEN k = 3 THEN concat('{"a": ', h1, ', "b": "x", "c": ', y1, '}')
+                                              ELSE CAST(h1 AS STRING) END,
+                        ', "Honest": ', CASE WHEN k = 4 THEN concat('"', o1, '"') ELSE CAST(o1 AS STRING) END,
+                        ', "Harmless": ', CASE WHEN k = 5 THEN 'null' ELSE CAST(m1 AS STRING) END, '}') END""",
+        "json2": """concat('{"Correct": ', c2, ', "Complete": ', x2, ', "Concise": ', y2, ', "Helpful": ', h2,
+                           ', "Honest": ', o2, ', "Harmless": ', m2, '}')""",
+        "tag": "CASE WHEN k = 0 THEN 'result1' ELSE 'results1' END",
+        "sep": f"CASE WHEN k = 9 THEN concat(' ', {tab}) ELSE {nl} END",
+        "response": f"""concat(coalesce(text, ''), {nl}, '<', tag, '>', sep, '```json', sep, json1, sep, '```', sep,
+                               '</', tag, '>',
+                               CASE WHEN round = 2 AND k <> 6 THEN concat({nl}, '<results2>', {nl}, '```json', {nl},
+                                    json2, {nl}, '```', {nl}, '</results2>') ELSE '' END)""",
+    }
+    v = v.selectExpr("*", *[f"{e} AS {name}" for name, e in exprs.items()])
+    return v.select("doc_id", "judge_pos", "judge_name", "round", "model_id", "task", "response")
 
 
 def v_big(spark: SparkSession, sf_dir: str) -> DataFrame:
