@@ -28,6 +28,25 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict:
+    """Settings for a large cluster (e.g. 1000 executors over ~100 TB of verdict text).
+
+    Shuffle partitions start at 2x the cores and AQE coalesces them toward 128 MB;
+    scan splits stay at 128 MB of Parquet so a verdict partition's text fits a task's
+    memory; skewed partitions (a model or task set with a third of the rows) are split
+    by AQE's skew-join handling; broadcast joins are chosen at runtime from measured sizes
+    below 64 MB only."""
+    cores = executors * cores_per_executor
+    return {
+        "spark.sql.shuffle.partitions": str(2 * cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
+    }
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "scorewright", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the engine relies on."""
