@@ -35,6 +35,8 @@ def score_verdicts(verdicts: DataFrame, response_col: str = "response",
     """
     resp, rnd = F.col(response_col), F.col(round_col)
     is_two = rnd == F.lit(2)
+    # re-scoring a scored table replaces its score columns
+    verdicts = verdicts.drop(*[c for c in ["usable", *SCORE_COLS] if c in verdicts.columns])
     t = verdicts.withColumns({
         "_o1": as_object(extract_block(resp, "results1")),
         "_o2": F.when(is_two, as_object(extract_block(resp, "results2"))),
@@ -63,7 +65,6 @@ def score_verdicts(verdicts: DataFrame, response_col: str = "response",
     ]
     # one select: later expressions refer to earlier aliases (lateral column aliases), which
     # Spark resolves into a chain of projections - one analysis instead of one per stage
-    t = t.drop(*[c for c in SCORE_COLS if c in t.columns])
     t = t.selectExpr("*", *[f"{e} AS {k}" for stage in stages for k, e in stage.items()])
     tmp = [k for stage in stages[:-2] for k in stage]
     return t.drop("_o1", "_o2", *tmp)

@@ -28,3 +28,11 @@ def test_plan_shape(spark, name):
                             "criterion_averages", "task_averages", "entry_counts", "common_judges", "judge_rosters",
                             "jury_everywhere", "leaderboard_rank", "judge_agreement", "gold_agreement",
                             "source_averages"}
+
+
+def test_aggregates_are_partial_before_the_shuffle(spark):
+    """A hot model or answer collapses in the map-side partial aggregate."""
+    for name in ("big_jury_vote", "big_criterion_averages", "request_state"):
+        plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"(Hash|Sort)Aggregate.*\n.*Exchange hashpartitioning.*\n.*(Hash|Sort)Aggregate", plan,
+                         re.S), name

@@ -121,3 +121,9 @@ def test_optional_clamp(spark):
     df = spark.createDataFrame([(1, block("results1", scores(1, 1, 7, 5, 5, 5)), 0)], "id int, response string, round int")
     assert score_verdicts(df).collect()[0]["concise"] == 1.5
     assert score_verdicts(df, clamp=True).collect()[0]["concise"] == 1.0
+
+
+def test_rescoring_replaces_scores(spark):
+    df = spark.createDataFrame([(1, block("results1", scores(1, 1, 3, 5, 5, 5)), 0)], "id int, response string, round int")
+    twice = score_verdicts(score_verdicts(df))
+    assert twice.columns.count("usable") == 1 and twice.collect()[0]["final_score"] == 0.9167
