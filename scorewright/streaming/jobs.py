@@ -66,3 +66,47 @@ def running_averages(scored: DataFrame, keys: tuple[str, ...] = ("model_id", "ju
     aggs += [F.sum(c).alias("sum_" + c) for c in SCORE_COLS]
     out = s.groupBy(*keys).agg(*aggs)
     return out.select(*keys, "n", *[(F.col("sum_" + c) / F.col("n")).alias(c) for c in SCORE_COLS])
+
+
+def request_state_table(changes: DataFrame, base: str, checkpoint: str | None = None,
+                        key: str = "request_id", available_now: bool = True) -> StreamingQuery:
+    """S2 + B5: keep a request-state table current from a stream of status changes.
+
+    Each micro-batch's updated states (update mode) are upserted (F8) into the previous
+    version of the table and written as a new version directory ``version=<batch id>``.
+    A version is never overwritten in place: a retried batch rewrites its own version
+    from the same inputs, so the result is idempotent."""
+    from scorewright.operators.results import upsert_results
+
+    spark = changes.sparkSession
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        out = f"{base.rstrip('/')}/version={batch_id:012d}"
+        prev = latest_version(spark, base, before=batch_id)
+        new = batch.withColumn("generation", F.lit(batch_id))
+        table = new if prev is None else upsert_results(spark.read.parquet(prev), new, [key])
+        table.write.mode("overwrite").parquet(out)
+
+    w = (request_state_stream(changes, key).writeStream.outputMode("update").foreachBatch(upsert)
+         .option("checkpointLocation", _ckpt(spark, "s2", checkpoint)))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
+
+
+def latest_version(spark: SparkSession, base: str, before: int | None = None) -> str | None:
+    """Path of the newest ``version=`` directory of a versioned table (optionally older than
+    a batch id); None when there is none.  Lists the folder through Hadoop's file system,
+    so it works on any shared storage."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    versions = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("version="):
+            n = int(name.split("=", 1)[1])
+            if before is None or n < before:
+                versions.append((n, st.getPath().toString()))
+    return max(versions)[1] if versions else None

@@ -87,3 +87,20 @@ def test_s2_request_state_stream_equals_batch(spark, tmp):
     got = {r["request_id"]: r["status"] for r in spark.sql("SELECT * FROM s2_state").collect()}
     exp = {r["request_id"]: r["status"] for r in request_state(df, keep=()).collect()}
     assert got == exp
+
+
+def test_s2_state_table_versions(spark, tmp):
+    from scorewright.streaming.jobs import latest_version, request_state_table
+    schema = "event_id bigint, ts timestamp, request_id bigint, status string"
+    src = f"{tmp}/changes2"
+    first = [(1, "2024-01-01 00:00:01", 1, "PENDING"), (2, "2024-01-01 00:00:02", 2, "PENDING")]
+    second = [(3, "2024-01-01 00:00:03", 1, "RUNNING"), (4, "2024-01-01 00:00:04", 1, "FINISHED")]
+    mk = lambda rows: spark.createDataFrame(rows, "event_id bigint, ts string, request_id bigint, status string") \
+        .withColumn("ts", F.to_timestamp("ts"))
+    mk(first).write.parquet(f"{src}/a")
+    stream = lambda: spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+    request_state_table(stream(), f"{tmp}/state", f"{tmp}/ck_state").awaitTermination()
+    mk(second).write.parquet(f"{src}/b")
+    request_state_table(stream(), f"{tmp}/state", f"{tmp}/ck_state").awaitTermination()
+    latest = spark.read.parquet(latest_version(spark, f"{tmp}/state"))
+    assert {r["request_id"]: r["status"] for r in latest.collect()} == {1: "FINISHED", 2: "PENDING"}
