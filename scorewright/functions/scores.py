@@ -27,8 +27,6 @@ CRITERION_LABELS = {
     "final_score": "3C3H Score",
 }
 
-# Variant scalar types that count as numbers (a JSON boolean is a number: true = 1).
-_NUMERIC_TYPE = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*|BOOLEAN)$"
 
 
 def block_pattern(tag: str) -> str:
@@ -43,12 +41,6 @@ def extract_block(response: Column, tag: str) -> Column:
     return F.try_parse_json(F.nullif(body, F.lit("")))
 
 
-def is_usable_block(block: Column) -> Column:
-    """A parsed, non-empty JSON object."""
-    keys = F.try_variant_get(block, "$", "map<string,variant>")
-    return block.isNotNull() & F.coalesce(F.size(keys) > 0, F.lit(False))
-
-
 _SCALAR_NUMBERS = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE", "BOOLEAN")
 
 
@@ -86,30 +78,6 @@ def _coerce_variant(v: Column) -> Column:
             .otherwise(F.lit(0.0)))
 
 
-def coerce_typed(v: Column, t: Column) -> Column:
-    """D17 given the variant value ``v`` and its type name ``t`` (``schema_of_variant``):
-    the higher-order functions run only for list and object values; a missing key is 0."""
-    return (F.when(is_number_type(t), F.try_variant_get(v, "$", "double"))
-            .when(t.startswith("ARRAY"), _mean_of_numbers(F.try_variant_get(v, "$", "array<variant>")))
-            .when(t.startswith("OBJECT"), _mean_of_numbers(F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))))
-            .otherwise(F.lit(0.0)))
-
-
-def scalar_score(v: Column, t: Column) -> Column:
-    """D17 fast path: the value of a numeric variant, NULL for anything else."""
-    return F.when(is_number_type(t), F.try_variant_get(v, "$", "double"))
-
-
-def is_container_type(t: Column) -> Column:
-    return F.coalesce(t.startswith("ARRAY") | t.startswith("OBJECT"), F.lit(False))
-
-
-def container_score(v: Column, t: Column) -> Column:
-    """D17 slow path: mean of the numeric members of a list or of an object's values."""
-    return (F.when(t.startswith("ARRAY"), _mean_of_numbers(F.try_variant_get(v, "$", "array<variant>")))
-            .otherwise(_mean_of_numbers(F.map_values(F.try_variant_get(v, "$", "map<string,variant>")))))
-
-
 # ---- SQL-text forms of the per-criterion stages (one JVM parse per expression instead of
 # thousands of Python -> JVM calls when the expression tree is built column by column)
 
@@ -155,15 +123,6 @@ def sql_round4(x: str) -> str:
             f"ELSE {x} END)")
 
 
-def normalise_one(i: int, v: Column, correct: Column) -> Column:
-    """D18 + D19 for criterion ``i`` given its coerced value and the coerced Correct."""
-    if i > 0:
-        v = F.when(correct == F.lit(1.0), v).otherwise(F.lit(0.0))
-    if i < 2:
-        return F.when(v >= 1, F.lit(1.0)).otherwise(F.lit(0.0))
-    return F.when(v >= 1, (v - 1) / 4).otherwise(F.lit(0.0))
-
-
 def as_object(block: Column) -> Column:
     """A parsed block as MAP<STRING, VARIANT>; NULL when it isn't a JSON object."""
     return F.try_variant_get(block, "$", "map<string,variant>")
@@ -174,52 +133,6 @@ def coerce_score(block: Column, key: str) -> Column:
     return F.coalesce(_coerce_variant(F.element_at(as_object(block), F.lit(key))), F.lit(0.0))
 
 
-def coerced_array(obj: Column) -> Column:
-    """D17 for the six criteria at once: ARRAY<DOUBLE> in criterion order, from a block
-    already cast to MAP<STRING, VARIANT> (missing key -> 0)."""
-    keys = F.array(*[F.lit(k) for k in CRITERIA_KEYS])
-    return F.transform(keys, lambda k: F.coalesce(_coerce_variant(F.element_at(obj, k)), F.lit(0.0)))
-
-
-def normalised_array(raw: Column) -> Column:
-    """D18 + D19 on the six coerced values (ARRAY<DOUBLE> -> ARRAY<DOUBLE>).
-
-    When the coerced Correct is not exactly 1 the other five are zeroed.  Correct and
-    Complete then become 1 when >= 1 else 0; the others (v - 1) / 4 when v >= 1 else 0
-    (no upper clamp)."""
-    correct_is_one = raw[0] == F.lit(1.0)
-
-    def one(v, i):
-        z = F.when((i == 0) | correct_is_one, v).otherwise(F.lit(0.0))
-        return (F.when(i < 2, F.when(z >= 1, F.lit(1.0)).otherwise(F.lit(0.0)))
-                .otherwise(F.when(z >= 1, (z - 1) / 4).otherwise(F.lit(0.0))))
-    return F.transform(raw, one)
-
-
-def weighted_array(n1: Column, n2: Column | None = None) -> Column:
-    """E1 on arrays: one block (weight 1) or two blocks (weights 2 and 1), each criterion
-    rounded with D27."""
-    if n2 is None:
-        return F.transform(n1, lambda a: round4((a * F.lit(1.0)) / F.lit(1.0)))
-    return F.zip_with(n1, n2, lambda a, b: round4((a * F.lit(2.0) + b * F.lit(1.0)) / F.lit(3.0)))
-
-
-def coerced_block(block: Column) -> list[Column]:
-    """D17 for the six criteria of one block, in criterion order."""
-    return [coerce_score(block, k) for k in CRITERIA_KEYS]
-
-
-def normalise(raw: list[Column]) -> list[Column]:
-    """D18 + D19 on six coerced values given as separate columns."""
-    arr = normalised_array(F.array(*raw))
-    return [arr[i] for i in range(6)]
-
-
-def normalised_block(block: Column) -> list[Column]:
-    """D17 -> D18 -> D19 on one block: six normalised criterion values."""
-    return normalise(coerced_block(block))
-
-
 def round4(x: Column) -> Column:
     """HALF_UP rounding to 4 digits through DECIMAL(18,8), back to DOUBLE.
 
@@ -249,9 +162,3 @@ def final_score(criteria: list[Column]) -> Column:
         s = c if s is None else s + c
     return round4(s / F.lit(6.0))
 
-
-def weighted_scores(blocks: list[list[Column]], weights: list[int]) -> dict[str, Column]:
-    """E1 + E2 as one expression set (for small inputs and tests)."""
-    out = weighted_criteria(blocks, weights)
-    out["final_score"] = final_score([out[c] for c in CRITERIA])
-    return out

@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewright.functions.scores import (
-    CRITERIA, CRITERIA_KEYS, SCORE_COLS, as_object, extract_block, final_score, sql_container_score,
-    sql_is_container, sql_normalise_one, sql_round4, sql_scalar_score,
-    weighted_criteria,
+    CRITERIA, CRITERIA_KEYS, SCORE_COLS, as_object, extract_block, sql_container_score, sql_is_container,
+    sql_normalise_one, sql_round4, sql_scalar_score,
 )
 
 
