@@ -6,9 +6,9 @@ Inputs
            ``Jury``.
   entries: one row per (file_id, ordinal) with task and the model metadata columns.
 
-Plan shape: the complete-case test (C6) is a count per entry key joined back on the
-same key, so Spark plans one hash exchange of the judged rows on (file_id, ordinal)
-and reuses it; the averages are partial + final hash aggregates keyed by
+Plan shape: the complete-case test (C6) is a count per entry key joined back (semi
+join) on the same key, both sides hash-partitioned by (file_id, ordinal), where no key
+holds more than the configured judges; the averages are partial + final hash aggregates keyed by
 (file_id, judge_key[, task]) whose partial step collapses a hot model before the
 shuffle.  The roster is a per-file aggregate of bounded size (files x configured
 judges); only its judge-key list (at most the configured judges plus the jury) is
