@@ -6,9 +6,9 @@ Inputs
            ``Jury``.
   entries: one row per (file_id, ordinal) with task and the model metadata columns.
 
-Plan shape: the complete-case test (C6) is a count per entry key joined back (semi
-join) on the same key, both sides hash-partitioned by (file_id, ordinal), where no key
-holds more than the configured judges; the averages are partial + final hash aggregates keyed by
+Plan shape: the complete-case test (C6) is a window count per entry key (one exchange
+of the score rows by (file_id, ordinal), where no key holds more than the configured
+judges + 1 rows); the flagged rows are written once, and the averages are partial + final hash aggregates keyed by
 (file_id, judge_key[, task]) whose partial step collapses a hot model before the
 shuffle.  The roster is a per-file aggregate of bounded size (files x configured
 judges); only its judge-key list (at most the configured judges plus the jury) is
@@ -84,6 +84,15 @@ def valid_entries(judged: DataFrame, expected: list[str]) -> DataFrame:
             .filter(F.col("n_ok") == len(expected)).select(*ENTRY))
 
 
+def flag_valid(judged: DataFrame, expected: list[str]) -> DataFrame:
+    """C6 without a join: ``_valid`` on every row of an entry whose expected judges all
+    have complete score sets.  A window count over the entry key (one exchange of the
+    score rows, one sort; an entry holds at most the configured judges + 1 rows)."""
+    complete = F.col("score_ok") if "score_ok" in judged.columns else _complete(judged)
+    good = F.when(F.col("judge_key").isin(expected) & complete, 1).otherwise(0)
+    return judged.withColumn("_valid", F.sum(good).over(Window.partitionBy(*ENTRY)) == len(expected))
+
+
 def first_entry(entries: DataFrame) -> DataFrame:
     """Per file, the metadata of the entry with the lowest ordinal."""
     cols = [c for c in META_COLS if c in entries.columns]
@@ -107,10 +116,11 @@ def judge_display_names(judged: DataFrame, entries: DataFrame, expected: list[st
                     .otherwise(F.coalesce(F.col("jn"), F.col("judge_key"))).alias("judge_name")))
 
 
-def criterion_averages(judged: DataFrame, valid: DataFrame, expected: list[str], files: DataFrame) -> DataFrame:
+def criterion_averages(flagged: DataFrame, expected: list[str], files: DataFrame) -> DataFrame:
     """Per (file, judge) the mean of the six criteria and the final score over valid
-    entries, rounded; NULL when the file has no valid entry.  Wide: one row per judge."""
-    rows = judged.filter(F.col("judge_key").isin(expected)).join(valid, ENTRY, "left_semi")
+    entries (``flag_valid``), rounded; NULL when the file has no valid entry.  Wide: one
+    row per judge; a partial + final aggregate, no join on the entry key."""
+    rows = flagged.filter(F.col("judge_key").isin(expected) & F.col("_valid"))
     agg = rows.groupBy("file_id", "judge_key").agg(
         *[round4(F.avg(F.coalesce(F.col(c), F.lit(0.0)))).alias(c) for c in SCORE_COLS])
     keys = files.select("file_id").withColumn("judge_key", F.explode(F.array(*[F.lit(k) for k in expected])))
@@ -124,20 +134,22 @@ def unpivot_criteria(wide: DataFrame, keep: list[str]) -> DataFrame:
         [F.col("criterion_col")].alias("criterion"), "score")
 
 
-def task_averages(judged: DataFrame, valid: DataFrame, expected: list[str]) -> DataFrame:
+def task_averages(flagged: DataFrame, expected: list[str]) -> DataFrame:
     """Per (file, judge, task) the mean final score over valid entries that have a
     task and a numeric final score, rounded."""
-    rows = (judged.filter(F.col("judge_key").isin(expected)
+    rows = flagged.filter(F.col("judge_key").isin(expected) & F.col("_valid")
                           & F.col("task").isNotNull() & (F.col("task") != "")
                           & F.col("final_score").isNotNull())
-            .join(valid, ENTRY, "left_semi"))
     return rows.groupBy("file_id", "judge_key", "task").agg(round4(F.avg("final_score")).alias("score"))
 
 
-def entry_counts(entries: DataFrame, valid: DataFrame) -> DataFrame:
-    """Total, successful and failed entries per file; success ratio rounded (0 if empty)."""
+def entry_counts(entries: DataFrame, flagged: DataFrame, expected: list[str]) -> DataFrame:
+    """Total, successful and failed entries per file; success ratio rounded (0 if empty).
+    A valid entry has exactly one row of the first expected judge, so counting those rows
+    counts valid entries (partial aggregate, no distinct)."""
     tot = entries.groupBy("file_id").agg(F.count(F.lit(1)).cast("bigint").alias("total_entries"))
-    ok = valid.groupBy("file_id").agg(F.count(F.lit(1)).cast("bigint").alias("successful_entries"))
+    ok = (flagged.filter((F.col("judge_key") == expected[0]) & F.col("_valid"))
+          .groupBy("file_id").agg(F.count(F.lit(1)).cast("bigint").alias("successful_entries")))
     out = tot.join(ok, "file_id", "left").fillna(0, ["successful_entries"])
     return out.select(
         "file_id", "total_entries", "successful_entries",
@@ -148,16 +160,20 @@ def entry_counts(entries: DataFrame, valid: DataFrame) -> DataFrame:
 
 
 def model_results(judged: DataFrame, entries: DataFrame, strategy: str | None = None) -> dict[str, DataFrame]:
-    """The whole averaging step: returns ``criteria`` (long), ``tasks``, ``counts`` and
-    ``meta`` tables, all keyed by file_id and, where relevant, judge display name."""
+    """The whole averaging step: returns ``criteria`` (long), ``wide``, ``tasks``, ``counts``
+    and ``meta`` tables, keyed by file_id and, where relevant, judge display name.
+
+    The validity-flagged score rows are written once (``materialize``) because the
+    criterion averages, task averages and entry counts all read them."""
+    from scorewright.session import materialize
     expected = expected_judges(judged)
-    valid = valid_entries(judged, expected)
+    flagged = materialize(flag_valid(judged, expected), "judged_valid")
     files = entries.select("file_id").distinct()
-    names = judge_display_names(judged, entries, expected)
-    wide = criterion_averages(judged, valid, expected, files).join(names, ["file_id", "judge_key"])
+    names = judge_display_names(flagged, entries, expected)
+    wide = criterion_averages(flagged, expected, files).join(names, ["file_id", "judge_key"])
     crit = unpivot_criteria(wide, ["file_id", "judge_key", "judge_name"])
-    tasks = task_averages(judged, valid, expected).join(names, ["file_id", "judge_key"])
-    counts = entry_counts(entries, valid)
+    tasks = task_averages(flagged, expected).join(names, ["file_id", "judge_key"])
+    counts = entry_counts(entries, flagged, expected)
     meta = first_entry(entries).join(counts, "file_id")
     if strategy is not None:
         crit, tasks, meta = (d.withColumn("strategy", F.lit(strategy)) for d in (crit, tasks, meta))
