@@ -104,3 +104,22 @@ def test_s2_state_table_versions(spark, tmp):
     request_state_table(stream(), f"{tmp}/state", f"{tmp}/ck_state").awaitTermination()
     latest = spark.read.parquet(latest_version(spark, f"{tmp}/state"))
     assert {r["request_id"]: r["status"] for r in latest.collect()} == {1: "FINISHED", 2: "PENDING"}
+
+
+def test_s3_with_watermark_bounds_dedupe_state(spark, tmp):
+    rows = [(m, o, f"Judge {j}", "t", f"2024-01-01 00:{o % 60:02d}:00", 0.5 * j)
+            for m in range(2) for o in range(20) for j in (1, 2)]
+    df = spark.createDataFrame(rows, "model_id int, ordinal int, judge_key string, task string, ts string, v double") \
+        .withColumn("ts", F.to_timestamp("ts"))
+    for c in SCORE_COLS:
+        df = df.withColumn(c, F.col("v"))
+    df = df.drop("v")
+    df.write.parquet(f"{tmp}/w")
+    df.limit(7).write.mode("append").parquet(f"{tmp}/w")      # replayed rows
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp}/w")
+    q = (running_averages(stream, watermark=("ts", "1 hour")).writeStream.outputMode("complete")
+         .format("memory").queryName("s3_wm").option("checkpointLocation", f"{tmp}/ckw").start())
+    q.processAllAvailable()
+    q.stop()
+    got = {(r["model_id"], r["judge_key"]): (r["n"], r["final_score"]) for r in spark.sql("SELECT * FROM s3_wm").collect()}
+    assert got == {(m, f"Judge {j}"): (20, 0.5 * j) for m in range(2) for j in (1, 2)}
