@@ -355,11 +355,13 @@ def q_leaderboard_rank(spark, sf):
 
 def q_judge_agreement(spark, sf):
     """Share of answers on which two configured judges gave the same Correct value.
-    One pivot per answer over the configured judge positions (a bounded list), then
-    one aggregate: no self-join and no pair rows per answer."""
+    One row per answer with a column per configured judge position (conditional
+    aggregation over a bounded list: one shuffle), then one global aggregate: no
+    self-join and no pair rows per answer."""
     s = scored(spark, sf).filter("usable")
     n = len(V.VIEW_JUDGES)
-    wide = s.groupBy("doc_id").pivot("judge_pos", list(range(1, n + 1))).agg(F.first("correct"))
+    wide = s.groupBy("doc_id").agg(*[F.max(F.when(F.col("judge_pos") == p, F.col("correct"))).alias(str(p))
+                                     for p in range(1, n + 1)])
     aggs = []
     for a in range(1, n + 1):
         for b in range(a + 1, n + 1):
