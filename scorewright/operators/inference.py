@@ -52,6 +52,10 @@ class RetryPolicy:
         return None, self.attempts, err
 
 
+# A policy with one attempt and no waiting (deterministic functions, tests).
+NO_WAIT = RetryPolicy(attempts=1, wait=0.0)
+
+
 def rate_limit_policy(sleep: Callable[[float], None] = time.sleep) -> RetryPolicy:
     """The generation policy: one retry after 60 s on a 'too many requests' error only."""
     return RetryPolicy(attempts=2, wait=60.0,

@@ -610,6 +610,26 @@ SELECT conv_id, pass, 'echo: ' || CAST(length(last) AS VARCHAR) || ' chars '
   || CAST(CASE WHEN {dstrip('last')} = '' THEN 0 ELSE len(regexp_split_to_array({dstrip('last')}, '\\s+')) END AS VARCHAR)
   || ' words' AS completion
 FROM lm"""
+    from scorewright.operators.items import JUDGE_LAYOUTS
+    closing = {0: "Evaluate the answer.", 1: "Evaluate the answer.", 2: "Evaluate both answers."}
+    prompt = "CASE " + " ".join(f"WHEN round = {r} THEN {_layout_sql(JUDGE_LAYOUTS[r], closing[r])}"
+                                for r in (0, 1, 2)) + " END"
+    c = "(CASE WHEN n % 3 <> 0 THEN 1.0 ELSE 0.0 END)"
+    one = {  # normalised first block (zeroed when Correct is not 1)
+        "correct": c, "complete": c, "concise": f"{c} * ((1 + n % 5) - 1) / 4", "helpful": c,
+        "honest": f"{c} * 0.75", "harmless": c}
+    two = {"correct": "1.0", "complete": "CAST(n % 2 AS DOUBLE)", "concise": "0.5", "helpful": "0.75",
+           "honest": "1.0", "harmless": "1.0"}
+    crit = {k: f"CASE WHEN round = 2 THEN {r4(f'(({one[k]}) * 2.0 + ({two[k]}) * 1.0) / 3.0')} "
+               f"ELSE {r4(f'(({one[k]}) * 1.0) / 1.0')} END" for k in one}
+    q["stub_judging"] = f"""WITH {V_ITEMS}, {V_ANSWERS},
+calls AS (
+  SELECT a.conv_id, a.model_pos, j.judge_pos, a.round, length({prompt}) AS n
+  FROM v_answers a, (VALUES (1), (2)) AS j(judge_pos) WHERE ({JUDGE_REASON}) IS NULL),
+s AS (SELECT conv_id, model_pos, judge_pos, {", ".join(f"{e} AS {k}" for k, e in crit.items())} FROM calls)
+SELECT conv_id, model_pos, judge_pos, 1 AS usable, correct, complete, concise, helpful, honest, harmless,
+  {r4('(correct + complete + concise + helpful + honest + harmless) / 6.0')} AS final_score
+FROM s"""
     return q
 
 

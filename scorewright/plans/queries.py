@@ -7,6 +7,8 @@ an average is rounded with D27 so both engines hash the same values.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -457,6 +459,33 @@ def q_stub_generation(spark, sf):
     return complete(m, stub_model).select("conv_id", "pass", "completion")
 
 
+def stub_judge(name: str, system: str, prompt: str) -> str:
+    """Deterministic stand-in for a judge: scores from the length of the whole prompt."""
+    n = len(prompt)
+    b1 = {"Correct": 1 if n % 3 else 0, "Complete": 1, "Concise": 1 + n % 5, "Helpful": 5, "Honest": 4,
+          "Harmless": 5}
+    fence = "`" * 3
+    out = f"Assessment.\n<results1>\n{fence}json\n{json.dumps(b1)}\n{fence}\n</results1>"
+    if system.endswith("R2"):
+        b2 = {"Correct": 1, "Complete": n % 2, "Concise": 3, "Helpful": 4, "Honest": 5, "Harmless": 5}
+        out += f"\n<results2>\n{fence}json\n{json.dumps(b2)}\n{fence}\n</results2>"
+    return out
+
+
+def q_stub_judging(spark, sf):
+    """U2 + scoring: two configured judges per valid answer, a deterministic stub judge,
+    then the verdicts scored (D16-D19, E1, E2)."""
+    from scorewright.operators.inference import NO_WAIT, judge
+    a = I.judging_check(V.v_answers(spark, sf)).filter("judge_ok")
+    calls = J.expand_judges(a, ["gpt-4o", "k2-65b"]).withColumns({
+        "system_text": I.judge_system(F.col("round"), VIEW_JUDGE_BASE, VIEW_JUDGE_SUFFIX),
+        "prompt": I.judge_prompt(F.col("round"), VIEW_CLOSING)})
+    verdicts = judge(calls.select("conv_id", "model_pos", "judge_pos", "judge_name", "round", "system_text", "prompt"),
+                     stub_judge, policy=NO_WAIT)
+    return score_verdicts(verdicts).select("conv_id", "model_pos", "judge_pos",
+                                           F.col("usable").cast("int").alias("usable"), *SCORE_COLS)
+
+
 QUERIES = {
     "verdict_scores": q_verdict_scores,
     "verdict_usability": q_verdict_usability,
@@ -500,4 +529,5 @@ QUERIES = {
     "judge_routes": q_judge_routes,
     "run_durations": q_run_durations,
     "stub_generation": q_stub_generation,
+    "stub_judging": q_stub_judging,
 }

@@ -10,7 +10,7 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-PYTHON_OK = {"stub_generation"}  # the caller-supplied model function runs in mapInPandas
+PYTHON_OK = {"stub_generation", "stub_judging"}  # caller-supplied model / judge functions run in mapInPandas
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
