@@ -94,10 +94,12 @@ def sql_is_container(t: str) -> str:
 
 
 def _sql_mean(arr: str) -> str:
-    nums = (f"transform(filter({arr}, x -> substr(to_json(x), 1, 1) IN ({_FIRST_CHARS})), "
-            f"x -> try_variant_get(x, '$', 'double'))")
-    return (f"(CASE WHEN size({nums}) > 0 THEN aggregate({nums}, CAST(0 AS DOUBLE), (acc, x) -> acc + x) "
-            f"/ size({nums}) ELSE 0.0 END)")
+    """Mean of the numeric members of an ARRAY<VARIANT> in one pass: a (sum, count)
+    accumulator, 0 when there is no number."""
+    return (f"aggregate({arr}, named_struct('s', CAST(0 AS DOUBLE), 'n', 0), "
+            f"(acc, x) -> CASE WHEN substr(to_json(x), 1, 1) IN ({_FIRST_CHARS}) "
+            f"THEN named_struct('s', acc.s + try_variant_get(x, '$', 'double'), 'n', acc.n + 1) ELSE acc END, "
+            f"acc -> CASE WHEN acc.n > 0 THEN acc.s / acc.n ELSE 0.0 END)")
 
 
 def sql_container_score(v: str, t: str) -> str:
