@@ -106,4 +106,17 @@ def average_results(judged: DataFrame, answers: DataFrame, strategy: str,
                            entries.drop("sn"), strategy)
 
 
-__all__ = ["generate_answers", "judge_answers", "average_results", "strip"]
+def run_outcomes(answers: DataFrame, scored: DataFrame, keys: list[str] = ("task_set", "model_name")) -> DataFrame:
+    """B6 input + Q16: per model, ``ok`` = answers were generated (the reference marks the
+    request FINISHED on that alone) and ``judged`` = at least one usable verdict exists,
+    so a model whose judging failed is visible.  One aggregate per side, joined on the
+    model key (one row per model on each side)."""
+    keys = list(keys)
+    gen = answers.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n_answers"),
+                                     F.count_if(F.col("m1") == U.ERROR).cast("bigint").alias("n_errors"))
+    jud = scored.groupBy(*keys).agg(F.count_if(F.col("usable")).cast("bigint").alias("n_usable_verdicts"))
+    out = gen.join(jud, keys, "left").fillna(0, ["n_usable_verdicts"])
+    return out.withColumns({"ok": F.col("n_answers") > 0, "judged": F.col("n_usable_verdicts") > 0})
+
+
+__all__ = ["generate_answers", "judge_answers", "average_results", "run_outcomes", "strip"]

@@ -5,7 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from scorewright.operators.flows import average_results, generate_answers, judge_answers
+from scorewright.operators.flows import average_results, generate_answers, judge_answers, run_outcomes
 from scorewright.sources.files import read_items
 
 FENCE = "```"
@@ -67,3 +67,6 @@ def test_end_to_end(spark, tmp):
     assert alpha == round(5 / 6, 4)
     counts = {r["file_id"]: (r["total_entries"], r["successful_entries"]) for r in res["counts"].collect()}
     assert counts == {"set-a/org/alpha": (7, 6), "set-a/gpt-4o": (7, 6)}
+
+    out = {r["model_name"]: (r["ok"], r["judged"], r["n_errors"]) for r in run_outcomes(answers, scored).collect()}
+    assert out == {"org/alpha": (True, True, 0), "gpt-4o": (True, True, 1)}
