@@ -222,3 +222,20 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     df = reader.load(path).select("path", "length")
     return df.select("path", F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder"),
                      F.col("length").alias("size"))
+
+
+def land_answers(spark: SparkSession, src: str, dst: str) -> DataFrame:
+    """Read answer documents (A2) once and write them as Parquet partitioned by model key
+    (B1 layout), so later jobs split, prune and push filters instead of re-parsing whole
+    JSON files.  Returns the landed table."""
+    read_answers(spark, src).write.mode("overwrite").partitionBy("model_key").parquet(dst)
+    return spark.read.parquet(dst)
+
+
+def land_judged(spark: SparkSession, src: str, dst: str) -> tuple[DataFrame, DataFrame]:
+    """Read judged documents (A3) once and write the judged long table and the entry table
+    as Parquet partitioned by file, for the averaging step to read."""
+    judged, entries = read_judged(spark, src)
+    judged.write.mode("overwrite").partitionBy("file_id").parquet(f"{dst.rstrip('/')}/judged")
+    entries.write.mode("overwrite").partitionBy("file_id").parquet(f"{dst.rstrip('/')}/entries")
+    return spark.read.parquet(f"{dst.rstrip('/')}/judged"), spark.read.parquet(f"{dst.rstrip('/')}/entries")

@@ -144,3 +144,11 @@ def test_assemble_results_json(spark, res):
     assert a["alice Scores"]["3C3H Scores"]["3C3H Score"] == 0.8333
     assert a["alice Scores"]["Tasks Scores"] == {"t1": 0.75}
     assert a["Meta"]["Success Ratio"] == 0.75
+
+
+def test_landed_judged_gives_same_results(spark, judged_dir, res, tmp):
+    from scorewright.sources.files import land_judged
+    judged, entries = land_judged(spark, judged_dir, f"{tmp}/landed")
+    again = R.model_results(judged, entries, "vote")
+    key = lambda d: sorted((r["file_id"], r["judge_key"], r["final_score"]) for r in d["wide"].collect())
+    assert key(again) == key(res[2])
