@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewright.functions.scores import (
-    CRITERIA, CRITERIA_KEYS, SCORE_COLS, as_object, extract_block, sql_container_score, sql_is_container,
+    CRITERIA, CRITERIA_KEYS, SCORE_COLS, as_object, block_pattern, sql_container_score, sql_is_container,
     sql_normalise_one, sql_round4, sql_scalar_score,
 )
 
@@ -35,15 +35,27 @@ def score_verdicts(verdicts: DataFrame, response_col: str = "response",
     resp, rnd = F.col(response_col), F.col(round_col)
     is_two = rnd == F.lit(2)
     # re-scoring a scored table replaces its score columns
-    verdicts = verdicts.drop(*[c for c in ["usable", *SCORE_COLS] if c in verdicts.columns])
+    verdicts = verdicts.drop(*[c for c in ["usable", "reject_reason", *SCORE_COLS] if c in verdicts.columns])
+    # each block is regex-extracted once (kept as a column: the parse and the reject
+    # reason both read it), then parsed once
     t = verdicts.withColumns({
-        "_o1": as_object(extract_block(resp, "results1")),
-        "_o2": F.when(is_two, as_object(extract_block(resp, "results2"))),
+        "_x1": F.regexp_extract(resp, block_pattern("results1"), 1),
+        "_x2": F.when(is_two, F.regexp_extract(resp, block_pattern("results2"), 1)),
+    })
+    t = t.withColumns({
+        "_o1": as_object(F.try_parse_json(F.nullif(F.col("_x1"), F.lit("")))),
+        "_o2": as_object(F.try_parse_json(F.nullif(F.col("_x2"), F.lit("")))),
     })
     ok1 = F.coalesce(F.size(F.col("_o1")) > 0, F.lit(False))
     ok2 = F.coalesce(F.size(F.col("_o2")) > 0, F.lit(False))
     usable = F.when(rnd.isin(0, 1), ok1).when(is_two, ok1 & ok2).otherwise(F.lit(False))
-    t = t.select("*", F.inline(F.array(F.struct(usable.alias("usable")))))
+    reason = F.when(~F.coalesce(rnd.isin(0, 1, 2), F.lit(False)), F.lit("unsupported_round"))
+    for b, cond in ((1, F.lit(True)), (2, is_two)):
+        x, o = F.col(f"_x{b}"), F.col(f"_o{b}")
+        reason = (reason.when(cond & (x == ""), F.lit(f"no_block{b}"))
+                  .when(cond & o.isNull(), F.lit(f"bad_json{b}"))
+                  .when(cond & (F.size(o) == 0), F.lit(f"empty_block{b}")))
+    t = t.select("*", F.inline(F.array(F.struct(usable.alias("usable"), reason.alias("reject_reason")))))
     blocks = (1, 2)
     rq = f"`{round_col}`"
     stages = [
@@ -66,7 +78,7 @@ def score_verdicts(verdicts: DataFrame, response_col: str = "response",
     # Spark resolves into a chain of projections - one analysis instead of one per stage
     t = t.selectExpr("*", *[f"{e} AS {k}" for stage in stages for k, e in stage.items()])
     tmp = [k for stage in stages[:-2] for k in stage]
-    return t.drop("_o1", "_o2", *tmp)
+    return t.drop("_x1", "_x2", "_o1", "_o2", *tmp)
 
 
 def number_judges(scored: DataFrame, answer_keys: list[str], judge_pos: str = "judge_pos") -> DataFrame:

@@ -211,6 +211,20 @@ def oracle_queries() -> dict[str, str]:
     q["verdict_scores"] = f"{base}\nSELECT doc_id, judge_pos, round, {_SC} FROM scored WHERE usable"
     q["verdict_usability"] = (f"{base}\nSELECT round, judge_pos, CAST(usable AS INTEGER) AS usable, "
                               f"CAST(count(*) AS BIGINT) AS n FROM scored GROUP BY ALL")
+    ext = {b: f"regexp_extract(response, '(?s)<results{b}>\\s*```json\\s*(\\{{.*?\\}})\\s*```\\s*</results{b}>', 1)"
+           for b in (1, 2)}
+
+    def reason_for(b: int, cond: str) -> str:
+        x = ext[b]
+        return (f"WHEN {cond} AND {x} = '' THEN 'no_block{b}' "
+                f"WHEN {cond} AND NOT (json_valid({x}) AND json_type({x}) = 'OBJECT') THEN 'bad_json{b}' "
+                f"WHEN {cond} AND len(json_keys({x})) = 0 THEN 'empty_block{b}' ")
+    q["verdict_rejections"] = f"""WITH {V_VERDICTS}
+SELECT round, judge_pos,
+  CASE WHEN round IS NULL OR round NOT IN (0, 1, 2) THEN 'unsupported_round'
+       {reason_for(1, 'true')} {reason_for(2, 'round = 2')} END AS reject_reason,
+  CAST(count(*) AS BIGINT) AS n
+FROM v_verdicts GROUP BY ALL"""
     q["judge_numbering"] = (f"{base}\nSELECT doc_id, judge_pos, judge_name, 'Judge ' || CAST(row_number() OVER "
                             f"(PARTITION BY doc_id ORDER BY judge_pos) AS VARCHAR) AS judge_key FROM scored WHERE usable")
     for strat in ("average", "vote"):

@@ -38,6 +38,13 @@ def q_verdict_usability(spark, sf):
             .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
+def q_verdict_rejections(spark, sf):
+    """Why verdicts are unusable (no block, bad JSON, empty object, per block;
+    unsupported round), counted per round and judge; usable verdicts have no reason."""
+    return (scored(spark, sf).groupBy("round", "judge_pos", "reject_reason")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
 def q_judge_numbering(spark, sf):
     return number_judges(scored(spark, sf), ANSWER).select("doc_id", "judge_pos", "judge_name", "judge_key")
 
@@ -489,6 +496,7 @@ def q_stub_judging(spark, sf):
 QUERIES = {
     "verdict_scores": q_verdict_scores,
     "verdict_usability": q_verdict_usability,
+    "verdict_rejections": q_verdict_rejections,
     "judge_numbering": q_judge_numbering,
     "jury_average": q_jury_average,
     "jury_vote": q_jury_vote,
