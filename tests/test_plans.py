@@ -24,7 +24,8 @@ def test_plan_shape(spark, name):
     # no scan of the wide documents table reads columns the query does not use
     for schema in re.findall(r"ReadSchema: (struct<[^\n]*>)", df._jdf.queryExecution().toString()):
         if "doc_id" in schema and "text" in schema:
-            assert name in {"verdict_scores", "verdict_usability", "judge_numbering", "jury_average", "jury_vote",
+            assert name in {"verdict_scores", "verdict_usability", "verdict_rejections", "judge_numbering",
+                            "jury_average", "jury_vote",
                             "criterion_averages", "task_averages", "entry_counts", "common_judges", "judge_rosters",
                             "jury_everywhere", "leaderboard_rank", "judge_agreement", "gold_agreement",
                             "source_averages"}
