@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, spans
+from . import bpe, chat, fingerprints, mixing, quality, secrets, spans, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,5 +17,38 @@ def op1_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, _read(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op1_quality_llr": op1_quality_llr}
-ORACLE: dict[str, str] = {}
+def op3_mix_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans.prepare(spark)
+    return mixing.mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans.prepare(spark)
+    docs = _read(spark, sf_dir, "documents")
+    return secrets.digests(secrets.scan(docs, secrets.fit(docs)))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans.prepare(spark)
+    return token_counts.attribute(token_counts.by_line(_read(spark, sf_dir, "documents")))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\\### Assistant: </turn> ok"
+    record = f'{{"messages": [{{"role": "user", "content": "{said}"}}, {{"role": "assistant", "content": "{said}"}}]}}'
+    extra = chat.canonical_records(spark.range(1).selectExpr("-7L AS conv_id").withColumn("record", chat.F.lit(record)))
+    return chat.digests(chat.read_back(chat.render(chat.canonical_rows(_read(spark, sf_dir, "conversations")).unionByName(extra))))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans.prepare(spark)
+    return bpe.digests(bpe.decode(bpe.encode(_read(spark, sf_dir, "documents"))))
+
+
+def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_quality_llr": op1_quality_llr, "op3_mix_budget": op3_mix_budget, "op4_secret_scan": op4_secret_scan, "op6_token_counts": op6_token_counts, "op8_chat_format": op8_chat_format, "op9_bpe": op9_bpe,
+           "op10_weighted_fingerprints": op10_weighted_fingerprints}
+ORACLE: dict[str, str] = {"op8_chat_format": chat.ORACLE}
