@@ -19,40 +19,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K = 32
-KEY = ["doc_id", "h", "n_chars"]
+from ..session import materialize
+
+K = 20
 RANGES = 256
+#: Characters of both versions that one partition holds; its words are counted in memory.
+PARTITION_CHARS = 16_000_000
+
+
+def _packed(i: int) -> Column:
+    """The i-th packed long of a row with term (long hash) and ln_s (log of its weight)."""
+    h1, h2 = F.xxhash64("term", F.lit(2 * i)), F.xxhash64("term", F.lit(2 * i + 1))
 
+    def unit(h: Column, shift: int, bits: int) -> Column:
+        return (F.shiftrightunsigned(h, shift).bitwiseAND((1 << bits) - 1) + F.lit(0.5)) * F.lit(1.0 / (1 << bits))
 
-def _samples(k: int) -> list[Column]:
-    """K packed longs of a row with term (long hash) and n (its weight)."""
-    out = []
-    for i in range(k):
-        h1, h2 = F.xxhash64("term", F.lit(2 * i)), F.xxhash64("term", F.lit(2 * i + 1))
-        unit = lambda h, shift, bits: (F.shiftrightunsigned(h, shift).bitwiseAND((1 << bits) - 1) + F.lit(0.5)) / F.lit(float(1 << bits))
-        r = -F.ln(unit(h1, 0, 24) * unit(h1, 24, 24))
-        ln_c = F.ln(-F.ln(unit(h2, 0, 24) * unit(h2, 24, 24)))
-        b = unit(h1, 48, 16)
-        out.append((r, ln_c, b))
-    return out
+    r = -F.ln(unit(h1, 0, 24) * unit(h1, 24, 24))
+    ln_c = F.ln(-F.ln(unit(h2, 0, 24) * unit(h2, 24, 24)))
+    b = unit(h1, 48, 16)
+    t = F.floor(F.col("ln_s") / r + b)
+    level = F.floor((ln_c - r * (t - b + 1) + 128.0) * float(1 << 30))
+    return F.shiftleft(level, 24).bitwiseOR(F.xxhash64("term", t).bitwiseAND((1 << 24) - 1))
 
 
 def sketch(texts: DataFrame, by: list[str], k: int = K) -> DataFrame:
     """(by..., m: array of k longs) of rows (by..., text), already partitioned by some of ``by``."""
-    words = F.filter(F.split(F.col("text"), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    words = F.when(F.size(words) > 0, F.transform(words, lambda w: F.xxhash64(w))).otherwise(F.array(F.lit(0).cast("long")))
-    counted = texts.select(*by, F.explode(words).alias("term")).groupBy(*by, "term").agg(F.count(F.lit(1)).alias("n"))
+    words = F.split(F.btrim(F.col("text"), F.lit(" \t\n\x0b\f\r")), "[\\x20\\x09-\\x0D]+")     # [""] where there is no word
+    counted = texts.select(*by, F.explode(words).alias("word")).select(*by, F.xxhash64("word").alias("term")).groupBy(*by, "term").agg(F.count(F.lit(1)).alias("n"))
     drawn = counted.select(*by, "term", F.ln(F.col("n").cast("double")).alias("ln_s"))
-    parts = _samples(k)
-    drawn = drawn.select(*by, "term", "ln_s", *(x.alias(f"{name}{i}") for i, p in enumerate(parts) for name, x in zip("rcb", p, strict=True)))
-    drawn = drawn.select(*by, "term", *(F.col(f"{x}{i}") for i in range(k) for x in "rcb"), *(F.floor(F.col("ln_s") / F.col(f"r{i}") + F.col(f"b{i}")).alias(f"t{i}") for i in range(k)))
-
-    def packed(i: int) -> Column:
-        ln_a = F.col(f"c{i}") - F.col(f"r{i}") * (F.col(f"t{i}") - F.col(f"b{i}") + 1)
-        level = F.floor((ln_a + 128.0) * float(1 << 30))
-        return F.shiftleft(level, 24).bitwiseOR(F.xxhash64("term", f"t{i}").bitwiseAND((1 << 24) - 1))
-
-    least = drawn.groupBy(*by).agg(*(F.min(packed(i)).alias(f"m{i}") for i in range(k)))
+    least = drawn.groupBy(*by).agg(*(F.min(_packed(i)).alias(f"m{i}") for i in range(k)))
     return least.select(*by, F.array(*(F.col(f"m{i}").bitwiseAND((1 << 24) - 1) for i in range(k))).alias("m"))
 
 
@@ -67,56 +62,52 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _neighbours(keys: DataFrame) -> DataFrame:
-    """Each distinct key with its copies, the key before and after it in order; the last's next is the first.
+    """Each distinct document (gid) with its copies and the one before it in order; the first's is the last.
 
-    Ranges of ids, cut at approximate quantiles, are ordered apart; only their first and last keys meet."""
+    Ranges of ids, cut at approximate quantiles, are ordered apart; only their ends meet."""
     bounds = keys.select(F.approx_percentile("doc_id", [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("q")).first()["q"] or []
     part = F.lit(0)
     cuts = sorted(set(bounds))
     if cuts:
         part = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda q: q <= F.col("doc_id"))), F.lit(-1))
-    own = F.struct(*KEY)
-    k = keys.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies")).withColumn("part", part).withColumn("own", own)
-    inside = Window.partitionBy("part").orderBy(*(F.col(c).asc_nulls_first() for c in KEY))
-    k = k.withColumn("before", F.lag("own").over(inside)).withColumn("after", F.lead("own").over(inside))
-    ends = k.groupBy("part").agg(F.min("own").alias("first"), F.max("own").alias("last"))      # at most RANGES + 1 rows
-    across = Window.orderBy("part")
-    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select("part", F.coalesce(F.lag("last").over(across), F.last("last").over(whole)).alias("part_before"),
-                       F.coalesce(F.lead("first").over(across), F.first("first").over(whole)).alias("part_after"))
-    return k.join(F.broadcast(ends), "part").select(*KEY, "copies", F.coalesce("before", "part_before").alias("before"), F.coalesce("after", "part_after").alias("after"))
-
-
-def _pairs(docs: DataFrame) -> DataFrame:
-    """(key..., copies, before, after, text, edited) of each distinct document."""
+    k = keys.groupBy("gid", "doc_id", "h", "n_chars").agg(F.count(F.lit(1)).alias("copies")).withColumn("part", part)
+    k = k.withColumn("me", F.struct("doc_id", "h", "n_chars", "gid"))
+    k = k.withColumn("before", F.lag("me").over(Window.partitionBy("part").orderBy("me")))
+    ends = k.groupBy("part").agg(F.max("me").alias("last"))            # at most RANGES + 1 rows
+    across, whole = Window.orderBy("part"), Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = ends.select("part", F.coalesce(F.lag("last").over(across), F.last("last").over(whole)).alias("part_before"))
+    before = F.coalesce("before", "part_before")
+    return k.join(F.broadcast(ends), "part").select("gid", "doc_id", "n_chars", "copies", before["gid"].alias("before_gid"), before["n_chars"].alias("before_chars"))
+
+
+def _pairs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gid, text, edited) of each distinct document, and the order they have."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    plain = plain.select("doc_id", F.xxhash64("text").alias("h"), F.length("text").cast("long").alias("n_chars"), "text")
-    order = _neighbours(plain.select(*KEY))
-    null_safe = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["h"] == b["h"]) & (a["n_chars"] == b["n_chars"])
-    one = plain.groupBy(*KEY).agg(F.first("text").alias("text")).alias("t")
-    order = order.alias("o")
-    all_ = one.join(order, null_safe({c: F.col(f"t.{c}") for c in KEY}, {c: F.col(f"o.{c}") for c in KEY})).select(*(F.col(f"t.{c}") for c in KEY), "copies", "before", "after", "text")
-    given = all_.select(*(F.col(f"before.{c}").alias(c) for c in KEY), F.expr("left(text, int(before.n_chars div 2))").alias("prefix")).alias("g")
-    a = all_.alias("a")
-    both = a.join(given, null_safe({c: F.col(f"a.{c}") for c in KEY}, {c: F.col(f"g.{c}") for c in KEY}))
-    edited = F.concat(F.expr("left(a.text, int(a.n_chars - a.n_chars div 2))"), F.col("prefix"))
-    return both.select(*(F.col(f"a.{c}") for c in KEY), "copies", "before", "a.text", edited.alias("edited"))
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("h", F.xxhash64("text"))
+    plain = plain.select("doc_id", "h", F.length("text").cast("long").alias("n_chars"), "text")
+    gid = F.xxhash64("doc_id", "h", "n_chars").alias("gid")
+    keys = materialize(plain.select(gid, "doc_id", "h", "n_chars"), "keys")
+    order = materialize(_neighbours(keys), "order")
+    parts = 1 + 2 * (keys.agg(F.sum("n_chars")).first()[0] or 0) // PARTITION_CHARS
+    # both uses of the texts below read the same columns, so their one exchange is shared
+    one = plain.select(gid, "text").repartition(int(min(parts, 100_000)), "gid").groupBy("gid").agg(F.first("text").alias("text"))
+    all_ = one.join(order.select("gid", "n_chars", "before_gid", "before_chars"), "gid")
+    given = all_.select(F.col("before_gid").alias("gid"), F.expr("left(text, int(before_chars div 2))").alias("prefix"))
+    edited = F.concat(F.expr("left(text, int(n_chars - n_chars div 2))"), F.col("prefix"))
+    return all_.select("gid", "n_chars", "text").join(given, "gid").select("gid", "text", edited.alias("edited")), order
 
 
 def compare(docs: DataFrame, k: int = K) -> DataFrame:
     """Fingerprints of every document and of its edited text, with their likeness, one row per input row."""
-    pairs = _pairs(docs)
-    versions = pairs.select(*KEY, "copies", "before", F.sha2("edited", 256).alias("edited_sha256"), F.explode(F.array(
-        F.struct(F.lit(0).alias("version"), F.col("text")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("text")))).alias("v"))
-    by = [*KEY, "copies", "before", "edited_sha256", "version"]
-    drawn = sketch(versions.select(*by[:-1], "v.version", "v.text"), by, k)
-    one = drawn.groupBy(*by[:-1]).agg(F.max(F.when(F.col("version") == 0, F.col("m"))).alias("m"), F.max(F.when(F.col("version") == 1, F.col("m"))).alias("e"))
-    sent = one.select(F.explode(F.array(     # each sketch also goes to the document before it
-        F.struct(F.struct(*KEY).alias("to"), "m", "e", "copies", "edited_sha256", F.lit(0).alias("next")),
-        F.struct(F.col("before").alias("to"), "m", "e", "copies", "edited_sha256", F.lit(1).alias("next")))).alias("s")).select("s.*")
-    own = lambda c: F.max(F.when(F.col("next") == 0, F.col(c))).alias(c)
-    met = sent.groupBy("to").agg(own("m"), own("e"), own("copies"), own("edited_sha256"), F.max(F.when(F.col("next") == 1, F.col("m"))).alias("after"))
-    out = met.select("to.doc_id", "to.n_chars", "edited_sha256", text_of(F.col("m")).alias("fingerprint"), text_of(F.col("e")).alias("edited_fingerprint"),
+    pairs, order = _pairs(docs)
+    versions = pairs.select("gid", F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("text")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("text")))).alias("v"))
+    drawn = sketch(versions.select("gid", "v.version", "v.text"), ["gid", "version"], k)
+    both = drawn.groupBy("gid").agg(F.max(F.when(F.col("version") == 0, F.col("m"))).alias("m"), F.max(F.when(F.col("version") == 1, F.col("m"))).alias("e"))
+    known = both.join(pairs.select("gid", F.sha2("edited", 256).alias("edited_sha256")), "gid").join(order, "gid")
+    data = ["doc_id", "n_chars", "copies", "edited_sha256", "m", "e"]
+    sent = known.select(F.explode(F.array(     # each sketch also goes to the document before it
+        F.struct(F.col("gid").alias("to"), *data, F.lit(0).alias("next")), F.struct(F.col("before_gid").alias("to"), *data, F.lit(1).alias("next")))).alias("s")).select("s.*")
+    met = sent.groupBy("to").agg(F.max(F.when(F.col("next") == 0, F.struct(*data))).alias("own"), F.max(F.when(F.col("next") == 1, F.col("m"))).alias("after")).select("own.*", "after")
+    out = met.select("doc_id", "n_chars", "edited_sha256", text_of(F.col("m")).alias("fingerprint"), text_of(F.col("e")).alias("edited_fingerprint"),
                      likeness(F.col("m"), F.col("e")).alias("near_edited"), likeness(F.col("m"), F.col("after")).alias("near_next"), "copies")
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies", "copy")
