@@ -5,7 +5,7 @@ list of symbols, and a priority queue hands out its pairs by merge rank; an entr
 changed since it was queued is stale and skipped.  Decoding concatenates the vocabulary strings, one
 blank between tokens, as the file's (absent) decoder does.
 
-Words repeat, so each worker keeps the ids of recent words in a table of at most ``CACHE_WORDS``.
+Words repeat, so each worker keeps the ids of recent words in two tables of about ``CACHE_WORDS``.
 
 Defined results: null or empty text: no ids, an empty string.  Repeated rows: one result each.  Very
 long pieces take n log n steps.  Extra columns are ignored.  Marker strings of the vocabulary in a text
@@ -23,13 +23,15 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import spans
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 250_000
+_ID_BITS = 17
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 # Fixed value: the split pattern of the vocabulary file.
 _PIECE = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+"
@@ -58,51 +60,58 @@ class Vocabulary:
         self.numerals = [str(i) for i in range(len(self.strings))]
         self.inner = [ids[c] for c in byte_letters()]
         self.last = [ids[c + end] for c in byte_letters()]
-        self.merges = {}
+        self.ranks, self.merged = {}, []       # pair of ids -> rank -> id of the merged symbol
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges.setdefault((ids[a], ids[b]), (rank, ids[a + b]))
+            self.ranks.setdefault(ids[a] << _ID_BITS | ids[b], rank)
+            self.merged.append(ids[a + b])
         self.split = regex.compile(_PIECE)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.markers, key=len, reverse=True))) + ")")
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def merge(self, piece: str) -> tuple[int, ...]:
         """Ids of one piece: the least rank first, the leftmost among equals."""
         data = piece.encode()
         symbols = [self.inner[b] for b in data]
         symbols[-1] = self.last[data[-1]]
-        n, merges = len(symbols), self.merges
+        n, rank_of, merged = len(symbols), self.ranks.get, self.merged
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(found[0], i, found[1], symbols[i], symbols[i + 1])
-                 for i in range(n - 1) if (found := merges.get((symbols[i], symbols[i + 1])))]
+        queue = [rank << 32 | i for i in range(n - 1) if (rank := rank_of(symbols[i] << _ID_BITS | symbols[i + 1])) is not None]
         heapq.heapify(queue)
         while queue:
-            _, i, merged, left, right = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            i, rank = entry & 0xFFFFFFFF, entry >> 32
             j = after[i]
-            if symbols[i] != left or j >= n or symbols[j] != right:
+            if symbols[i] < 0 or j >= n or rank_of(symbols[i] << _ID_BITS | symbols[j]) != rank:
                 continue                       # stale: one of the two was merged meanwhile
-            symbols[i], symbols[j] = merged, -1
+            symbols[i], symbols[j] = new, _ = merged[rank], -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if found := merges.get((merged, symbols[k])):
-                    heapq.heappush(queue, (found[0], i, found[1], merged, symbols[k]))
+                if (rank := rank_of(new << _ID_BITS | symbols[k])) is not None:
+                    heapq.heappush(queue, rank << 32 | i)
             h = before[i]
-            if h >= 0 and (found := merges.get((symbols[h], merged))):
-                heapq.heappush(queue, (found[0], h, found[1], symbols[h], merged))
-        return tuple(s for s in symbols if s >= 0)
+            if h >= 0 and (rank := rank_of(symbols[h] << _ID_BITS | new)) is not None:
+                heapq.heappush(queue, rank << 32 | h)
+        return tuple([s for s in symbols if s >= 0])
 
     def _word(self, word: str) -> tuple[int, ...]:
         """Ids of a run without white space, kept for the next time."""
-        known, out = self.known, []
-        if len(known) >= CACHE_WORDS:
-            known.clear()
-        for piece in self.split.findall(word):
-            if piece not in known:
-                known[piece] = self.merge(piece)
-            out.append(known[piece])
-        known[word] = out[0] if len(out) == 1 else tuple(chain.from_iterable(out))
-        return known[word]
+        if word in self.older:
+            ids = self.older[word]
+        else:
+            out = []
+            for piece in self.split.findall(word):
+                ids = self.known.get(piece) or self.older.get(piece)
+                if ids is None:
+                    ids = self.known[piece] = self.merge(piece)
+                out.append(ids)
+            ids = out[0] if len(out) == 1 else tuple(chain.from_iterable(out))
+        if len(self.known) >= CACHE_WORDS:
+            self.known, self.older = {}, self.known
+        self.known[word] = ids
+        return ids
 
     def _plain(self, text: str) -> list[tuple[int, ...]]:
         if not unicodedata.is_normalized("NFC", text):
@@ -163,9 +172,11 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     path = path or public_path("word_bpe_49k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary(path)
+        strings = pa.array(vocabulary(path).strings, pa.large_string())
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([v.decode(x) for x in batch.column(1).to_pylist()], pa.string())], ["doc_id", "ids", "decoded"])
+            ids = batch.column(1).cast(pa.large_list(pa.int32()))
+            tokens = pa.LargeListArray.from_arrays(ids.offsets, strings.take(ids.values), mask=ids.is_null() if ids.null_count else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pc.binary_join(tokens, pa.scalar(" ", pa.large_string())).cast(pa.string())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 

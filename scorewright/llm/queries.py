@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, mixing, quality, secrets, spans, token_counts
+from . import bpe, chat, fingerprints, mixing, quality, secret_scan, spans, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,7 +25,7 @@ def op3_mix_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans.prepare(spark)
     docs = _read(spark, sf_dir, "documents")
-    return secrets.digests(secrets.scan(docs, secrets.fit(docs)))
+    return secret_scan.digests(secret_scan.scan(docs, secret_scan.fit(docs)))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.attribute(token_counts.by_line(_read(spark, sf_dir, "documents")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans.prepare(spark)
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity.judge(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels")))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\\### Assistant: </turn> ok"
     record = f'{{"messages": [{{"role": "user", "content": "{said}"}}, {{"role": "assistant", "content": "{said}"}}]}}'
@@ -49,6 +55,6 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_quality_llr": op1_quality_llr, "op3_mix_budget": op3_mix_budget, "op4_secret_scan": op4_secret_scan, "op6_token_counts": op6_token_counts, "op8_chat_format": op8_chat_format, "op9_bpe": op9_bpe,
+QUERIES = {"op1_quality_llr": op1_quality_llr, "op3_mix_budget": op3_mix_budget, "op4_secret_scan": op4_secret_scan, "op6_token_counts": op6_token_counts, "op7_toxicity": op7_toxicity, "op8_chat_format": op8_chat_format, "op9_bpe": op9_bpe,
            "op10_weighted_fingerprints": op10_weighted_fingerprints}
 ORACLE: dict[str, str] = {"op8_chat_format": chat.ORACLE}
