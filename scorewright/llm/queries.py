@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, mixing, quality, secret_scan, spans, token_counts, toxicity
+from . import bpe, chat, fingerprints, mixing, near_dup, quality, secret_scan, spans, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(docs, secret_scan.fit(docs)))
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans.prepare(spark)
+    return near_dup.classes(_read(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans.prepare(spark)
     return token_counts.attribute(token_counts.by_line(_read(spark, sf_dir, "documents")))
@@ -55,6 +60,6 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_quality_llr": op1_quality_llr, "op3_mix_budget": op3_mix_budget, "op4_secret_scan": op4_secret_scan, "op6_token_counts": op6_token_counts, "op7_toxicity": op7_toxicity, "op8_chat_format": op8_chat_format, "op9_bpe": op9_bpe,
+QUERIES = {"op1_quality_llr": op1_quality_llr, "op3_mix_budget": op3_mix_budget, "op4_secret_scan": op4_secret_scan, "op5_near_dup": op5_near_dup, "op6_token_counts": op6_token_counts, "op7_toxicity": op7_toxicity, "op8_chat_format": op8_chat_format, "op9_bpe": op9_bpe,
            "op10_weighted_fingerprints": op10_weighted_fingerprints}
-ORACLE: dict[str, str] = {"op8_chat_format": chat.ORACLE}
+ORACLE: dict[str, str] = {"op5_near_dup": near_dup.ORACLE, "op8_chat_format": chat.ORACLE}
