@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, mixing, near_dup, quality, secret_scan, spans, token_counts, toxicity
+from . import bpe, chat, fingerprints, mixing, near_dup, quality, repeats, secret_scan, spans, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, _read(spark, sf_dir, "labels")))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans.prepare(spark)
+    return repeats.digests(repeats.cut(_read(spark, sf_dir, "documents")))
+
+
 def op3_mix_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans.prepare(spark)
     return mixing.mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -60,6 +65,6 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_quality_llr": op1_quality_llr, "op3_mix_budget": op3_mix_budget, "op4_secret_scan": op4_secret_scan, "op5_near_dup": op5_near_dup, "op6_token_counts": op6_token_counts, "op7_toxicity": op7_toxicity, "op8_chat_format": op8_chat_format, "op9_bpe": op9_bpe,
+QUERIES = {"op1_quality_llr": op1_quality_llr, "op2_repeats": op2_repeats, "op3_mix_budget": op3_mix_budget, "op4_secret_scan": op4_secret_scan, "op5_near_dup": op5_near_dup, "op6_token_counts": op6_token_counts, "op7_toxicity": op7_toxicity, "op8_chat_format": op8_chat_format, "op9_bpe": op9_bpe,
            "op10_weighted_fingerprints": op10_weighted_fingerprints}
 ORACLE: dict[str, str] = {"op5_near_dup": near_dup.ORACLE, "op8_chat_format": chat.ORACLE}
