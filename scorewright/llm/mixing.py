@@ -102,7 +102,7 @@ def quotas(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
 
 
 def mix(docs: DataFrame, cycle: Sequence[float] = (1, 2, 3), most: int = 3, seed: int = 7) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every document."""
+    """(doc_id, source, size, source_size, target, times, taken) of every document."""
     name = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")).alias("name")
     order = F.xxhash64("doc_id", F.lit(seed)).bitwiseAND((1 << 62) - 1).alias("r")
     sized = materialize(sizes(docs).select("doc_id", "source", "size", name, order, F.shiftright(order, 62 - SLICE_BITS).alias("slice")), "sizes")
@@ -125,4 +125,12 @@ def mix(docs: DataFrame, cycle: Sequence[float] = (1, 2, 3), most: int = 3, seed
     need = sliced.join(quota, ["name", "size"]).select("name", "size", "slice", "source_size", "target", "passes", (F.col("extra") - F.col("before")).alias("need"))
     ranked = sized.withColumn("rank", F.row_number().over(Window.partitionBy("name", "size", "slice").orderBy("r", "doc_id")))
     times = F.col("passes") + F.when(F.col("rank") <= F.col("need"), 1).otherwise(0)
-    return ranked.join(need, ["name", "size", "slice"]).select("doc_id", "source", "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"))
+    return ranked.join(need, ["name", "size", "slice"]).select("doc_id", "source", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).cast("long").alias("taken"))
+
+
+def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``docs``, all columns, each row as often as the mix takes its document; rows of one doc_id alike."""
+    times = materialize(mixed.groupBy("doc_id").agg(F.max("times").cast("int").alias("times")).where("times > 0"), "times")
+    key, n = "mix doc_id", "mix times"
+    joined = docs.join(spans.small_side(times.toDF(key, n)), F.col("doc_id").eqNullSafe(F.col(f"`{key}`")))
+    return joined.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(f"`{n}`")))).select(*(docs[c] for c in docs.columns))

@@ -218,6 +218,19 @@ def classes(docs: DataFrame) -> DataFrame:
     return placed.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def keep_one(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """``docs``, all columns, without the documents that are not kept, and each kept doc_id in one row."""
+    key = F.col("doc_id").cast("long")
+    gone = materialize(placed.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    twice = materialize(placed.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("twice")), "twice")
+    left = docs.join(spans.small_side(gone), key == F.col("gone"), "left_anti")
+    if twice.isEmpty():
+        return left
+    marked = spans.small_side(twice)
+    one = left.join(marked, key == F.col("twice"), "left_semi").withColumn("which row", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("`which row` = 1").drop("which row")
+    return left.join(marked, key == F.col("twice"), "left_anti").unionByName(one)
+
+
 ORACLE = r"""
 WITH RECURSIVE texts AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w

@@ -179,3 +179,31 @@ def digests(scanned: DataFrame) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] != "random")
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     return scanned.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count("random"))
+
+
+def redact(docs: DataFrame, model: Model, mark: str = "[SECRET]") -> DataFrame:
+    """``docs``, all columns, with each run of spans in the text replaced; n_chars, if there, follows the text."""
+    text_at, chars_at = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text_at).to_pylist()
+            done = 0
+            for c in spans.chunks([batch.select([text_at, text_at])]):
+                raw = c.buf.tobytes()
+                for i, found in enumerate(_scan(c, model)):
+                    if found:
+                        text, out, at = raw[c.off[i]:c.off[i + 1]], [], 0
+                        for a, _, b in found:
+                            if a >= at:
+                                out += [text[at:a], mark.encode()]
+                            at = max(at, b)
+                        texts[done + i] = b"".join([*out, text[at:]]).decode()
+                done += len(c.off) - 1
+            cols = list(batch.columns)
+            cols[text_at] = pa.array(texts, pa.string()).cast(cols[text_at].type)
+            if chars_at is not None:
+                cols[chars_at] = pa.array([c if t is None else len(t) for t, c in zip(texts, cols[chars_at].to_pylist(), strict=True)], cols[chars_at].type)
+            yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)

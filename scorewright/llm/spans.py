@@ -128,3 +128,12 @@ def smallest_by_hash(frame: DataFrame, column: str, n: int, seed: int = 17) -> l
     key = F.col(column)
     picked = frame.select(key.alias("v")).where(key.isNotNull()).distinct().orderBy(F.xxhash64("v", F.lit(seed)), "v").limit(n)
     return [r[0] for r in picked.collect()]
+
+
+#: Rows of ids up to which a join by id broadcasts them; beyond it both sides are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(frame: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``frame`` marked for broadcast if its counted rows are few; it should be a written table of narrow rows."""
+    return F.broadcast(frame) if frame.limit(most_rows + 1).count() <= most_rows else frame
