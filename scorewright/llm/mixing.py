@@ -85,8 +85,8 @@ def knapsack(lengths: list[int], spare: list[int], budget: int) -> list[int]:
     return take
 
 
-def quotas(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length make up the budget."""
+def quotas(lengths: np.ndarray, counts: np.ndarray, budget: int, times: int) -> np.ndarray:
+    """How many documents of each length make up the budget; none more than so many times."""
     total = int((lengths * counts).sum())
     if budget <= 0 or not total:
         return np.zeros(len(lengths), np.int64)
@@ -94,11 +94,11 @@ def quotas(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     left = budget - int((got * lengths).sum())
     order = np.argsort(-lengths, kind="stable")
     for i in order[lengths[order] > 0]:               # down to what the program can hold
-        n = min(int(counts[i] - got[i]), max(0, left - KNAPSACK_WORDS) // int(lengths[i]))
+        n = min(int(times * counts[i] - got[i]), max(0, left - KNAPSACK_WORDS) // int(lengths[i]))
         got[i] += n
         left -= n * int(lengths[i])
-    usable = np.flatnonzero((lengths > 0) & (got < counts))
-    return got + np.bincount(usable, weights=knapsack(lengths[usable].tolist(), (counts - got)[usable].tolist(), left), minlength=len(got)).astype(np.int64)
+    usable = np.flatnonzero((lengths > 0) & (got < times * counts))
+    return got + np.bincount(usable, weights=knapsack(lengths[usable].tolist(), (times * counts - got)[usable].tolist(), left), minlength=len(got)).astype(np.int64)
 
 
 def mix(docs: DataFrame, cycle: Sequence[float] = (1, 2, 3), most: int = 3, seed: int = 7) -> DataFrame:
@@ -116,8 +116,9 @@ def mix(docs: DataFrame, cycle: Sequence[float] = (1, 2, 3), most: int = 3, seed
         size, target = total[source], goal[source]
         passes = min(most, int(target / size + 1e-9)) if size else 0
         rows = rows.sort_values("size")
-        extra = quotas(rows["size"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), 0 if passes == most else round(target - passes * size))
-        return pd.DataFrame({"name": rows["name"], "size": rows["size"], "source_size": size, "target": target, "passes": passes, "extra": extra})
+        counts = rows["n"].to_numpy(np.int64)
+        extra = quotas(rows["size"].to_numpy(np.int64), counts, 0 if passes == most else round(target - passes * size), most - passes)
+        return pd.DataFrame({"name": rows["name"], "size": rows["size"], "source_size": size, "target": target, "passes": passes + extra // counts, "extra": extra % counts})
 
     quota = by_length.groupBy("name").applyInPandas(fit, "name string, size long, source_size long, target double, passes long, extra long")
     running = Window.partitionBy("name", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

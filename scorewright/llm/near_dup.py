@@ -208,7 +208,7 @@ def classes(docs: DataFrame) -> DataFrame:
     label = links(docs, nodes)
     least = nodes.select("s1", "s2", "node").join(label, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
     placed = rows.select("doc_id", "s1", "s2", F.col("n").alias("n_shingles")).join(least, ["s1", "s2"], "left")
-    placed = materialize(placed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")), "placed")
+    placed = materialize(placed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")), "placed")
     # a doc_id whose rows lie in several components ties them together
     ties = placed.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("v"), F.max("component_id").alias("u")).where("u > v").select("u", "v")
     if not ties.isEmpty():
