@@ -6,10 +6,12 @@ a pair (A_i, B_j).  So 2 * HALVES * ROWS minhashes serve HALVES ** 2 tables of 2
 similarity of 0.85 a pair misses all tables with probability below 3e-5 (0.9: 2e-7).  Only half keys that
 two nodes share are paired into table keys, which leaves most texts without any.
 
-Buckets are never expanded into all pairs.  The least node of a bucket is compared with the others first;
-as long as a bucket still spans several components, its next ``PIVOTS`` nodes are compared in turn with the
-members of other components, until every candidate pair is linked, refuted or inside one component.  Pairs
-whose set sizes rule the similarity out are dropped before any set is fetched.
+Buckets are never expanded into rows of pairs.  First the least node of a bucket is compared with the
+others, which joins families of copies.  Buckets that still span several components are then searched
+inside tasks, in blocks of at most ``BLOCK`` nodes against each other, for pairs of different components
+that can be similar: their set sizes allow it, and at least ``LIKELY`` of their 2 * HALVES * ROWS minhashes
+agree (a pair at 0.85 fails that with probability below 1e-6).  Only such pairs fetch their sets and are
+verified, so what is left out are pairs inside a component and pairs that cannot link.
 
 Vertices are doc_ids: rows of one doc_id with different texts are one vertex.  Defined results: no words:
 n_shingles 0, a component of its own.  A null doc_id: component_id null, kept true (no id to link by).
@@ -29,7 +31,8 @@ from ..session import materialize
 from . import spans
 
 HALVES, ROWS = 12, 3
-PIVOTS = 64
+BLOCK = 1_024
+LIKELY = 46
 SHINGLE_WORDS = 3
 PERCENT = 85
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -73,24 +76,27 @@ def _digests(key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-SKETCH = "doc_id long, s1 long, s2 long, n long, halves array<long>"
+SKETCH = "doc_id long, s1 long, s2 long, n long, halves array<long>, signature binary"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, s1, s2, n, halves) of every whole text: set digests, set size and its 2 * HALVES half keys."""
+    """(doc_id, s1, s2, n, halves, signature) of every whole text: set digests, set size, its 2 * HALVES half
+    keys and one byte of each minhash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in spans.chunks(batches):
             key, at = shingle_sets(c)
             size = np.diff(at)
             some = np.flatnonzero(size)
-            halves = np.zeros((len(size), 2 * HALVES), np.uint64)
+            halves, signature = np.zeros((len(size), 2 * HALVES), np.uint64), np.zeros((len(size), 2 * HALVES * ROWS), np.uint8)
             if len(some):
                 for i in range(2 * HALVES):
-                    rows = range(i * ROWS, (i + 1) * ROWS)
-                    halves[some, i] = spans.join_hashes([np.minimum.reduceat((key ^ _XOR[f]) * _MUL[f], at[:-1][some]) for f in rows])
+                    least = [np.minimum.reduceat((key ^ _XOR[f]) * _MUL[f], at[:-1][some]) for f in range(i * ROWS, (i + 1) * ROWS)]
+                    halves[some, i] = spans.join_hashes(least)
+                    for k, x in enumerate(least):
+                        signature[some, i * ROWS + k] = (spans.mix(x) & np.uint64(0xFF)).astype(np.uint8)
             s1, s2 = _digests(key, at)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * 2 * HALVES, pa.int32()), pa.array(halves.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([c.ids, pa.array(s1), pa.array(s2), pa.array(size), flat], [x.split()[0] for x in SKETCH.split(", ")])
+            yield pa.RecordBatch.from_arrays([c.ids, pa.array(s1), pa.array(s2), pa.array(size), flat, pa.array([x.tobytes() for x in signature], pa.binary())], [x.split()[0] for x in SKETCH.split(", ")])
 
     return spans.texts_of(docs).mapInArrow(run, SKETCH)
 
@@ -133,7 +139,7 @@ def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of the nodes of an edge list (u, v); component: the least node reachable.
+    """(node, component) of the nodes of an edge list (u, v) that reach a lesser one; component: the least of those.
 
     Large-star and small-star steps: each node's neighbours are tied to the least of them."""
     now, before = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"), None
@@ -166,44 +172,100 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     return keys.join(pivots, "key")
 
 
-def _with_sizes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (u, v) whose sizes allow the similarity; pairs has u, v and n, the size of u."""
-    pairs = pairs.groupBy("u", "v").agg(F.max("n").alias("n"))
-    return pairs.join(nodes.select(F.col("node").alias("v"), F.col("n").alias("nv")), "v").where(_fits("n", "nv")).select("u", "v")
+def _bytes_of(column: pa.Array) -> np.ndarray:
+    """Rows of equally long binary values as a matrix."""
+    return spans.buffers(column)[0].reshape(len(column), -1)
+
+
+def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct pairs (u, v) that sizes and signatures allow to be similar."""
+    end = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("signature").alias(f"s{c}"))
+    joined = pairs.select("u", "v").distinct().join(end("u"), "u").join(end("v"), "v").where(_fits("nu", "nv")).select("u", "v", "su", "sv")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.select([0, 1]).filter(pa.array((_bytes_of(batch.column(2)) == _bytes_of(batch.column(3))).sum(1) >= LIKELY))
+
+    return joined.mapInArrow(run, "u long, v long")
+
+
+def _block_pairs(node: np.ndarray, n: np.ndarray, component: np.ndarray, side: np.ndarray, crossed: bool, signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one block, greater node first, of different components, that sizes and signatures allow."""
+    us, vs = [], []
+    for i in range(len(node) - 1):
+        j = slice(i + 1, None)
+        ok = (component[j] != component[i]) & (100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i]))
+        if crossed:
+            ok &= side[j] != side[i]
+        at = np.flatnonzero(ok) + i + 1
+        if len(at):
+            at = at[(signature[at] == signature[i]).sum(1) >= LIKELY]
+            us.append(np.maximum(node[at], node[i]))
+            vs.append(np.minimum(node[at], node[i]))
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *us]), np.concatenate([empty, *vs])
+
+
+def _search(rest: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Likely pairs (u, v) of different components within the buckets (key, node, n, component, members)."""
+    slots = F.when(F.col("members") <= BLOCK, 1).otherwise(F.ceil(F.col("members") * 2 / BLOCK)).cast("int")
+    rows = rest.withColumn("slots", slots).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    rows = rows.select("key", F.least("slot", "other").alias("a"), F.greatest("slot", "other").alias("b"), "node", "n", "component", "slot")
+    rows = rows.join(nodes.select("node", "signature"), "node").select("key", "a", "b", "node", "n", "component", "slot", "signature")
+    rows = rows.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(held: pa.Table) -> pa.RecordBatch:
+            cols = [held.column(i).combine_chunks().to_numpy() for i in range(7)]
+            signature = _bytes_of(held.column(7).combine_chunks())
+            new = np.flatnonzero(np.concatenate([[True], *([np.logical_or.reduce([c[1:] != c[:-1] for c in cols[:3]])] if len(cols[0]) > 1 else [])]))
+            us, vs = [], []
+            for lo, hi in zip(new.tolist(), [*new[1:].tolist(), len(cols[0])], strict=True):
+                if hi - lo > 1:
+                    u, v = _block_pairs(*(c[lo:hi] for c in cols[3:7]), cols[1][lo] != cols[2][lo], signature[lo:hi])
+                    us.append(u), vs.append(v)
+            empty = np.zeros(0, np.int64)
+            found = np.unique(np.stack([np.concatenate([empty, *us]), np.concatenate([empty, *vs])]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["u", "v"])
+
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            last = [held.column(i)[-1].as_py() for i in range(3)]
+            same = np.logical_and.reduce([held.column(i).combine_chunks().to_numpy() == last[i] for i in range(3)])
+            whole = int(np.argmax(same))            # the last block may go on in the next batch
+            if whole:
+                yield pairs(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None and held.num_rows:
+            yield pairs(held)
+
+    return rows.mapInArrow(run, "u long, v long").distinct()
 
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component) of the nodes with links."""
     buckets = materialize(_buckets(nodes), "buckets")
-    tested = materialize(_with_sizes(buckets.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v"), "n"), nodes), "pairs")
+    stars = buckets.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v"))
+    tested = materialize(_likely(stars, nodes), "pairs")
     edges = materialize(_verify(docs, nodes, tested), "links")
-    where_from = buckets
-    while True:
-        label = materialize(components(edges), "components")
-        rest = where_from.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        apart = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("node").alias("last")).where("lo < hi").select("key", "last")
-        # buckets that still span components and have nodes that were no pivot yet
-        rest = materialize(rest.join(apart.where("last is not null"), "key").where(F.col("last") > F.col("pivot")).drop("last"), "rest")
-        slot = F.pmod(F.xxhash64("node"), F.lit(16))
-        some = rest.where("node > pivot").withColumn("slot", slot).withColumn("r", F.row_number().over(Window.partitionBy("key", "slot").orderBy("node"))).where(F.col("r") <= PIVOTS)
-        some = some.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("node"))).where(F.col("r") <= PIVOTS)
-        turn = materialize(some.select("key", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv")), "turn")
-        if turn.isEmpty():
-            return label
-        new = rest.join(turn, "key").where((F.col("node") > F.col("v")) & (F.col("component") != F.col("cv")) & _fits("n", "nv")).select(F.col("node").alias("u"), "v").distinct()
-        new = materialize(new.join(tested, ["u", "v"], "left_anti"), "pairs")
-        if not new.isEmpty():
-            edges = materialize(edges.union(_verify(docs, nodes, new)).distinct(), "links")
-            tested = materialize(tested.union(new), "tested")
-        done = turn.groupBy("key").agg(F.max("v").alias("at"))
-        where_from = rest.drop("component", "pivot").join(done.withColumnRenamed("at", "pivot"), "key").select("key", "node", "n", "pivot")
+    label = materialize(components(edges), "components")
+    rest = buckets.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    apart = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("key", "members")
+    new = materialize(_search(rest.join(apart, "key"), nodes).join(tested, ["u", "v"], "left_anti"), "pairs")
+    if new.isEmpty():
+        return label
+    return materialize(components(edges.union(_verify(docs, nodes, new))), "components")
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
     rows = materialize(sketches(docs), "sketches")
     some = rows.where("n > 0 and doc_id is not null")
-    nodes = some.groupBy("s1", "s2").agg(F.min(F.struct(F.col("doc_id").alias("node"), "n", "halves")).alias("x")).select("x.*", "s1", "s2")
+    nodes = some.groupBy("s1", "s2").agg(F.min(F.struct(F.col("doc_id").alias("node"), "n", "halves", "signature")).alias("x")).select("x.*", "s1", "s2")
     nodes = materialize(nodes, "nodes")
     label = links(docs, nodes)
     least = nodes.select("s1", "s2", "node").join(label, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
