@@ -151,19 +151,16 @@ def precision_bits(precision: Column) -> Column:
 
 
 def params_from_bytes(total_bytes: Column, bits: Column) -> Column:
-    """Estimated parameter count from folder size: GiB x 1e9 for 8 bits, halved for
-    16, quartered for 32, truncated to an integer."""
-    gib = total_bytes / F.lit(1024.0 ** 3)
-    est = (F.when(bits == 8, gib * 1e9).when(bits == 16, (gib / 2) * 1e9)
-           .when(bits == 32, (gib / 4) * 1e9).otherwise(total_bytes / (bits / 8)))
-    return F.floor(est).cast("bigint")
+    """Estimated parameter count: folder size in GiB over the bytes of one parameter,
+    in billions, truncated to an integer."""
+    return F.floor(total_bytes / F.lit(float(1 << 30)) / (bits / 8) * 1e9).cast("bigint")
 
 
 def params_billion(params: Column, total_bytes: Column, precision: Column) -> Column:
     """Parameters in billions, rounded to 3 digits.  An all-digit ``params`` string is
     already the count in billions (``"7"`` -> 7.0, ``"0"`` -> 0.0, Q21); anything else
     (``"0.5"``, ``"7B"``, empty, missing) is estimated from the folder size and precision."""
-    given = F.coalesce(params, F.lit("")).rlike(r"^[0-9]+$")
+    given = F.coalesce(params, F.lit("")).rlike(r"\A[0-9]+\z")
     billions = (F.when(given, params.try_cast("double"))
                 .otherwise(params_from_bytes(total_bytes, precision_bits(precision)) / F.lit(1e9)))
     return F.round(billions.try_cast("decimal(30,12)"), 3).cast("double")
@@ -171,7 +168,7 @@ def params_billion(params: Column, total_bytes: Column, precision: Column) -> Co
 
 def params_source(params: Column) -> Column:
     """Whether D10 used the given count (Q21) or the size estimate."""
-    return (F.when(F.coalesce(params, F.lit("")).rlike(r"^[0-9]+$"), F.lit("given"))
+    return (F.when(F.coalesce(params, F.lit("")).rlike(r"\A[0-9]+\z"), F.lit("given"))
             .otherwise(F.lit("estimated")))
 
 
@@ -186,6 +183,10 @@ def status_category(status: Column) -> Column:
             .otherwise(F.lit("pending")))
 
 
+#: The folders that requests lie in.
+STATUS_CATEGORIES = ["pending", "finished", "failed"]
+
+
 def unknown_status(status: Column) -> Column:
     """Q14 flag: a status outside PENDING / RUNNING / FINISHED / FAILED (e.g. REJECTED)."""
     return ~F.upper(F.coalesce(status, F.lit("PENDING"))).isin("PENDING", "RUNNING", "FINISHED", "FAILED")

@@ -27,8 +27,19 @@ from scorewright.operators import results as R
 from scorewright.operators.scoring import number_judges, score_verdicts
 from scorewright.session import materialize
 
-ITEM_KEY = ["task_set", "sn"]
-RUN_KEY = ITEM_KEY + ["model_name"]
+#: item_id: the item's ordinal in its file where there is one, else its sn.  run_id: model, revision and precision.
+ITEM_KEY = ["task_set", "item_id"]
+RUN_KEY = ITEM_KEY + ["run_id"]
+
+
+def with_keys(df: DataFrame) -> DataFrame:
+    """Adds item_id and run_id where the columns they are made of exist."""
+    have = set(df.columns)
+    if "item_id" not in have and have & {"ordinal", "sn"}:
+        df = df.withColumn("item_id", F.coalesce(*(F.col(c).cast("string") for c in ("ordinal", "sn") if c in have)))
+    if "run_id" not in have and "model_name" in have:
+        df = df.withColumn("run_id", F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("model_name", "revision", "precision") if c in have)))
+    return df
 
 
 def generate_answers(items: DataFrame, requests: DataFrame, model_fn: Callable[[list[dict]], str],
@@ -43,7 +54,7 @@ def generate_answers(items: DataFrame, requests: DataFrame, model_fn: Callable[[
     """
     pending = Rq.pending_requests(Rq.reset_running(requests)).select(
         "task_set", "model_name", "license", "revision", "precision", "params")
-    runs = I.generation_check(I.expand_runs(items, pending)).filter("gen_ok")
+    runs = with_keys(I.generation_check(I.expand_runs(items, pending)).filter("gen_ok"))
     sysp = I.system_prompt(F.col("language") if "language" in runs.columns else F.lit(None), prompts)
     r, a1_blank = F.col("round"), blank_to_null(F.col("a1")).isNull()
     needs_first = (r == 0) | (r == 2) | ((r == 1) & a1_blank)
@@ -78,13 +89,13 @@ def judge_answers(answers: DataFrame, judges: list[str], judge_fn: Callable[[str
     Answers failing C4/C5 are not judged.  Judges whose name has no route (D5) are
     skipped like the reference does.  The raw verdicts are written first (barrier)."""
     strategy = J.resolve_strategy(judges, strategy)
-    ok = I.judging_check(answers).filter("judge_ok")
+    ok = with_keys(I.judging_check(answers).filter("judge_ok"))
     calls = J.expand_judges(ok, judges, aliases).filter(route_judge(F.col("judge_short")).isNotNull())
     calls = calls.withColumns({"system_text": I.judge_system(F.col("round"), base_system, suffixes),
                                "prompt": I.judge_prompt(F.col("round"), closing)})
-    verdicts = U.judge(calls, judge_fn, policy=policy, concurrency=concurrency)
-    verdicts = (U.verdict_barrier(verdicts, verdict_path) if verdict_path
-                else materialize(verdicts, "verdicts"))
+    call = lambda todo: U.judge(todo, judge_fn, judge_col="judge_model", policy=policy, concurrency=concurrency)
+    verdicts = (U.judge_once(calls, call, verdict_path, [*answer_keys, "judge_name"]) if verdict_path
+                else materialize(call(calls), "verdicts"))
     scored = score_verdicts(verdicts)
     keys = answer_keys + ["task"] if "task" in scored.columns else answer_keys
     jrows = number_judges(scored, answer_keys).select(*keys, "judge_key", "judge_name", *SCORE_COLS)
@@ -95,10 +106,11 @@ def judge_answers(answers: DataFrame, judges: list[str], judge_fn: Callable[[str
 
 
 def average_results(judged: DataFrame, answers: DataFrame, strategy: str,
-                    file_keys: list[str] = ("task_set", "model_name")) -> dict[str, DataFrame]:
-    """§3.3: one results "file" per (task set, model); entry ordinal = item ordinal."""
+                    file_keys: list[str] = ("task_set", "run_id")) -> dict[str, DataFrame]:
+    """§3.3: one results "file" per (task set, run); entry ordinal = item ordinal."""
     file_id = F.concat_ws("/", *[F.col(k) for k in file_keys])
     order = F.col("ordinal") if "ordinal" in answers.columns else F.col("sn")
+    answers, judged = with_keys(answers), with_keys(judged)
     entries = answers.select(file_id.alias("file_id"), order.alias("ordinal"), "sn", "task",
                              *[c for c in R.META_COLS if c in answers.columns])
     j = judged.join(answers.select(*RUN_KEY, order.alias("ordinal")), RUN_KEY).withColumn("file_id", file_id)
@@ -106,17 +118,21 @@ def average_results(judged: DataFrame, answers: DataFrame, strategy: str,
                            entries.drop("sn"), strategy)
 
 
-def run_outcomes(answers: DataFrame, scored: DataFrame, keys: list[str] = ("task_set", "model_name")) -> DataFrame:
+def run_outcomes(answers: DataFrame, scored: DataFrame, keys: list[str] = ("task_set", "model_name"),
+                 attempted: DataFrame | None = None) -> DataFrame:
     """B6 input + Q16: per model, ``ok`` = answers were generated (the reference marks the
     request FINISHED on that alone) and ``judged`` = at least one usable verdict exists,
-    so a model whose judging failed is visible.  One aggregate per side, joined on the
+    so a model whose judging failed is visible.  With ``attempted`` (the requests that were
+    run) a model without any answer is there with ``ok`` false.  One aggregate per side, joined on the
     model key (one row per model on each side)."""
     keys = list(keys)
     gen = answers.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n_answers"),
                                      F.count_if(F.col("m1") == U.ERROR).cast("bigint").alias("n_errors"))
     jud = scored.groupBy(*keys).agg(F.count_if(F.col("usable")).cast("bigint").alias("n_usable_verdicts"))
+    if attempted is not None:
+        gen = attempted.select(*keys).distinct().join(gen, keys, "left").fillna(0, ["n_answers", "n_errors"])
     out = gen.join(jud, keys, "left").fillna(0, ["n_usable_verdicts"])
     return out.withColumns({"ok": F.col("n_answers") > 0, "judged": F.col("n_usable_verdicts") > 0})
 
 
-__all__ = ["generate_answers", "judge_answers", "average_results", "run_outcomes", "strip"]
+__all__ = ["with_keys", "generate_answers", "judge_answers", "average_results", "run_outcomes", "strip"]

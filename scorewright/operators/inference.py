@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,6 +134,24 @@ def verdict_barrier(verdicts: DataFrame, path: str) -> DataFrame:
     return verdicts.sparkSession.read.parquet(path)
 
 
+def judge_once(calls: DataFrame, call: Callable[[DataFrame], DataFrame], path: str, keys: list[str]) -> DataFrame:
+    """F1 before U2: only calls without a verdict in the table at ``path`` are made and appended.
+
+    Returns the verdicts of these ``calls``, old and new, one per key."""
+    spark = calls.sparkSession
+    try:
+        known = spark.read.parquet(path).select(*keys).distinct()
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        known = None
+    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
+    todo = calls if known is None else calls.alias("c").join(known.alias("k"), same("c", "k"), "left_anti")
+    every = verdict_barrier(call(todo), path)
+    wanted = calls.select(*keys).distinct()
+    return every.alias("v").join(wanted.alias("w"), same("v", "w"), "left_semi").dropDuplicates(keys)
+
+
 def is_error_answer(answer_col: str = "m1") -> F.Column:
     """Q23: flag answers that are the ``ERROR`` placeholder (they are judged like any other)."""
     return F.col(answer_col) == F.lit(ERROR)

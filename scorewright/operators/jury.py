@@ -33,10 +33,11 @@ def expand_judges(answers: DataFrame, judges: list[str], aliases: dict[str, str]
     """every answer x every configured judge, with the configured position (1-based).
 
     The judge list is a caller argument of bounded size, so it is inlined as a literal
-    array and exploded: a generator, no join and no shuffle."""
+    array and exploded: a generator, no join and no shuffle.  ``judge_name`` is the
+    configured name, ``judge_model`` the full model id (D26) that the call is made with."""
     aliases = aliases or {}
     arr = F.array(*[F.struct(F.lit(i + 1).alias("judge_pos"), F.lit(j).alias("judge_short"),
-                             F.lit(aliases.get(j, j)).alias("judge_name"))
+                             F.lit(j).alias("judge_name"), F.lit(aliases.get(j, j)).alias("judge_model"))
                     for i, j in enumerate(judges)])
     return answers.withColumn("_j", F.explode(arr)).select("*", "_j.*").drop("_j")
 

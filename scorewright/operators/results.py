@@ -185,7 +185,9 @@ def upsert_results(old: DataFrame, new: DataFrame, key: list[str], generation: s
     rows of one key the highest ``generation`` (later file) wins.  Parity key is
     ``["model_name"]``; the safer key adds revision and precision."""
     both = old.withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)), allowMissingColumns=True)
-    order = [F.col("_src").desc()] + ([F.col(generation).desc()] if generation in both.columns else [])
+    # equal generations: the last file name, as a later file replaces an earlier one
+    ties = [c for c in (generation, "src_file", "file_name", "file_id") if c in both.columns]
+    order = [F.col("_src").desc(), *(F.col(c).desc() for c in ties)]
     w = Window.partitionBy(*key).orderBy(*order)
     return both.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_src")
 

@@ -1,14 +1,14 @@
 """DuckDB oracle SQL: the same derived views and each query, written independently.
 
 The driver pre-registers the Parquet tables as views; every string here is plain
-DuckDB SQL over them.  Rounding is HALF_UP through DECIMAL(18,8) in both engines.
+DuckDB SQL over them.  Rounding is HALF_UP through DECIMAL(38,12) in both engines.
 """
 
 from __future__ import annotations
 
 from scorewright.functions.scores import CRITERIA, CRITERIA_KEYS
 
-R4 = "CAST(round(CAST({x} AS DECIMAL(18,8)), 4) AS DOUBLE)"
+R4 = "CAST(round(CAST({x} AS DECIMAL(38,12)), 4) AS DOUBLE)"
 
 
 def r4(x: str) -> str:
@@ -412,10 +412,7 @@ def _bits(p: str) -> str:
 
 
 def _params_b(params: str, nbytes: str, prec: str) -> str:
-    gib = f"({nbytes} / 1073741824.0)"
-    b = _bits(prec)
-    est = (f"CAST(floor(CASE WHEN {b} = 8 THEN {gib} * 1e9 WHEN {b} = 16 THEN ({gib} / 2) * 1e9 "
-           f"WHEN {b} = 32 THEN ({gib} / 4) * 1e9 ELSE {nbytes} / ({b} / 8) END) AS BIGINT)")
+    est = f"CAST(floor({nbytes} / 1073741824.0 / ({_bits(prec)} / 8) * 1e9) AS BIGINT)"
     val = (f"(CASE WHEN regexp_matches(coalesce({params}, ''), '^[0-9]+$') THEN TRY_CAST({params} AS DOUBLE) "
            f"ELSE {est} / 1e9 END)")
     return f"CAST(round(TRY_CAST({val} AS DECIMAL(30,12)), 3) AS DOUBLE)"
@@ -541,12 +538,13 @@ WHERE NOT EXISTS (SELECT 1 FROM loc l WHERE l.request_id = n.request_id)
 UNION ALL SELECT request_id, status, 'local' FROM loc"""
     q["mirror_plan"] = f"""WITH {snap},
 put AS (SELECT category, task_set AS org, CAST(request_id AS VARCHAR) || '.json' AS file FROM new),
-remote AS (SELECT category, task_set AS org, CAST(request_id AS VARCHAR) || '.json' AS file FROM old)
+remote AS (SELECT CASE WHEN request_id % 7 = 3 THEN 'archive' ELSE category END AS category, task_set AS org,
+  CAST(request_id AS VARCHAR) || '.json' AS file FROM old)
 SELECT category || '/' || org || '/' || file AS path, 'put' AS action FROM put
 UNION SELECT r.category || '/' || r.org || '/' || r.file, 'delete' FROM remote r
-  JOIN put p ON p.org = r.org AND p.file = r.file WHERE r.category <> p.category
+  JOIN put p ON p.org = r.org AND p.file = r.file WHERE r.category <> p.category AND r.category <> 'archive'
 UNION SELECT r.category || '/' || r.org || '/' || r.file, 'keep' FROM remote r
-  WHERE NOT EXISTS (SELECT 1 FROM put p WHERE p.org = r.org AND p.file = r.file)"""
+  WHERE r.category = 'archive' OR NOT EXISTS (SELECT 1 FROM put p WHERE p.org = r.org AND p.file = r.file)"""
     return q
 
 

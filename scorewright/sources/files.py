@@ -42,11 +42,12 @@ def _str(v: Column, *keys: str) -> Column:
 
 
 def _round(v: Column) -> Column:
-    """C5 at read time: a missing Round is 0; an explicit null stays NULL (unsupported)."""
+    """C5 at read time: a missing Round is 0; null, text and fractions are NULL (unsupported)."""
     sub = F.try_variant_get(v, _path("Meta", "Round"), "variant")
     return (F.when(sub.isNull(), F.lit(0))
             .when(F.schema_of_variant(sub) == "VOID", F.lit(None).cast("int"))
-            .otherwise(F.try_variant_get(sub, "$", "int")))
+            .when(_is_number(sub) & (F.try_variant_get(sub, "$", "double") == F.floor(F.try_variant_get(sub, "$", "double"))),
+                  F.try_variant_get(sub, "$", "int")))
 
 
 def _is_number(v: Column) -> Column:

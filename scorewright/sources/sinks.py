@@ -19,9 +19,10 @@ MODEL_KEYS = ["org", "model_name", "revision", "precision"]
 
 
 def write_answers(df: DataFrame, path: str, keys: list[str] | None = None, mode: str = "overwrite") -> None:
-    """B1: one output unit per (org, model, revision, precision): partitioned Parquet."""
+    """B1: one output unit per (org, model, revision, precision): partitioned Parquet.  Only the
+    written models' partitions are replaced; the other models stay."""
     keys = [k for k in (keys or MODEL_KEYS) if k in df.columns]
-    df.write.mode(mode).partitionBy(*keys).parquet(path)
+    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
 def write_judged(df: DataFrame, path: str, keys: tuple[str, ...] = ("task_set", "model_key")) -> None:

@@ -62,11 +62,11 @@ def test_end_to_end(spark, tmp):
     wide = {(r["file_id"], r["judge_key"]): r["final_score"] for r in res["wide"].collect()}
     assert set(k for _, k in wide) == {"Judge 1", "Judge 2", "Jury"}
     # jais marks q1 wrong for both models: vote 1-1 is a tie -> jury zero on that entry
-    alpha = res["criteria"].filter((F.col("file_id") == "set-a/org/alpha") & (F.col("judge_key") == "Jury")
+    alpha = res["criteria"].filter((F.col("file_id").startswith("set-a/org/alpha|")) & (F.col("judge_key") == "Jury")
                                    & (F.col("criterion") == "3C3H Score")).collect()[0]["score"]
     assert alpha == round(5 / 6, 4)
     counts = {r["file_id"]: (r["total_entries"], r["successful_entries"]) for r in res["counts"].collect()}
-    assert counts == {"set-a/org/alpha": (7, 6), "set-a/gpt-4o": (7, 6)}
+    assert counts == {"set-a/org/alpha|main|bfloat16": (7, 6), "set-a/gpt-4o|main|UNK": (7, 6)}
 
     out = {r["model_name"]: (r["ok"], r["judged"], r["n_errors"]) for r in run_outcomes(answers, scored).collect()}
     assert out == {"org/alpha": (True, True, 0), "gpt-4o": (True, True, 1)}

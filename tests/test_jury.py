@@ -71,7 +71,8 @@ def test_expand_judges_is_a_generator_not_a_join(spark):
     out = expand_judges(answers, ["gpt-4o", "claude"], {"claude": "claude-3-5-sonnet-x"})
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Generate" in plan
-    got = sorted((r["a"], r["judge_pos"], r["judge_name"]) for r in out.collect())
+    got = sorted((r["a"], r["judge_pos"], r["judge_model"]) for r in out.collect())
+    assert {r["judge_name"] for r in out.collect()} == {"gpt-4o", "claude"}          # results keep the configured name
     assert got == [(1, 1, "gpt-4o"), (1, 2, "claude-3-5-sonnet-x"), (2, 1, "gpt-4o"), (2, 2, "claude-3-5-sonnet-x")]
 
 

@@ -7,13 +7,14 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from scorewright.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 PYTHON_OK = {"stub_generation", "stub_judging"}  # caller-supplied model / judge functions run in mapInPandas
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
