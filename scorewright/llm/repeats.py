@@ -34,7 +34,9 @@ from . import spans
 
 LENGTH = 50
 GRAM = 12
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+#: Bytes of stretches that a task holds before it compresses and sends them.
+HELD_BYTES = 24 << 20
 BUCKET_BYTES = 8 << 20
 #: The removals are broadcast to the texts only up to this size; beyond it both are shuffled.
 BROADCAST_BYTES = 32 << 20
@@ -107,29 +109,36 @@ def _pieces(ids: np.ndarray, c: spans.Chunk) -> Iterator[tuple[np.ndarray, np.nd
 
 
 def _pack(docs: np.ndarray, keys: np.ndarray, buf: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray, base: int, off: np.ndarray) -> bytes:
-    """Stretches of one bucket as a compressed block."""
+    """Stretches of one bucket as one block."""
     used, index = np.unique(row, return_inverse=True)
     size = hi - lo + LENGTH
     ends = np.cumsum(size)
     text = buf[np.arange(ends[-1]) + np.repeat(lo - (ends - size), size)]
-    head = np.array([len(used), len(row)], np.int64)
+    head = np.array([len(used), len(row), len(text)], np.int64)
     parts = [head, docs[used], keys[used], index.astype(np.uint32), (lo - off[row] + base).astype(np.int64), size.astype(np.uint8), (at - lo).astype(np.uint8), text]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(p.tobytes() for p in parts))
+    return b"".join(p.tobytes() for p in parts)
 
 
-def _unpack(blocks: list[bytes]) -> tuple[np.ndarray, ...]:
+def _flush(held: dict[int, list[bytes]]) -> tuple[list[int], list[bytes]]:
+    """The held blocks of each bucket, compressed together."""
+    numbers = sorted(held)
+    return numbers, [zstandard.ZstdCompressor(level=3).compress(b"".join(held[b])) for b in numbers]
+
+
+def _unpack(compressed: list[bytes]) -> tuple[np.ndarray, ...]:
     """(doc, key, row, position, size, anchor offset, text) of all blocks; row numbers the blocks' documents."""
     cols: list[list[np.ndarray]] = [[] for _ in range(7)]
     rows = 0
-    for block in blocks:
-        raw = zstandard.ZstdDecompressor().decompress(block)
-        n_docs, n = np.frombuffer(raw, np.int64, 2)
-        at = 16
-        for col, (kind, count) in zip(cols, [(np.int64, n_docs), (np.int64, n_docs), (np.uint32, n), (np.int64, n), (np.uint8, n), (np.uint8, n), (np.uint8, -1)], strict=True):
-            x = np.frombuffer(raw, kind, count, at)
-            at += x.nbytes
-            col.append(x.astype(np.int64) + rows if kind == np.uint32 else x)
-        rows += int(n_docs)
+    for some in compressed:
+        raw, at = zstandard.ZstdDecompressor().decompress(some), 0
+        while at < len(raw):
+            n_docs, n, n_text = (int(x) for x in np.frombuffer(raw, np.int64, 3, at))
+            at += 24
+            for col, (kind, count) in zip(cols, [(np.int64, n_docs), (np.int64, n_docs), (np.uint32, n), (np.int64, n), (np.uint8, n), (np.uint8, n), (np.uint8, n_text)], strict=True):
+                x = np.frombuffer(raw, kind, count, at)
+                at += x.nbytes
+                col.append(x.astype(np.int64) + rows if kind == np.uint32 else x)
+            rows += n_docs
     return tuple(np.concatenate(c) for c in cols)
 
 
@@ -157,19 +166,34 @@ def bucket_removals(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[b
         left = left[kept]
         if not len(left):
             return none
+    # equal stretches: only those of the smallest document go on, the others go as a whole
+    last = begin[left] + size[left] - 8
+    same = np.lexsort([size[left], offset[left], *(word[np.minimum(begin[left] + k, last)] for k in range(0, 2 * LENGTH - GRAM, 8)), group])
+    cols = [x[left[same]] for x in (size, offset)] + [word[np.minimum(begin[left[same]] + k, last[same])] for k in range(0, 2 * LENGTH - GRAM, 8)] + [group[same]]
+    new = np.ones(len(same), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols])
+    owner = doc[row[left[same]]]
+    copy = owner > np.minimum.reduceat(owner, np.flatnonzero(new))[np.cumsum(new) - 1]
+    whole = left[same[copy]]
+    left, group = left[same[~copy]], group[same[~copy]]
+    out = [(row[whole], position[whole], position[whole] + size[whole])]
+    kept, group, _ = _refine(group, np.zeros(len(left), np.uint64), doc[row[left]])
+    left = left[kept]
     windows = size[left].astype(np.int64) - LENGTH + 1
     step = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     of = np.repeat(left, windows)
     group = np.repeat(group, windows) * 64 + (offset[of] - step)
-    at, least = begin[of] + step, None
+    at = begin[of] + step
     for shift in (*range(0, LENGTH - 8, 8), LENGTH - 8):
+        if not len(of):
+            break
         kept, group, least = _refine(group, word[at + shift], doc[row[of]])
         of, at, step = of[kept], at[kept], step[kept]
-        if not len(of):
-            return none
-    gone = doc[row[of]] > least
-    of, step = of[gone], step[gone]
-    rows, packed = _spans_by_row(row[of], position[of] + step, position[of] + step + LENGTH)
+    if len(of):
+        gone = doc[row[of]] > least
+        of, step = of[gone], step[gone]
+        out.append((row[of], position[of] + step, position[of] + step + LENGTH))
+    rows, packed = _spans_by_row(*(np.concatenate(x) for x in zip(*out, strict=True)))
     return doc[rows], key[rows], packed
 
 
@@ -207,7 +231,15 @@ def removals(keyed: DataFrame, most_docs: int = 500, hot_share: float = 0.01) ->
     schema = "bucket long, doc long, key long, own binary, block binary"
     names = ["bucket", "doc", "key", "own", "block"]
 
+    def sent(held: dict[int, list[bytes]]) -> pa.RecordBatch:
+        numbers, blocks = _flush(held)
+        held.clear()
+        unset = pa.array(np.zeros(len(blocks), np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), unset, unset, pa.nulls(len(blocks), pa.binary()), pa.array(blocks, pa.binary())], names)
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        waiting = 0
         for batch in batches:
             seen = 0
             for c in spans.chunks([batch.select([0, 2])], CHUNK_BYTES):
@@ -240,13 +272,16 @@ def removals(keyed: DataFrame, most_docs: int = 500, hot_share: float = 0.01) ->
                         bucket = np.where(many, (same % np.uint64(n_buckets)).astype(np.int64), bucket)
                     stay = np.flatnonzero(~gone)
                     stay = stay[np.lexsort((lead[stay], bucket[stay]))]
-                    blocks, numbers = [], []
                     for part_rows in np.split(stay, np.flatnonzero(np.diff(bucket[stay])) + 1):
                         if len(part_rows):
-                            numbers.append(int(bucket[part_rows[0]]))
-                            blocks.append(_pack(docs, keys, part, row[part_rows], lo[part_rows], hi[part_rows], at[part_rows], base, off))
-                    unset = pa.array(np.zeros(len(blocks), np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), unset, unset, pa.nulls(len(blocks), pa.binary()), pa.array(blocks, pa.binary())], names)
+                            block = _pack(docs, keys, part, row[part_rows], lo[part_rows], hi[part_rows], at[part_rows], base, off)
+                            held.setdefault(int(bucket[part_rows[0]]), []).append(block)
+                            waiting += len(block)
+                    if waiting >= HELD_BYTES:
+                        yield sent(held)
+                        waiting = 0
+        if held:
+            yield sent(held)
 
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
         own = rows[rows["own"].notna()]
