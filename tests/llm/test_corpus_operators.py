@@ -65,7 +65,7 @@ def test_repeats_in_pieces_of_a_long_text(spark, monkeypatch):
         for part, off, base in repeats._pieces(np.array([doc]), chunk):
             row, lo, hi, at = repeats.anchors(part, off)
             if len(row):
-                blocks.append(repeats._pack(np.array([doc]), np.array([doc]), part, row, lo, hi, at, base, off))
+                blocks += repeats._flush({0: [repeats._pack(np.array([doc]), np.array([doc]), part, row, lo, hi, at, base, off)]})[1]
     docs, _, packed = repeats.bucket_removals(blocks)
     gone = {d: np.zeros(len(raw), bool) for d, raw in got.items()}
     for d, p in zip(docs, packed):
