@@ -9,7 +9,8 @@ two nodes share are paired into table keys, which leaves most texts without any.
 Buckets are never expanded into rows of pairs.  First the least node of a bucket is compared with the
 others, which joins families of copies.  Buckets that still span several components are then searched
 inside tasks, in blocks of at most ``BLOCK`` nodes against each other, for pairs of different components
-that can be similar: their set sizes allow it, and at least ``LIKELY`` of their 2 * HALVES * ROWS minhashes
+that can be similar: first each node's likeliest partner, as long as that joins components, then every
+pair left.  A pair can be similar if the set sizes allow it, and at least ``LIKELY`` of 2 * HALVES * ROWS minhashes
 agree (a pair at 0.85 fails that with probability below 1e-6).  Only such pairs fetch their sets and are
 verified, so what is left out are pairs inside a component and pairs that cannot link.
 
@@ -190,25 +191,42 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "u long, v long")
 
 
-def _block_pairs(node: np.ndarray, n: np.ndarray, component: np.ndarray, side: np.ndarray, crossed: bool, signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one block, greater node first, of different components, that sizes and signatures allow."""
+def _block_pairs(node: np.ndarray, n: np.ndarray, component: np.ndarray, side: np.ndarray, crossed: bool, signature: np.ndarray, best: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one block, greater node first, of different components, that sizes and signatures allow;
+    ``best``: for each node only the one that agrees most."""
     us, vs = [], []
+    top, partner = np.full(len(node), LIKELY - 1), np.full(len(node), -1)
     for i in range(len(node) - 1):
         j = slice(i + 1, None)
         ok = (component[j] != component[i]) & (100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i]))
         if crossed:
             ok &= side[j] != side[i]
         at = np.flatnonzero(ok) + i + 1
-        if len(at):
-            at = at[(signature[at] == signature[i]).sum(1) >= LIKELY]
+        if not len(at):
+            continue
+        agree = (signature[at] == signature[i]).sum(1)
+        if best:
+            more = agree > top[at]
+            top[at[more]], partner[at[more]] = agree[more], i
+            k = int(np.argmax(agree))
+            if agree[k] > top[i]:
+                top[i], partner[i] = agree[k], at[k]
+        else:
+            at = at[agree >= LIKELY]
             us.append(np.maximum(node[at], node[i]))
             vs.append(np.minimum(node[at], node[i]))
+    if best:
+        i = np.flatnonzero(partner >= 0)
+        us, vs = [np.maximum(node[i], node[partner[i]])], [np.minimum(node[i], node[partner[i]])]
     empty = np.zeros(0, np.int64)
     return np.concatenate([empty, *us]), np.concatenate([empty, *vs])
 
 
-def _search(rest: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Likely pairs (u, v) of different components within the buckets (key, node, n, component, members)."""
+def _search(buckets: DataFrame, label: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
+    """Likely pairs (u, v) of different components within the buckets that span several."""
+    rest = buckets.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    apart = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("key", "members")
+    rest = rest.join(apart, "key")
     slots = F.when(F.col("members") <= BLOCK, 1).otherwise(F.ceil(F.col("members") * 2 / BLOCK)).cast("int")
     rows = rest.withColumn("slots", slots).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
@@ -224,7 +242,7 @@ def _search(rest: DataFrame, nodes: DataFrame) -> DataFrame:
             us, vs = [], []
             for lo, hi in zip(new.tolist(), [*new[1:].tolist(), len(cols[0])], strict=True):
                 if hi - lo > 1:
-                    u, v = _block_pairs(*(c[lo:hi] for c in cols[3:7]), cols[1][lo] != cols[2][lo], signature[lo:hi])
+                    u, v = _block_pairs(*(c[lo:hi] for c in cols[3:7]), cols[1][lo] != cols[2][lo], signature[lo:hi], best)
                     us.append(u), vs.append(v)
             empty = np.zeros(0, np.int64)
             found = np.unique(np.stack([np.concatenate([empty, *us]), np.concatenate([empty, *vs])]), axis=1)
@@ -253,12 +271,20 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     tested = materialize(_likely(stars, nodes), "pairs")
     edges = materialize(_verify(docs, nodes, tested), "links")
     label = materialize(components(edges), "components")
-    rest = buckets.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    apart = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("key", "members")
-    new = materialize(_search(rest.join(apart, "key"), nodes).join(tested, ["u", "v"], "left_anti"), "pairs")
-    if new.isEmpty():
-        return label
-    return materialize(components(edges.union(_verify(docs, nodes, new))), "components")
+    best = True
+    while True:
+        # first each node's likeliest partner, as long as that joins components; then every likely pair left
+        new = materialize(_search(buckets, label, nodes, best).join(tested, ["u", "v"], "left_anti"), "pairs")
+        found = None if new.isEmpty() else materialize(_verify(docs, nodes, new), "links")
+        joined = found is not None and not found.isEmpty()
+        if joined:
+            edges = materialize(edges.union(found), "links")
+            label = materialize(components(edges), "components")
+        if found is not None:
+            tested = materialize(tested.union(new), "tested")
+        if not best:
+            return label
+        best = joined
 
 
 def classes(docs: DataFrame) -> DataFrame:
