@@ -281,7 +281,7 @@ def dblank(x: str) -> str:
 
 
 V_ITEMS = f"""v_items AS (
-  SELECT 'conv' || CAST(conv_id % 2 AS VARCHAR) AS task_set, conv_id AS sn, conv_id,
+  SELECT 'conv' || CAST(conv_id % 2 AS VARCHAR) AS task_set, conv_id * 1000 + part AS sn, conv_id * 1000 + part AS conv_id,
     CASE WHEN conv_id % 23 = 22 THEN 3 ELSE CAST(conv_id % 3 AS INTEGER) END AS round,
     'task' || CAST(conv_id % 4 AS VARCHAR) AS task,
     'cat' || CAST(conv_id % 3 AS VARCHAR) AS category,
@@ -289,19 +289,14 @@ V_ITEMS = f"""v_items AS (
          WHEN conv_id % 5 = 2 THEN NULL ELSE 'English' END AS language,
     q1, CASE WHEN conv_id % 19 = 7 THEN ' ' || chr(10) || chr(9) || ' ' ELSE a1 END AS a1, q2, a2
   FROM (
-    SELECT conv_id,
-      max(CASE WHEN role = 'user' AND nu = 1 THEN text END) AS q1,
-      max(CASE WHEN role = 'assistant' AND na = 1 THEN text END) AS a1,
-      max(CASE WHEN role = 'user' AND nu = 2 THEN text END) AS q2,
-      max(CASE WHEN role = 'assistant' AND na = 2 THEN text END) AS a2
-    FROM (
-      SELECT *,
-        sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nu,
-        sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS na
-      FROM conversations WHERE role <> 'system') t
-    GROUP BY conv_id) p
+    SELECT conv_id, CAST((n + 1) // 2 - 1 AS BIGINT) AS part,
+      max(CASE WHEN role = 'user' AND n % 2 = 1 THEN text END) AS q1,
+      max(CASE WHEN role = 'assistant' AND n % 2 = 1 THEN text END) AS a1,
+      max(CASE WHEN role = 'user' AND n % 2 = 0 THEN text END) AS q2,
+      max(CASE WHEN role = 'assistant' AND n % 2 = 0 THEN text END) AS a2
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS n
+          FROM conversations WHERE role IN ('user', 'assistant')) t
+    GROUP BY 1, 2) p
 )"""
 
 V_ANSWERS = """v_answers AS (
@@ -536,6 +531,9 @@ loc AS (SELECT request_id, status FROM old)
 SELECT n.request_id, n.status, 'remote' AS source FROM new n
 WHERE NOT EXISTS (SELECT 1 FROM loc l WHERE l.request_id = n.request_id)
 UNION ALL SELECT request_id, status, 'local' FROM loc"""
+    q["item_turns"] = """SELECT conv_id, CAST(count(*) FILTER (role = 'user') AS BIGINT) AS user_turns,
+  CAST(count(*) FILTER (role = 'assistant') AS BIGINT) AS assistant_turns
+FROM conversations WHERE role IN ('user', 'assistant') AND text IS NOT NULL GROUP BY conv_id"""
     q["mirror_plan"] = f"""WITH {snap},
 put AS (SELECT category, task_set AS org, CAST(request_id AS VARCHAR) || '.json' AS file FROM new),
 remote AS (SELECT CASE WHEN request_id % 7 = 3 THEN 'archive' ELSE category END AS category, task_set AS org,

@@ -318,6 +318,13 @@ def q_pull_new(spark, sf):
     return Rq.pull_new(remote, local, ["request_id"])
 
 
+def q_item_turns(spark, sf):
+    """Turns of each conversation that its items hold: every user and assistant turn."""
+    t = V.turn_pairs(spark, sf).groupBy("conv_id").agg(
+        (F.count("q1") + F.count("q2")).alias("user_turns"), (F.count("a1") + F.count("a2")).alias("assistant_turns"))
+    return t.filter(F.col("user_turns") + F.col("assistant_turns") > 0)
+
+
 def q_mirror_plan(spark, sf):
     old, new = _snapshots(spark, sf)
     local = new.select(F.col("task_set").alias("org"), F.concat(F.col("request_id").cast("string"), F.lit(".json"))
@@ -528,6 +535,7 @@ QUERIES = {
     "register_requests": q_register_requests,
     "pull_new": q_pull_new,
     "mirror_plan": q_mirror_plan,
+    "item_turns": q_item_turns,
     "jury_everywhere": q_jury_everywhere,
     "results_upsert": q_results_upsert,
     "leaderboard_rank": q_leaderboard_rank,

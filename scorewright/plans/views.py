@@ -122,31 +122,37 @@ VIEW_MODELS = ["org0/alpha-7b", "org1/beta-13b", "gpt-4o", "claude-3-5-sonnet"]
 VIEW_PROMPTS = {"arabic": "SYS-AR", "hindi": "SYS-HI", "default": "SYS-DEFAULT"}
 
 
-def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``conversations`` -> one question item per conversation.
-
-    System turns are dropped; user and assistant turns are numbered per conversation;
-    the first two of each become q1, a1, q2, a2.  round = conv_id % 3, except every
-    23rd conversation (round 3, unsupported); a1 is blanked to whitespace on every 19th
-    (C3/C4 rejections must be injected: the table has no blank text).
-    The numbering window and the pivot aggregate are both keyed by conv_id, so Spark
-    plans a single shuffle.
+def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` cut into items of two user and two assistant turns each.
+
+    User and assistant turns are numbered per conversation; turns 2k + 1 and 2k + 2 of either
+    role are q1 / a1 and q2 / a2 of item k, so every such turn is in exactly one item.  The
+    numbering window and the pivot aggregate are both met by one shuffle by conv_id.
     """
     from pyspark.sql import Window
-    t = table(spark, sf_dir, "conversations").filter(F.col("role") != "system")
+    t = table(spark, sf_dir, "conversations").filter(F.col("role").isin("user", "assistant"))
     w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumns({
-        "nu": F.sum(F.when(F.col("role") == "user", 1).otherwise(0)).over(w),
-        "na": F.sum(F.when(F.col("role") == "assistant", 1).otherwise(0)).over(w),
-    })
-    pick = lambda role, n, col: F.max(F.when((F.col("role") == role) & (F.col(col) == n), F.col("text")))
-    items = t.groupBy("conv_id").agg(
-        pick("user", 1, "nu").alias("q1"), pick("assistant", 1, "na").alias("a1"),
-        pick("user", 2, "nu").alias("q2"), pick("assistant", 2, "na").alias("a2"))
+    nu, na = (F.sum(F.when(F.col("role") == r, 1).otherwise(0)).over(w) for r in ("user", "assistant"))
+    t = t.withColumn("n", F.when(F.col("role") == "user", nu).otherwise(na) - 1)
+    t = t.withColumns({"part": F.floor(F.col("n") / 2), "second": F.col("n") % 2})
+    pick = lambda role, second: F.max(F.when((F.col("role") == role) & (F.col("second") == second), F.col("text")))
+    return t.groupBy("conv_id", "part").agg(pick("user", 0).alias("q1"), pick("assistant", 0).alias("a1"),
+                                            pick("user", 1).alias("q2"), pick("assistant", 1).alias("a2"))
+
+
+def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` -> question items, one per two turn pairs of a conversation.
+
+    conv_id and sn name the item: conversation * 1000 + number of the item.  By the
+    conversation: round = conv_id % 3, except every 23rd (round 3, unsupported); a1 is
+    blanked to whitespace on every 19th (C3/C4 rejections must be injected: the table has
+    no blank text).  System turns are left to the caller's system prompts.
+    """
     c = F.col("conv_id")
-    return items.select(
+    key = c * 1000 + F.col("part")
+    return turn_pairs(spark, sf_dir).select(
         _cat("conv", _s(c % 2)).alias("task_set"),
-        c.alias("sn"), c.alias("conv_id"),
+        key.alias("sn"), key.alias("conv_id"),
         F.when(c % 23 == 22, F.lit(3)).otherwise((c % 3).cast("int")).alias("round"),
         _cat("task", _s(c % 4)).alias("task"),
         _cat("cat", _s(c % 3)).alias("category"),
