@@ -18,7 +18,7 @@ def op1_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans.prepare(spark)
+    spans.prepare(spark, 100)
     return repeats.digests(repeats.cut(_read(spark, sf_dir, "documents")))
 
 

@@ -34,9 +34,9 @@ from . import spans
 
 LENGTH = 50
 GRAM = 12
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 #: Bytes of stretches that a task holds before it compresses and sends them.
-HELD_BYTES = 24 << 20
+HELD_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
 #: The removals are broadcast to the texts only up to this size; beyond it both are shuffled.
 BROADCAST_BYTES = 32 << 20
@@ -231,11 +231,13 @@ def removals(keyed: DataFrame, most_docs: int = 500, hot_share: float = 0.01) ->
     schema = "bucket long, doc long, key long, own binary, block binary"
     names = ["bucket", "doc", "key", "own", "block"]
 
-    def sent(held: dict[int, list[bytes]]) -> pa.RecordBatch:
+    def sent(held: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
         numbers, blocks = _flush(held)
         held.clear()
-        unset = pa.array(np.zeros(len(blocks), np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), unset, unset, pa.nulls(len(blocks), pa.binary()), pa.array(blocks, pa.binary())], names)
+        for i in range(0, len(blocks), 32):          # small batches: the other side copies each as a whole
+            some = blocks[i:i + 32]
+            unset = pa.array(np.zeros(len(some), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(numbers[i:i + 32], pa.int64()), unset, unset, pa.nulls(len(some), pa.binary()), pa.array(some, pa.binary())], names)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -278,10 +280,10 @@ def removals(keyed: DataFrame, most_docs: int = 500, hot_share: float = 0.01) ->
                             held.setdefault(int(bucket[part_rows[0]]), []).append(block)
                             waiting += len(block)
                     if waiting >= HELD_BYTES:
-                        yield sent(held)
+                        yield from sent(held)
                         waiting = 0
         if held:
-            yield sent(held)
+            yield from sent(held)
 
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
         own = rows[rows["own"].notna()]
