@@ -238,6 +238,12 @@ def test_collision_rate_is_the_generalised_jaccard_similarity(spark):
     assert abs(rate - weighted_jaccard(*texts)) < 0.02
 
 
+def test_likeness_is_a_share_of_at_least_32_samples(spark):
+    r = fingerprints.compare(spark.createDataFrame([(4, "one two three", None, None, None)], SCHEMA)).first()
+    assert len(r.fingerprint) == len(r.edited_fingerprint) == 6 * fingerprints.K
+    assert fingerprints.K >= 32 and 0.5 / fingerprints.K ** 0.5 < 0.09        # standard error at worst
+
+
 def test_single_document(spark):
     r = fingerprints.compare(spark.createDataFrame([(4, "one two three", None, None, None)], SCHEMA)).first()
     assert r.edited_sha256 == hashlib.sha256(b"one two" + b"one tw").hexdigest() and r.near_next == 1.0
