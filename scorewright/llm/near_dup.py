@@ -1,17 +1,18 @@
 """Operator 5, MinHash near-duplicates by tensored banding, every candidate verified on its full set.
 
-A document's set is its distinct 3-word shingles; documents with equal sets are one node from the start.
-Each node gets two collections, A and B, of ``HALVES`` half keys, each of ``ROWS`` minhashes; a table key is
-a pair (A_i, B_j).  So 2 * HALVES * ROWS minhashes serve HALVES ** 2 tables of 2 * ROWS rows.  At a
-similarity of 0.85 a pair misses all tables with probability below 3e-5 (0.9: 2e-7).  Only half keys that
-two nodes share are paired into table keys, which leaves most texts without any.
+A document's set is its distinct shingles of so many words; documents with equal sets are one node from the
+start.  Each node gets two collections, A and B, of ``halves`` half keys, each of ``ROWS`` minhashes; a table
+key is a pair (A_i, B_j).  So 2 * halves * ROWS minhashes serve halves ** 2 tables of 2 * ROWS rows.  The number
+of halves follows from the least similarity: there, a pair misses all tables with probability below ``MISSED``
+(12 halves at 0.85, 16 at 0.8).  Only half keys that two nodes share are paired into table keys, which leaves
+most texts without any.
 
 Buckets are never expanded into rows of pairs.  First the least node of a bucket is compared with the
 others, which joins families of copies.  Buckets that still span several components are then searched
 inside tasks, in blocks of at most ``BLOCK`` nodes against each other, for pairs of different components
 that can be similar: first each node's likeliest partner, as long as that joins components, then every
-pair left.  A pair can be similar if the set sizes allow it, and at least ``LIKELY`` of 2 * HALVES * ROWS minhashes
-agree (a pair at 0.85 fails that with probability below 1e-6).  Only such pairs fetch their sets and are
+pair left.  A pair can be similar if the set sizes allow it, and at least ``likely`` of its minhashes
+agree (a pair at the least similarity fails that with probability below ``UNLIKELY``).  Only such pairs fetch their sets and are
 verified, so what is left out are pairs inside a component and pairs that cannot link.
 
 Vertices are doc_ids: rows of one doc_id with different texts are one vertex.  Defined results: no words:
@@ -21,7 +22,10 @@ Repeated rows: equal results each.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,30 +35,54 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from . import spans
 
-HALVES, ROWS = 12, 3
+ROWS = 3
 BLOCK = 1_024
-LIKELY = 46
+MISSED, UNLIKELY = 3e-5, 3e-6
 SHINGLE_WORDS = 3
 PERCENT = 85
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_RNG = np.random.default_rng(20250102)
-_XOR = _RNG.integers(0, 1 << 63, 2 * HALVES * ROWS, dtype=np.uint64)
-_MUL = _RNG.integers(0, 1 << 63, 2 * HALVES * ROWS, dtype=np.uint64) | np.uint64(1)
 
 
-def shingle_sets(c: spans.Chunk) -> tuple[np.ndarray, np.ndarray]:
+class Rule(NamedTuple):
+    words: int                                    # of a shingle
+    percent: int                                  # least similarity
+    halves: int
+    likely: int
+
+
+@lru_cache
+def rule(words: int = SHINGLE_WORDS, percent: int = PERCENT) -> Rule:
+    """What counts as similar, with the table count and the signature bound that follow from the percent."""
+    p = percent / 100
+    halves = 1
+    while 1 - (1 - (1 - p ** ROWS) ** halves) ** 2 >= MISSED:
+        halves += 1
+    m, likely, fails = 2 * halves * ROWS, 0, 0.0
+    while likely < m and (fails := fails + math.comb(m, likely) * p ** likely * (1 - p) ** (m - likely)) < UNLIKELY:
+        likely += 1
+    return Rule(words, percent, halves, likely)
+
+
+@lru_cache
+def _minhashes(m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Masks and odd factors of m minhashes."""
+    rng = np.random.default_rng(20250102)
+    return rng.integers(0, 1 << 63, m, dtype=np.uint64), rng.integers(0, 1 << 63, m, dtype=np.uint64) | np.uint64(1)
+
+
+def shingle_sets(c: spans.Chunk, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all texts of a chunk, end to end, and where each text's begin."""
     c = c._replace(buf=_LOWER[c.buf])
     n = len(c.off) - 1
     starts, ends, doc = spans.words(c)
     h = spans.hash_spans(c.buf, starts, ends)
     count = np.bincount(doc, minlength=n)
-    m = max(0, len(h) - SHINGLE_WORDS + 1)
+    m = max(0, len(h) - size + 1)
     whole = np.flatnonzero(doc[:m] == doc[len(doc) - m:])
-    keys, owners = [spans.join_hashes([h[i:m + i][whole] for i in range(SHINGLE_WORDS)])], [doc[whole]]
+    keys, owners = [spans.join_hashes([h[i:m + i][whole] for i in range(size)])], [doc[whole]]
     first = np.concatenate([[0], np.cumsum(count)])
-    for k in range(1, SHINGLE_WORDS):          # shorter texts: the whole sequence as one
+    for k in range(1, size):          # shorter texts: the whole sequence as one
         short = np.flatnonzero(count == k)
         keys.append(spans.join_hashes([h[first[short] + i] for i in range(k)] + [np.full(len(short), k, np.uint64)]) if len(short) else np.zeros(0, np.uint64))
         owners.append(short)
@@ -80,36 +108,38 @@ def _digests(key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 SKETCH = "doc_id long, s1 long, s2 long, n long, halves array<long>, signature binary"
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, s1, s2, n, halves, signature) of every whole text: set digests, set size, its 2 * HALVES half
+def sketches(docs: DataFrame, like: Rule) -> DataFrame:
+    """(doc_id, s1, s2, n, halves, signature) of every whole text: set digests, set size, its 2 * halves half
     keys and one byte of each minhash."""
+    halves_, (xor, mul) = like.halves, _minhashes(2 * like.halves * ROWS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in spans.chunks(batches):
-            key, at = shingle_sets(c)
+            key, at = shingle_sets(c, like.words)
             size = np.diff(at)
             some = np.flatnonzero(size)
-            halves, signature = np.zeros((len(size), 2 * HALVES), np.uint64), np.zeros((len(size), 2 * HALVES * ROWS), np.uint8)
+            halves, signature = np.zeros((len(size), 2 * halves_), np.uint64), np.zeros((len(size), 2 * halves_ * ROWS), np.uint8)
             if len(some):
-                for i in range(2 * HALVES):
-                    least = [np.minimum.reduceat((key ^ _XOR[f]) * _MUL[f], at[:-1][some]) for f in range(i * ROWS, (i + 1) * ROWS)]
+                for i in range(2 * halves_):
+                    least = [np.minimum.reduceat((key ^ xor[f]) * mul[f], at[:-1][some]) for f in range(i * ROWS, (i + 1) * ROWS)]
                     halves[some, i] = spans.join_hashes(least)
                     for k, x in enumerate(least):
                         signature[some, i * ROWS + k] = (spans.mix(x) & np.uint64(0xFF)).astype(np.uint8)
             s1, s2 = _digests(key, at)
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * 2 * HALVES, pa.int32()), pa.array(halves.view(np.int64).ravel()))
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * 2 * halves_, pa.int32()), pa.array(halves.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays([c.ids, pa.array(s1), pa.array(s2), pa.array(size), flat, pa.array([x.tobytes() for x in signature], pa.binary())], [x.split()[0] for x in SKETCH.split(", ")])
 
     return spans.texts_of(docs).mapInArrow(run, SKETCH)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, members) of the wanted (node, s1, s2): the sorted shingle hashes, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at_row = 0
             for c in spans.chunks([batch]):
                 n = len(c.off) - 1
-                key, at = shingle_sets(c)
+                key, at = shingle_sets(c, words)
                 s1, s2 = _digests(key, at)
                 same = (s1 == batch.column(2).slice(at_row, n).to_numpy()) & (s2 == batch.column(3).slice(at_row, n).to_numpy())
                 at_row += n
@@ -120,11 +150,11 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.mapInArrow(run, "node long, members binary")
 
 
-def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, like: Rule) -> DataFrame:
     """The pairs (u, v) whose sets are similar enough."""
     ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     wanted = materialize(nodes.select("node", "s1", "s2").join(ends, "node"), "wanted")
-    sets = _sets(docs, wanted)
+    sets = _sets(docs, wanted, like.words)
     joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("members").alias("mu")), "u").join(sets.select(F.col("node").alias("v"), F.col("members").alias("mv")), "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +163,7 @@ def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
             for i, (a, b) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                 x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = 100 * both >= PERCENT * (len(x) + len(y) - both)
+                keep[i] = 100 * both >= like.percent * (len(x) + len(y) - both)
             yield batch.select([0, 1]).filter(pa.array(keep))
 
     return joined.select("u", "v", "mu", "mv").mapInArrow(run, "u long, v long").distinct()
@@ -157,16 +187,16 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def _fits(a: str, b: str) -> Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _fits(a: str, b: str, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _buckets(nodes: DataFrame) -> DataFrame:
+def _buckets(nodes: DataFrame, halves: int) -> DataFrame:
     """(key, node, n, pivot) of the tables' buckets that hold several nodes; pivot: the least of them."""
     half = nodes.select("node", "n", F.posexplode("halves").alias("i", "x")).withColumn("half", F.xxhash64("i", "x"))
     shared = half.groupBy("half").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("half")
-    met = half.join(shared, "half").groupBy("node", "n").agg(F.collect_list(F.struct("i", "half")).alias("h"))       # at most 2 * HALVES each
-    side = lambda lo: F.filter("h", lambda x: (x["i"] < HALVES) if lo else (x["i"] >= HALVES))
+    met = half.join(shared, "half").groupBy("node", "n").agg(F.collect_list(F.struct("i", "half")).alias("h"))       # at most 2 * halves each
+    side = lambda lo: F.filter("h", lambda x: (x["i"] < halves) if lo else (x["i"] >= halves))
     keys = met.select("node", "n", F.explode(side(True)).alias("a"), side(False).alias("bs")).select("node", "n", "a", F.explode("bs").alias("b"))
     keys = materialize(keys.select(F.xxhash64("a.half", "b.half").alias("key"), "node", "n"), "keys")
     pivots = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("hi")).where("pivot < hi").select("key", "pivot")
@@ -178,27 +208,27 @@ def _bytes_of(column: pa.Array) -> np.ndarray:
     return spans.buffers(column)[0].reshape(len(column), -1)
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _likely(pairs: DataFrame, nodes: DataFrame, like: Rule) -> DataFrame:
     """Distinct pairs (u, v) that sizes and signatures allow to be similar."""
     end = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("signature").alias(f"s{c}"))
-    joined = pairs.select("u", "v").distinct().join(end("u"), "u").join(end("v"), "v").where(_fits("nu", "nv")).select("u", "v", "su", "sv")
+    joined = pairs.select("u", "v").distinct().join(end("u"), "u").join(end("v"), "v").where(_fits("nu", "nv", like.percent)).select("u", "v", "su", "sv")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield batch.select([0, 1]).filter(pa.array((_bytes_of(batch.column(2)) == _bytes_of(batch.column(3))).sum(1) >= LIKELY))
+                yield batch.select([0, 1]).filter(pa.array((_bytes_of(batch.column(2)) == _bytes_of(batch.column(3))).sum(1) >= like.likely))
 
     return joined.mapInArrow(run, "u long, v long")
 
 
-def _block_pairs(node: np.ndarray, n: np.ndarray, component: np.ndarray, side: np.ndarray, crossed: bool, signature: np.ndarray, best: bool) -> tuple[np.ndarray, np.ndarray]:
+def _block_pairs(node: np.ndarray, n: np.ndarray, component: np.ndarray, side: np.ndarray, crossed: bool, signature: np.ndarray, best: bool, like: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one block, greater node first, of different components, that sizes and signatures allow;
     ``best``: for each node only the one that agrees most."""
     us, vs = [], []
-    top, partner = np.full(len(node), LIKELY - 1), np.full(len(node), -1)
+    top, partner = np.full(len(node), like.likely - 1), np.full(len(node), -1)
     for i in range(len(node) - 1):
         j = slice(i + 1, None)
-        ok = (component[j] != component[i]) & (100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i]))
+        ok = (component[j] != component[i]) & (100 * np.minimum(n[j], n[i]) >= like.percent * np.maximum(n[j], n[i]))
         if crossed:
             ok &= side[j] != side[i]
         at = np.flatnonzero(ok) + i + 1
@@ -212,7 +242,7 @@ def _block_pairs(node: np.ndarray, n: np.ndarray, component: np.ndarray, side: n
             if agree[k] > top[i]:
                 top[i], partner[i] = agree[k], at[k]
         else:
-            at = at[agree >= LIKELY]
+            at = at[agree >= like.likely]
             us.append(np.maximum(node[at], node[i]))
             vs.append(np.minimum(node[at], node[i]))
     if best:
@@ -222,7 +252,7 @@ def _block_pairs(node: np.ndarray, n: np.ndarray, component: np.ndarray, side: n
     return np.concatenate([empty, *us]), np.concatenate([empty, *vs])
 
 
-def _search(buckets: DataFrame, label: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
+def _search(buckets: DataFrame, label: DataFrame, nodes: DataFrame, best: bool, like: Rule) -> DataFrame:
     """Likely pairs (u, v) of different components within the buckets that span several."""
     rest = buckets.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     apart = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("key", "members")
@@ -242,7 +272,7 @@ def _search(buckets: DataFrame, label: DataFrame, nodes: DataFrame, best: bool)
             us, vs = [], []
             for lo, hi in zip(new.tolist(), [*new[1:].tolist(), len(cols[0])], strict=True):
                 if hi - lo > 1:
-                    u, v = _block_pairs(*(c[lo:hi] for c in cols[3:7]), cols[1][lo] != cols[2][lo], signature[lo:hi], best)
+                    u, v = _block_pairs(*(c[lo:hi] for c in cols[3:7]), cols[1][lo] != cols[2][lo], signature[lo:hi], best, like)
                     us.append(u), vs.append(v)
             empty = np.zeros(0, np.int64)
             found = np.unique(np.stack([np.concatenate([empty, *us]), np.concatenate([empty, *vs])]), axis=1)
@@ -264,18 +294,18 @@ def _search(buckets: DataFrame, label: DataFrame, nodes: DataFrame, best: bool)
     return rows.mapInArrow(run, "u long, v long").distinct()
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, like: Rule) -> DataFrame:
     """(node, component) of the nodes with links."""
-    buckets = materialize(_buckets(nodes), "buckets")
+    buckets = materialize(_buckets(nodes, like.halves), "buckets")
     stars = buckets.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v"))
-    tested = materialize(_likely(stars, nodes), "pairs")
-    edges = materialize(_verify(docs, nodes, tested), "links")
+    tested = materialize(_likely(stars, nodes, like), "pairs")
+    edges = materialize(_verify(docs, nodes, tested, like), "links")
     label = materialize(components(edges), "components")
     best = True
     while True:
         # first each node's likeliest partner, as long as that joins components; then every likely pair left
-        new = materialize(_search(buckets, label, nodes, best).join(tested, ["u", "v"], "left_anti"), "pairs")
-        found = None if new.isEmpty() else materialize(_verify(docs, nodes, new), "links")
+        new = materialize(_search(buckets, label, nodes, best, like).join(tested, ["u", "v"], "left_anti"), "pairs")
+        found = None if new.isEmpty() else materialize(_verify(docs, nodes, new, like), "links")
         joined = found is not None and not found.isEmpty()
         if joined:
             edges = materialize(edges.union(found), "links")
@@ -287,13 +317,14 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         best = joined
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
-    rows = materialize(sketches(docs), "sketches")
+    like = rule(words, percent)
+    rows = materialize(sketches(docs, like), "sketches")
     some = rows.where("n > 0 and doc_id is not null")
     nodes = some.groupBy("s1", "s2").agg(F.min(F.struct(F.col("doc_id").alias("node"), "n", "halves", "signature")).alias("x")).select("x.*", "s1", "s2")
     nodes = materialize(nodes, "nodes")
-    label = links(docs, nodes)
+    label = links(docs, nodes, like)
     least = nodes.select("s1", "s2", "node").join(label, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
     placed = rows.select("doc_id", "s1", "s2", F.col("n").alias("n_shingles")).join(least, ["s1", "s2"], "left")
     placed = materialize(placed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")), "placed")

@@ -1,6 +1,9 @@
 """The pipeline stage by stage, and the registered queries over the driver's tables."""
 
+import math
 import os
+import random
+import re
 
 import pytest
 
@@ -33,6 +36,42 @@ def test_stages(spark, tmp_path):
     assert table(corpus_pipeline.run(spark, str(tmp_path))) == table(docs)
 
 
+def brute_kept(rows, words, percent):
+    """doc_ids of rows (doc_id, text, ...) that are the least of their group."""
+    sets = []
+    for i, text, *_ in rows:
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", text.lower()) if x]
+        sets.append((i, {tuple(w[k:k + words]) for k in range(len(w) - words + 1)} or {tuple(w)}))
+    group = {i: i for i, _ in sets}
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if 100 * len(a & b) >= percent * len(a | b):
+                lo, hi = sorted((group[i], group[j]))
+                group = {x: lo if g == hi else g for x, g in group.items()}
+    return {i for i, g in group.items() if i == g}
+
+
+def test_near_copies_between_80_and_85_percent_go(spark):
+    """Copies with a fifth of their text appended or cut off: J = 0.83 for shingles of 3 and of 5 words."""
+    rng = random.Random(8)
+    long = [[f"w{rng.randrange(10**6)}" for _ in range(240)] for _ in range(12)]
+    rows = [(i, " ".join(w[:200]), "en", "s0", 0) for i, w in enumerate(long)]
+    rows += [(100 + i, " ".join(w), "en", "s0", 0) for i, w in enumerate(long[:6])] + [(200 + i, " ".join(w[:167]), "en", "s0", 0) for i, w in enumerate(long[6:])]
+    rows += [(300 + i, " ".join(w[:155]), "en", "s0", 0) for i, w in enumerate(long[6:9])] + [(400, "a b c d", "en", "s0", 0), (401, "A b c  d", "en", "s0", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()}
+    assert got == brute_kept(rows, 5, 80) and not any(100 <= i < 200 for i in got)
+    assert {r.doc_id for r in near_dup.classes(docs).where("kept").collect()} == brute_kept(rows, 3, 85) >= {100, 101, 102, 103, 104, 105}
+
+
+@pytest.mark.parametrize("percent", [80, 85, 95])
+def test_tables_and_signature_bound_follow_the_percent(percent):
+    like, p = near_dup.rule(5, percent), percent / 100
+    m = 2 * near_dup.ROWS * like.halves
+    assert 1 - (1 - (1 - p ** near_dup.ROWS) ** like.halves) ** 2 < near_dup.MISSED
+    assert sum(math.comb(m, k) * p ** k * (1 - p) ** (m - k) for k in range(like.likely)) < near_dup.UNLIKELY
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_oracles_and_brute_force_on_driver_tables(spark):
     duckdb = pytest.importorskip("duckdb")
