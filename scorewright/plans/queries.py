@@ -226,9 +226,10 @@ def q_unjudged_answers(spark, sf):
     """answers not judged yet; the judged side is every round-0 answer with a model
     answer (the part of the work already done)."""
     a = V.v_answers(spark, sf)
-    answers = a.select("conv_id", "model_pos")
-    judged = a.filter((F.col("round") == 0) & (F.col("m1") != "")).select("conv_id", "model_pos")
-    return I.unjudged(answers, judged, ["conv_id", "model_pos"])
+    key = ["conversation", "part", "model_pos"]
+    answers = a.select("conv_id", *key)
+    judged = a.filter((F.col("round") == 0) & (F.col("m1") != "")).select(*key)
+    return I.unjudged(answers, judged, key).select("conv_id", "model_pos")
 
 
 # ---------------------------------------------------------------- models and files

@@ -143,7 +143,8 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conversations`` -> question items, one per two turn pairs of a conversation.
 
-    conv_id and sn name the item: conversation * 1000 + number of the item.  By the
+    conversation and part name the item.  conv_id and sn, conversation * 1000 + part as in the
+    oracle, do so only up to 1,000 items a conversation: never join by them.  By the
     conversation: round = conv_id % 3, except every 23rd (round 3, unsupported); a1 is
     blanked to whitespace on every 19th (C3/C4 rejections must be injected: the table has
     no blank text).  System turns are left to the caller's system prompts.
@@ -152,7 +153,7 @@ def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = c * 1000 + F.col("part")
     return turn_pairs(spark, sf_dir).select(
         _cat("conv", _s(c % 2)).alias("task_set"),
-        key.alias("sn"), key.alias("conv_id"),
+        key.alias("sn"), key.alias("conv_id"), c.alias("conversation"), "part",
         F.when(c % 23 == 22, F.lit(3)).otherwise((c % 3).cast("int")).alias("round"),
         _cat("task", _s(c % 4)).alias("task"),
         _cat("cat", _s(c % 3)).alias("category"),

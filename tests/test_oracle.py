@@ -23,6 +23,19 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, f"{name}: spark={ns} duck={nd} {detail}"
 
 
+def test_unjudged_answers_of_a_long_conversation(spark, tmp):
+    """Item 1000 of conversation 5 and item 0 of conversation 6 have one conv_id, but are two items."""
+    roles = ("user", "assistant")
+    turns = [(c, t, roles[t % 2], f"turn {t} of {c}") for c, n in ((5, 4004), (6, 4)) for t in range(n)]
+    spark.createDataFrame(turns, spark.read.parquet(f"{SF}/conversations.parquet").schema).write.parquet(f"{tmp}/conversations.parquet")
+    con = duck(tmp)
+    con.execute(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM read_parquet('{tmp}/conversations.parquet/*.parquet')")
+    for name in ("unjudged_answers", "answer_validity"):
+        ok, ns, nd, _, _, detail = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], tmp)
+        assert ok, f"{name}: spark={ns} duck={nd} {detail}"
+    assert E.queries()["unjudged_answers"](spark, tmp).where("conv_id = 6000").count() >= 4
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and df.columns == ["model_id", "judge_key", "judge_name", "criterion", "score"]
