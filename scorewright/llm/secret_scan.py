@@ -1,10 +1,11 @@
 """Operator 4, secret scans: fixed patterns, and Markov models of random strings and ordinary identifiers.
 
-Every run of identifier characters that the patterns leave over is scored by the mean log-likelihood ratio
-per character of two second-order character models.  They are trained from labelled samples of bounded
+Every stretch of identifier characters that the patterns leave over, also the rest of a run that a pattern
+takes a part of, is scored from ``SHORTEST`` characters on by the mean log-likelihood ratio per character of two second-order character models.  They are trained from labelled samples of bounded
 size (``most_samples`` strings a class): random strings are the secrets the patterns find in sampled
 texts, with strings drawn from the usual alphabets; ordinary ones are the sampled texts' words, alone and
-joined in the usual ways.  The threshold lies above every ordinary training string.
+joined in the usual ways, and digits.  A sampled word that a first model, of the words shorter than ``SHORTEST``,
+takes for random is not ordinary.  The threshold lies above every ordinary training string.
 
 Spans are code points, end exclusive.  Defined results: null or empty text: no spans.  Repeated rows: one
 result each.  Empty table: only the drawn strings train the models.  Extra columns are ignored.
@@ -37,7 +38,7 @@ LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CODE = np.zeros(256, np.int64)
 for _i, _c in enumerate(LETTERS):
     _CODE[ord(_c)] = _i + 1                       # 0: before the string
-SHORTEST = 20
+SHORTEST = 12
 
 Span = tuple[int, int, int]                       # start byte, kind, end byte
 
@@ -60,9 +61,9 @@ def base_spans(text: bytes) -> list[Span]:
     return out
 
 
-def long_runs(buf: np.ndarray, off: np.ndarray, letters: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs of some letters, of a least length, that stay within one text."""
-    starts, ends = spans.runs(letters[buf], off)
+def long_runs(letters: np.ndarray, off: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of marked letters, of a least length, that stay within one text."""
+    starts, ends = spans.runs(letters, off)
     keep = ends - starts >= shortest
     return starts[keep], ends[keep]
 
@@ -84,17 +85,19 @@ def _scan(c: spans.Chunk, model: Model | None) -> list[list[Span]]:
     if b"AKIA" in raw or any(k in low for k in (b"passw", b"secret", b"token", b"api")):
         for i in range(n):
             found[i] += base_spans(raw[c.off[i]:c.off[i + 1]])
-    for a, b in zip(*long_runs(c.buf, c.off, _HEX, 32), strict=True):
+    for a, b in zip(*long_runs(_HEX[c.buf], c.off, 32), strict=True):
         i = int(spans.doc_of(c.off, a))
         found[i].append((int(a - c.off[i]), 2, int(b - c.off[i])))
     if model is not None:
-        starts, ends = long_runs(c.buf, c.off, _IDENTIFIER, SHORTEST)
+        free = _IDENTIFIER[c.buf]
+        for start, base in zip(c.off, found):
+            for a, _, b in base:
+                free[start + a:start + b] = False
+        starts, ends = long_runs(free, c.off, SHORTEST)
         llr = score([raw[a:b] for a, b in zip(starts, ends, strict=True)], model.log_ratio)
         for a, b in zip(starts[llr >= model.threshold], ends[llr >= model.threshold], strict=True):
             i = int(spans.doc_of(c.off, a))
-            a, b = int(a - c.off[i]), int(b - c.off[i])
-            if all(e <= a or s >= b for s, _, e in found[i]):
-                found[i].append((a, 3, b))
+            found[i].append((int(a - c.off[i]), 3, int(b - c.off[i])))
     return [sorted(x) for x in found]
 
 
@@ -144,16 +147,23 @@ def fit(docs: DataFrame, most_docs: int = 2_000, most_samples: int = 5_000, seed
     words = sorted(spans.smallest_by_hash(found.where("not secret"), "string", most_samples))
     rng = random.Random(seed)
     drawn = ["".join(rng.choices(a, k=rng.randint(SHORTEST, 64))).encode() for a in ALPHABETS for _ in range(most_samples // len(ALPHABETS))]
-    pick = lambda n: [rng.choice(words) for _ in range(n)]
-    plain = [w.encode() for w in words]
-    for _ in range(most_samples if words else 0):
-        parts = pick(rng.randint(2, 5))
-        plain.append(rng.choice(["_".join(parts), "-".join(parts), "/".join(parts), "".join(p.capitalize() for p in parts), "".join(parts), "_".join(parts).upper(), "_".join(parts) + str(rng.randint(0, 2030))]).encode())
-    log_ratio = _log_p(_counts(secret + drawn)) - _log_p(_counts(plain))
-    ordinary = score([s for s in plain if len(s) >= SHORTEST], log_ratio)
-    odd = np.sort(score(secret + drawn, log_ratio))
-    top = float(ordinary.max()) if len(ordinary) else 0.0
-    return Model(log_ratio.astype(np.float32), top + max(0.05, 0.25 * (float(odd[len(odd) // 20]) - top)))
+
+    def trained(words: list[str]) -> tuple[np.ndarray, float, float]:
+        """The log ratio, the highest score of an ordinary string, and the score that 95 % of the random ones reach."""
+        plain = [w.encode() for w in words]
+        for _ in range(most_samples if words else 0):
+            parts = [rng.choice(words) for _ in range(rng.randint(2, 5))]
+            plain.append(rng.choice(["_".join(parts), "-".join(parts), "/".join(parts), "".join(p.capitalize() for p in parts), "".join(parts), "_".join(parts).upper(), "_".join(parts) + str(rng.randint(0, 2030))]).encode())
+        plain += ["".join(rng.choices("0123456789", k=rng.randint(4, 24))).encode() for _ in range(most_samples // 10 if words else 0)]
+        log_ratio = _log_p(_counts(secret + drawn)) - _log_p(_counts(plain))
+        ordinary = score([s for s in plain if len(s) >= SHORTEST], log_ratio)
+        odd = np.sort(score(secret + drawn, log_ratio))
+        return log_ratio, float(ordinary.max()) if len(ordinary) else 0.0, float(odd[len(odd) // 20])
+
+    log_ratio, top, usual = trained([w for w in words if len(w) < SHORTEST])
+    likely = score([w.encode() for w in words], log_ratio) >= max(top, usual)
+    log_ratio, top, usual = trained([w for w, x in zip(words, likely, strict=True) if len(w) < SHORTEST or not x])
+    return Model(log_ratio.astype(np.float32), top + max(0.05, 0.25 * (usual - top)))
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
