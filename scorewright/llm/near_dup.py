@@ -12,7 +12,8 @@ others, which joins families of copies.  Buckets that still span several compone
 inside tasks, in blocks of at most ``BLOCK`` nodes against each other, for pairs of different components
 that can be similar: first each node's likeliest partner, as long as that joins components, then every
 pair left.  A pair can be similar if the set sizes allow it, and at least ``likely`` of its minhashes
-agree (a pair at the least similarity fails that with probability below ``UNLIKELY``).  Only such pairs fetch their sets and are
+agree (a pair at the least similarity fails that with probability below ``UNLIKELY``); that holds for the pairs with
+the least node, too.  Only such pairs fetch their sets and are
 verified, so what is left out are pairs inside a component and pairs that cannot link.
 
 Vertices are doc_ids: rows of one doc_id with different texts are one vertex.  Defined results: no words:
@@ -37,7 +38,7 @@ from . import spans
 
 ROWS = 3
 BLOCK = 1_024
-MISSED, UNLIKELY = 3e-5, 3e-6
+MISSED, UNLIKELY = 3e-5, 1e-6
 SHINGLE_WORDS = 3
 PERCENT = 85
 _LOWER = np.arange(256, dtype=np.uint8)

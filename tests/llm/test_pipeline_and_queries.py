@@ -72,6 +72,11 @@ def test_tables_and_signature_bound_follow_the_percent(percent):
     assert sum(math.comb(m, k) * p ** k * (1 - p) ** (m - k) for k in range(like.likely)) < near_dup.UNLIKELY
 
 
+def test_signature_filter_loses_less_than_a_pair_in_a_million():
+    lost = sum(math.comb(72, k) * 0.85 ** k * 0.15 ** (72 - k) for k in range(near_dup.rule().likely))
+    assert near_dup.rule().halves == 12 and lost < 1e-6
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_oracles_and_brute_force_on_driver_tables(spark):
     duckdb = pytest.importorskip("duckdb")
