@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, mixing, near_dup, quality, repeats, secret_scan, spans, token_counts, toxicity
+from . import bpe, chat, fingerprints, lexical_search, license_scan, mixing, near_dup, quality, repeats, secret_scan, spans, token_counts, toxicity, whitening
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +65,22 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(_read(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans.prepare(spark)
+    return license_scan.digests(license_scan.scan(_read(spark, sf_dir, "documents")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans.prepare(spark, 4000)
+    packed, dim = whitening.pack(_read(spark, sf_dir, "embeddings"))
+    return whitening.whiten(packed, dim, whitening.fit(packed, dim))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans.prepare(spark)
+    return lexical_search.rank_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {"op1_quality_llr": op1_quality_llr, "op2_repeats": op2_repeats, "op3_mix_budget": op3_mix_budget, "op4_secret_scan": op4_secret_scan, "op5_near_dup": op5_near_dup, "op6_token_counts": op6_token_counts, "op7_toxicity": op7_toxicity, "op8_chat_format": op8_chat_format, "op9_bpe": op9_bpe,
-           "op10_weighted_fingerprints": op10_weighted_fingerprints}
-ORACLE: dict[str, str] = {"op5_near_dup": near_dup.ORACLE, "op8_chat_format": chat.ORACLE}
+           "op10_weighted_fingerprints": op10_weighted_fingerprints, "op11_license_scan": op11_license_scan, "op12_whitening": op12_whitening, "op13_lexical_search": op13_lexical_search}
+ORACLE: dict[str, str] = {"op5_near_dup": near_dup.ORACLE, "op8_chat_format": chat.ORACLE, "op13_lexical_search": lexical_search.ORACLE}
