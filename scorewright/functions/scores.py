@@ -44,40 +44,6 @@ def extract_block(response: Column, tag: str) -> Column:
 _SCALAR_NUMBERS = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE", "BOOLEAN")
 
 
-def is_number_type(t: Column) -> Column:
-    """A ``schema_of_variant`` type name that counts as a number (JSON true/false included)."""
-    return F.coalesce(t.isin(*_SCALAR_NUMBERS) | t.startswith("DECIMAL"), F.lit(False))
-
-
-def _is_number(v: Column) -> Column:
-    return is_number_type(F.schema_of_variant(v))
-
-
-def _json_number(x: Column) -> Column:
-    """A variant member is a number (or boolean) iff its JSON text starts with a digit,
-    ``-``, ``t`` or ``f``: strings start with a quote, null with ``n``, containers with a
-    bracket.  Cheaper inside a lambda than building the type name."""
-    return F.substring(F.to_json(x), 1, 1).isin("-", "0", "1", "2", "3", "4", "5", "6", "7", "8", "9", "t", "f")
-
-
-def _mean_of_numbers(values: Column) -> Column:
-    """Mean of the numeric members of an ARRAY<VARIANT>; 0 when none."""
-    nums = F.transform(F.filter(values, _json_number), lambda x: F.try_variant_get(x, "$", "double"))
-    total = F.aggregate(nums, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-    return F.when(F.size(nums) > 0, total / F.size(nums)).otherwise(F.lit(0.0))
-
-
-def _coerce_variant(v: Column) -> Column:
-    """D17 on one variant value: number -> itself (true = 1); list -> mean of its numeric
-    members; object -> mean of its numeric values; anything else -> 0."""
-    as_list = F.try_variant_get(v, "$", "array<variant>")
-    as_obj = F.try_variant_get(v, "$", "map<string,variant>")
-    return (F.when(_is_number(v), F.try_variant_get(v, "$", "double"))
-            .when(as_list.isNotNull(), _mean_of_numbers(as_list))
-            .when(as_obj.isNotNull(), _mean_of_numbers(F.map_values(as_obj)))
-            .otherwise(F.lit(0.0)))
-
-
 # ---- SQL-text forms of the per-criterion stages (one JVM parse per expression instead of
 # thousands of Python -> JVM calls when the expression tree is built column by column)
 
@@ -108,6 +74,13 @@ def sql_container_score(v: str, t: str) -> str:
             f"ELSE {_sql_mean(f'map_values(try_variant_get({v}, {chr(39)}${chr(39)}, {chr(39)}map<string,variant>{chr(39)}))')} END")
 
 
+def sql_coerce(v: str) -> str:
+    """D17 on one variant expression, a missing value included: number -> itself (true = 1); list -> mean of its
+    numeric members; object -> mean of its numeric values; anything else -> 0."""
+    t = f"schema_of_variant({v})"
+    return f"coalesce({sql_scalar_score(v, t)}, CASE WHEN {sql_is_container(t)} THEN {sql_container_score(v, t)} END, 0.0D)"
+
+
 def sql_normalise_one(i: int, v: str, correct: str, clamp: bool = False) -> str:
     """D18 + D19 in SQL.  ``clamp`` caps the 1-5 criteria at 1 (off by default: the
     reference lets a 7 become 1.5, Q2)."""
@@ -120,8 +93,15 @@ def sql_normalise_one(i: int, v: str, correct: str, clamp: bool = False) -> str:
 
 
 def sql_round4(x: str) -> str:
-    """D27 in SQL text (same rule as ``round4``)."""
-    return f"CAST(round(try_cast({x} AS DECIMAL(38,12)), 4) AS DOUBLE)"
+    """D27 in SQL text: HALF_UP rounding to 4 digits through DECIMAL(38,12), back to DOUBLE.
+
+    Twelve digits keep values just below a tie below it; Spark and DuckDB agree on this form (plain ``round``
+    on doubles differs between engines at ties).  A value below 1e4 that lies 1e-10 or more from a tie rounds
+    the same way by arithmetic on doubles, without big decimals; only the others take the decimal path.  A
+    value beyond DECIMAL(38,12), 1e26 and more, has no rounded form and becomes NULL."""
+    return (f"CASE WHEN abs({x}) < 1E4D AND abs(({x}) * 1E4D - floor(({x}) * 1E4D) - 0.5D) > 1E-6D "
+            f"THEN floor(({x}) * 1E4D + 0.5D) / 1E4D "
+            f"ELSE CAST(round(try_cast({x} AS DECIMAL(38,12)), 4) AS DOUBLE) END")
 
 
 def as_object(block: Column) -> Column:
@@ -129,37 +109,9 @@ def as_object(block: Column) -> Column:
     return F.try_variant_get(block, "$", "map<string,variant>")
 
 
-def coerce_score(block: Column, key: str) -> Column:
-    """D17 for one criterion key of a parsed block; a missing key is 0."""
-    return F.coalesce(_coerce_variant(F.element_at(as_object(block), F.lit(key))), F.lit(0.0))
-
-
 def round4(x: Column) -> Column:
-    """HALF_UP rounding to 4 digits through DECIMAL(38,12), back to DOUBLE, for every value alike.
-
-    Twelve digits keep values just below a tie below it; Spark and DuckDB agree on this
-    form (plain ``round`` on doubles differs between engines at ties).  A value beyond
-    DECIMAL(38,12), 1e26 and more, has no rounded form and becomes NULL."""
-    return F.round(x.try_cast("decimal(38,12)"), 4).cast("double")
-
-
-def weighted_criteria(blocks: list[list[Column]], weights: list[int]) -> dict[str, Column]:
-    """Per criterion sum(w * s) / sum(w), rounded with D27."""
-    total_w = float(sum(weights))
-    out = {}
-    for i, name in enumerate(CRITERIA):
-        acc = None
-        for b, w in zip(blocks, weights):
-            term = b[i] * F.lit(float(w))
-            acc = term if acc is None else acc + term
-        out[name] = round4(acc / F.lit(total_w))
-    return out
-
-
-def final_score(criteria: list[Column]) -> Column:
-    """Mean of the six (already rounded) criteria, rounded."""
-    s = None
-    for c in criteria:
-        s = c if s is None else s + c
-    return round4(s / F.lit(6.0))
-
+    """D27 on a column: the rule of ``sql_round4``."""
+    scaled = x * F.lit(1e4)
+    near = (F.abs(x) < F.lit(1e4)) & (F.abs(scaled - F.floor(scaled) - F.lit(0.5)) > F.lit(1e-6))
+    return (F.when(near, F.floor(scaled + F.lit(0.5)) / F.lit(1e4))
+            .otherwise(F.round(x.try_cast("decimal(38,12)"), 4).cast("double")))

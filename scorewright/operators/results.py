@@ -1,33 +1,36 @@
-"""Judged entries -> model results.
+"""Judged entries -> model results.
 
 Inputs
-  judged:  one row per (file_id, ordinal, judge_key) with judge_name, task and the seven
-           scores (NULL = missing / empty score set).  ``judge_key`` is ``Judge <n>`` or
-           ``Jury``.
+  judged:  one row per (file_id, ordinal, judge_key) with judge_name and the seven scores
+           (NULL = missing / empty score set).  ``judge_key`` is ``Judge <n>`` or ``Jury``.
   entries: one row per (file_id, ordinal) with task and the model metadata columns.
-
-Plan shape: the complete-case test (C6) is a window count per entry key (one exchange
-of the score rows by (file_id, ordinal), where no key holds more than the configured
-judges + 1 rows); the flagged rows are written once, and the averages are partial + final hash aggregates keyed by
-(file_id, judge_key[, task]) whose partial step collapses a hot model before the
-shuffle.  The roster is a per-file aggregate of bounded size (files x configured
-judges); only its judge-key list (at most the configured judges plus the jury) is
-brought to the driver, because an empty intersection must stop the run (G1).
+  scored:  verdicts of the configured judges, usable or not, by entry and ``judge_pos``.
+
+Plan shape: the score rows meet their entry in one grouping (one exchange by entry; a group holds
+the configured judges and one entry row), which leaves one packed row per entry: task, metadata and
+an array of judge structs.  Renumbering (H2), the jury (E3-E5) and the complete-case test (C6) are
+row expressions over that array.  The packed table is written once.  Criterion averages, task
+averages and entry counts come from one grouping-sets aggregate over it, partial before the
+shuffle; rosters, first entries and names from one aggregate per file.  The expected judges are a
+scalar subquery: nothing is collected, and an empty intersection fails the job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewright.functions.scores import CRITERION_LABELS, SCORE_COLS, round4
+from scorewright.operators.jury import STRATEGIES
 
 JURY = "Jury"
 ENTRY = ["file_id", "ordinal"]
 META_COLS = ["model_name", "license", "revision", "precision", "params"]
+JUDGE = ("struct<judge_key:string,judge_name:string,ok:boolean,"
+         + ",".join(f"{c}:double" for c in SCORE_COLS) + ">")
 
 
-def _complete(df: DataFrame) -> F.Column:
+def _complete() -> Column:
     """All seven scores present (no NULL, non-empty)."""
     c = F.lit(True)
     for s in SCORE_COLS:
@@ -35,151 +38,192 @@ def _complete(df: DataFrame) -> F.Column:
     return c
 
 
-def judge_rosters(judged: DataFrame) -> DataFrame:
-    """Per file, the keys (``Judge <n>`` and ``Jury``) of the first entry (lowest
-    ordinal) that has any ``Judge <n>`` key.  Files without any judge have no roster."""
-    first = (judged.filter(F.col("judge_key").startswith("Judge "))
-             .groupBy("file_id").agg(F.min("ordinal").alias("ordinal")))
-    return judged.join(first, ENTRY, "left_semi").select("file_id", "judge_key").distinct()
-
-
-def common_judges(rosters: DataFrame) -> DataFrame:
-    """G1 + E14: judges present in every file's roster (relational division), and the
-    jury when every roster has it.  The file total is one scalar, read once."""
-    n_files = rosters.agg(F.count_distinct("file_id")).first()[0]
-    return (rosters.groupBy("judge_key").agg(F.count_distinct("file_id").alias("n_with"))
-            .filter(F.col("n_with") == F.lit(n_files)).select("judge_key"))
-
-
-def jury_everywhere(rosters: DataFrame) -> DataFrame:
-    """One row: whether every file's roster holds the jury (1) or not (0)."""
-    per_file = rosters.groupBy("file_id").agg(F.max((F.col("judge_key") == JURY).cast("int")).alias("j"))
-    return per_file.agg(F.coalesce(F.min("j"), F.lit(0)).alias("jury_everywhere"),
-                        F.count(F.lit(1)).cast("bigint").alias("n_files"))
-
-
-def expected_judges(judged: DataFrame) -> list[str]:
-    """The judge keys every entry must have: common judges, plus the jury when all
-    rosters carry it.  One job: a rollup gives the per-judge file counts and the file
-    total together; the result is bounded by the configured judges + 1, so it is
-    collected (an empty intersection must stop the run)."""
-    rows = (judge_rosters(judged).rollup("judge_key")
-            .agg(F.count_distinct("file_id").alias("n")).collect())
-    total = next((r["n"] for r in rows if r["judge_key"] is None), 0)
-    keys = sorted(r["judge_key"] for r in rows if r["judge_key"] is not None and r["n"] == total)
-    judges = [k for k in keys if k != JURY]
-    if not judges:
-        raise ValueError("no common judges across judged files")
-    return judges + ([JURY] if JURY in keys else [])
-
-
-def valid_entries(judged: DataFrame, expected: list[str]) -> DataFrame:
-    """Entry keys where every expected judge has a complete score set (Q11: one
-    missing judge fails the entry for all judges).  A judged table holds one row per
-    (file, entry, judge key) - the keys of a JSON object - so a plain count per entry
-    (one shuffle, no distinct aggregate) is the number of complete expected judges."""
-    complete = F.col("score_ok") if "score_ok" in judged.columns else _complete(judged)
-    ok = judged.filter(F.col("judge_key").isin(expected) & complete)
-    return (ok.groupBy(*ENTRY).agg(F.count(F.lit(1)).alias("n_ok"))
-            .filter(F.col("n_ok") == len(expected)).select(*ENTRY))
-
-
-def flag_valid(judged: DataFrame, expected: list[str]) -> DataFrame:
-    """C6 without a join: ``_valid`` on every row of an entry whose expected judges all
-    have complete score sets.  A window count over the entry key (one exchange of the
-    score rows, one sort; an entry holds at most the configured judges + 1 rows)."""
-    complete = F.col("score_ok") if "score_ok" in judged.columns else _complete(judged)
-    good = F.when(F.col("judge_key").isin(expected) & complete, 1).otherwise(0)
-    return judged.withColumn("_valid", F.sum(good).over(Window.partitionBy(*ENTRY)) == len(expected))
-
-
-def first_entry(entries: DataFrame) -> DataFrame:
-    """Per file, the metadata of the entry with the lowest ordinal."""
-    cols = [c for c in META_COLS if c in entries.columns]
-    return (entries.groupBy("file_id")
-            .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col("ordinal")).alias("m"),
-                 F.min("ordinal").alias("first_ordinal"))
-            .select("file_id", "first_ordinal", *[F.col("m." + c).alias(c) for c in cols]))
-
-
-def judge_display_names(judged: DataFrame, entries: DataFrame, expected: list[str]) -> DataFrame:
-    """The name of each expected judge key taken from the file's first entry;
-    the key itself when that entry lacks it; the jury is always ``Jury``."""
-    firsts = entries.groupBy("file_id").agg(F.min("ordinal").alias("ordinal"))
-    names = (judged.join(firsts, ENTRY, "left_semi").filter(F.col("judge_key").isin(expected))
-             .groupBy("file_id", "judge_key").agg(F.max("judge_name").alias("jn")))
-    keys = (firsts.select("file_id")
-            .withColumn("judge_key", F.explode(F.array(*[F.lit(k) for k in expected]))))
-    return (keys.join(names, ["file_id", "judge_key"], "left")
-            .select("file_id", "judge_key",
-                    F.when(F.col("judge_key") == JURY, F.lit(JURY))
-                    .otherwise(F.coalesce(F.col("jn"), F.col("judge_key"))).alias("judge_name")))
-
-
-def criterion_averages(flagged: DataFrame, expected: list[str], files: DataFrame) -> DataFrame:
-    """Per (file, judge) the mean of the six criteria and the final score over valid
-    entries (``flag_valid``), rounded; NULL when the file has no valid entry.  Wide: one
-    row per judge; a partial + final aggregate, no join on the entry key."""
-    rows = flagged.filter(F.col("judge_key").isin(expected) & F.col("_valid"))
-    agg = rows.groupBy("file_id", "judge_key").agg(
-        *[round4(F.avg(F.coalesce(F.col(c), F.lit(0.0)))).alias(c) for c in SCORE_COLS])
-    keys = files.select("file_id").withColumn("judge_key", F.explode(F.array(*[F.lit(k) for k in expected])))
-    return keys.join(agg, ["file_id", "judge_key"], "left")
+# ----------------------------------------------------------------- one packed row per entry
+
+
+def _pack(rows: DataFrame, element: Column, entries: DataFrame) -> DataFrame:
+    """(entry, element) rows and the entry rows in one grouping: (file_id, ordinal, task, _meta, _found)."""
+    meta = F.struct(*[F.col(c) for c in META_COLS if c in entries.columns] or [F.lit(None).cast("string").alias("model_name")])
+    task = F.col("task") if "task" in entries.columns else F.lit(None)
+    facts = entries.select(*ENTRY, F.struct(task.cast("string").alias("task"), meta.alias("meta")).alias("_e"))
+    both = rows.select(*ENTRY, element.alias("_j")).unionByName(facts, allowMissingColumns=True)
+    packed = both.groupBy(*ENTRY).agg(F.collect_list("_j").alias("_found"), F.max("_e").alias("_e"))
+    return packed.select(*ENTRY, F.col("_e.task").alias("task"), F.col("_e.meta").alias("_meta"), "_found")
 
 
-def unpivot_criteria(wide: DataFrame, keep: list[str]) -> DataFrame:
-    """Wide criterion columns -> (criterion label (D22), score) rows."""
-    return wide.unpivot(keep, SCORE_COLS, "criterion_col", "score").select(
-        *keep, F.create_map(*[x for k, v in CRITERION_LABELS.items() for x in (F.lit(k), F.lit(v))])
-        [F.col("criterion_col")].alias("criterion"), "score")
+def pack_judged(judged: DataFrame, entries: DataFrame) -> DataFrame:
+    """Judged rows -> (file_id, ordinal, task, _meta, judges): one row per entry with the array of its judge
+    structs, the jury's included.  Several rows of one judge key keep the greatest of them."""
+    ok = F.col("score_ok") if "score_ok" in judged.columns else _complete()
+    one = F.struct("judge_key", "judge_name", ok.alias("ok"), *SCORE_COLS).cast(JUDGE)
+    packed = _pack(judged, one, entries)
+    ordered = F.array_sort("_found")
+    last = F.filter(ordered, lambda j, i: ~F.coalesce(j["judge_key"] == F.get(ordered, i + 1)["judge_key"], F.lit(False)))
+    return packed.withColumn("judges", last).drop("_found")
 
 
-def task_averages(flagged: DataFrame, expected: list[str]) -> DataFrame:
-    """Per (file, judge, task) the mean final score over valid entries that have a
-    task and a numeric final score, rounded."""
-    rows = flagged.filter(F.col("judge_key").isin(expected) & F.col("_valid")
-                          & F.col("task").isNotNull() & (F.col("task") != "")
-                          & F.col("final_score").isNotNull())
-    return rows.groupBy("file_id", "judge_key", "task").agg(round4(F.avg("final_score")).alias("score"))
-
-
-def entry_counts(entries: DataFrame, flagged: DataFrame, expected: list[str]) -> DataFrame:
-    """Total, successful and failed entries per file; success ratio rounded (0 if empty).
-    A valid entry has exactly one row of the first expected judge, so counting those rows
-    counts valid entries (partial aggregate, no distinct)."""
-    tot = entries.groupBy("file_id").agg(F.count(F.lit(1)).cast("bigint").alias("total_entries"))
-    ok = (flagged.filter((F.col("judge_key") == expected[0]) & F.col("_valid"))
-          .groupBy("file_id").agg(F.count(F.lit(1)).cast("bigint").alias("successful_entries")))
-    out = tot.join(ok, "file_id", "left").fillna(0, ["successful_entries"])
-    return out.select(
-        "file_id", "total_entries", "successful_entries",
-        (F.col("total_entries") - F.col("successful_entries")).alias("failed_entries"),
-        F.when(F.col("total_entries") > 0,
-               round4(F.col("successful_entries") / F.col("total_entries"))).otherwise(F.lit(0.0))
-        .alias("success_ratio"))
+def pack_verdicts(scored: DataFrame, entries: DataFrame, strategy: str, n_configured: int) -> DataFrame:
+    """Scored verdicts -> the same packed rows: usable judges renumbered in configured order (H2) and, with two
+    or more configured judges, the jury by ``strategy`` (E3, E4, E5), all inside one entry's array."""
+    if n_configured >= 2 and strategy not in STRATEGIES:
+        raise ValueError(f"unknown jury strategy: {strategy!r}")
+    one = F.when(F.col("usable"), F.struct("judge_pos", "judge_name", *SCORE_COLS))
+    packed = _pack(scored, one, entries).withColumn("_u", F.array_sort("_found"))
+    named = ", ".join(f"'{c}', v.{c}" for c in SCORE_COLS)
+    complete = " AND ".join(f"v.{c} IS NOT NULL" for c in SCORE_COLS)
+    judges = (f"transform(_u, (v, i) -> named_struct('judge_key', concat('Judge ', i + 1), 'judge_name', v.judge_name, "
+              f"'ok', {complete}, {named}))")
+    if n_configured >= 2:
+        judges = f"concat({judges}, array({_jury(strategy)}))"
+    return packed.withColumn("judges", F.expr(judges).cast(f"array<{JUDGE}>")).drop("_found", "_u")
 
 
-def model_results(judged: DataFrame, entries: DataFrame, strategy: str | None = None) -> dict[str, DataFrame]:
-    """The whole averaging step: returns ``criteria`` (long), ``wide``, ``tasks``, ``counts``
-    and ``meta`` tables, keyed by file_id and, where relevant, judge display name.
+def _jury(strategy: str) -> str:
+    """The jury struct over the usable verdicts ``_u``: the mean of all, or of those that voted Correct = 1 when they
+    are more than those with Correct = 0, else zeros; NULL scores when no verdict is usable."""
+    voters = "filter(_u, v -> v.correct = 1)" if strategy == "vote" else "_u"
+    zero = ", ".join(f"'{c}', 0D" for c in SCORE_COLS)
+    add = ", ".join(f"'{c}', a.{c} + v.{c}" for c in SCORE_COLS)
+    mean = ", ".join(f"'{c}', a.{c} / size({voters})" for c in SCORE_COLS)
+    none = ", ".join(f"'{c}', CAST(NULL AS DOUBLE)" for c in SCORE_COLS)
+    kind = "'judge_key', 'Jury', 'judge_name', 'Jury', 'ok'"
+    won = f"size({voters}) > size(filter(_u, v -> v.correct = 0))" if strategy == "vote" else "true"
+    return (f"CASE WHEN size(_u) = 0 THEN named_struct({kind}, false, {none}) "
+            f"WHEN {won} THEN aggregate({voters}, named_struct({zero}), (a, v) -> named_struct({add}), "
+            f"a -> named_struct({kind}, true, {mean})) "
+            f"ELSE named_struct({kind}, true, {zero}) END")
 
-    The validity-flagged score rows are written once (``materialize``) because the
-    criterion averages, task averages and entry counts all read them."""
-    from scorewright.session import materialize
-    expected = expected_judges(judged)
-    flagged = materialize(flag_valid(judged, expected), "judged_valid")
-    files = entries.select("file_id").distinct()
-    names = judge_display_names(flagged, entries, expected)
-    wide = criterion_averages(flagged, expected, files).join(names, ["file_id", "judge_key"])
+
+# ----------------------------------------------------------------- rosters
+
+
+def file_summary(packed: DataFrame) -> DataFrame:
+    """Per file: ``roster`` (E13: the judge keys of the first entry that has any ``Judge <n>`` key; NULL without
+    one), the metadata of the first entry and ``names``, the judge names it gives (E10)."""
+    keys = F.array_sort(F.transform("judges", lambda j: j["judge_key"]))
+    judged = F.exists("judges", lambda j: j["judge_key"].startswith("Judge "))
+    names = F.map_from_entries(F.transform("judges", lambda j: F.struct(j["judge_key"], j["judge_name"])))
+    return (packed.select("file_id", "ordinal", "_meta", keys.alias("_k"), judged.alias("_has"), names.alias("_n"))
+            .groupBy("file_id").agg(
+                F.min_by("_k", F.when(F.col("_has"), F.col("ordinal"))).alias("roster"),
+                F.min("ordinal").alias("first_ordinal"),
+                F.min_by(F.struct("_meta", "_n"), "ordinal").alias("_f"))
+            .select("file_id", "roster", "first_ordinal", F.col("_f._meta").alias("_meta"), F.col("_f._n").alias("names")))
+
+
+def judge_rosters(files: DataFrame) -> DataFrame:
+    """E13 as rows (file_id, judge_key)."""
+    return files.select("file_id", F.explode("roster").alias("judge_key"))
+
+
+def common_keys(files: DataFrame) -> DataFrame:
+    """G1 + E14: one row, ``common``: the judge keys that every roster holds, judges in order, the jury last.
+    Rosters are few (numbered judges), so their distinct ones are gathered and intersected in one aggregate."""
+    rosters = files.agg(F.collect_set("roster").alias("_r"))
+    common = F.aggregate("_r", F.get("_r", 0), lambda a, r: F.array_intersect(a, r))
+    return rosters.select(F.coalesce(F.concat(F.filter(F.array_sort(common), lambda k: k != JURY),
+                                              F.filter(common, lambda k: k == JURY)), F.array().cast("array<string>")).alias("common"))
+
+
+def common_judges(files: DataFrame) -> DataFrame:
+    """G1 + E14 as rows (judge_key); none when the rosters share nothing."""
+    return common_keys(files).select(F.explode("common").alias("judge_key"))
+
+
+def jury_everywhere(files: DataFrame) -> DataFrame:
+    """One row: whether every file's roster holds the jury (1) or not (0), and the files with a roster."""
+    has = F.array_contains("roster", JURY).cast("int")
+    return files.agg(F.coalesce(F.min(has), F.lit(0)).alias("jury_everywhere"),
+                     F.count("roster").cast("bigint").alias("n_files"))
+
+
+def _checked(common: Column) -> Column:
+    judges = F.size(F.filter(common, lambda k: k != JURY))
+    return F.when(judges == 0, F.raise_error(F.lit("no common judges across judged files"))).otherwise(common)
+
+
+def expected_keys(files: DataFrame) -> Column:
+    """The judge keys every entry must have, as a scalar subquery; the job fails when no judge is common to all."""
+    return common_keys(files).select(_checked(F.col("common"))).scalar()
+
+
+def expected_judges(files: DataFrame) -> list[str]:
+    """The same list on the driver (at most the configured judges and the jury)."""
+    keys = common_keys(files).first()["common"]
+    if not any(k != JURY for k in keys):
+        raise ValueError("no common judges across judged files")
+    return keys
+
+
+# ----------------------------------------------------------------- averages
+
+
+def flag_valid(packed: DataFrame, expected: Column) -> DataFrame:
+    """``_valid`` where every expected judge has a complete score set (Q11: one missing judge fails the entry
+    for all judges).  A row expression: no exchange."""
+    p = packed.withColumn("_x", expected)
+    good = F.transform(F.filter("judges", lambda j: j["ok"]), lambda j: j["judge_key"])
+    return p.withColumn("_valid", F.size(F.array_intersect(F.col("_x"), good)) == F.size("_x"))
+
+
+def averages(flagged: DataFrame) -> DataFrame:
+    """E6, E7 and E8 from one grouping-sets aggregate over (entry, expected judge) rows.
+
+    ``_set`` 1: per (file, judge) the means of the six criteria and the final score over valid entries (a missing
+    one counts as 0; NULL without a valid entry), the entries and the valid ones.  ``_set`` 0: per (file, judge,
+    task) the mean final score of valid entries."""
+    found = F.transform("_x", lambda k: F.struct(k.alias("judge_key"), F.get(F.filter("judges", lambda j: j["judge_key"] == k), F.lit(0)).alias("_j")))
+    rows = (flagged.select("file_id", "task", "_valid", F.posexplode(found).alias("_pos", "_r"))
+            .select("file_id", "task", "_valid", "_pos", F.col("_r.judge_key").alias("judge_key"),
+                    *[F.when(F.col("_valid"), F.col(f"_r._j.{c}")).alias(c) for c in SCORE_COLS]))
+    means = [round4(F.avg(F.when(F.col("_valid"), F.coalesce(F.col(c), F.lit(0.0))))).alias(c) for c in SCORE_COLS]
+    return rows.groupingSets([("file_id", "judge_key"), ("file_id", "judge_key", "task")], "file_id", "judge_key", "task").agg(
+        F.grouping("task").alias("_set"), F.min("_pos").alias("_pos"), *means,
+        round4(F.avg("final_score")).alias("score"),
+        F.count(F.lit(1)).cast("bigint").alias("total_entries"),
+        F.count_if("_valid").cast("bigint").alias("successful_entries"))
+
+
+def packed_results(packed: DataFrame, strategy: str | None = None) -> dict[str, DataFrame]:
+    """The averaging step over packed entries (a written table): ``wide``, ``criteria`` (long), ``tasks``, ``counts``
+    and ``meta``, keyed by file_id and, where relevant, judge display name."""
+    files = file_summary(packed)
+    agg = averages(flag_valid(packed, expected_keys(files)))
+    names = files.select("file_id", "names")
+    # The name in the file's first entry; the key itself when that entry lacks it; the jury is always ``Jury``
+    name = F.when(F.col("judge_key") == JURY, F.lit(JURY)).otherwise(
+        F.coalesce(F.try_element_at("names", F.col("judge_key")), F.col("judge_key")))
+    named = agg.join(names, "file_id").withColumn("judge_name", name)
+    wide = named.filter("_set = 1").select("file_id", "judge_key", "judge_name", *SCORE_COLS)
+    tasks = (named.filter((F.col("_set") == 0) & F.col("task").isNotNull() & (F.col("task") != "") & F.col("score").isNotNull())
+             .select("file_id", "judge_key", "judge_name", "task", "score"))
+    counts = agg.filter("_set = 1 AND _pos = 0").select(
+        "file_id", "total_entries", "successful_entries",
+        (F.col("total_entries") - F.col("successful_entries")).alias("failed_entries"),
+        round4(F.col("successful_entries") / F.col("total_entries")).alias("success_ratio"))
+    meta = files.select("file_id", "first_ordinal", "_meta.*").join(counts, "file_id")
     crit = unpivot_criteria(wide, ["file_id", "judge_key", "judge_name"])
-    tasks = task_averages(flagged, expected).join(names, ["file_id", "judge_key"])
-    counts = entry_counts(entries, flagged, expected)
-    meta = first_entry(entries).join(counts, "file_id")
     if strategy is not None:
         crit, tasks, meta = (d.withColumn("strategy", F.lit(strategy)) for d in (crit, tasks, meta))
     return {"criteria": crit, "wide": wide, "tasks": tasks, "counts": counts, "meta": meta}
 
 
+def model_results(judged: DataFrame, entries: DataFrame, strategy: str | None = None) -> dict[str, DataFrame]:
+    """The whole averaging step on judged rows; the packed entries are written once (``materialize``)."""
+    from scorewright.session import materialize
+    return packed_results(materialize(pack_judged(judged, entries), "judged_entries"), strategy)
+
+
+def unpivot_criteria(wide: DataFrame, keep: list[str]) -> DataFrame:
+    """Wide criterion columns -> (criterion label (D22), score) rows."""
+    return wide.unpivot(keep, SCORE_COLS, "criterion_col", "score").select(
+        *keep, F.create_map(*[x for k, v in CRITERION_LABELS.items() for x in (F.lit(k), F.lit(v))])
+        [F.col("criterion_col")].alias("criterion"), "score")
+
+
+# ----------------------------------------------------------------- result tables
+
+
 def upsert_results(old: DataFrame, new: DataFrame, key: list[str], generation: str = "generation") -> DataFrame:
     """F8 / H3: replace rows of ``old`` by ``new`` on ``key``, keep the rest; among several
     rows of one key the highest ``generation`` (later file) wins.  Parity key is

@@ -69,15 +69,16 @@ def score_verdicts(verdicts: DataFrame, response_col: str = "response",
                       f"{sql_container_score(f'_v{b}{i}', f'_t{b}{i}')} ELSE 0.0 END"
          for b in blocks for i in range(6)},
         {f"_n{b}{i}": sql_normalise_one(i, f"_r{b}{i}", f"_r{b}0", clamp) for b in blocks for i in range(6)},
-        {c: f"CASE WHEN usable THEN (CASE WHEN {rq} = 2 THEN "
-            f"{sql_round4(f'((_n1{i} * 2.0) + (_n2{i} * 1.0)) / 3.0')} "
-            f"ELSE {sql_round4(f'(_n1{i} * 1.0) / 1.0')} END) END" for i, c in enumerate(CRITERIA)},
-        {"final_score": sql_round4("(" + " + ".join(CRITERIA) + ") / 6.0")},
+        {f"_w{i}": f"CASE WHEN usable THEN (CASE WHEN {rq} = 2 THEN ((_n1{i} * 2.0) + (_n2{i} * 1.0)) / 3.0 "
+                   f"ELSE _n1{i} END) END" for i in range(6)},
+        {c: sql_round4(f"_w{i}") for i, c in enumerate(CRITERIA)},
+        {"_w6": "(" + " + ".join(CRITERIA) + ") / 6.0"},
+        {"final_score": sql_round4("_w6")},
     ]
     # one select: later expressions refer to earlier aliases (lateral column aliases), which
     # Spark resolves into a chain of projections - one analysis instead of one per stage
     t = t.selectExpr("*", *[f"{e} AS {k}" for stage in stages for k, e in stage.items()])
-    tmp = [k for stage in stages[:-2] for k in stage]
+    tmp = [k for stage in stages for k in stage if k.startswith("_")]
     return t.drop("_x1", "_x2", "_o1", "_o2", *tmp)
 
 

@@ -66,32 +66,23 @@ def q_jury_vote(spark, sf):
 
 # ---------------------------------------------------------------- results
 
-def judged_from_verdicts(spark: SparkSession, sf: str, strategy: str = "vote") -> tuple[DataFrame, DataFrame]:
-    """Judged long table (usable judges renumbered + the jury) and the entry table:
-    file = model (doc_id % 8), ordinal = doc_id, task = lang.
-
-    The scores and then the judged table are written under the checkpoint folder
-    (``materialize``): the verdict text is parsed once, renumbering and the jury run
-    once, and the roster, validity and average jobs read the written rows."""
-    # the judge rows and the jury both read the scores: score once, write the scores
-    s = materialize(scored(spark, sf).drop("response")
-                    .withColumns({"file_id": F.col("model_id"), "ordinal": F.col("doc_id")}), "scores")
-    keys = ["file_id", "ordinal", "doc_id", "task"]
-    judges = number_judges(s, keys).select("file_id", "ordinal", "task", "judge_key", "judge_name", *SCORE_COLS)
-    jury = J.jury_rows(s, keys, strategy, len(V.VIEW_JUDGES)).select(
-        "file_id", "ordinal", "task", "judge_key", "judge_name", *SCORE_COLS)
-    judged = materialize(judges.unionByName(jury), "judged")
-    entries = (V.table(spark, sf, "documents")
-               .select((F.col("doc_id") % V.N_VIEW_MODELS).alias("file_id"), F.col("doc_id").alias("ordinal"),
-                       F.col("lang").alias("task"),
-                       F.concat(F.lit("org/model-"), (F.col("doc_id") % V.N_VIEW_MODELS).cast("string"))
-                       .alias("model_name")))
-    return judged, entries
+def view_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """The entry table of the verdict view: file = model (doc_id % 8), ordinal = doc_id, task = lang."""
+    model = F.col("doc_id") % V.N_VIEW_MODELS
+    return V.table(spark, sf, "documents").select(
+        model.alias("file_id"), F.col("doc_id").alias("ordinal"), F.col("lang").alias("task"),
+        F.concat(F.lit("org/model-"), model.cast("string")).alias("model_name"))
+
+
+def packed_verdicts(spark: SparkSession, sf: str, strategy: str = "vote") -> DataFrame:
+    """The view's verdicts scored, renumbered and juried in one packed row per entry, written once: the roster and
+    the averages both read it."""
+    s = scored(spark, sf).select(F.col("model_id").alias("file_id"), F.col("doc_id").alias("ordinal"), "judge_pos", "judge_name", "usable", *SCORE_COLS)
+    return materialize(R.pack_verdicts(s, view_entries(spark, sf), strategy, len(V.VIEW_JUDGES)), "judged_entries")
 
 
 def _results(spark, sf):
-    judged, entries = judged_from_verdicts(spark, sf)
-    return R.model_results(judged, entries, "vote")
+    return R.packed_results(packed_verdicts(spark, sf), "vote")
 
 
 def q_criterion_averages(spark, sf):
@@ -111,13 +102,11 @@ def q_entry_counts(spark, sf):
 
 
 def q_common_judges(spark, sf):
-    judged, _ = judged_from_verdicts(spark, sf)
-    return R.common_judges(R.judge_rosters(judged))
+    return R.common_judges(R.file_summary(packed_verdicts(spark, sf)))
 
 
 def q_judge_rosters(spark, sf):
-    judged, _ = judged_from_verdicts(spark, sf)
-    return R.judge_rosters(judged).select(F.col("file_id").alias("model_id"), "judge_key")
+    return R.judge_rosters(R.file_summary(packed_verdicts(spark, sf))).select(F.col("file_id").alias("model_id"), "judge_key")
 
 
 # ---------------------------------------------------------------- large aggregates on lineitem (v_big)
@@ -339,9 +328,7 @@ def q_mirror_plan(spark, sf):
 # ---------------------------------------------------------------- more results operators
 
 def q_jury_everywhere(spark, sf):
-    judged, _ = judged_from_verdicts(spark, sf)
-    rost = R.judge_rosters(judged)
-    return R.jury_everywhere(rost)
+    return R.jury_everywhere(R.file_summary(packed_verdicts(spark, sf)))
 
 
 def _big_partial(spark, sf, cond):

@@ -64,8 +64,8 @@ def res(spark, judged_dir):
 
 
 def test_roster_intersection_and_jury(res):
-    judged, _, _ = res
-    assert R.expected_judges(judged) == ["Judge 1"]
+    judged, entries, _ = res
+    assert R.expected_judges(R.file_summary(R.pack_judged(judged, entries))) == ["Judge 1"]
 
 
 def test_criterion_averages(res):
@@ -113,9 +113,11 @@ def test_no_common_judge_is_an_error(spark, tmp):
             e.pop("Judge 2")
         with open(os.path.join(tmp, name), "w") as f:
             json.dump([e], f)
-    judged, _ = read_judged(spark, tmp)
+    judged, entries = read_judged(spark, tmp)
     with pytest.raises(ValueError):
-        R.expected_judges(judged)
+        R.expected_judges(R.file_summary(R.pack_judged(judged, entries)))
+    with pytest.raises(Exception, match="no common judges"):
+        R.model_results(judged, entries)["wide"].collect()
 
 
 def test_upsert_last_wins_and_keeps_others(spark):
@@ -152,3 +154,41 @@ def test_landed_judged_gives_same_results(spark, judged_dir, res, tmp):
     again = R.model_results(judged, entries, "vote")
     key = lambda d: sorted((r["file_id"], r["judge_key"], r["final_score"]) for r in d["wide"].collect())
     assert key(again) == key(res[2])
+
+
+def test_packed_verdicts_equal_numbered_judges_and_jury(spark):
+    """The array form of H2 and E3-E5 gives what the row operators give, unusable verdicts and empty juries included."""
+    from scorewright.functions.scores import SCORE_COLS
+    from scorewright.operators import jury as J
+    from scorewright.operators.scoring import number_judges
+    rows = []
+    for e in range(40):
+        for j in (1, 2, 3):
+            usable = (e * j) % 4 != 1 and e != 7
+            base = float((e + j) % 3 != 0)
+            rows.append((f"f{e % 3}", e, j, f"judge-{j}", usable, *([base] + [base * ((e * k + j) % 5) / 4 for k in range(1, 6)] + [base / j] if usable else [None] * 7)))
+    scored = spark.createDataFrame(rows, "file_id string, ordinal bigint, judge_pos int, judge_name string, usable boolean, " + ", ".join(f"{c} double" for c in SCORE_COLS))
+    entries = spark.createDataFrame([(f"f{e % 3}", e, "t") for e in range(41)], "file_id string, ordinal bigint, task string")
+    keys = ["file_id", "ordinal"]
+    for strategy in ("average", "vote"):
+        want = number_judges(scored, keys).select(*keys, "judge_key", "judge_name", *SCORE_COLS).unionByName(
+            J.jury_rows(scored, keys, strategy, 3).select(*keys, "judge_key", "judge_name", *SCORE_COLS))
+        got = R.pack_verdicts(scored, entries, strategy, 3).select(*keys, F.inline("judges")).drop("ok")
+        norm = lambda d: sorted([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in d.collect() if r[1] != 40], key=repr)
+        assert norm(got) == norm(want)
+    one = R.pack_verdicts(scored.filter("judge_pos = 1"), entries, "SingleJudge", 1)
+    assert one.select(F.inline("judges")).filter("judge_key = 'Jury'").count() == 0
+    with pytest.raises(ValueError):
+        R.pack_verdicts(scored, entries, "Vote?", 3)
+
+
+def test_averaging_has_one_exchange_of_score_rows(spark):
+    """Between the scores and the aggregate there is one shuffle: the grouping by entry."""
+    from scorewright.functions.scores import SCORE_COLS
+    scored = spark.range(5).selectExpr("'f' file_id", "id ordinal", "1 judge_pos", "'a' judge_name", "true usable", *[f"1D {c}" for c in SCORE_COLS])
+    packed = R.pack_verdicts(scored, scored.selectExpr("file_id", "ordinal", "'t' task"), "vote", 3)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(file_id") == 1 and "Window" not in plan and "Join" not in plan
+    assert R.packed_results(packed)["counts"].collect()[0]["total_entries"] == 5
+    flat = R.flag_valid(packed, F.array(F.lit("Judge 1")))._jdf.queryExecution().executedPlan().toString()
+    assert flat.count("Exchange") == plan.count("Exchange")

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from scorewright.functions.scores import CRITERIA, coerce_score, extract_block
+from scorewright.functions.scores import CRITERIA, extract_block, sql_coerce
 from scorewright.operators.scoring import number_judges, score_verdicts
 
 FENCE = "```"
@@ -64,7 +64,7 @@ def test_duplicate_key_last_wins(spark):
 def test_coercion(spark, raw, expected):
     doc = '{"Other": 1}' if raw is None else '{"Concise": ' + raw + "}"
     df = spark.createDataFrame([(doc,)], "s string")
-    got = df.select(coerce_score(F.try_parse_json("s"), "Concise").alias("v")).collect()[0]["v"]
+    got = df.select(F.expr(sql_coerce("element_at(try_variant_get(try_parse_json(s), '$', 'map<string,variant>'), 'Concise')")).alias("v")).collect()[0]["v"]
     assert got == expected
 
 
