@@ -16,12 +16,13 @@ STRATEGIES = ("average", "vote")
 
 
 def resolve_strategy(judges: list[str], strategy: str) -> str:
-    """One judge -> ``SingleJudge``; otherwise ``average`` or ``vote``; anything else is an error."""
+    """One judge -> ``SingleJudge``; otherwise ``average`` or ``vote`` in any
+    letter case; anything else is an error."""
     if len(judges) == 1:
         return "SingleJudge"
-    if strategy not in STRATEGIES:
+    if strategy.strip().lower() not in STRATEGIES:
         raise ValueError(f"unknown jury strategy: {strategy!r}")
-    return strategy
+    return strategy.strip().lower()
 
 
 def parse_judges(arg: str) -> list[str]:

@@ -111,8 +111,20 @@ def materialize(df, name: str | None = None):
     cluster's shared ``spark.checkpoint.dir``) and read back: later jobs scan the
     written table instead of recomputing it, and a lost executor does not send the
     recomputation back to the raw input.  (An RDD ``checkpoint()`` without a persist
-    would compute the plan twice; ``localCheckpoint`` would die with the executor.)"""
+    would compute the plan twice; ``localCheckpoint`` would die with the executor.)
+    ``discard`` deletes the table once nothing reads it any more."""
     import uuid
     path = scratch_path(df.sparkSession, f"tables/{name or 'table'}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(table) -> None:
+    """Delete the folder of a table that ``materialize`` wrote; other DataFrames are left alone."""
+    path = getattr(table, "_scratch_path", None)
+    if path:
+        spark = table.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

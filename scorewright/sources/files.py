@@ -1,19 +1,20 @@
 """Readers for the evaluation's JSON documents.
 
-Each document file is a JSON array (task, answers, judged, results) or one object
-(request manifest, sometimes a result).  A JSON array cannot be split, so every file is
-read whole as one text row (``wholetext``), parsed with ``try_parse_json`` into a
-VARIANT and exploded with its position; many files give many tasks.  A file that does
-not parse yields NULL instead of failing the job and is reported by ``bad_files``.
+Task, answer and judged files are JSON arrays of any size and are read entry by entry
+(``json_arrays``).  Request manifests and results are small documents: they are read whole
+(``wholetext``) and parsed with ``try_parse_json`` into a VARIANT; one that does not parse
+yields NULL instead of failing the job.  What a reader leaves out is never silent: the
+``rejected_*`` functions return it with a reason, and an ``Observation`` counts it.
 Field names with dots or spaces are addressed with ``$['...']`` paths.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.functions.scores import CRITERIA, CRITERIA_KEYS
+from scorewright.sources.json_arrays import below, decoded, observed, read_array_entries
 
 # The document keys read from a task entry, with the column they land in.
 META_FIELDS = {
@@ -75,13 +76,6 @@ def bad_files(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("doc").isNull()).select("src_file")
 
 
-def _entries(docs: DataFrame) -> DataFrame:
-    """Array documents -> one row per entry with its 0-based ordinal (H1)."""
-    arr = F.try_variant_get(F.col("doc"), "$", "array<variant>")
-    return docs.filter(arr.isNotNull()).select(
-        "src_file", "src_name", F.posexplode(arr).alias("ordinal", "e"))
-
-
 def _item_columns(e: Column) -> list[Column]:
     cols = [F.try_variant_get(e, _path("Meta", "SN."), "bigint").alias("sn"), _round(e).alias("round")]
     cols += [_str(e, "Meta", k).alias(c) for k, c in META_FIELDS.items() if c not in ("sn", "round")]
@@ -89,46 +83,51 @@ def _item_columns(e: Column) -> list[Column]:
     return cols
 
 
-def read_items(spark: SparkSession, path: str) -> DataFrame:
+def _folder(path: Column) -> Column:
+    """The name of the folder a file lies in."""
+    return F.regexp_extract(path, r"([^/]*)/[^/]*$", 1)
+
+
+def read_items(spark: SparkSession, path: str, tally: Observation | None = None) -> DataFrame:
     """A1: task file(s) -> items (task_set = file name without ``.json``, ordinal kept)."""
-    ents = _entries(read_documents(spark, path, "*.json"))
+    ents, _ = read_array_entries(spark, path, "*.json", tally=tally)
     return ents.select(
-        F.regexp_replace("src_name", r"\.json$", "").alias("task_set"),
-        F.col("ordinal").cast("bigint").alias("ordinal"), *_item_columns(F.col("e")), "src_file")
+        F.regexp_replace("src_name", r"\.json$", "").alias("task_set"), "ordinal", *_item_columns(F.col("e")), "src_file")
 
 
-def read_answers(spark: SparkSession, path: str) -> DataFrame:
-    """A2 + C8: every ``*_answers.json`` (judged files are excluded) -> answers with the
-    model metadata and m1 / m2; ``params_b`` is the numeric form of Params when it is one."""
-    docs = read_documents(spark, path, "*_answers.json")
-    ents = _entries(docs.filter(~F.col("src_name").endswith("_judged.json")))
+def read_answers(spark: SparkSession, path: str, tally: Observation | None = None) -> DataFrame:
+    """A2 + C8: every ``*_answers.json`` (judged files end otherwise) -> answers with the model metadata and
+    m1 / m2.  task_set is the folder the file lies in, model_key the file name; ``params_b`` is the numeric form
+    of Params when it is one."""
+    ents, _ = read_array_entries(spark, path, "*_answers.json", tally=tally)
     e = F.col("e")
     params_sub = F.try_variant_get(e, _path("Meta", "Params"), "variant")
     return ents.select(
-        F.regexp_replace("src_name", r"_answers\.json$", "").alias("model_key"),
-        F.col("ordinal").cast("bigint").alias("ordinal"), *_item_columns(e),
+        _folder(decoded("src_file")).alias("task_set"),
+        F.regexp_replace("src_name", r"_answers\.json$", "").alias("model_key"), "ordinal", *_item_columns(e),
         *[_str(e, "Meta", k).alias(c) for k, c in MODEL_META.items() if c != "params"],
-        _str(e, "Meta", "Params").alias("params_raw"),
+        _str(e, "Meta", "Params").alias("params"), _str(e, "Meta", "Params").alias("params_raw"),
         F.when(_is_number(params_sub), F.try_variant_get(params_sub, "$", "double")).alias("params_b"),
         *[_str(e, "Model", k).alias(c) for k, c in MODEL_FIELDS.items()],
         "src_file")
 
 
-def read_judged(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """A3: ``*_judged.json`` -> (judged, entries).
+def read_judged(spark: SparkSession, path: str, tally: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """A3: ``*_judged.json`` -> (judged, entries).  file_id is the file's path below ``path`` without its ending, so
+    files of one name in two task sets stay apart.
 
     judged: one row per (file, entry, ``Judge <n>`` / ``Jury`` key) with judge_name and the
     seven scores (numeric -> double, anything else NULL) plus ``score_ok`` = the score set
     is non-empty and holds no JSON null (C6's test).  entries: one row per entry with task
     and model metadata.  The dynamic judge keys are found by exploding the entry as a map.
     """
-    docs = read_documents(spark, path, "*_judged.json")
-    ents = _entries(docs).withColumn("file_id", F.regexp_replace("src_name", r"_answers_judged\.json$|_judged\.json$", ""))
+    ents, _ = read_array_entries(spark, path, "*_judged.json", tally=tally)
+    ents = ents.withColumn("file_id", F.regexp_replace(below("src_file", path), r"_answers_judged\.json$|_judged\.json$", ""))
     e = F.col("e")
     entries = ents.select(
-        "file_id", F.col("ordinal").cast("bigint").alias("ordinal"), _str(e, "Meta", "Task").alias("task"),
+        "file_id", "ordinal", _folder(decoded("src_file")).alias("task_set"), _str(e, "Meta", "Task").alias("task"),
         *[_str(e, "Meta", k).alias(c) for k, c in MODEL_META.items()])
-    kv = ents.select("file_id", F.col("ordinal").cast("bigint").alias("ordinal"),
+    kv = ents.select("file_id", "ordinal",
                      _str(e, "Meta", "Task").alias("task"),
                      F.explode(F.try_variant_get(e, "$", "map<string,variant>")).alias("judge_key", "j"))
     kv = kv.filter(F.col("judge_key").startswith("Judge ") | (F.col("judge_key") == "Jury"))
@@ -151,33 +150,60 @@ def read_judged(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return judged, entries
 
 
-def read_requests(spark: SparkSession, root: str) -> DataFrame:
-    """A4: every request manifest under ``root`` (recursive); task_set, bucket, org and file
-    come from the path ``<task_set>/<bucket>/<org>/<file>.json``; files not at that depth
-    or not JSON objects are left out."""
-    import re
+# The fields of a request manifest.
+REQUEST_FIELDS = ["model_name", "license", "revision", "precision", "params", "status", "modality"]
+
+
+def _manifests(spark: SparkSession, root: str) -> DataFrame:
+    """Every manifest file with its fields and ``reason``, why it is left out (NULL: it is kept)."""
     docs = read_documents(spark, root, "*.json", recursive=True)
-    root_path = re.sub(r"^[a-z]+:(//)?", "", root).rstrip("/")
     pat = r"^([^/]+)/([^/]+)/([^/]+)/([^/]+\.json)$"
-    # path relative to the root: everything after the root folder
-    p = F.regexp_extract(F.col("src_file"), re.escape(root_path) + "/(.*)$", 1)
-    d = F.col("doc")
-    fields = ["model_name", "license", "revision", "precision", "params", "status", "modality"]
-    out = docs.filter(F.try_variant_get(d, "$", "map<string,variant>").isNotNull()).select(
+    p, d = below("src_file", root), F.col("doc")
+    reason = (F.when(d.isNull(), F.lit("not JSON"))
+              .when(F.try_variant_get(d, "$", "map<string,variant>").isNull(), F.lit("not an object"))
+              .when(~p.rlike(pat), F.lit("not at <task set>/<bucket>/<org>/<file>")))
+    return docs.select(
         *[F.regexp_extract(p, pat, i).alias(n) for i, n in enumerate(["task_set", "bucket", "org", "file"], 1)],
-        *[_str(d, f).alias(f) for f in fields], "src_file")
-    return out.filter(F.col("file") != "")
+        *[_str(d, f).alias(f) for f in REQUEST_FIELDS], "src_file", reason.alias("reason"))
+
+
+def read_requests(spark: SparkSession, root: str, tally: Observation | None = None) -> DataFrame:
+    """A4: every request manifest under ``root`` (recursive); task_set, bucket, org and file come from the path
+    ``<task_set>/<bucket>/<org>/<file>.json``.  Files elsewhere, or that are no JSON object, are in
+    ``rejected_requests``; ``tally`` counts files read, kept and rejected."""
+    found = _manifests(spark, root)
+    found = found if tally is None else observed(found, tally)
+    return found.filter(F.col("reason").isNull()).drop("reason")
+
+
+def rejected_requests(spark: SparkSession, root: str) -> DataFrame:
+    """The files under ``root`` that ``read_requests`` leaves out: (src_file, reason)."""
+    return _manifests(spark, root).filter(F.col("reason").isNotNull()).select("src_file", "reason")
+
+
+def _result_files(spark: SparkSession, path: str) -> DataFrame:
+    """Result files in ``path`` and its folders, each as an array of results, with ``reason``, why one is left out."""
+    docs = read_documents(spark, path, "*.json", recursive=True)
+    d = F.col("doc")
+    arr = F.try_variant_get(d, "$", "array<variant>")
+    one = F.when(F.try_variant_get(d, "$", "map<string,variant>").isNotNull(), F.array(d))
+    reason = (F.when(F.col("src_name") == "results.json", F.lit("an earlier aggregate"))
+              .when(d.isNull(), F.lit("not JSON")).when(F.coalesce(arr, one).isNull(), F.lit("neither list nor object")))
+    return docs.select("src_file", F.coalesce(arr, one).alias("_a"), reason.alias("reason"))
+
+
+def rejected_results(spark: SparkSession, path: str) -> DataFrame:
+    """The files that ``read_results`` leaves out: (src_file, reason)."""
+    return _result_files(spark, path).filter(F.col("reason").isNotNull()).select("src_file", "reason")
 
 
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """A5 + C8: result files; a file is a list of results or one result object; ``results.json``
-    (an earlier aggregate), malformed and scalar files are skipped.  One row per result
+def read_results(spark: SparkSession, path: str, tally: Observation | None = None) -> DataFrame:
+    """A5 + C8: result files, nested folders included; a file is a list of results or one result object;
+    ``results.json`` (an earlier aggregate), malformed and scalar files are in ``rejected_results``.  One row per result
     with its metadata columns and ``judges`` = MAP<judge display name, VARIANT scores>."""
-    docs = read_documents(spark, path, "*.json").filter(F.col("src_name") != "results.json")
-    arr = F.try_variant_get(F.col("doc"), "$", "array<variant>")
-    obj = F.try_variant_get(F.col("doc"), "$", "map<string,variant>")
-    rows = docs.select("src_file", F.coalesce(arr, F.when(obj.isNotNull(), F.array(F.col("doc")))).alias("_a"))
-    rows = rows.filter(F.col("_a").isNotNull()).select("src_file", F.posexplode("_a").alias("ordinal", "r"))
+    files = _result_files(spark, path)
+    files = files if tally is None else observed(files, tally)
+    rows = files.filter(F.col("reason").isNull()).select("src_file", F.posexplode("_a").alias("ordinal", "r"))
     r = F.col("r")
     m = F.try_variant_get(r, "$", "map<string,variant>")
     meta = {"Model Name": "model_name", "License": "license", "Revision": "revision", "Precision": "precision",
@@ -226,17 +252,19 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 
 
 def land_answers(spark: SparkSession, src: str, dst: str) -> DataFrame:
-    """Read answer documents (A2) once and write them as Parquet partitioned by model key
-    (B1 layout), so later jobs split, prune and push filters instead of re-parsing whole
-    JSON files.  Returns the landed table."""
-    read_answers(spark, src).write.mode("overwrite").partitionBy("model_key").parquet(dst)
+    """Read answer documents (A2) once and write them as Parquet partitioned by task set and model key
+    (B1 layout), so later jobs split, prune and push filters instead of re-parsing JSON files.  Files landed
+    before and not in ``src`` stay.  Returns the landed table."""
+    read_answers(spark, src).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("task_set", "model_key").parquet(dst)
     return spark.read.parquet(dst)
 
 
 def land_judged(spark: SparkSession, src: str, dst: str) -> tuple[DataFrame, DataFrame]:
     """Read judged documents (A3) once and write the judged long table and the entry table
-    as Parquet partitioned by file, for the averaging step to read."""
-    judged, entries = read_judged(spark, src)
-    judged.write.mode("overwrite").partitionBy("file_id").parquet(f"{dst.rstrip('/')}/judged")
-    entries.write.mode("overwrite").partitionBy("file_id").parquet(f"{dst.rstrip('/')}/entries")
-    return spark.read.parquet(f"{dst.rstrip('/')}/judged"), spark.read.parquet(f"{dst.rstrip('/')}/entries")
+    as Parquet partitioned by file, for the averaging step to read.  Files landed before stay."""
+    out = []
+    for name, df in zip(("judged", "entries"), read_judged(spark, src), strict=True):
+        where = f"{dst.rstrip('/')}/{name}"
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_id").parquet(where)
+        out.append(spark.read.parquet(where))
+    return out[0], out[1]

@@ -9,32 +9,111 @@ overwritten in place: every write goes to a new version directory.
 from __future__ import annotations
 
 import time
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, StructType
 
 from scorewright.functions.scores import CRITERION_LABELS, SCORE_COLS
-
-MODEL_KEYS = ["org", "model_name", "revision", "precision"]
-
-
-def write_answers(df: DataFrame, path: str, keys: list[str] | None = None, mode: str = "overwrite") -> None:
-    """B1: one output unit per (org, model, revision, precision): partitioned Parquet.  Only the
-    written models' partitions are replaced; the other models stay."""
+from scorewright.session import discard, materialize
+
+MODEL_KEYS = ["task_set", "org", "model_name", "revision", "precision"]
+#: What names one entry of a file, in order of preference.
+ITEM_KEYS = ("item_id", "ordinal", "sn")
+#: Partitions up to which an upsert names them in the filter; beyond, a semi-join finds them.
+NAMED_PARTITIONS = 1000
+
+
+def read_table(spark: SparkSession, path: str, like: StructType, partition_by: list[str]) -> DataFrame | None:
+    """A partitioned Parquet table with the partition columns' types taken from ``like`` (folder names alone would
+    turn "7" into a number); None when there is none."""
+    try:
+        found = spark.read.parquet(path).schema
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    own = [f for f in found.fields if f.name not in partition_by]
+    return spark.read.schema(StructType(own + [like[k] for k in partition_by])).parquet(path)
+
+
+def upsert_partitions(new: DataFrame, path: str, keys: list[str], partition_by: list[str],
+                      order: list[str] | None = None) -> None:
+    """F8 on a partitioned table: rows of ``path`` whose ``keys`` appear in ``new`` are replaced, the others stay.
+
+    With ``order`` the row with the greatest order columns stays, old or new, one per key: applying rows again, or
+    in another order, gives the same table.  Without it all new rows of a key come in place of all old ones.  Only
+    the partitions that ``new`` meets are read and rewritten; the merged rows go to a staging table first, so no
+    folder is read while it is overwritten, and a run that died is simply run again.  NULL is a key like others."""
+    spark = new.sparkSession
+    staged = materialize(new.select(*[c for c in new.columns if c not in partition_by], *partition_by), "upsert-new")
+    old = read_table(spark, path, staged.schema, partition_by)
+    merged = None
+    if old is not None:
+        parts = staged.select(*partition_by).distinct()
+        named = parts.limit(NAMED_PARTITIONS + 1).collect()
+        if len(named) <= NAMED_PARTITIONS:
+            met = F.lit(False)
+            for r in named:
+                here = F.lit(True)
+                for k in partition_by:
+                    here = here & F.col(k).eqNullSafe(F.lit(r[k]))
+                met = met | here
+            old = old.filter(met)
+        else:
+            old = _matching(old, parts, partition_by, "left_semi")
+        if order is None:
+            merged = _matching(old, staged.select(*keys).distinct(), keys, "left_anti").unionByName(staged, allowMissingColumns=True)
+        else:
+            merged = old.unionByName(staged, allowMissingColumns=True)
+    if order is not None:
+        # equal order columns: the greatest of the other plain columns, so never by chance
+        rest = [f.name for f in (staged if merged is None else merged).schema.fields if f.name not in {*keys, *order} and isinstance(f.dataType, AtomicType)]
+        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*order, *rest]])
+        merged = (staged if merged is None else merged).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    table = staged if merged is None else materialize(merged, "upsert-merged")
+    table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    for t in {id(staged): staged, id(table): table}.values():
+        discard(t)
+
+
+def _matching(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+    return left.alias("l").join(right.alias("r"), same, how)
+
+
+def write_answers(df: DataFrame, path: str, keys: list[str] | None = None) -> None:
+    """B1: one partition per (task set, org, model, revision, precision); an entry answered again replaces its
+    earlier answer, everything else stays.  Without an entry key the written partitions are replaced whole."""
     keys = [k for k in (keys or MODEL_KEYS) if k in df.columns]
-    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    item = [k for k in ITEM_KEYS if k in df.columns][:1]
+    if item:
+        upsert_partitions(df, path, keys + item, keys)
+    else:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
 def write_judged(df: DataFrame, path: str, keys: tuple[str, ...] = ("task_set", "model_key")) -> None:
-    """B2: answers + verdicts + scores, appended batch by batch (a crash keeps earlier batches)."""
-    df.write.mode("append").partitionBy(*[k for k in keys if k in df.columns]).parquet(path)
+    """B2: answers + verdicts + scores, batch by batch (a crash keeps earlier batches); a batch written again
+    replaces its rows (same file, entry and judge)."""
+    parts = [k for k in keys if k in df.columns]
+    item = [k for k in ITEM_KEYS if k in df.columns][:1]
+    judge = [k for k in ("judge_key", "judge_name") if k in df.columns][:1]
+    upsert_partitions(df, path, parts + item + judge, parts)
 
 
-def write_results(df: DataFrame, path: str, strategy: str | None = None) -> None:
-    """Result table keyed by strategy (the file name of the reference carries it)."""
+def write_results(df: DataFrame, path: str, strategy: str | None = None, keys: list[str] | None = None) -> None:
+    """B3 + F8: result table by strategy (the file name of the reference carries it).  All rows of a model that was
+    averaged again are replaced; the strategy's other models and the other strategies stay."""
     if strategy is not None:
         df = df.withColumn("strategy", F.lit(strategy))
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("strategy").parquet(path)
+    keys = keys or [k for k in ("file_id", "model_name") if k in df.columns][:1]
+    if keys:
+        upsert_partitions(df, path, ["strategy", *keys], ["strategy"])
+    else:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("strategy").parquet(path)
 
 
 def results_json(assembled: DataFrame) -> DataFrame:
@@ -67,7 +146,7 @@ def export_leaderboard(results: DataFrame, path: str) -> DataFrame:
 def write_request_status(df: DataFrame, base: str, version: str | None = None) -> str:
     """Persist request statuses to a fresh version directory (atomic per version via the
     commit protocol; never read-and-overwrite the same path).  Returns the path written."""
-    version = version or time.strftime("%Y%m%dT%H%M%S")
+    version = version or f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
     out = f"{base.rstrip('/')}/version={version}"
     df.write.mode("errorifexists").parquet(out)
     return out
@@ -78,7 +157,7 @@ def write_outcomes(df: DataFrame, path: str) -> None:
     df.write.mode("append").partitionBy("ok").parquet(path)
 
 
-__all__ = ["write_answers", "write_judged", "write_results", "results_json", "export_json",
+__all__ = ["upsert_partitions", "read_table", "write_answers", "write_judged", "write_results", "results_json", "export_json",
            "export_leaderboard", "write_request_status", "write_outcomes", "CRITERION_LABELS", "SCORE_COLS"]
 
 
