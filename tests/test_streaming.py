@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scorewright.functions.scores import SCORE_COLS
 from scorewright.operators.scoring import score_verdicts
 from scorewright.operators.requests import request_state
-from scorewright.streaming.jobs import request_state_stream, running_averages, score_new_verdicts
+from scorewright.streaming.jobs import request_state_stream, score_new_verdicts
 
 SCHEMA = "doc_id bigint, judge_pos int, round int, model_id bigint, task string, response string"
 
@@ -51,26 +51,45 @@ def test_s1_scores_each_file_once(spark, tmp):
     assert sorted(map(tuple, streamed.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
 
 
+def judged_files():
+    """Judged rows by arriving file: judges in different files, entries without judges, corrections, replays, a late judge."""
+    def row(f, o, j, version, base, task="t0", ok=True):
+        return (f, o, task, j, version, ok, *[base * k / 8 if ok or k < 3 else None for k in range(1, 8)])
+    known = [(f, o, f"t{o % 2}", None, 0, False, *[None] * 7) for f in ("a", "b") for o in range(6)]
+    one = known + [row("a", o, "Judge 1", 1, o / 10, f"t{o % 2}") for o in range(6)] + [row("a", o, "Jury", 1, 0.5, f"t{o % 2}") for o in range(4)]
+    two = [row("a", 1, "Judge 1", 2, 0.9, "t1"), row("a", 0, "Jury", 1, 0.5, "t0"), row("b", 2, "Judge 1", 1, 0.3, None), row("b", 2, "Jury", 1, 0.3, None)]
+    three = [row("a", 4, "Jury", 1, 0.7, "t0"), row("a", 2, "Judge 1", 3, 0.2, "t0", ok=False), row("a", 1, "Judge 1", 1, 0.1, "t1")]
+    four = [row("a", 2, "Judge 1", 4, 0.25, "t9"), row("b", 5, "Judge 1", 1, 1.0, "t1"), row("b", 5, "Judge 7", 1, 1.0, "t1"), row("a", 5, "Jury", 1, 0.123456789, "t1")]
+    return [one, two, three, four]
+
+
 def test_s3_running_averages_equal_batch(spark, tmp):
-    scored = score_verdicts(spark.createDataFrame(verdict_rows(0, 30), SCHEMA)).filter("usable")
-    scored = scored.select(F.col("model_id"), F.col("doc_id").alias("ordinal"),
-                           F.concat(F.lit("Judge "), F.col("judge_pos").cast("string")).alias("judge_key"),
-                           "task", *SCORE_COLS)
-    path = f"{tmp}/scored"
-    scored.repartition(3).write.parquet(path)
-    # replay one part: duplicates must not count twice
-    scored.limit(5).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(scored.schema).parquet(path)
-    q = (running_averages(stream).writeStream.outputMode("complete").format("memory")
-         .queryName("s3_avgs").option("checkpointLocation", f"{tmp}/ck3").start())
-    q.processAllAvailable()
-    q.stop()
-    got = {(r["model_id"], r["judge_key"], r["task"]): (r["n"], round(r["final_score"], 9))
-           for r in spark.sql("SELECT * FROM s3_avgs").collect()}
-    exp = {(r["model_id"], r["judge_key"], r["task"]): (r["n"], round(r["f"], 9))
-           for r in scored.groupBy("model_id", "judge_key", "task").agg(F.count("*").alias("n"),
-                                                                        F.avg("final_score").alias("f")).collect()}
-    assert got == exp
+    """After 1, 3 and all files the running results equal E6-E8 over the latest rows; corrections and replays included."""
+    from pyspark.sql import Window
+
+    from scorewright.operators import results as R
+    from scorewright.streaming.jobs import running_averages, running_results
+    schema = "file_id string, ordinal bigint, task string, judge_key string, version bigint, score_ok boolean, " + ", ".join(f"{c} double" for c in SCORE_COLS)
+    files, expected = judged_files(), ["Judge 1", "Jury"]
+    for upto, fresh in ((1, [0]), (3, [1, 2]), (4, [3, 1])):
+        for i in fresh:
+            spark.createDataFrame(files[i], schema).coalesce(1).write.mode("append").parquet(f"{tmp}/src")
+        running_averages(spark, spark.readStream.schema(schema).parquet(f"{tmp}/src"), expected, f"{tmp}/run")
+        got = running_results(spark.read.parquet(f"{tmp}/run/totals"), expected)
+        rows = spark.createDataFrame([r for f in files[:upto] for r in f], schema)
+        last = (rows.filter("judge_key IS NOT NULL").withColumn("rn", F.row_number().over(Window.partitionBy("file_id", "ordinal", "judge_key").orderBy(F.desc("version"))))
+                .filter("rn = 1"))
+        # an entry's task is that of its judge rows here, so the entry table takes it from them
+        entries = rows.groupBy("file_id", "ordinal").agg(F.max_by("task", "version").alias("task"))
+        packed = R.pack_judged(last.select("file_id", "ordinal", "judge_key", F.col("judge_key").alias("judge_name"), "score_ok", *SCORE_COLS), entries)
+        agg = R.averages(R.flag_valid(packed, F.array(*[F.lit(k) for k in expected]))).collect()
+        want = {(r.file_id, r.judge_key): tuple(r[c] for c in SCORE_COLS) for r in agg if r["_set"] == 1}
+        assert {(r.file_id, r.judge_key): tuple(r[c] for c in SCORE_COLS) for r in got["wide"].collect()} == want
+        assert {(r.file_id, r.total_entries, r.successful_entries) for r in got["counts"].collect()} == {
+            (r.file_id, r.total_entries, r.successful_entries) for r in agg if r["_set"] == 1}
+        if upto != 4:
+            assert {(r.file_id, r.judge_key, r.task, r.score) for r in got["tasks"].collect()} == {
+                (r.file_id, r.judge_key, r.task, r.score) for r in agg if r["_set"] == 0 and r.task and r.score is not None}
 
 
 def test_s2_request_state_stream_equals_batch(spark, tmp):
@@ -89,37 +108,24 @@ def test_s2_request_state_stream_equals_batch(spark, tmp):
     assert got == exp
 
 
-def test_s2_state_table_versions(spark, tmp):
-    from scorewright.streaming.jobs import latest_version, request_state_table
+def test_s2_state_table(spark, tmp):
+    """The table follows the stream; a new checkpoint over an old table, old changes again and late ones change nothing."""
+    from scorewright.streaming.jobs import read_request_state, request_state_table
     schema = "event_id bigint, ts timestamp, request_id bigint, status string"
     src = f"{tmp}/changes2"
     first = [(1, "2024-01-01 00:00:01", 1, "PENDING"), (2, "2024-01-01 00:00:02", 2, "PENDING")]
-    second = [(3, "2024-01-01 00:00:03", 1, "RUNNING"), (4, "2024-01-01 00:00:04", 1, "FINISHED")]
+    second = [(3, "2024-01-01 00:00:03", 1, "RUNNING"), (4, "2024-01-01 00:00:04", 1, "FINISHED"), (5, "2024-01-01 00:00:04", 3, None)]
+    late = [(0, "2023-01-01 00:00:00", 1, "FAILED"), (9, "2024-01-01 00:00:00", 2, "FAILED")]
     mk = lambda rows: spark.createDataFrame(rows, "event_id bigint, ts string, request_id bigint, status string") \
         .withColumn("ts", F.to_timestamp("ts"))
-    mk(first).write.parquet(f"{src}/a")
     stream = lambda: spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+    state = lambda: {r["request_id"]: r["status"] for r in read_request_state(spark, f"{tmp}/state").collect()}
+    mk(first).write.parquet(f"{src}/a")
     request_state_table(stream(), f"{tmp}/state", f"{tmp}/ck_state").awaitTermination()
+    assert state() == {1: "PENDING", 2: "PENDING"}
     mk(second).write.parquet(f"{src}/b")
     request_state_table(stream(), f"{tmp}/state", f"{tmp}/ck_state").awaitTermination()
-    latest = spark.read.parquet(latest_version(spark, f"{tmp}/state"))
-    assert {r["request_id"]: r["status"] for r in latest.collect()} == {1: "FINISHED", 2: "PENDING"}
-
-
-def test_s3_with_watermark_bounds_dedupe_state(spark, tmp):
-    rows = [(m, o, f"Judge {j}", "t", f"2024-01-01 00:{o % 60:02d}:00", 0.5 * j)
-            for m in range(2) for o in range(20) for j in (1, 2)]
-    df = spark.createDataFrame(rows, "model_id int, ordinal int, judge_key string, task string, ts string, v double") \
-        .withColumn("ts", F.to_timestamp("ts"))
-    for c in SCORE_COLS:
-        df = df.withColumn(c, F.col("v"))
-    df = df.drop("v")
-    df.write.parquet(f"{tmp}/w")
-    df.limit(7).write.mode("append").parquet(f"{tmp}/w")      # replayed rows
-    stream = spark.readStream.schema(df.schema).parquet(f"{tmp}/w")
-    q = (running_averages(stream, watermark=("ts", "1 hour")).writeStream.outputMode("complete")
-         .format("memory").queryName("s3_wm").option("checkpointLocation", f"{tmp}/ckw").start())
-    q.processAllAvailable()
-    q.stop()
-    got = {(r["model_id"], r["judge_key"]): (r["n"], r["final_score"]) for r in spark.sql("SELECT * FROM s3_wm").collect()}
-    assert got == {(m, f"Judge {j}"): (20, 0.5 * j) for m in range(2) for j in (1, 2)}
+    assert state() == {1: "FINISHED", 2: "PENDING", 3: None}
+    mk(late).write.parquet(f"{src}/c")
+    request_state_table(stream(), f"{tmp}/state", f"{tmp}/ck_new").awaitTermination()
+    assert state() == {1: "FINISHED", 2: "PENDING", 3: None} and read_request_state(spark, f"{tmp}/state").count() == 3
