@@ -280,14 +280,16 @@ def dblank(x: str) -> str:
     return f"nullif({dstrip(x)}, '')"
 
 
-V_ITEMS = f"""v_items AS (
-  SELECT 'conv' || CAST(conv_id % 2 AS VARCHAR) AS task_set, conv_id * 1000 + part AS sn, conv_id * 1000 + part AS conv_id,
+V_ITEMS = """v_items AS (
+  SELECT 'conv' || CAST(conv_id % 2 AS VARCHAR) AS task_set, conv_id AS conversation, part,
     CASE WHEN conv_id % 23 = 22 THEN 3 ELSE CAST(conv_id % 3 AS INTEGER) END AS round,
     'task' || CAST(conv_id % 4 AS VARCHAR) AS task,
     'cat' || CAST(conv_id % 3 AS VARCHAR) AS category,
     CASE WHEN conv_id % 5 = 0 THEN 'Arabic' WHEN conv_id % 5 = 1 THEN 'HINDI'
          WHEN conv_id % 5 = 2 THEN NULL ELSE 'English' END AS language,
-    q1, CASE WHEN conv_id % 19 = 7 THEN ' ' || chr(10) || chr(9) || ' ' ELSE a1 END AS a1, q2, a2
+    q1, CASE WHEN conv_id % 19 = 7 THEN ' ' || chr(10) || chr(9) || ' ' ELSE a1 END AS a1, q2, a2,
+    (SELECT arg_min(c.text, c.turn) FROM conversations c
+     WHERE c.conv_id = p.conv_id AND c.role = 'system' AND c.text IS NOT NULL) AS system_text
   FROM (
     SELECT conv_id, CAST((n + 1) // 2 - 1 AS BIGINT) AS part,
       max(CASE WHEN role = 'user' AND n % 2 = 1 THEN text END) AS q1,
@@ -301,8 +303,8 @@ V_ITEMS = f"""v_items AS (
 
 V_ANSWERS = """v_answers AS (
   SELECT i.*, m.model_pos, m.model_name,
-    CASE WHEN (i.conv_id + m.model_pos) % 7 = 0 THEN '' ELSE i.a1 END AS m1,
-    CASE WHEN (i.conv_id + m.model_pos) % 7 = 0 THEN '' ELSE i.a2 END AS m2
+    CASE WHEN (i.conversation + i.part + m.model_pos) % 7 = 0 THEN '' ELSE i.a1 END AS m1,
+    CASE WHEN (i.conversation + i.part + m.model_pos) % 7 = 0 THEN '' ELSE i.a2 END AS m2
   FROM v_items i, (VALUES (1, 'org0/alpha-7b'), (2, 'org1/beta-13b'), (3, 'gpt-4o'), (4, 'claude-3-5-sonnet'))
        AS m(model_pos, model_name)
 )"""
@@ -328,8 +330,8 @@ forms AS (
   SELECT *,
     CASE WHEN round = 0 OR (round = 1 AND pass = 0) OR (round = 2 AND pass = 1) THEN 'first'
          WHEN round = 1 THEN 'conv1' ELSE 'conv2' END AS form,
-    CASE lower(coalesce(language, '')) WHEN 'arabic' THEN 'SYS-AR' WHEN 'hindi' THEN 'SYS-HI'
-         ELSE 'SYS-DEFAULT' END AS sys,
+    coalesce(system_text, CASE lower(coalesce(language, '')) WHEN 'arabic' THEN 'SYS-AR' WHEN 'hindi' THEN 'SYS-HI'
+         ELSE 'SYS-DEFAULT' END) AS sys,
     'model answer to: ' || {dstrip('q1')} AS prior
   FROM passes
 ),
@@ -339,17 +341,26 @@ msgs AS (
 )"""
 
 
-def _layout_sql(layout: str, closing: str) -> str:
-    parts, rest = [], layout
-    while "{" in rest:
-        pre, _, tail = rest.partition("{")
-        name, _, rest = tail.partition("}")
-        if pre:
-            parts.append("'" + pre.replace("'", "''").replace("\n", "' || chr(10) || '") + "'")
-        parts.append("'" + closing.replace("'", "''") + "'" if name == "closing" else dstrip(name))
-    if rest:
-        parts.append("'" + rest.replace("'", "''").replace("\n", "' || chr(10) || '") + "'")
-    return " || ".join(parts)
+# The judge prompt's sections by round.
+JUDGE_SECTIONS = {
+    0: [("Question", "q1"), ("Correct Answer", "a1"), ("Model's Answer", "m1")],
+    1: [("Question 1", "q1"), ("Answer to Question 1", "a1"), ("Question 2", "q2"),
+        ("Correct Answer to Question 2", "a2"), ("Model's Answer to Question 2", "m1")],
+    2: [("Question 1", "q1"), ("Correct Answer 1 to Question 1", "a1"), ("Model's Answer 1 to Question 1", "m1"),
+        ("Question 2", "q2"), ("Correct Answer 2 to Question 2", "a2"), ("Model's Answer 2 to Question 2", "m2")],
+}
+# Sections that a single line break follows; the others are followed by an empty line.
+TIGHT_SECTIONS = {0: [], 1: [0, 1], 2: [0, 1, 3, 4]}
+
+
+def _prompt_sql(round_: int, closing: str) -> str:
+    """The judge prompt of one round: every section's heading and stripped text, then the closing."""
+    out = ""
+    for i, (heading, field) in enumerate(JUDGE_SECTIONS[round_]):
+        title = "### " + heading.replace("'", "''") + ":"
+        end = "chr(10)" if i in TIGHT_SECTIONS[round_] else "chr(10) || chr(10)"
+        out += f"'{title}' || chr(10) || {dstrip(field)} || {end} || "
+    return out + f"'{closing}'"
 
 
 def _state_sql(src: str = "v_requests") -> str:
@@ -435,34 +446,33 @@ def _req_org(m: str) -> str:
 
 def more_oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["item_validity"] = (f"WITH {V_ITEMS}\nSELECT conv_id, round, CAST(({GEN_REASON}) IS NULL AS INTEGER) AS gen_ok, "
+    q["item_validity"] = (f"WITH {V_ITEMS}\nSELECT conversation, part, round, CAST(({GEN_REASON}) IS NULL AS INTEGER) AS gen_ok, "
                           f"{GEN_REASON} AS gen_reason FROM v_items")
-    q["answer_validity"] = (f"WITH {V_ITEMS}, {V_ANSWERS}\nSELECT conv_id, model_pos, "
+    q["answer_validity"] = (f"WITH {V_ITEMS}, {V_ANSWERS}\nSELECT conversation, part, model_pos, "
                             f"CAST(({JUDGE_REASON}) IS NULL AS INTEGER) AS judge_ok, {JUDGE_REASON} AS reject_reason "
                             f"FROM v_answers")
     q["conversation_messages"] = f"""WITH {V_ITEMS}, {FORMS}
-SELECT conv_id, pass, 0 AS pos, 'system' AS role, sys AS content FROM msgs
-UNION ALL SELECT conv_id, pass, 1, 'user', {dstrip('q1')} FROM msgs
-UNION ALL SELECT conv_id, pass, 2, 'assistant', mid FROM msgs WHERE form <> 'first'
-UNION ALL SELECT conv_id, pass, 3, 'user', {dstrip('q2')} FROM msgs WHERE form <> 'first'"""
+SELECT conversation, part, pass, 0 AS pos, 'system' AS role, sys AS content FROM msgs
+UNION ALL SELECT conversation, part, pass, 1, 'user', {dstrip('q1')} FROM msgs
+UNION ALL SELECT conversation, part, pass, 2, 'assistant', mid FROM msgs WHERE form <> 'first'
+UNION ALL SELECT conversation, part, pass, 3, 'user', {dstrip('q2')} FROM msgs WHERE form <> 'first'"""
     nl = "chr(10)"
     q["flat_prompts"] = f"""WITH {V_ITEMS}, {FORMS}
-SELECT conv_id, pass,
+SELECT conversation, part, pass,
   CASE WHEN form = 'first' THEN sys || {nl} || {dstrip('q1')}
        ELSE sys || {nl} || {dstrip('q1')} || {nl} || mid || {nl} || {dstrip('q2')} END AS prompt,
   CASE WHEN form = 'first' THEN 1 ELSE 3 END AS n_no_system,
   sys AS system_text
 FROM msgs"""
-    from scorewright.operators.items import JUDGE_LAYOUTS
     closing = {0: "Evaluate the answer.", 1: "Evaluate the answer.", 2: "Evaluate both answers."}
-    prompt = "CASE " + " ".join(f"WHEN round = {r} THEN {_layout_sql(JUDGE_LAYOUTS[r], closing[r])}"
+    prompt = "CASE " + " ".join(f"WHEN round = {r} THEN {_prompt_sql(r, closing[r])}"
                                 for r in (0, 1, 2)) + " END"
     q["judge_prompts"] = f"""WITH {V_ITEMS}, {V_ANSWERS}
-SELECT conv_id, model_pos, 'JUDGE-BASE R' || CAST(round AS VARCHAR) AS system_text, {prompt} AS prompt
+SELECT conversation, part, model_pos, 'JUDGE-BASE R' || CAST(round AS VARCHAR) AS system_text, {prompt} AS prompt
 FROM v_answers WHERE ({JUDGE_REASON}) IS NULL"""
     lic = "CASE WHEN contains(model_name, '/') THEN 'Open' ELSE 'Proprietary' END"
     q["stamped_answers"] = f"""WITH {V_ITEMS}, {V_ANSWERS}, a AS (SELECT *, {lic} AS license FROM v_answers)
-SELECT conv_id, model_pos, model_name, license,
+SELECT conversation, part, model_pos, model_name, license,
   CASE WHEN license = 'Proprietary' THEN 'UNK' ELSE 'main' END AS revision,
   CASE WHEN license = 'Proprietary' THEN 'UNK' ELSE 'bfloat16' END AS precision,
   CASE WHEN license = 'Proprietary' THEN 'UNK' ELSE '7.0' END AS params,
@@ -470,10 +480,10 @@ SELECT conv_id, model_pos, model_name, license,
   coalesce(nullif(m2, ''), CASE WHEN license = 'Proprietary' THEN 'ERROR' ELSE 'None' END) AS m2
 FROM a"""
     q["expand_runs"] = f"""WITH {V_ITEMS}, {V_REQUESTS}, st AS {_state_sql()}
-SELECT i.task_set, i.conv_id, i.round, s.request_id, s.model_name
+SELECT i.task_set, i.conversation, i.part, i.round, s.request_id, s.model_name
 FROM v_items i JOIN st s ON s.task_set = i.task_set WHERE s.reset_status = 'PENDING'"""
     q["unjudged_answers"] = f"""WITH {V_ITEMS}, {V_ANSWERS}
-SELECT conv_id, model_pos FROM v_answers a WHERE NOT coalesce(round = 0 AND m1 <> '', false)"""
+SELECT conversation, part, model_pos FROM v_answers a WHERE NOT coalesce(round = 0 AND m1 <> '', false)"""
     m = "model_name"
     path_parts = f"string_split(regexp_replace({m}, '^/+|/+$', '', 'g'), '/')"
     porg = f"CASE WHEN len({path_parts}) >= 2 THEN {path_parts}[-2] END"
@@ -531,9 +541,31 @@ loc AS (SELECT request_id, status FROM old)
 SELECT n.request_id, n.status, 'remote' AS source FROM new n
 WHERE NOT EXISTS (SELECT 1 FROM loc l WHERE l.request_id = n.request_id)
 UNION ALL SELECT request_id, status, 'local' FROM loc"""
+    org = f"CASE WHEN contains({m}, '/') THEN split_part({m}, '/', 1) ELSE {_req_org(m)} END"
+    files = f"""SELECT CASE WHEN contains({m}, '/') THEN 'OpenRequests' ELSE 'ProprietaryRequests' END AS bucket, {org} AS org,
+    ({mid}) || '_eval_request_' || coalesce(revision, 'main') || '_' || coalesce(precision, 'UNK') || '.json' AS file, model_name,
+    CASE WHEN contains({m}, '/') THEN 'Open' ELSE 'Proprietary' END AS license, coalesce(revision, 'main') AS revision,
+    coalesce(precision, 'UNK') AS precision, coalesce(params, 'UNK') AS params, 'Text' AS modality"""
+    q["register_manifests"] = f"""WITH {V_REQUESTS}, {V_MODELS}, st AS {_state_sql()},
+asked AS ({files} FROM v_models UNION ALL
+  {files} FROM (SELECT model_name, NULL::VARCHAR AS revision, NULL::VARCHAR AS precision, NULL::VARCHAR AS params FROM st WHERE status = 'FINISHED')),
+one AS (SELECT * FROM asked QUALIFY row_number() OVER (PARTITION BY bucket, org, file
+  ORDER BY model_name, license, revision, precision, params, modality) = 1),
+have AS (SELECT bucket, org, file, max(status) AS status, count(*) AS n FROM (
+  {files}, status FROM (SELECT model_name, NULL::VARCHAR AS revision, NULL::VARCHAR AS precision, NULL::VARCHAR AS params, status FROM st)) GROUP BY ALL)
+SELECT o.*, coalesce(h.status, 'PENDING') AS status, CAST(h.n IS NULL AS INTEGER) AS is_new
+FROM one o LEFT JOIN have h USING (bucket, org, file)"""
+    q["mirror_folders"] = f"""WITH {snap},
+put AS (SELECT DISTINCT category, task_set AS org, CAST(request_id % 400 AS VARCHAR) || '.json' AS file FROM new),
+remote AS (SELECT DISTINCT CASE upper(coalesce(status, 'PENDING')) WHEN 'FINISHED' THEN 'finished' WHEN 'FAILED' THEN 'failed'
+  ELSE 'pending' END AS category, task_set AS org, CAST(request_id % 500 AS VARCHAR) || '.json' AS file FROM v_requests)
+SELECT category || '/' || org || '/' || file AS path, 'put' AS action FROM put
+UNION ALL SELECT r.category || '/' || r.org || '/' || r.file, 'delete' FROM remote r
+WHERE NOT EXISTS (SELECT 1 FROM put p WHERE p.org = r.org AND p.file = r.file AND p.category = r.category)"""
     q["item_turns"] = """SELECT conv_id, CAST(count(*) FILTER (role = 'user') AS BIGINT) AS user_turns,
-  CAST(count(*) FILTER (role = 'assistant') AS BIGINT) AS assistant_turns
-FROM conversations WHERE role IN ('user', 'assistant') AND text IS NOT NULL GROUP BY conv_id"""
+  CAST(count(*) FILTER (role = 'assistant') AS BIGINT) AS assistant_turns,
+  arg_min(text, turn) FILTER (role = 'system' AND text IS NOT NULL) AS system_text
+FROM conversations GROUP BY conv_id HAVING count(*) FILTER (role IN ('user', 'assistant')) > 0"""
     q["mirror_plan"] = f"""WITH {snap},
 put AS (SELECT category, task_set AS org, CAST(request_id AS VARCHAR) || '.json' AS file FROM new),
 remote AS (SELECT CASE WHEN request_id % 7 = 3 THEN 'archive' ELSE category END AS category, task_set AS org,
@@ -567,6 +599,33 @@ jf AS (SELECT f.file_id, a.final_score FROM (SELECT DISTINCT file_id FROM entrie
        JOIN (SELECT judge_key FROM common WHERE judge_key = 'Jury') c ON true
        LEFT JOIN agg a ON a.file_id = f.file_id)
 SELECT file_id AS model_id, final_score, dense_rank() OVER (ORDER BY final_score DESC NULLS LAST) AS rank FROM jf"""
+    q["results_last_wins"] = f"""{big},
+every AS ({part.format(g=1, cond="answer_id % 2 = 0")} UNION ALL
+  {part.format(g=2, cond="model_id % 4 < 2 AND answer_id % 2 = 0")} UNION ALL
+  {part.format(g=3, cond="model_id % 4 < 3 AND answer_id % 3 = 0")})
+SELECT * FROM every e WHERE generation = (SELECT max(generation) FROM every f WHERE f.model_id = e.model_id AND f.judge_pos = e.judge_pos)"""
+    q["results_union"] = f"""{big}
+SELECT model_id, judge_pos, CAST(count(*) AS BIGINT) AS n, {r4("avg(final_score)")} AS final_score, 'criteria' AS file,
+  CAST(NULL AS VARCHAR) AS task, CAST(NULL AS DOUBLE) AS score FROM scored GROUP BY model_id, judge_pos
+UNION ALL SELECT model_id, judge_pos, NULL, NULL, 'tasks', task, {r4("avg(final_score)")} FROM scored GROUP BY model_id, judge_pos, task"""
+    q["assembled_results"] = f"""{_judged_sql()},
+agg AS (SELECT file_id, judge_key, {r4('avg(coalesce(final_score, 0.0))')} AS final_score FROM vrows GROUP BY file_id, judge_key),
+tk AS (SELECT file_id, judge_key, task, {r4('avg(final_score)')} AS task_score FROM vrows
+       WHERE task IS NOT NULL AND task <> '' AND final_score IS NOT NULL GROUP BY ALL),
+named AS (SELECT n.*, row_number() OVER (PARTITION BY file_id, judge_name ORDER BY judge_key DESC) AS rn FROM names n)
+SELECT n.file_id AS model_id, e.model_name, e.total_entries, n.judge_name || ' Scores' AS judge_entry, a.final_score, t.task, t.task_score
+FROM named n LEFT JOIN agg a ON a.file_id = n.file_id AND a.judge_key = n.judge_key
+LEFT JOIN tk t ON t.file_id = n.file_id AND t.judge_key = n.judge_key
+JOIN (SELECT file_id, arg_min(model_name, ordinal) AS model_name, CAST(count(*) AS BIGINT) AS total_entries FROM entries GROUP BY file_id) e
+  ON e.file_id = n.file_id WHERE n.rn = 1"""
+    q["attached_answers"] = f"""WITH {V_ITEMS}, {V_ANSWERS}
+SELECT conversation, part, task_set, q1, model_pos, m1 FROM v_answers WHERE m1 <> ''"""
+    q["list_arguments"] = """WITH p AS (
+  SELECT p_partkey, string_split(' ' || replace(upper(p_name), ' ', ' ,') || CASE WHEN p_partkey % 5 = 0 THEN ', ,' ELSE '' END, ',') AS parts
+  FROM part),
+l AS (SELECT p_partkey, 'judges' AS kind, list_filter(list_transform(parts, lambda x: lower(trim(x))), lambda x: x <> '') AS items FROM p
+      UNION ALL SELECT p_partkey, 'models', parts FROM p)
+SELECT p_partkey, kind, CAST(unnest(range(len(items))) AS INTEGER) AS pos, unnest(items) AS item FROM l"""
     base = scored_verdicts_sql()
     pairs = [(1, 2), (1, 3), (2, 3)]
     q["judge_agreement"] = f"""{base},
@@ -587,9 +646,9 @@ FROM scored s JOIN labels l ON l.doc_id = s.doc_id WHERE s.usable GROUP BY s.jud
 SELECT d.source, s.judge_pos, CAST(count(*) AS BIGINT) AS n, {r4('avg(s.final_score)')} AS score
 FROM scored s JOIN documents d ON d.doc_id = s.doc_id WHERE s.usable GROUP BY d.source, s.judge_pos"""
     q["vision_messages"] = f"""WITH {V_ITEMS}, {FORMS},
-vm AS (SELECT *, CASE WHEN conv_id % 4 = 3 THEN 'Text+Vision' ELSE 'Text' END AS modality,
-              (conv_id % 2 <> 0) OR (conv_id % 4 = 3) AS inc_sys FROM msgs)
-SELECT conv_id, pass, modality,
+vm AS (SELECT *, CASE WHEN conversation % 4 = 3 THEN 'Text+Vision' ELSE 'Text' END AS modality,
+              (conversation % 2 <> 0) OR (conversation % 4 = 3) AS inc_sys FROM msgs)
+SELECT conversation, part, pass, modality,
   CAST((CASE WHEN form = 'first' THEN 1 ELSE 3 END) + (CASE WHEN inc_sys THEN 1 ELSE 0 END) AS INTEGER) AS n_messages,
   CASE WHEN inc_sys THEN 'system' ELSE 'user' END AS first_role,
   CASE WHEN modality <> 'Text' THEN 'text' END AS first_part_type,
@@ -615,14 +674,13 @@ SELECT run_id, {r4('secs')} AS secs,
                AS DECIMAL(20,8)), 2)) AS elapsed
 FROM d"""
     last = f"(CASE WHEN form = 'first' THEN {dstrip('q1')} ELSE {dstrip('q2')} END)"
-    q["stub_generation"] = f"""WITH {V_ITEMS}, {FORMS}, lm AS (SELECT conv_id, pass, {last} AS last FROM msgs)
-SELECT conv_id, pass, 'echo: ' || CAST(length(last) AS VARCHAR) || ' chars '
+    q["stub_generation"] = f"""WITH {V_ITEMS}, {FORMS}, lm AS (SELECT conversation, part, pass, {last} AS last FROM msgs)
+SELECT conversation, part, pass, 'echo: ' || CAST(length(last) AS VARCHAR) || ' chars '
   || CAST(CASE WHEN {dstrip('last')} = '' THEN 0 ELSE len(regexp_split_to_array({dstrip('last')}, '\\s+')) END AS VARCHAR)
   || ' words' AS completion
 FROM lm"""
-    from scorewright.operators.items import JUDGE_LAYOUTS
     closing = {0: "Evaluate the answer.", 1: "Evaluate the answer.", 2: "Evaluate both answers."}
-    prompt = "CASE " + " ".join(f"WHEN round = {r} THEN {_layout_sql(JUDGE_LAYOUTS[r], closing[r])}"
+    prompt = "CASE " + " ".join(f"WHEN round = {r} THEN {_prompt_sql(r, closing[r])}"
                                 for r in (0, 1, 2)) + " END"
     c = "(CASE WHEN n % 3 <> 0 THEN 1.0 ELSE 0.0 END)"
     one = {  # normalised first block (zeroed when Correct is not 1)
@@ -634,10 +692,10 @@ FROM lm"""
                f"ELSE {r4(f'(({one[k]}) * 1.0) / 1.0')} END" for k in one}
     q["stub_judging"] = f"""WITH {V_ITEMS}, {V_ANSWERS},
 calls AS (
-  SELECT a.conv_id, a.model_pos, j.judge_pos, a.round, length({prompt}) AS n
+  SELECT a.conversation, a.part, a.model_pos, j.judge_pos, a.round, length({prompt}) AS n
   FROM v_answers a, (VALUES (1), (2)) AS j(judge_pos) WHERE ({JUDGE_REASON}) IS NULL),
-s AS (SELECT conv_id, model_pos, judge_pos, {", ".join(f"{e} AS {k}" for k, e in crit.items())} FROM calls)
-SELECT conv_id, model_pos, judge_pos, 1 AS usable, correct, complete, concise, helpful, honest, harmless,
+s AS (SELECT conversation, part, model_pos, judge_pos, {", ".join(f"{e} AS {k}" for k, e in crit.items())} FROM calls)
+SELECT conversation, part, model_pos, judge_pos, 1 AS usable, correct, complete, concise, helpful, honest, harmless,
   {r4('(correct + complete + concise + helpful + honest + harmless) / 6.0')} AS final_score
 FROM s"""
     return q

@@ -153,20 +153,29 @@ VIEW_JUDGE_BASE = "JUDGE-BASE"
 VIEW_JUDGE_SUFFIX = {0: " R0", 1: " R1", 2: " R2"}
 
 
+#: What names an item of the view.
+ITEM = ["conversation", "part"]
+
+
 def q_item_validity(spark, sf):
     return I.generation_check(V.v_items(spark, sf)).select(
-        "conv_id", "round", F.col("gen_ok").cast("int").alias("gen_ok"), "gen_reason")
+        *ITEM, "round", F.col("gen_ok").cast("int").alias("gen_ok"), "gen_reason")
 
 
 def q_answer_validity(spark, sf):
     return I.judging_check(V.v_answers(spark, sf)).select(
-        "conv_id", "model_pos", F.col("judge_ok").cast("int").alias("judge_ok"), "reject_reason")
+        *ITEM, "model_pos", F.col("judge_ok").cast("int").alias("judge_ok"), "reject_reason")
+
+
+def _system():
+    """The conversation's own system text, else the prompt of its language."""
+    return F.coalesce(F.col("system_text"), I.system_prompt(F.col("language"), V.VIEW_PROMPTS))
 
 
 def _messages(spark, sf):
     items = I.generation_check(V.v_items(spark, sf)).filter("gen_ok")
     p = I.generation_passes(items)
-    sysp = I.system_prompt(F.col("language"), V.VIEW_PROMPTS)
+    sysp = _system()
     prior = F.concat(F.lit("model answer to: "), T.strip(F.col("q1")))
     return p.withColumn("messages", I.build_messages(F.col("round"), F.col("q1"), F.col("a1"), F.col("q2"),
                                                      prior, sysp, F.col("pass")))
@@ -174,14 +183,14 @@ def _messages(spark, sf):
 
 def q_conversation_messages(spark, sf):
     m = _messages(spark, sf)
-    return m.select("conv_id", "pass", F.posexplode("messages").alias("pos", "msg")).select(
-        "conv_id", "pass", "pos", F.col("msg.role").alias("role"), F.col("msg.content").alias("content"))
+    return m.select(*ITEM, "pass", F.posexplode("messages").alias("pos", "msg")).select(
+        *ITEM, "pass", "pos", F.col("msg.role").alias("role"), F.col("msg.content").alias("content"))
 
 
 def q_flat_prompts(spark, sf):
     m = _messages(spark, sf)
     o_model = F.lit("o1-mini")
-    return m.select("conv_id", "pass",
+    return m.select(*ITEM, "pass",
                     I.flatten_messages(F.col("messages")).alias("prompt"),
                     F.size(I.drop_system(F.col("messages"), o_model)).cast("int").alias("n_no_system"),
                     I.split_system(F.col("messages"))[0].alias("system_text"))
@@ -189,7 +198,7 @@ def q_flat_prompts(spark, sf):
 
 def q_judge_prompts(spark, sf):
     a = I.judging_check(V.v_answers(spark, sf)).filter("judge_ok")
-    return a.select("conv_id", "model_pos",
+    return a.select(*ITEM, "model_pos",
                     I.judge_system(F.col("round"), VIEW_JUDGE_BASE, VIEW_JUDGE_SUFFIX).alias("system_text"),
                     I.judge_prompt(F.col("round"), VIEW_CLOSING).alias("prompt"))
 
@@ -200,14 +209,14 @@ def q_stamped_answers(spark, sf):
     a = a.withColumn("_lic", lic)
     a = I.stamp_model(a, F.col("model_name"), F.col("_lic"), F.lit("main"), F.lit("bfloat16"), F.lit("7.0"))
     a = I.with_default_answers(a)
-    return a.select("conv_id", "model_pos", "model_name", "license", "revision", "precision", "params",
+    return a.select(*ITEM, "model_pos", "model_name", "license", "revision", "precision", "params",
                     "m1", "m2")
 
 
 def q_expand_runs(spark, sf):
     pending = Rq.pending_requests(Rq.request_state(V.v_requests(spark, sf)))
     items = V.v_items(spark, sf)
-    return I.expand_runs(items.select("task_set", "conv_id", "round"),
+    return I.expand_runs(items.select("task_set", *ITEM, "round"),
                          pending.select("task_set", "request_id", "model_name"))
 
 
@@ -215,10 +224,9 @@ def q_unjudged_answers(spark, sf):
     """answers not judged yet; the judged side is every round-0 answer with a model
     answer (the part of the work already done)."""
     a = V.v_answers(spark, sf)
-    key = ["conversation", "part", "model_pos"]
-    answers = a.select("conv_id", *key)
+    key = [*ITEM, "model_pos"]
     judged = a.filter((F.col("round") == 0) & (F.col("m1") != "")).select(*key)
-    return I.unjudged(answers, judged, key).select("conv_id", "model_pos")
+    return I.unjudged(a.select(*key), judged, key)
 
 
 # ---------------------------------------------------------------- models and files
@@ -289,40 +297,63 @@ def q_register_requests(spark, sf):
     return Rq.register_requests(models, st, "model_name")
 
 
-def _snapshots(spark, sf):
+def q_register_manifests(spark, sf):
+    """F7 by request file: the manifests of every model of the models view and of those whose last run finished, with
+    their seven fields; a manifest that lies there already keeps its status."""
+    known = Rq.request_state(V.v_requests(spark, sf)).select("model_name", "status")
+    existing = Rq.request_files(known.select("model_name")).select("model_name", "bucket", "org", "file").join(known, "model_name")
+    listed = V.v_models(spark, sf).select("model_name", "revision", "precision", "params")
+    asked = listed.unionByName(known.filter(F.col("status") == "FINISHED").select("model_name"), allowMissingColumns=True)
+    return Rq.register_requests(Rq.request_files(asked), existing, ["bucket", "org", "file"])
+
+
+def _states(spark, sf):
+    """Every request's state now and at the midpoint of the time range, from one aggregate; the midpoint is a scalar
+    subquery."""
     r = V.v_requests(spark, sf)
-    # midpoint of the time range: one scalar aggregate
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    cut_us = r.agg(F.floor((F.min(us) + F.max(us)) / 2).alias("c")).first()["c"]
-    old = Rq.request_state(r.filter(us <= cut_us))
-    new = Rq.request_state(r)
-    return old, new
+    mid = r.agg(F.floor((F.min(us) + F.max(us)) / 2).alias("c")).scalar()
+    r = r.withColumn("us", us).withColumn("cut", mid)
+    return Rq.request_states_at(r, F.col("cut"), ts="us")
 
 
 def q_pull_new(spark, sf):
     """the local copy is the state at the midpoint of the time range; the remote side
     is the state now.  Requests first seen after the midpoint are pulled, local ones kept."""
-    old, new = _snapshots(spark, sf)
-    local = old.select("request_id", "status")
-    remote = new.select("request_id", "status")
-    return Rq.pull_new(remote, local, ["request_id"])
+    st = _states(spark, sf)
+    side = lambda name, status: F.struct(F.lit(name).alias("source"), status.alias("status"))
+    sides = F.filter(F.array(side("remote", F.col("status")), F.when(F.col("was_known"), side("local", F.col("old_status")))), lambda x: x.isNotNull())
+    both = st.select("request_id", F.inline(sides))
+    return Rq.pull_new(both.filter("source = 'remote'").drop("source"), both.filter("source = 'local'").drop("source"), ["request_id"])
 
 
 def q_item_turns(spark, sf):
-    """Turns of each conversation that its items hold: every user and assistant turn."""
-    t = V.turn_pairs(spark, sf).groupBy("conv_id").agg(
-        (F.count("q1") + F.count("q2")).alias("user_turns"), (F.count("a1") + F.count("a2")).alias("assistant_turns"))
-    return t.filter(F.col("user_turns") + F.col("assistant_turns") > 0)
+    """Turns of each conversation that its items hold (every user and assistant turn, texts or not) and whether its
+    system text is with them."""
+    return V.turn_pairs(spark, sf).groupBy("conv_id").agg(
+        F.sum("user_turns").alias("user_turns"), F.sum("assistant_turns").alias("assistant_turns"),
+        F.max("system_text").alias("system_text"))
 
 
 def q_mirror_plan(spark, sf):
-    old, new = _snapshots(spark, sf)
-    local = new.select(F.col("task_set").alias("org"), F.concat(F.col("request_id").cast("string"), F.lit(".json"))
-                       .alias("file"), "status")
-    # every seventh remote file lies outside the status folders
-    remote = old.select(F.when(F.col("request_id") % 7 == 3, F.lit("archive")).otherwise(F.col("category")).alias("category"), F.col("task_set").alias("org"),
-                        F.concat(F.col("request_id").cast("string"), F.lit(".json")).alias("file"))
-    return Rq.mirror_plan(local, remote)
+    """the local files are the states now, the remote ones those at the midpoint; every seventh remote file lies
+    outside the status folders.  Both sides of a file are in one row, so nothing is joined."""
+    held = F.when(F.col("request_id") % 7 == 3, F.lit("archive")).otherwise(T.status_category(F.col("old_status")))
+    pairs = _states(spark, sf).select(
+        F.col("task_set").alias("org"), F.concat(F.col("request_id").cast("string"), F.lit(".json")).alias("file"),
+        F.array(T.status_category(F.col("status"))).alias("put"),
+        F.when(F.col("was_known"), F.array(held)).otherwise(F.array().cast("array<string>")).alias("held"))
+    return Rq.plan_actions(pairs)
+
+
+def q_mirror_folders(spark, sf):
+    """F9 on two separate listings: local manifests by request, remote ones by event, so one file may lie in several
+    remote folders; unknown remote files are deleted."""
+    local = _states(spark, sf).select(F.col("task_set").alias("org"), F.concat((F.col("request_id") % 400).cast("string"), F.lit(".json")).alias("file"), "status")
+    e = V.v_requests(spark, sf)
+    remote = e.select(T.status_category(F.col("status")).alias("category"), F.col("task_set").alias("org"),
+                      F.concat((F.col("request_id") % 500).cast("string"), F.lit(".json")).alias("file"))
+    return Rq.mirror_plan(local, remote, delete_orphans=True)
 
 
 # ---------------------------------------------------------------- more results operators
@@ -346,6 +377,45 @@ def q_results_upsert(spark, sf):
         "model_id", "judge_pos", "n", "final_score", "generation")
 
 
+def q_results_last_wins(spark, sf):
+    """H3: three result files name some models twice and more; the later file replaces the earlier one."""
+    old = _big_partial(spark, sf, F.col("answer_id") % 2 == 0).withColumn("generation", F.lit(1))
+    parts = [_big_partial(spark, sf, (F.col("model_id") % 4 < k) & (F.col("answer_id") % k == 0)).withColumn("generation", F.lit(k)) for k in (2, 3)]
+    return R.upsert_results(old, parts[0].unionByName(parts[1]), ["model_id", "judge_pos"]).select(
+        "model_id", "judge_pos", "n", "final_score", "generation")
+
+
+def q_results_union(spark, sf):
+    """result tables of different columns, one below the other; missing columns are NULL."""
+    crit = _big_partial(spark, sf, F.lit(True)).withColumn("file", F.lit("criteria"))
+    return R.union_results([crit, q_big_task_averages(spark, sf).withColumn("file", F.lit("tasks"))])
+
+
+def q_assembled_results(spark, sf):
+    """E11 flattened again: one row per file, judge entry and task of the nested documents."""
+    out = _results(spark, sf)
+    nested = R.assemble_results(out["wide"], out["tasks"], out["meta"])
+    e = nested.select(F.col("file_id").alias("model_id"), "model_name", "total_entries", F.explode("judges").alias("judge_entry", "v"))
+    return e.select("model_id", "model_name", "total_entries", "judge_entry", F.col("v")["3C3H Scores"]["3C3H Score"].alias("final_score"),
+                    F.explode_outer(F.col("v")["Tasks Scores"]).alias("task", "task_score"))
+
+
+def q_attached_answers(spark, sf):
+    """items with their completions; an item whose model said nothing is left out."""
+    said = V.v_answers(spark, sf).filter(F.col("m1") != "").select(*ITEM, "model_pos", "m1")
+    return I.attach_answers(V.v_items(spark, sf).select(*ITEM, "task_set", "q1"), said, ITEM)
+
+
+def q_list_arguments(spark, sf):
+    """Comma separated arguments, made of part names, as judges (stripped, lower-cased, blanks left out) and as
+    models (verbatim), with their positions."""
+    arg = F.concat(F.lit(" "), F.replace(F.upper("p_name"), F.lit(" "), F.lit(" ,")), F.when(F.col("p_partkey") % 5 == 0, F.lit(", ,")).otherwise(F.lit("")))
+    p = V.table(spark, sf, "part").select("p_partkey", arg.alias("arg"))
+    lists = [("judges", T.parse_list(F.col("arg"), lower=True)), ("models", T.parse_list(F.col("arg")))]
+    both = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("items")) for k, v in lists]))
+    return p.select("p_partkey", both.alias("l")).select("p_partkey", "l.kind", F.posexplode("l.items").alias("pos", "item"))
+
+
 # ---------------------------------------------------------------- small additions (X1-X4), labelled as ours
 
 def q_leaderboard_rank(spark, sf):
@@ -394,30 +464,27 @@ def q_gold_agreement(spark, sf):
 def q_source_averages(spark, sf):
     """Average final score per (document source, judge) - the category-style roll-up."""
     s = scored(spark, sf).filter("usable")
-    src = V.table(spark, sf, "documents").select("doc_id", "source")
-    return (s.select("doc_id", "judge_pos", "final_score").join(src, "doc_id")
-            .groupBy("source", "judge_pos").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
-                                                round4(F.avg("final_score")).alias("score")))
+    return s.groupBy("source", "judge_pos").agg(F.count(F.lit(1)).cast("bigint").alias("n"), round4(F.avg("final_score")).alias("score"))
 
 
 # ---------------------------------------------------------------- message variants, aliases, timing
 
 def q_vision_messages(spark, sf):
     """D12 + D29: vision models get typed content parts; open models with a chat template
-    get no system message.  modality by conv_id % 4: 3 -> Text+Vision, 2 -> missing
+    get no system message.  modality by conversation % 4: 3 -> Text+Vision, 2 -> missing
     (Text), else Text; chat template on for even conversations."""
     m = _messages(spark, sf)
-    modality = I.modality_of(F.when(F.col("conv_id") % 4 == 3, F.lit("Text+Vision"))
-                             .when(F.col("conv_id") % 4 == 2, F.lit(None).cast("string")).otherwise(F.lit("Text")))
-    template = F.col("conv_id") % 2 == 0
-    sysp = I.system_prompt(F.col("language"), V.VIEW_PROMPTS)
+    modality = I.modality_of(F.when(F.col("conversation") % 4 == 3, F.lit("Text+Vision"))
+                             .when(F.col("conversation") % 4 == 2, F.lit(None).cast("string")).otherwise(F.lit("Text")))
+    template = F.col("conversation") % 2 == 0
+    sysp = _system()
     prior = F.concat(F.lit("model answer to: "), T.strip(F.col("q1")))
     msgs = I.build_messages(F.col("round"), F.col("q1"), F.col("a1"), F.col("q2"), prior, sysp, F.col("pass"),
                             include_system=~template | (modality != "Text"))
     m = m.withColumns({"modality": modality, "msgs": msgs})
     vision = I.to_vision(F.col("msgs"))
     return m.select(
-        "conv_id", "pass", "modality",
+        *ITEM, "pass", "modality",
         F.size("msgs").cast("int").alias("n_messages"),
         F.get(F.col("msgs"), 0)["role"].alias("first_role"),
         F.when(F.col("modality") != "Text", F.get(F.get(vision, 0)["content"], 0)["type"]).alias("first_part_type"),
@@ -458,8 +525,8 @@ def stub_model(messages: list[dict]) -> str:
 def q_stub_generation(spark, sf):
     """U1 on every generation pass of the items view, with a deterministic stub model."""
     from scorewright.operators.inference import complete
-    m = _messages(spark, sf).select("conv_id", "pass", "messages")
-    return complete(m, stub_model).select("conv_id", "pass", "completion")
+    m = _messages(spark, sf).select(*ITEM, "pass", "messages")
+    return complete(m, stub_model).select(*ITEM, "pass", "completion")
 
 
 def stub_judge(name: str, system: str, prompt: str) -> str:
@@ -483,9 +550,9 @@ def q_stub_judging(spark, sf):
     calls = J.expand_judges(a, ["gpt-4o", "k2-65b"]).withColumns({
         "system_text": I.judge_system(F.col("round"), VIEW_JUDGE_BASE, VIEW_JUDGE_SUFFIX),
         "prompt": I.judge_prompt(F.col("round"), VIEW_CLOSING)})
-    verdicts = judge(calls.select("conv_id", "model_pos", "judge_pos", "judge_name", "round", "system_text", "prompt"),
+    verdicts = judge(calls.select(*ITEM, "model_pos", "judge_pos", "judge_name", "round", "system_text", "prompt"),
                      stub_judge, policy=NO_WAIT)
-    return score_verdicts(verdicts).select("conv_id", "model_pos", "judge_pos",
+    return score_verdicts(verdicts).select(*ITEM, "model_pos", "judge_pos",
                                            F.col("usable").cast("int").alias("usable"), *SCORE_COLS)
 
 
@@ -523,6 +590,13 @@ QUERIES = {
     "register_requests": q_register_requests,
     "pull_new": q_pull_new,
     "mirror_plan": q_mirror_plan,
+    "mirror_folders": q_mirror_folders,
+    "register_manifests": q_register_manifests,
+    "results_last_wins": q_results_last_wins,
+    "results_union": q_results_union,
+    "assembled_results": q_assembled_results,
+    "attached_answers": q_attached_answers,
+    "list_arguments": q_list_arguments,
     "item_turns": q_item_turns,
     "jury_everywhere": q_jury_everywhere,
     "results_upsert": q_results_upsert,

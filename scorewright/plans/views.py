@@ -44,7 +44,7 @@ def v_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     2 list value, 3 object value, 4 string value, 5 null value, 6 round 2 with one block,
     7 empty object, 8 boolean Correct, 9 decimal value and tab whitespace, 10 missing key.
     """
-    docs = balance(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    docs = balance(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     v = expand_judges(docs, VIEW_JUDGES).withColumn("j", F.col("judge_pos").cast("bigint"))
     # One select; later expressions use earlier aliases (Spark resolves them into a chain
     # of projections): the case selector, the twelve criterion values, the JSON pieces,
@@ -88,7 +88,7 @@ def v_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     json2, {nl}, '```', {nl}, '</results2>') ELSE '' END)""",
     }
     v = v.selectExpr("*", *[f"{e} AS {name}" for name, e in exprs.items()])
-    return v.select("doc_id", "judge_pos", "judge_name", "round", "model_id", "task", "response")
+    return v.select("doc_id", "judge_pos", "judge_name", "round", "model_id", "task", "source", "response")
 
 
 def v_big(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,51 +127,57 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     User and assistant turns are numbered per conversation; turns 2k + 1 and 2k + 2 of either
     role are q1 / a1 and q2 / a2 of item k, so every such turn is in exactly one item.  The
-    numbering window and the pivot aggregate are both met by one shuffle by conv_id.
+    conversation's first system text comes with each item.  The numbering window and the pivot
+    aggregate are both met by one shuffle by conv_id.
     """
     from pyspark.sql import Window
-    t = table(spark, sf_dir, "conversations").filter(F.col("role").isin("user", "assistant"))
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    nu, na = (F.sum(F.when(F.col("role") == r, 1).otherwise(0)).over(w) for r in ("user", "assistant"))
-    t = t.withColumn("n", F.when(F.col("role") == "user", nu).otherwise(na) - 1)
+    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    whole = Window.partitionBy("conv_id")
+    upto = whole.orderBy("turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    nu, na = (F.sum(F.when(F.col("role") == r, 1).otherwise(0)).over(upto) for r in ("user", "assistant"))
+    said = F.when((F.col("role") == "system") & F.col("text").isNotNull(), F.col("turn"))
+    t = t.withColumns({"n": F.when(F.col("role") == "user", nu).otherwise(na) - 1,
+                       "system_text": F.min_by("text", said).over(whole)})
+    t = t.filter(F.col("role").isin("user", "assistant"))
     t = t.withColumns({"part": F.floor(F.col("n") / 2), "second": F.col("n") % 2})
     pick = lambda role, second: F.max(F.when((F.col("role") == role) & (F.col("second") == second), F.col("text")))
     return t.groupBy("conv_id", "part").agg(pick("user", 0).alias("q1"), pick("assistant", 0).alias("a1"),
-                                            pick("user", 1).alias("q2"), pick("assistant", 1).alias("a2"))
+                                            pick("user", 1).alias("q2"), pick("assistant", 1).alias("a2"),
+                                            F.first("system_text").alias("system_text"),
+                                            F.count_if(F.col("role") == "user").alias("user_turns"),
+                                            F.count_if(F.col("role") == "assistant").alias("assistant_turns"))
 
 
 def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conversations`` -> question items, one per two turn pairs of a conversation.
 
-    conversation and part name the item.  conv_id and sn, conversation * 1000 + part as in the
-    oracle, do so only up to 1,000 items a conversation: never join by them.  By the
-    conversation: round = conv_id % 3, except every 23rd (round 3, unsupported); a1 is
-    blanked to whitespace on every 19th (C3/C4 rejections must be injected: the table has
-    no blank text).  System turns are left to the caller's system prompts.
+    (conversation, part) names the item.  By the conversation: round = conversation % 3, except
+    every 23rd (round 3, unsupported); a1 is blanked to whitespace on every 19th (C3/C4
+    rejections must be injected: the table has no blank text).  ``system_text`` is the
+    conversation's own system turn, NULL without one.
     """
     c = F.col("conv_id")
-    key = c * 1000 + F.col("part")
     return turn_pairs(spark, sf_dir).select(
         _cat("conv", _s(c % 2)).alias("task_set"),
-        key.alias("sn"), key.alias("conv_id"), c.alias("conversation"), "part",
+        c.alias("conversation"), "part",
         F.when(c % 23 == 22, F.lit(3)).otherwise((c % 3).cast("int")).alias("round"),
         _cat("task", _s(c % 4)).alias("task"),
         _cat("cat", _s(c % 3)).alias("category"),
         F.when(c % 5 == 0, F.lit("Arabic")).when(c % 5 == 1, F.lit("HINDI"))
         .when(c % 5 == 2, F.lit(None).cast("string")).otherwise(F.lit("English")).alias("language"),
-        "q1",
+        "system_text", "q1",
         F.when(c % 19 == 7, F.lit(" \n\t ")).otherwise(F.col("a1")).alias("a1"),
         "q2", "a2")
 
 
 def v_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``v_items`` x 4 models: m1 / m2 copy a1 / a2 and are blanked when
-    (conv_id + model_pos) % 7 = 0."""
+    (conversation + part + model_pos) % 7 = 0."""
     items = v_items(spark, sf_dir)
     arr = F.array(*[F.struct(F.lit(i + 1).alias("model_pos"), F.lit(m).alias("model_name"))
                     for i, m in enumerate(VIEW_MODELS)])
     a = items.withColumn("_m", F.explode(arr)).select("*", "_m.*").drop("_m")
-    blank = (F.col("conv_id") + F.col("model_pos")) % 7 == 0
+    blank = (F.col("conversation") + F.col("part") + F.col("model_pos")) % 7 == 0
     return a.withColumns({
         "m1": F.when(blank, F.lit("")).otherwise(F.col("a1")),
         "m2": F.when(blank, F.lit("")).otherwise(F.col("a2")),

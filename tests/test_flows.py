@@ -70,3 +70,48 @@ def test_end_to_end(spark, tmp):
 
     out = {r["model_name"]: (r["ok"], r["judged"], r["n_errors"]) for r in run_outcomes(answers, scored).collect()}
     assert out == {"org/alpha": (True, True, 0), "gpt-4o": (True, True, 1)}
+
+
+def test_provider_forms_modality_and_params_in_generation(spark, tmp):
+    """D3, D10, D12, D13, D29 in the flow: what each kind of model is sent, and the params stamped from folder sizes."""
+    with open(f"{tmp}/set-a.json", "w") as f:
+        json.dump([{"Meta": {"SN.": 1, "Round": 0, "Task": "t"}, "Test": {"Question 1": "q1", "Answer 1": "g"}}], f)
+    rows = [("org/plain", "Open", None, False), ("org/chat", "Open", "Text", True), ("org/eyes", "Open", "Text+Vision", True), ("o1-mini", "Proprietary", None, None),
+            ("gpt-4o", "Proprietary", None, None), ("claude-3", "Proprietary", None, None), ("grok-o3", "Proprietary", None, None)]
+    requests = spark.createDataFrame([("set-a", m, lic, "main", "bfloat16", "7B", "PENDING", mod, chat) for m, lic, mod, chat in rows],
+                                     "task_set string, model_name string, license string, revision string, precision string, params string, status string, modality string, chat_template boolean")
+    folders = spark.createDataFrame([("org/plain", 2 * 1024**3), ("gpt-4o", 5)], "model_name string, total_bytes long")
+
+    def said(messages, request):
+        return json.dumps([[m["role"] for m in messages], messages[-1]["content"], request["provider"], request["system"]])
+    answers = generate_answers(read_items(spark, tmp), requests, said, {"default": "SYS"}, folders=folders, with_request=True)
+    got = {r["model_name"]: (json.loads(r["m1"]), r["params"]) for r in answers.collect()}
+    assert got["org/plain"] == ([["system", "user"], "q1", "open", None], "1.0")
+    assert got["org/chat"] == ([["user"], "q1", "open", None], "7B")
+    assert got["org/eyes"][0] == [["system", "user"], [{"type": "text", "text": "q1"}], "open", None]
+    assert got["o1-mini"][0] == [["user"], "q1", "openai", None] and got["gpt-4o"] == ([["system", "user"], "q1", "openai", None], "UNK")
+    assert got["claude-3"][0] == [["user"], "q1", "anthropic", "SYS"] and got["grok-o3"][0][:3] == [["system", "user"], "q1", "openai"]
+
+
+def test_disk_to_results_and_again(spark, tmp):
+    """Answer files -> read -> judged -> averaged -> upserted; a second task set's run leaves the first one's results."""
+    from pyspark.sql import Observation
+
+    from scorewright.operators.flows import rejected_answers
+    from scorewright.sources.files import read_answers
+    import os
+    for task_set in ("set-a", "set-b"):
+        os.makedirs(f"{tmp}/in/{task_set}")
+        entry = lambda sn, m: {"Meta": {"SN.": sn, "Round": 0, "Task": "t", "Model Name": "org/m", "License": "Open", "Revision": "main", "Precision": "bf16", "Params": 7},
+                               "Test": {"Question 1": f"q{sn}", "Answer 1": "gold"}, "Model": {"Answer 1": m}}
+        with open(f"{tmp}/in/{task_set}/org_m_main_bf16_answers.json", "w") as f:
+            json.dump([entry(1, "fine"), entry(2, "fine too"), entry(3, " ")], f)
+        answers = read_answers(spark, f"{tmp}/in/{task_set}")
+        tally = Observation("answers")
+        scored, judged = judge_answers(answers, ["gpt-4o"], judge_fn, "Vote", "BASE", {0: "", 1: "", 2: ""}, tally=tally)
+        assert scored.count() == 2 and tally.get == {"read": 3, "kept": 2, "rejected": 1}
+        assert [r["reject_reason"] for r in rejected_answers(answers).collect()] == ["missing_m1"]
+        average_results(judged, answers, "SingleJudge", results_path=f"{tmp}/results")
+    meta = {r["file_id"]: (r["total_entries"], r["successful_entries"], r["strategy"]) for r in spark.read.parquet(f"{tmp}/results/meta").collect()}
+    assert meta == {f"{s}/org/m|main|bf16": (3, 2, "SingleJudge") for s in ("set-a", "set-b")}
+    assert spark.read.parquet(f"{tmp}/results/criteria").count() == 14

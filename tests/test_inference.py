@@ -71,3 +71,86 @@ def test_rate_limit_policy():
 def test_inference_plan_uses_arrow_batches(spark):
     plan = complete(items(spark), echo)._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" in plan or "PythonMapInArrow" in plan
+
+
+def test_batches_and_calls_in_flight(spark):
+    """Batches hold at most batch_size inputs of one provider, at most in_flight calls are open, a bad input costs no other."""
+    import threading
+    import time
+
+    from scorewright.operators.inference import call_all
+    lock, state = threading.Lock(), {"open": 0, "most": 0, "sizes": []}
+
+    def fn(inputs):
+        with lock:
+            state["open"] += 1
+            state["most"] = max(state["most"], state["open"])
+            state["sizes"].append((len(inputs), len({i[1] for i in inputs})))
+        time.sleep(0.01)
+        with lock:
+            state["open"] -= 1
+        if any(i[0] == 13 for i in inputs):
+            raise RuntimeError("bad input")
+        return [f"{i[0]}!" for i in inputs]
+
+    inputs = [(i, "ab"[i % 2]) for i in range(40)]
+    got = call_all(inputs, [p for _, p in inputs], fn, RetryPolicy(attempts=1), batch_size=8, in_flight=3)
+    assert [t for t, _, _ in got] == [None if i == 13 else f"{i}!" for i in range(40)]
+    assert state["most"] == 3 and max(n for n, _ in state["sizes"]) == 8 and {k for _, k in state["sizes"]} == {1}
+    assert len([n for n, _ in state["sizes"] if n > 1]) == 6          # 20 inputs of each provider in batches of 8
+    short = call_all([(1,), (2,)], ["p", "p"], lambda xs: ["only one"] if len(xs) > 1 else ["x"], RetryPolicy(attempts=1), batch_size=2)
+    assert [t for t, _, _ in short] == ["x", "x"]
+    plain = call_all([(i,) for i in range(9)], ["p"] * 9, lambda i: str(i), RetryPolicy(attempts=1), in_flight=4)
+    assert [t for t, _, _ in plain] == [str(i) for i in range(9)]
+
+
+def test_rate_budget_is_shared_by_partitions():
+    from scorewright.operators.inference import RateBudget
+    now, slept = [100.0], []
+
+    def sleep(s):
+        slept.append(round(s, 6))
+        now[0] += s
+    gate = RateBudget({"slow": 2.0}, 4, clock=lambda: now[0], sleep=sleep).gate()
+    for _ in range(3):
+        gate("slow")
+    gate("other")
+    assert slept == [2.0, 2.0]                # 2 calls a second over 4 partitions: one every 2 seconds in each
+
+
+def test_complete_and_judge_in_batches(spark):
+    def batch(inputs):
+        return [f"{m[-1]['content']}|{r['id']}" for m, r in inputs]
+    out = {r["id"]: r["completion"] for r in complete(items(spark), batch, batch_size=2, request_cols=("id",), concurrency=1).collect()}
+    assert out == {1: "what is 2+2|1", 2: "boom|2", 3: "q2|3"}
+    typed = items(spark).withColumn("vision", F.col("id") == 1)
+    out = {r["id"]: r["completion"] for r in complete(typed, lambda m: str(m[-1]["content"]), vision_col="vision").collect()}
+    assert out[1] == "[{'type': 'text', 'text': 'what is 2+2'}]" and out[3] == "q2"
+    df = spark.createDataFrame([(i, f"judge{i % 2}", "S", f"p{i}") for i in range(7)], "id int, judge_name string, system_text string, prompt string")
+    got = {r["id"]: r["response"] for r in judge(df, lambda xs: ["/".join(x) for x in xs], batch_size=3, in_flight=2, policy=NO_SLEEP,
+                                                 rates={"judge0": 1e6}, concurrency=2).collect()}
+    assert got == {i: f"judge{i % 2}/S/p{i}" for i in range(7)}
+
+
+def test_failed_calls_stay_open_and_the_latest_success_wins(spark, tmp):
+    from scorewright.operators.inference import judge_once, latest_verdicts, read_log
+    calls = spark.createDataFrame([(1, "a", "S", "p1"), (2, "a", "S", "p2"), (2, "a", "S", "p2-again"), (None, "a", "S", "p0")], "id int, judge_name string, system_text string, prompt string")
+    keys, made = ["id", "judge_name"], f"{tmp}/made"
+
+    def outcome(run):
+        def fn(name, system, prompt):
+            if prompt == "p2" and run == 1:
+                raise ConnectionError("503")
+            return f"{prompt} in run {run}"
+        return lambda todo: judge(todo, fn, policy=RetryPolicy(attempts=2, sleep=lambda s: None))
+    first = {r["id"]: (r["response"], r["error"], r["attempts"]) for r in judge_once(calls, outcome(1), made, keys).collect()}
+    assert first == {1: ("p1 in run 1", None, 1), 2: ("ConnectionError: 503", "ConnectionError: 503", 2), None: ("p0 in run 1", None, 1)}
+    second = {r["id"]: (r["response"], r["error"]) for r in judge_once(calls, outcome(2), made, keys).collect()}
+    assert second == {1: ("p1 in run 1", None), 2: ("p2 in run 2", None), None: ("p0 in run 1", None)}
+    third = judge_once(calls, outcome(3), made, keys)
+    assert {r["id"]: r["response"] for r in third.collect()} == {k: v[0] for k, v in second.items()}
+    log = read_log(spark, made)
+    assert log.count() == 4 and log.filter("error IS NOT NULL").count() == 1
+    twice = log.unionByName(log.filter("id = 1").withColumn("response", F.lit("older")).withColumn("judged_at", F.lit("2000-01-01").cast("timestamp")))
+    twice = twice.unionByName(log.filter("id = 2").withColumn("error", F.lit("later 500")).withColumn("judged_at", F.lit("2100-01-01").cast("timestamp")))
+    assert {r["id"]: r["response"] for r in latest_verdicts(twice, keys).collect()} == {k: v[0] for k, v in second.items()}

@@ -24,16 +24,17 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_unjudged_answers_of_a_long_conversation(spark, tmp):
-    """Item 1000 of conversation 5 and item 0 of conversation 6 have one conv_id, but are two items."""
+    """Items are named by conversation and part, also beyond 1,000 of them; system and other turns come along."""
     roles = ("user", "assistant")
     turns = [(c, t, roles[t % 2], f"turn {t} of {c}") for c, n in ((5, 4004), (6, 4)) for t in range(n)]
+    turns += [(6, -1, "system", "be brief"), (6, 9, "system", "later"), (7, 0, "system", None), (7, 1, "user", None), (7, 2, "tool", "x"), (8, 0, "system", "alone")]
     spark.createDataFrame(turns, spark.read.parquet(f"{SF}/conversations.parquet").schema).write.parquet(f"{tmp}/conversations.parquet")
     con = duck(tmp)
     con.execute(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM read_parquet('{tmp}/conversations.parquet/*.parquet')")
-    for name in ("unjudged_answers", "answer_validity"):
+    for name in ("unjudged_answers", "answer_validity", "item_turns", "conversation_messages"):
         ok, ns, nd, _, _, detail = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], tmp)
         assert ok, f"{name}: spark={ns} duck={nd} {detail}"
-    assert E.queries()["unjudged_answers"](spark, tmp).where("conv_id = 6000").count() >= 4
+    assert E.queries()["unjudged_answers"](spark, tmp).where("conversation = 5 AND part = 1000").count() == 4
 
 
 def test_entry_runs(spark):
