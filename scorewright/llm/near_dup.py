@@ -8,13 +8,16 @@ of halves follows from the least similarity: there, a pair misses all tables wit
 most texts without any.
 
 Buckets are never expanded into rows of pairs.  First the least node of a bucket is compared with the
-others, which joins families of copies.  Buckets that still span several components are then searched
-inside tasks, in blocks of at most ``BLOCK`` nodes against each other, for pairs of different components
-that can be similar: first each node's likeliest partner, as long as that joins components, then every
-pair left.  A pair can be similar if the set sizes allow it, and at least ``likely`` of its minhashes
-agree (a pair at the least similarity fails that with probability below ``UNLIKELY``); that holds for the pairs with
-the least node, too.  Only such pairs fetch their sets and are
-verified, so what is left out are pairs inside a component and pairs that cannot link.
+others, which joins families of copies.  Buckets that still span several components are searched inside
+tasks, in blocks of at most ``BLOCK`` nodes against each other, for pairs of different components that can
+be similar: the set sizes allow it and at least ``likely`` of the minhashes agree (a pair at the least
+similarity fails that with probability below ``UNLIKELY``; it holds for the pairs with the least node,
+too).  A task gives out only a spanning forest of them, at most a row a node.  The forests' components are
+families.  Each member's full set travels once to every block of its family (once in all, unless a
+family has more than ``SET_BLOCK`` shingles).  There a prefix index finds the candidates (two sets similar
+enough share one of their rarest shingles), every candidate of another component is compared on the full
+sets, and only the links that join components leave the task.  So no pair that can link goes untested,
+and rows grow with nodes, never with pairs.
 
 Vertices are doc_ids: rows of one doc_id with different texts are one vertex.  Defined results: no words:
 n_shingles 0, a component of its own.  A null doc_id: component_id null, kept true (no id to link by).
@@ -38,6 +41,8 @@ from . import spans
 
 ROWS = 3
 BLOCK = 1_024
+#: Shingles of a family that one side of a block holds (8 bytes each).
+SET_BLOCK = 1_000_000
 MISSED, UNLIKELY = 3e-5, 1e-6
 SHINGLE_WORDS = 3
 PERCENT = 85
@@ -222,100 +227,148 @@ def _likely(pairs: DataFrame, nodes: DataFrame, like: Rule) -> DataFrame:
     return joined.mapInArrow(run, "u long, v long")
 
 
-def _block_pairs(node: np.ndarray, n: np.ndarray, component: np.ndarray, side: np.ndarray, crossed: bool, signature: np.ndarray, best: bool, like: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one block, greater node first, of different components, that sizes and signatures allow;
-    ``best``: for each node only the one that agrees most."""
-    us, vs = [], []
-    top, partner = np.full(len(node), like.likely - 1), np.full(len(node), -1)
+def _blocks(batches: Iterator[pa.RecordBatch], keys: int = 3) -> Iterator[pa.Table]:
+    """The rows of each block, whole: runs of equal values of the first ``keys`` columns of sorted batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(i).to_numpy() for i in range(keys)]
+        change = np.logical_or.reduce([c[1:] != c[:-1] for c in cols])
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if held and any(held[-1].column(i)[-1].as_py() != cols[i][lo] for i in range(keys)):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _columns(block: pa.Table, at: range) -> list[np.ndarray]:
+    return [block.column(i).combine_chunks().to_numpy() for i in at]
+
+
+def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(np.maximum(pairs[:, 0], pairs[:, 1])), pa.array(np.minimum(pairs[:, 0], pairs[:, 1]))], ["u", "v"])
+
+
+def _crossed(rows: DataFrame, slots: Column) -> DataFrame:
+    """Rows with (a, b, slot): each node once for every block of two slots that it is in."""
+    rows = rows.withColumn("slots", slots).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1))).drop("slots")
+    return rows.withColumns({"a": F.least("slot", "other"), "b": F.greatest("slot", "other")}).drop("other")
+
+
+def _forest(node: np.ndarray, n: np.ndarray, component: np.ndarray, slot: np.ndarray, crossed: bool, signature: np.ndarray, like: Rule) -> list[tuple[int, int]]:
+    """A spanning forest of one block's likely pairs of different components."""
+    family, out = np.arange(len(node)), []
     for i in range(len(node) - 1):
         j = slice(i + 1, None)
-        ok = (component[j] != component[i]) & (100 * np.minimum(n[j], n[i]) >= like.percent * np.maximum(n[j], n[i]))
+        ok = (component[j] != component[i]) & (family[j] != family[i]) & (100 * np.minimum(n[j], n[i]) >= like.percent * np.maximum(n[j], n[i]))
         if crossed:
-            ok &= side[j] != side[i]
+            ok &= slot[j] != slot[i]
         at = np.flatnonzero(ok) + i + 1
-        if not len(at):
-            continue
-        agree = (signature[at] == signature[i]).sum(1)
-        if best:
-            more = agree > top[at]
-            top[at[more]], partner[at[more]] = agree[more], i
-            k = int(np.argmax(agree))
-            if agree[k] > top[i]:
-                top[i], partner[i] = agree[k], at[k]
-        else:
-            at = at[agree >= like.likely]
-            us.append(np.maximum(node[at], node[i]))
-            vs.append(np.minimum(node[at], node[i]))
-    if best:
-        i = np.flatnonzero(partner >= 0)
-        us, vs = [np.maximum(node[i], node[partner[i]])], [np.minimum(node[i], node[partner[i]])]
-    empty = np.zeros(0, np.int64)
-    return np.concatenate([empty, *us]), np.concatenate([empty, *vs])
-
-
-def _search(buckets: DataFrame, label: DataFrame, nodes: DataFrame, best: bool, like: Rule) -> DataFrame:
-    """Likely pairs (u, v) of different components within the buckets that span several."""
+        if len(at):
+            at = at[(signature[at] == signature[i]).sum(1) >= like.likely]
+            new, first = np.unique(family[at], return_index=True)
+            if len(new):
+                out += [(int(node[i]), int(node[k])) for k in at[first]]
+                family[np.isin(family, new)] = family[i]
+    return out
+
+
+def _families(buckets: DataFrame, label: DataFrame, nodes: DataFrame, like: Rule) -> DataFrame:
+    """(u, v): edges that tie the nodes of likely pairs of different components into families, for the buckets that
+    span several components."""
     rest = buckets.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     apart = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("key", "members")
-    rest = rest.join(apart, "key")
     slots = F.when(F.col("members") <= BLOCK, 1).otherwise(F.ceil(F.col("members") * 2 / BLOCK)).cast("int")
-    rows = rest.withColumn("slots", slots).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-    rows = rows.select("key", F.least("slot", "other").alias("a"), F.greatest("slot", "other").alias("b"), "node", "n", "component", "slot")
-    rows = rows.join(nodes.select("node", "signature"), "node").select("key", "a", "b", "node", "n", "component", "slot", "signature")
-    rows = rows.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "node")
+    rows = _crossed(rest.join(apart, "key"), slots).join(nodes.select("node", "signature"), "node")
+    rows = rows.select("key", "a", "b", "node", "n", "component", "slot", "signature").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(held: pa.Table) -> pa.RecordBatch:
-            cols = [held.column(i).combine_chunks().to_numpy() for i in range(7)]
-            signature = _bytes_of(held.column(7).combine_chunks())
-            new = np.flatnonzero(np.concatenate([[True], *([np.logical_or.reduce([c[1:] != c[:-1] for c in cols[:3]])] if len(cols[0]) > 1 else [])]))
-            us, vs = [], []
-            for lo, hi in zip(new.tolist(), [*new[1:].tolist(), len(cols[0])], strict=True):
-                if hi - lo > 1:
-                    u, v = _block_pairs(*(c[lo:hi] for c in cols[3:7]), cols[1][lo] != cols[2][lo], signature[lo:hi], best, like)
-                    us.append(u), vs.append(v)
-            empty = np.zeros(0, np.int64)
-            found = np.unique(np.stack([np.concatenate([empty, *us]), np.concatenate([empty, *vs])]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["u", "v"])
-
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            last = [held.column(i)[-1].as_py() for i in range(3)]
-            same = np.logical_and.reduce([held.column(i).combine_chunks().to_numpy() == last[i] for i in range(3)])
-            whole = int(np.argmax(same))            # the last block may go on in the next batch
-            if whole:
-                yield pairs(held.slice(0, whole))
-                held = held.slice(whole)
-        if held is not None and held.num_rows:
-            yield pairs(held)
+        for block in _blocks(batches):
+            if block.num_rows > 1:
+                cols = _columns(block, range(1, 7))
+                yield _edges(_forest(*cols[2:6], cols[0][0] != cols[1][0], _bytes_of(block.column(7).combine_chunks()), like))
 
     return rows.mapInArrow(run, "u long, v long").distinct()
 
 
+def block_links(node: np.ndarray, component: np.ndarray, slot: np.ndarray, crossed: bool, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """The links of one block that join its components: exact on the full sets (sorted distinct hashes).
+
+    Two sets similar enough share ``percent`` of the greater one's size at least, so they share one of the
+    size - ceil(percent * size / 100) + 1 rarest members of each (rarity within the block)."""
+    size = np.array([len(s) for s in sets])
+    owner, off = np.repeat(np.arange(len(sets)), size), np.concatenate([[0], np.cumsum(size)])
+    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rare = np.lexsort((token, count[token], owner))
+    rank = np.arange(len(token)) - off[owner]                   # place among its set's members, rarest first
+    prefix = rare[rank <= (size - -(-percent * size // 100))[owner]]
+    prefix = prefix[count[token[prefix]] > 1]
+    mine, tokens = owner[prefix], token[prefix]
+    begin = np.searchsorted(mine, np.arange(len(sets) + 1))
+    by = np.argsort(tokens, kind="stable")
+    held, holders = tokens[by], mine[by]
+    root, out = np.unique(component, return_inverse=True)[1], []
+    for i in range(1, len(sets)):
+        want = tokens[begin[i]:begin[i + 1]]
+        lo = np.searchsorted(held, want)
+        n = np.searchsorted(held, want, side="right") - lo
+        j = np.unique(holders[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())])
+        j = j[(j < i) & (100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i]))]
+        if crossed:
+            j = j[slot[j] != slot[i]]
+        while len(j := j[root[j] != root[i]]):
+            some, j = j[:64], j[64:]
+            theirs = np.concatenate([sets[k] for k in some])
+            at = np.minimum(np.searchsorted(sets[i], theirs), size[i] - 1)
+            both = np.add.reduceat(sets[i][at] == theirs, np.concatenate([[0], np.cumsum(size[some])[:-1]]), dtype=np.int64)
+            for k in some[100 * both >= percent * (size[some] + size[i] - both)]:
+                if root[k] != root[i]:
+                    root[root == root[k]] = root[i]
+                    out.append((int(node[i]), int(node[k])))
+    return out
+
+
+def _join_families(docs: DataFrame, nodes: DataFrame, families: DataFrame, label: DataFrame, like: Rule) -> DataFrame:
+    """(u, v): the links within families that join components."""
+    rows = families.join(nodes.select("node", "n", "s1", "s2"), "node").join(label, "node", "left").select("family", "node", "n", "s1", "s2", F.coalesce("component", "node").alias("component"))
+    rows = materialize(rows, "members")
+    sizes = rows.groupBy("family").agg(F.sum("n").alias("shingles"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("family", "shingles")
+    slots = F.when(F.col("shingles") <= 2 * SET_BLOCK, 1).otherwise(F.ceil(F.col("shingles") / SET_BLOCK)).cast("int")
+    placed = rows.join(sizes, "family")
+    sets = _sets(docs, placed.select("node", "s1", "s2"), like.words)
+    blocks = _crossed(placed.select("family", "node", "component", "shingles"), slots).join(sets, "node")
+    blocks = blocks.select("family", "a", "b", "node", "component", "slot", "members").repartition("family", "a", "b").sortWithinPartitions("family", "a", "b", "node")
+    percent = like.percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            if block.num_rows > 1:
+                _, a, b, node, component, slot = _columns(block, range(6))
+                sets = [np.frombuffer(x.as_buffer(), np.uint64) for part in block.column(6).chunks for x in part]
+                yield _edges(block_links(node, component, slot, a[0] != b[0], sets, percent))
+
+    return blocks.mapInArrow(run, "u long, v long")
+
+
 def links(docs: DataFrame, nodes: DataFrame, like: Rule) -> DataFrame:
     """(node, component) of the nodes with links."""
     buckets = materialize(_buckets(nodes, like.halves), "buckets")
     stars = buckets.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v"))
-    tested = materialize(_likely(stars, nodes, like), "pairs")
-    edges = materialize(_verify(docs, nodes, tested, like), "links")
+    edges = materialize(_verify(docs, nodes, materialize(_likely(stars, nodes, like), "pairs"), like), "links")
     label = materialize(components(edges), "components")
-    best = True
-    while True:
-        # first each node's likeliest partner, as long as that joins components; then every likely pair left
-        new = materialize(_search(buckets, label, nodes, best, like).join(tested, ["u", "v"], "left_anti"), "pairs")
-        found = None if new.isEmpty() else materialize(_verify(docs, nodes, new, like), "links")
-        joined = found is not None and not found.isEmpty()
-        if joined:
-            edges = materialize(edges.union(found), "links")
-            label = materialize(components(edges), "components")
-        if found is not None:
-            tested = materialize(tested.union(new), "tested")
-        if not best:
-            return label
-        best = joined
+    likely = materialize(_families(buckets, label, nodes, like), "likely")
+    if likely.isEmpty():
+        return label
+    tied = materialize(components(likely), "families")
+    families = tied.withColumnRenamed("component", "family").union(tied.select(F.col("component").alias("node"), "component").distinct())
+    found = materialize(_join_families(docs, nodes, families, label, like), "links")
+    return label if found.isEmpty() else materialize(components(edges.union(found)), "components")
 
 
 def classes(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -339,16 +392,19 @@ def classes(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT)
 
 
 def keep_one(docs: DataFrame, placed: DataFrame) -> DataFrame:
-    """``docs``, all columns, without the documents that are not kept, and each kept doc_id in one row."""
-    key = F.col("doc_id").cast("long")
-    gone = materialize(placed.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    twice = materialize(placed.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("twice")), "twice")
-    left = docs.join(spans.small_side(gone), key == F.col("gone"), "left_anti")
+    """``docs``, all columns whatever their names, without the documents that are not kept, and each kept doc_id in
+    one row.  A null doc_id stays, as often as it is there."""
+    free = lambda name: next(n for k in range(len(docs.columns) + 1) if (n := f"{name} {k}") not in docs.columns)
+    gone_id, twice_id, row = free("gone id"), free("twice id"), free("row")
+    key = docs["doc_id"].cast("long")
+    gone = materialize(placed.where(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct(), "gone")
+    twice = materialize(placed.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias(twice_id)), "twice")
+    left = docs.join(spans.small_side(gone), key == F.col(f"`{gone_id}`"), "left_anti")
     if twice.isEmpty():
         return left
-    marked = spans.small_side(twice)
-    one = left.join(marked, key == F.col("twice"), "left_semi").withColumn("which row", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("`which row` = 1").drop("which row")
-    return left.join(marked, key == F.col("twice"), "left_anti").unionByName(one)
+    marked, same = spans.small_side(twice), F.col("doc_id").cast("long") == F.col(f"`{twice_id}`")
+    one = left.join(marked, same, "left_semi").withColumn(row, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(f"`{row}`") == 1).drop(row)
+    return left.join(marked, same, "left_anti").unionByName(one)
 
 
 ORACLE = r"""
