@@ -5,7 +5,8 @@ list of symbols, and a priority queue hands out its pairs by merge rank; an entr
 changed since it was queued is stale and skipped.  Decoding concatenates the vocabulary strings, one
 blank between tokens, as the file's (absent) decoder does.
 
-Words repeat, so each worker keeps the ids of recent words in two tables of about ``CACHE_WORDS``.
+Words repeat, so each worker keeps the ids of recent words in two tables of about ``CACHE_BYTES`` each;
+words of more than ``CACHE_LENGTH`` letters are not kept.
 
 Defined results: null or empty text: no ids, an empty string.  Repeated rows: one result each.  Very
 long pieces take n log n steps.  Extra columns are ignored.  Marker strings of the vocabulary in a text
@@ -30,7 +31,10 @@ from pyspark.sql import functions as F
 
 from . import spans
 
-CACHE_WORDS = 250_000
+CACHE_BYTES = 12 << 20
+CACHE_LENGTH = 64
+#: What an entry of a word table takes besides its letters.
+_ENTRY_BYTES = 240
 _ID_BITS = 17
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 # Fixed value: the split pattern of the vocabulary file.
@@ -57,7 +61,6 @@ class Vocabulary:
         self.markers = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for s, i in self.markers.items():
             self.strings[i] = s
-        self.numerals = [str(i) for i in range(len(self.strings))]
         self.inner = [ids[c] for c in byte_letters()]
         self.last = [ids[c + end] for c in byte_letters()]
         self.ranks, self.merged = {}, []       # pair of ids -> rank -> id of the merged symbol
@@ -69,6 +72,7 @@ class Vocabulary:
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.markers, key=len, reverse=True))) + ")")
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.room = CACHE_BYTES
 
     def merge(self, piece: str) -> tuple[int, ...]:
         """Ids of one piece: the least rank first, the leftmost among equals."""
@@ -96,6 +100,13 @@ class Vocabulary:
                 heapq.heappush(queue, rank << 32 | h)
         return tuple([s for s in symbols if s >= 0])
 
+    def _keep(self, word: str, ids: tuple[int, ...]) -> None:
+        if len(word) <= CACHE_LENGTH:
+            self.room -= len(word) + 8 * len(ids) + _ENTRY_BYTES
+            if self.room < 0:
+                self.known, self.older, self.room = {}, self.known, CACHE_BYTES
+            self.known[word] = ids
+
     def _word(self, word: str) -> tuple[int, ...]:
         """Ids of a run without white space, kept for the next time."""
         if word in self.older:
@@ -105,12 +116,12 @@ class Vocabulary:
             for piece in self.split.findall(word):
                 ids = self.known.get(piece) or self.older.get(piece)
                 if ids is None:
-                    ids = self.known[piece] = self.merge(piece)
+                    ids = self.merge(piece)
+                    if piece != word:
+                        self._keep(piece, ids)
                 out.append(ids)
             ids = out[0] if len(out) == 1 else tuple(chain.from_iterable(out))
-        if len(self.known) >= CACHE_WORDS:
-            self.known, self.older = {}, self.known
-        self.known[word] = ids
+        self._keep(word, ids)
         return ids
 
     def _plain(self, text: str) -> list[tuple[int, ...]]:
@@ -151,18 +162,35 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _ids(c: spans.Chunk, v: Vocabulary) -> pa.ListArray:
+    raw = c.buf.tobytes()
+    ids = [v.encode(raw[a:b].decode()) for a, b in zip(c.off[:-1].tolist(), c.off[1:].tolist(), strict=True)]
+    off = np.cumsum([0, *map(len, ids)])
+    return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(np.fromiter(chain.from_iterable(ids), np.int32, int(off[-1]))))
+
+
+def _texts(ids: pa.Array, strings: pa.Array) -> pa.Array:
+    ids = ids.cast(pa.large_list(pa.int32()))
+    tokens = pa.LargeListArray.from_arrays(ids.offsets, strings.take(ids.values), mask=ids.is_null() if ids.null_count else None)
+    return pc.binary_join(tokens, pa.scalar(" ", pa.large_string())).cast(pa.string())
+
+
+@lru_cache(2)
+def _strings(path: str) -> pa.Array:
+    """The vocabulary strings alone, by id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    found = {**{i: s for s, i in spec["model"]["vocab"].items()}, **{t["id"]: t["content"] for t in spec["added_tokens"]}}
+    return pa.array([found.get(i, "") for i in range(max(found) + 1)], pa.large_string())
+
+
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, ids) of every whole text."""
     path = path or public_path("word_bpe_49k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary(path)
         for c in spans.chunks(batches):
-            raw = c.buf.tobytes()
-            ids = [v.encode(raw[a:b].decode()) for a, b in zip(c.off[:-1].tolist(), c.off[1:].tolist(), strict=True)]
-            off = np.cumsum([0, *map(len, ids)])
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(off[-1]))
-            yield pa.RecordBatch.from_arrays([c.ids, pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat))], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([c.ids, _ids(c, vocabulary(path))], ["doc_id", "ids"])
 
     return spans.texts_of(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -172,15 +200,26 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     path = path or public_path("word_bpe_49k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings = pa.array(vocabulary(path).strings, pa.large_string())
         for batch in batches:
-            ids = batch.column(1).cast(pa.large_list(pa.int32()))
-            tokens = pa.LargeListArray.from_arrays(ids.offsets, strings.take(ids.values), mask=ids.is_null() if ids.null_count else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pc.binary_join(tokens, pa.scalar(" ", pa.large_string())).cast(pa.string())], ["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _texts(batch.column(1), _strings(path))], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
+def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker a task: (doc_id, ids, decoded)."""
+    path = path or public_path("word_bpe_49k.json")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocabulary(path)
+        strings = pa.array(v.strings, pa.large_string())
+        for c in spans.chunks(batches):
+            ids = _ids(c, v)
+            yield pa.RecordBatch.from_arrays([c.ids, ids, _texts(ids, strings)], ["doc_id", "ids", "decoded"])
+
+    return spans.texts_of(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """Token counts and digests of (doc_id, ids, decoded)."""
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),

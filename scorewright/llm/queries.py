@@ -58,7 +58,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans.prepare(spark)
-    return bpe.digests(bpe.decode(bpe.encode(_read(spark, sf_dir, "documents"))))
+    return bpe.digests(bpe.round_trip(_read(spark, sf_dir, "documents")))
 
 
 def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
