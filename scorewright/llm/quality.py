@@ -1,8 +1,9 @@
 """Operator 1, quality rules: hashed n-gram likelihood ratio of trusted texts against the corpus.
 
 Two multinomials over hashed byte n-grams are counted: the corpus from every whole text, the target
-from a bounded sample of trusted texts (``most_labels`` ids, a parameter).  A text's score is its mean
-log ratio per n-gram; one threshold, fixed from the labelled sample's scores, decides every document.
+from one half of a bounded sample of trusted texts (``most_labels`` ids, a parameter).  A text's score is its
+mean log ratio per n-gram; one threshold, fixed from the scores of the other half and of untrusted texts,
+decides every document.
 
 Defined results: null or empty text: no words, base_failed, llr 0.  Repeated rows: one result each,
 all alike.  A null doc_id stays null.  No trusted label at all: the target equals the corpus and only
@@ -78,19 +79,37 @@ def _llr(c: Chunk, log_ratio: np.ndarray) -> np.ndarray:
     return np.bincount(doc, weights=log_ratio[g], minlength=len(c.off) - 1) / np.maximum(n, 1)
 
 
+def cut_between(yes: np.ndarray, no: np.ndarray, keep_share: float) -> float:
+    """The threshold from scores of trusted and other texts that the counts were not taken from.
+
+    Among the cuts that keep ``keep_share`` of the trusted, the one that parts the two best; it lies halfway down to
+    the next score of the others, and at least four standard deviations below the trusted mean, so that trusted
+    texts not in the sample aren't cut off by the sample's own edge."""
+    yes, no = np.sort(yes), np.sort(no)
+    edges = yes[:max(1, int(len(yes) * (1 - keep_share)) + 1)]
+    lost, caught = np.searchsorted(yes, edges) / len(yes), np.searchsorted(no, edges) / max(1, len(no))
+    edge = edges[np.argmax(caught - lost)]
+    below = no[no < edge]
+    cut = (edge + below[-1]) / 2 if len(below) else edge
+    return float(min(cut, yes.mean() - 4 * yes.std()))
+
+
 def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, keep_share: float = 0.998) -> Model:
-    """Counts both multinomials, scores the labelled sample and fixes the threshold.
+    """Counts both multinomials and fixes the threshold on labelled texts that the target was not counted from.
 
-    The threshold separates the two labels best among those that keep ``keep_share`` of the trusted."""
+    The trusted sample is dealt alternately, in its seeded order: one part is the target, the other one (with the
+    untrusted sample) sets the threshold.  Labelled texts with fewer than 50 bytes say too little for that and are
+    left out of it; they are judged like all others.  Without a text to set it by, only the base rules decide."""
     good = spans.smallest_by_hash(labels.where(F.col("quality") == 1), "doc_id", most_labels)
     bad = spans.smallest_by_hash(labels.where(F.col("quality") == 0), "doc_id", most_labels)
-    corpus, target = count_grams(docs, good)
-    if not target.sum():
+    held = good[1::2]
+    corpus, target = count_grams(docs, good[::2])
+    if not target.sum() or not held:
         return Model(np.zeros(len(corpus)), -np.inf)
     p = (corpus + 1) / (corpus.sum() + len(corpus))
     log_ratio = np.log((target + 100 * p) / (target.sum() + 100)) - np.log(p)   # the target is smoothed towards the corpus
     spark = docs.sparkSession
-    marked = spark.createDataFrame([(i, 1) for i in good] + [(i, 0) for i in bad], "doc_id long, quality int")
+    marked = spark.createDataFrame([(i, 1) for i in held] + [(i, 0) for i in bad], "doc_id long, quality int")
     sample = spans.texts_of(docs).join(F.broadcast(marked), "doc_id", "left_semi")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,12 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, keep_shar
             yield pa.RecordBatch.from_arrays([c.ids, pa.array(_llr(c, log_ratio)), pa.array(np.diff(c.off))], ["doc_id", "llr", "n"])
 
     rows = sample.mapInArrow(score, "doc_id long, llr double, n long").where("n >= 50").join(F.broadcast(marked), "doc_id").select("llr", "quality").toPandas()
-    yes, no = np.sort(rows.llr[rows.quality == 1].to_numpy()), np.sort(rows.llr[rows.quality == 0].to_numpy())
-    if not len(yes):
-        return Model(log_ratio, -np.inf)
-    edges = yes[:max(1, int(len(yes) * (1 - keep_share)) + 1)]
-    lost, caught = np.searchsorted(yes, edges) / len(yes), np.searchsorted(no, edges) / max(1, len(no))
-    return Model(log_ratio, float(edges[np.argmax(caught - lost)]))
+    yes, no = rows.llr[rows.quality == 1].to_numpy(), rows.llr[rows.quality == 0].to_numpy()
+    return Model(log_ratio, cut_between(yes, no, keep_share) if len(yes) else -np.inf)
 
 
 def rules(c: Chunk) -> dict[str, np.ndarray]:
