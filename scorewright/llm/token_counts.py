@@ -53,23 +53,29 @@ def place(first: np.ndarray, last: np.ndarray, starts: np.ndarray, rule: str) ->
 
 
 def attribute(sectioned: DataFrame, rule: str = "majority", path: str | None = None) -> DataFrame:
-    """One row per document and section of (doc_id, text, bounds); bounds: code points at which sections start."""
+    """One row per document and section of (doc_id, text, bounds); bounds: code points at which sections start.
+    Without a column ``bounds`` the sections are the text's lines; a line break ends the line before it."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
+    lines = "bounds" not in sectioned.columns
     path = path or public_path("byte_bpe_50k.tiktoken")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, lengths = _encoder(path)
         for batch in batches:
-            all_bounds, at = batch.column(2).to_pylist(), 0
+            all_bounds, at = ([] if lines else batch.column(2).to_pylist()), 0
             for c in spans.chunks([batch]):
                 cols: list[list[np.ndarray]] = [[], [], [], [], []]
                 raw = c.buf.tobytes()
                 for i, (lo, hi) in enumerate(zip(c.off[:-1].tolist(), c.off[1:].tolist(), strict=True)):
                     points = spans.code_points(c.buf[lo:hi])
                     n = int(points[-1])
-                    starts = np.array(sorted({0, *(x for x in all_bounds[at] or () if x is not None and 0 < x < n)}), np.int64)
-                    at += 1
+                    if lines:
+                        inner = points[np.flatnonzero(c.buf[lo:hi] == 10) + 1]
+                        starts = np.concatenate([[0], inner[inner < n]])
+                    else:
+                        starts = np.array(sorted({0, *(x for x in all_bounds[at] or () if x is not None and 0 < x < n)}), np.int64)
+                        at += 1
                     ends = np.cumsum(lengths[np.array(encoder.encode_ordinary(raw[lo:hi].decode()), np.int64)]) if hi > lo else np.zeros(0, np.int64)
                     begins = np.concatenate([[0], ends[:-1]])[:len(ends)].astype(np.int64)
                     section = place(points[begins + 1] - 1, points[ends] - 1, starts, rule) if len(ends) else ends
@@ -78,15 +84,12 @@ def attribute(sectioned: DataFrame, rule: str = "majority", path: str | None = N
                 rows = [np.concatenate(x).astype(np.int64) for x in cols]
                 yield pa.RecordBatch.from_arrays([c.ids.take(pa.array(rows[0])), *map(pa.array, rows[1:])], ["doc_id", "section", "start", "end", "n_tokens"])
 
-    return sectioned.select("doc_id", "text", "bounds").mapInArrow(run, "doc_id long, section long, start long, end long, n_tokens long")
+    return sectioned.select("doc_id", "text", *([] if lines else ["bounds"])).mapInArrow(run, "doc_id long, section long, start long, end long, n_tokens long")
 
 
 def by_line(docs: DataFrame) -> DataFrame:
-    """Sections of a document are its lines; a line break ends the line before it."""
-    lines = F.split(F.col("text"), "\n", -1)
-    ends = F.aggregate(lines, F.expr("named_struct('at', 0L, 'all', array_repeat(0L, 0))"),
-                       lambda acc, x: F.struct((acc["at"] + F.length(x) + 1).alias("at"), F.concat(acc["all"], F.array(acc["at"] + F.length(x) + 1)).alias("all")))
-    return spans.texts_of(docs).withColumn("bounds", ends["all"])
+    """Sections of a document are its lines: (doc_id, text), whose line starts the encoding task finds itself."""
+    return spans.texts_of(docs)
 
 
 def by_field(rows: DataFrame, key: str, fields: list[str], separator: str = "\n") -> DataFrame:
