@@ -28,12 +28,13 @@ LAYOUTS: dict[str, dict] = {
     "instruction": {"paths": ["$.instruction", "$.output"], "turns": [("user", ["$.instruction"]), ("assistant", ["$.output"])]},
     "instruction_input": {"paths": ["$.instruction", "$.input", "$.output"], "turns": [("user", ["$.instruction", "$.input"]), ("assistant", ["$.output"])]},
     "question_answer": {"paths": ["$.question", "$.answer"], "turns": [("user", ["$.question"]), ("assistant", ["$.answer"])]},
+    # tables that hold one turn a row; their paths are columns
+    "turn_rows": {"paths": ["$[*].conv_id", "$[*].role", "$[*].text", "$[*].turn"], "row": ("turn", "role", "text")},
+    "turn_rows_from_value": {"paths": ["$[*].conv_id", "$[*].from", "$[*].turn", "$[*].value"], "row": ("turn", "from", "value")},
 }
 SYSTEM_PATH = "$.system"
-PATHS = sorted({SYSTEM_PATH, *(p for x in LAYOUTS.values() for p in x["paths"])})
+PATHS = sorted({SYSTEM_PATH, *(p for x in LAYOUTS.values() if "row" not in x for p in x["paths"])})
 ROLE_NAMES = {"human": "user", "gpt": "assistant", "model": "assistant", "bot": "assistant"}
-#: Columns of a table that holds one turn a row.
-TURN_ROWS = ["conv_id", "role", "text", "turn"]
 
 OPEN, COLON, CLOSE = "### ", ": ", "</turn>\n"
 #: Escaped in this order, undone in the reverse; each code is a backslash and one digit.
@@ -76,6 +77,8 @@ def canonical_records(records: DataFrame, key: str = "conv_id", record: str = "r
     parsed = records.select(F.col(key).cast("long").alias("conv_id"), F.try_parse_json(F.col(record)).alias("v")).withColumn("print", fingerprint(F.col("v")))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for name, spec in LAYOUTS.items():
+        if "row" in spec:
+            continue
         for system in (False, True):
             has = F.col("print") == _hash(F.array(*map(F.lit, sorted([*spec["paths"], *[SYSTEM_PATH] * system]))))
             layout = F.when(has, F.lit(name)).otherwise(layout)
@@ -84,26 +87,54 @@ def canonical_records(records: DataFrame, key: str = "conv_id", record: str = "r
 
 
 def canonical_rows(rows: DataFrame) -> DataFrame:
-    """(conv_id, layout, turns) of a table with one turn a row."""
-    known = sorted(c.lower() for c in rows.columns if c.lower() in TURN_ROWS)
-    if known != TURN_ROWS:
-        raise ValueError(f"no mapping for a table with the paths {known}")
-    turn = F.struct(F.col("turn"), F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    grouped = rows.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("t")).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    return grouped.select("conv_id", F.lit("turn_rows").alias("layout"),
-                          F.transform("ts", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).cast(TURNS).alias("turns"))
+    """(conv_id, layout, turns) of a table with one turn a row.
+
+    The paths of every declared row layout that the table's schema has are hashed; the layout whose own hash that is
+    maps the rows.  A table in no declared layout is set aside: its conversations (one without an id, where it has no
+    conv_id) have NULL layout and turns."""
+    have = {f"$[*].{c.lower()}": c for c in rows.columns}
+    one = F.struct(F.lit(None).cast("string").alias("layout"), F.struct(F.lit(None).cast("long").alias("turn"), F.lit("").alias("role"), F.lit("").alias("text")).alias("t"))
+    for name, spec in LAYOUTS.items():
+        if "row" in spec:
+            found = [p for p in spec["paths"] if p in have]
+            turn, role, text = (F.col(f"`{have[p]}`") if (p := f"$[*].{c}") in have else F.lit(None) for c in spec["row"])
+            said = F.struct(turn.cast("long").alias("turn"), F.coalesce(role.cast("string"), F.lit("")).alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
+            print_ = _hash(F.array(*map(F.lit, found))) if found else F.lit(None).cast("long")
+            one = F.when(print_ == _hash(F.array(*map(F.lit, spec["paths"]))), F.struct(F.lit(name).alias("layout"), said.alias("t"))).otherwise(one)
+    key = F.col(f"`{have['$[*].conv_id']}`").cast("long") if "$[*].conv_id" in have else F.lit(None).cast("long")
+    grouped = rows.select(key.alias("conv_id"), one.alias("o")).groupBy("conv_id").agg(F.max("o.layout").alias("layout"), F.sort_array(F.collect_list("o.t")).alias("ts"))
+    turns = F.transform("ts", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).cast(TURNS)
+    return grouped.select("conv_id", "layout", F.when(F.col("layout").isNotNull(), turns).alias("turns"))
+
+
+def _chunks(array: str) -> Column:
+    """An array cut into about as many pieces as each has elements, so that work within and over pieces stays small."""
+    n = F.size(array)
+    step = F.ceil(F.sqrt(n.cast("double"))).cast("int")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1, step), lambda s: F.slice(F.col(array), s + 1, step))).otherwise(F.transform(F.array().cast("array<int>"), lambda s: F.col(array)))
 
 
 def render(canonical: DataFrame) -> DataFrame:
-    """(conv_id, layout, formatted, loss_spans): spans are code points of assistant texts, end exclusive."""
+    """(conv_id, layout, formatted, loss_spans): spans are code points of assistant texts, end exclusive.
+
+    Positions are running sums of the parts' lengths: over pieces of about the root of the number of turns, then
+    within each piece."""
     parts = F.transform("turns", lambda t: F.struct(
         F.concat(F.lit(OPEN), _escape(t["role"], ROLE_ESCAPES), F.lit(COLON)).alias("head"), _escape(t["text"], TEXT_ESCAPES).alias("body"), (t["role"] == "assistant").alias("loss")))
-    step = F.aggregate("parts", F.expr("named_struct('at', 0L, 'spans', cast(array() as array<struct<start:bigint,end:bigint>>))"), lambda acc, p: F.struct(
-        (acc["at"] + F.length(p["head"]) + F.length(p["body"]) + len(CLOSE)).alias("at"),
-        F.when(p["loss"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + F.length(p["head"])).alias("start"), (acc["at"] + F.length(p["head"]) + F.length(p["body"])).alias("end")))))
-        .otherwise(acc["spans"]).alias("spans")))
-    return canonical.withColumn("parts", parts).select(
-        "conv_id", "layout", F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(CLOSE))), "").alias("formatted"), step["spans"].alias("loss_spans"))
+    sized = F.transform("parts", lambda p: F.struct(F.length(p["head"]).cast("long").alias("h"), F.length(p["body"]).cast("long").alias("b"), p["loss"].alias("loss")))
+    whole = lambda p: p["h"] + p["b"] + len(CLOSE)
+    totals = F.transform("pieces", lambda ps: F.aggregate(ps, F.lit(0).cast("long"), lambda acc, p: acc + whole(p)))
+    starts = F.aggregate("totals", F.expr("array(0L)"), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    empty = "cast(array() as array<struct<start:bigint,end:bigint>>)"
+    inside = F.transform("pieces", lambda ps, i: F.aggregate(
+        ps, F.struct(F.get(F.col("starts"), i).alias("at"), F.expr(empty).alias("spans")), lambda acc, p: F.struct(
+            (acc["at"] + whole(p)).alias("at"),
+            F.when(p["loss"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + p["h"]).alias("start"), (acc["at"] + p["h"] + p["b"]).alias("end"))))).otherwise(acc["spans"]).alias("spans")),
+        lambda acc: acc["spans"]))
+    laid = canonical.select("conv_id", "layout", parts.alias("parts")).withColumn("sized", sized).withColumn("pieces", _chunks("sized"))
+    laid = laid.withColumn("totals", totals).withColumn("starts", starts)
+    return laid.select("conv_id", "layout", F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(CLOSE))), "").alias("formatted"),
+                       F.flatten(inside).alias("loss_spans"))
 
 
 def read_back(rendered: DataFrame) -> DataFrame:
@@ -113,8 +144,13 @@ def read_back(rendered: DataFrame) -> DataFrame:
     turns = F.transform(bodies, lambda x: F.struct(
         _unescape(F.substring_index(x, COLON, 1), ROLE_ESCAPES).alias("role"),
         _unescape(F.substring(x, F.length(F.substring_index(x, COLON, 1)) + len(COLON) + 1, F.length(x)), TEXT_ESCAPES).alias("text")))
-    masked = F.transform("loss_spans", lambda s: _unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")), TEXT_ESCAPES))
-    return rendered.withColumn("turns", turns).withColumn("loss_text", F.array_join(masked, ""))
+    # the stretch that a piece of the mask covers, then each span within it: no span is looked up from the text's start
+    cut = lambda text, a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))
+    stretches = F.transform("masks", lambda ss: F.struct(
+        cut(F.col("formatted"), F.element_at(ss, 1)["start"], F.element_at(ss, -1)["end"]).alias("text"), F.element_at(ss, 1)["start"].alias("at"), ss.alias("spans")))
+    masked = F.transform("stretches", lambda x: F.array_join(F.transform(x["spans"], lambda s: _unescape(cut(x["text"], s["start"] - x["at"], s["end"] - x["at"]), TEXT_ESCAPES)), ""))
+    return (rendered.withColumn("turns", turns).withColumn("masks", _chunks("loss_spans")).withColumn("stretches", stretches)
+            .withColumn("loss_text", F.array_join(masked, "")).drop("masks", "stretches"))
 
 
 def digests(read: DataFrame) -> DataFrame:
