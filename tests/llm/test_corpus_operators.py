@@ -174,6 +174,43 @@ def test_classes_of_large_families(spark, monkeypatch, edits, block):
     assert table(near_dup.classes(spark.createDataFrame(rows, SCHEMA))) == brute_classes(rows)
 
 
+def test_links_of_a_block_equal_brute_force():
+    """The prefix index misses no pair: the components joined are those of all pairs, and a forest leaves the block."""
+    rng = random.Random(12)
+    for percent in (80, 85, 95):
+        for crossed in (False, True):
+            base = [rng.randrange(1 << 60) for _ in range(60)]
+            sets = []
+            for _ in range(70):
+                members = set(base[:rng.choice([40, 50, 60])]) | {rng.randrange(1 << 60) for _ in range(rng.randint(0, 12))}
+                sets.append(np.array(sorted(members), np.uint64))
+            sets += [np.array([rng.randrange(1 << 60)], np.uint64) for _ in range(3)] + [sets[0][:1], sets[0][:1]]
+            node = np.arange(100, 100 + len(sets))
+            component, slot = node.copy(), np.array([rng.randrange(2) for _ in sets])
+            component[5] = component[3]
+            found = near_dup.block_links(node, component, slot, crossed, sets, percent)
+            want = [(i, j) for i in range(len(sets)) for j in range(i) if (not crossed or slot[i] != slot[j])
+                    and 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))]
+
+            def groups(pairs):
+                group = {i: component[i] for i in range(len(sets))}
+                for i, j in pairs:
+                    lo, hi = sorted((group[i], group[j]))
+                    group = {k: lo if g == hi else g for k, g in group.items()}
+                return group
+            assert groups([(u - 100, v - 100) for u, v in found]) == groups(want) and len(found) < len(sets)
+            assert all(tuple(sorted((u - 100, v - 100), reverse=True)) in set(want) for u, v in found)
+
+
+def test_families_larger_than_a_block(spark, monkeypatch):
+    """Sets travel to several blocks of a family and no link is lost."""
+    monkeypatch.setattr(near_dup, "SET_BLOCK", 1500)
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    rng = random.Random(21)
+    rows = near_family(rng, 0, 80, 8) + near_family(rng, 100, 30, 6)
+    assert table(near_dup.classes(spark.createDataFrame(rows, SCHEMA))) == brute_classes(rows)
+
+
 def test_components_of_a_chain(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (103, 101), (7, 7)]
     rows = near_dup.components(spark.createDataFrame(chain, "u long, v long")).collect()
