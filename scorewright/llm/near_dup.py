@@ -7,17 +7,16 @@ of halves follows from the least similarity: there, a pair misses all tables wit
 (12 halves at 0.85, 16 at 0.8).  Only half keys that two nodes share are paired into table keys, which leaves
 most texts without any.
 
-Buckets are never expanded into rows of pairs.  First the least node of a bucket is compared with the
-others, which joins families of copies.  Buckets that still span several components are searched inside
-tasks, in blocks of at most ``BLOCK`` nodes against each other, for pairs of different components that can
-be similar: the set sizes allow it and at least ``likely`` of the minhashes agree (a pair at the least
-similarity fails that with probability below ``UNLIKELY``; it holds for the pairs with the least node,
-too).  A task gives out only a spanning forest of them, at most a row a node.  The forests' components are
-families.  Each member's full set travels once to every block of its family (once in all, unless a
-family has more than ``SET_BLOCK`` shingles).  There a prefix index finds the candidates (two sets similar
-enough share one of their rarest shingles), every candidate of another component is compared on the full
-sets, and only the links that join components leave the task.  So no pair that can link goes untested,
-and rows grow with nodes, never with pairs.
+Buckets are never expanded into rows of pairs.  First the least node of a bucket is paired with the others: a
+likely pair, whose set sizes allow it and at least ``likely`` of whose minhashes agree (a pair at the least
+similarity fails that with probability below ``UNLIKELY``), ties its two nodes into one family.  Buckets
+that still span several families are searched inside tasks, in blocks of at most ``BLOCK`` nodes against
+each other, for likely pairs of different families; a task gives out only a spanning forest of them, at most
+a row a node.  So the two nodes of every likely pair are in one family.  Each member's full set travels once
+to its family's block (to several, if a family has more than ``2 * SET_BLOCK`` shingles).  There a prefix
+index finds the candidates (two sets similar enough share one of their rarest shingles), candidates not yet
+joined are compared on the full sets, and only the links that join components leave the task.  So no pair
+that can link goes untested, and rows grow with nodes, never with pairs.
 
 Vertices are doc_ids: rows of one doc_id with different texts are one vertex.  Defined results: no words:
 n_shingles 0, a component of its own.  A null doc_id: component_id null, kept true (no id to link by).
@@ -139,40 +138,25 @@ def sketches(docs: DataFrame, like: Rule) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(node, members) of the wanted (node, s1, s2): the sorted shingle hashes, packed."""
+    """(node, family, shingles, members) of the wanted (node, s1, s2, family, shingles): the sorted shingle hashes, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()                   # repeated rows: a set once a task
         for batch in batches:
             at_row = 0
             for c in spans.chunks([batch]):
                 n = len(c.off) - 1
                 key, at = shingle_sets(c, words)
                 s1, s2 = _digests(key, at)
-                same = (s1 == batch.column(2).slice(at_row, n).to_numpy()) & (s2 == batch.column(3).slice(at_row, n).to_numpy())
+                part = batch.slice(at_row, n)
                 at_row += n
-                rows = np.flatnonzero(same)
-                yield pa.RecordBatch.from_arrays([c.ids.take(pa.array(rows)), pa.array([key[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary())], ["node", "members"])
+                fits = np.flatnonzero((s1 == part.column(2).to_numpy()) & (s2 == part.column(3).to_numpy()))
+                rows = np.array([i for i, node in zip(fits, c.ids.take(pa.array(fits)).to_pylist(), strict=True) if not (node in seen or seen.add(node))], np.int64)
+                take = pa.array(rows)
+                yield pa.RecordBatch.from_arrays([c.ids.take(take), part.column(4).take(take), part.column(5).take(take),
+                                                  pa.array([key[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary())], ["node", "family", "shingles", "members"])
 
-    found = spans.texts_of(docs).join(wanted.withColumnRenamed("node", "doc_id"), "doc_id").select("doc_id", "text", "s1", "s2")
-    return found.mapInArrow(run, "node long, members binary")
-
-
-def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, like: Rule) -> DataFrame:
-    """The pairs (u, v) whose sets are similar enough."""
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    wanted = materialize(nodes.select("node", "s1", "s2").join(ends, "node"), "wanted")
-    sets = _sets(docs, wanted, like.words)
-    joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("members").alias("mu")), "u").join(sets.select(F.col("node").alias("v"), F.col("members").alias("mv")), "v")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (a, b) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = 100 * both >= like.percent * (len(x) + len(y) - both)
-            yield batch.select([0, 1]).filter(pa.array(keep))
-
-    return joined.select("u", "v", "mu", "mv").mapInArrow(run, "u long, v long").distinct()
+    found = spans.texts_of(docs).join(spans.small_side(wanted.withColumnRenamed("node", "doc_id")), "doc_id").select("doc_id", "text", "s1", "s2", "family", "shingles")
+    return found.mapInArrow(run, "node long, family long, shingles long, members binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -262,7 +246,7 @@ def _crossed(rows: DataFrame, slots: Column) -> DataFrame:
 
 
 def _forest(node: np.ndarray, n: np.ndarray, component: np.ndarray, slot: np.ndarray, crossed: bool, signature: np.ndarray, like: Rule) -> list[tuple[int, int]]:
-    """A spanning forest of one block's likely pairs of different components."""
+    """A spanning forest of one block's likely pairs of different families."""
     family, out = np.arange(len(node)), []
     for i in range(len(node) - 1):
         j = slice(i + 1, None)
@@ -280,8 +264,8 @@ def _forest(node: np.ndarray, n: np.ndarray, component: np.ndarray, slot: np.nda
 
 
 def _families(buckets: DataFrame, label: DataFrame, nodes: DataFrame, like: Rule) -> DataFrame:
-    """(u, v): edges that tie the nodes of likely pairs of different components into families, for the buckets that
-    span several components."""
+    """(u, v): edges that tie the nodes of likely pairs of different families (node, component) together, for the
+    buckets that span several families."""
     rest = buckets.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     apart = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("key", "members")
     slots = F.when(F.col("members") <= BLOCK, 1).otherwise(F.ceil(F.col("members") * 2 / BLOCK)).cast("int")
@@ -334,24 +318,22 @@ def block_links(node: np.ndarray, component: np.ndarray, slot: np.ndarray, cross
     return out
 
 
-def _join_families(docs: DataFrame, nodes: DataFrame, families: DataFrame, label: DataFrame, like: Rule) -> DataFrame:
-    """(u, v): the links within families that join components."""
-    rows = families.join(nodes.select("node", "n", "s1", "s2"), "node").join(label, "node", "left").select("family", "node", "n", "s1", "s2", F.coalesce("component", "node").alias("component"))
-    rows = materialize(rows, "members")
-    sizes = rows.groupBy("family").agg(F.sum("n").alias("shingles"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("family", "shingles")
+def _join_families(docs: DataFrame, nodes: DataFrame, families: DataFrame, like: Rule) -> DataFrame:
+    """(u, v): the links within families (node, family) that join components."""
+    rows = families.join(nodes.select("node", "n", "s1", "s2"), "node")
+    sizes = families.join(nodes.select("node", "n"), "node").groupBy("family").agg(F.sum("n").alias("shingles"))
+    wanted = materialize(rows.join(sizes, "family").select("node", "s1", "s2", "family", "shingles"), "members")
     slots = F.when(F.col("shingles") <= 2 * SET_BLOCK, 1).otherwise(F.ceil(F.col("shingles") / SET_BLOCK)).cast("int")
-    placed = rows.join(sizes, "family")
-    sets = _sets(docs, placed.select("node", "s1", "s2"), like.words)
-    blocks = _crossed(placed.select("family", "node", "component", "shingles"), slots).join(sets, "node")
-    blocks = blocks.select("family", "a", "b", "node", "component", "slot", "members").repartition("family", "a", "b").sortWithinPartitions("family", "a", "b", "node")
+    blocks = _crossed(_sets(docs, wanted, like.words), slots).select("family", "a", "b", "node", "slot", "members")
+    blocks = blocks.repartition("family", "a", "b").sortWithinPartitions("family", "a", "b", "node")
     percent = like.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
             if block.num_rows > 1:
-                _, a, b, node, component, slot = _columns(block, range(6))
-                sets = [np.frombuffer(x.as_buffer(), np.uint64) for part in block.column(6).chunks for x in part]
-                yield _edges(block_links(node, component, slot, a[0] != b[0], sets, percent))
+                _, a, b, node, slot = _columns(block, range(5))
+                sets = [np.frombuffer(x.as_buffer(), np.uint64) for part in block.column(5).chunks for x in part]
+                yield _edges(block_links(node, node, slot, a[0] != b[0], sets, percent))
 
     return blocks.mapInArrow(run, "u long, v long")
 
@@ -360,15 +342,13 @@ def links(docs: DataFrame, nodes: DataFrame, like: Rule) -> DataFrame:
     """(node, component) of the nodes with links."""
     buckets = materialize(_buckets(nodes, like.halves), "buckets")
     stars = buckets.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v"))
-    edges = materialize(_verify(docs, nodes, materialize(_likely(stars, nodes, like), "pairs"), like), "links")
-    label = materialize(components(edges), "components")
-    likely = materialize(_families(buckets, label, nodes, like), "likely")
-    if likely.isEmpty():
-        return label
+    likely = materialize(_likely(stars, nodes, like), "likely")
     tied = materialize(components(likely), "families")
+    more = materialize(_families(buckets, tied, nodes, like), "likely")
+    if not more.isEmpty():
+        tied = materialize(components(likely.union(more)), "families")
     families = tied.withColumnRenamed("component", "family").union(tied.select(F.col("component").alias("node"), "component").distinct())
-    found = materialize(_join_families(docs, nodes, families, label, like), "links")
-    return label if found.isEmpty() else materialize(components(edges.union(found)), "components")
+    return materialize(components(materialize(_join_families(docs, nodes, families, like), "links")), "components")
 
 
 def classes(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
