@@ -39,7 +39,8 @@ from ..session import materialize
 from . import spans
 
 ROWS = 3
-BLOCK = 1_024
+#: Nodes of a bucket that one block compares (about 1 MB of signatures).
+BLOCK = 8_192
 #: Shingles of a family that one side of a block holds (8 bytes each).
 SET_BLOCK = 1_000_000
 MISSED, UNLIKELY = 3e-5, 1e-6
