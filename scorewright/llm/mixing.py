@@ -132,6 +132,6 @@ def mix(docs: DataFrame, cycle: Sequence[float] = (1, 2, 3), most: int = 3, seed
 def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """``docs``, all columns, each row as often as the mix takes its document; rows of one doc_id alike."""
     times = materialize(mixed.groupBy("doc_id").agg(F.max("times").cast("int").alias("times")).where("times > 0"), "times")
-    key, n = "mix doc_id", "mix times"
-    joined = docs.join(spans.small_side(times.toDF(key, n)), F.col("doc_id").eqNullSafe(F.col(f"`{key}`")))
+    key, n = (next(c for k in range(len(docs.columns) + 1) if (c := f"{name} {k}") not in docs.columns) for name in ("mix doc_id", "mix times"))
+    joined = docs.join(spans.small_side(times.toDF(key, n)), docs["doc_id"].eqNullSafe(F.col(f"`{key}`")))
     return joined.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(f"`{n}`")))).select(*(docs[c] for c in docs.columns))

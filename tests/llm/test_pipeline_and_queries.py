@@ -50,7 +50,7 @@ def brute_kept(rows, words, percent):
     return {i for i, g in group.items() if i == g}
 
 
-CLASHES = ("gone", "twice", "which row", "row", "gone id 0", "n", "times", "mix doc_id", "mix times", "node", "key", "size", "score", "ids", "component_id", "kept")
+CLASHES = ("gone", "twice", "which row", "row", "gone id 0", "mix times 0", "n", "times", "mix doc_id", "mix times", "node", "key", "size", "score", "ids", "component_id", "kept")
 
 
 def test_stages_with_clashing_names_and_nulls(spark, tmp_path):
