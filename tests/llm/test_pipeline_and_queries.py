@@ -113,7 +113,7 @@ def test_signature_filter_loses_less_than_a_pair_in_a_million():
 def test_oracles_and_brute_force_on_driver_tables(spark):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for name, sql in queries.ORACLE.items():
         frame = queries.QUERIES[name](spark, SF)
