@@ -4,14 +4,19 @@ Sorting every suffix would shuffle each text fifty times.  It is enough to sort
 the ``GRAM``-byte strings in a 50-byte window the one of least hash is the window's anchor, so equal
 windows have equal anchors at equal places, and an anchor's windows lie in one short stretch around it.
 
-Tasks find the anchors of their texts; stretches that a smaller document of the same task has are removed
-there, only its own copy travels on.  Splitters sampled from the anchors' leading bytes range-partition
-the rest.  A bucket sorts by multikey quicksort, eight bytes a step: groups within one document are dropped
-after each step, the others go on to the next bytes, and what is equal on all 50 is removed from every document
-but the smallest.  Equal leading bytes are always in one bucket, so nothing is compared across buckets but
-for leading strings that many sampled documents share: their windows travel one by one, spread by
+Two passes.  The first counts the anchors of all texts by a hash of a few bytes (``shared``) and answers each
+text with one bit per anchor: whether it stands anywhere else.  A chance collision of hashes only sends a
+stretch for nothing.  The second pass sends the stretches of those anchors alone.  Stretches that a smaller document of the same
+chunk has are removed there, only its own copy travels on.  Splitters sampled from the anchors' leading bytes
+range-partition the rest.  A bucket sorts by three-way multikey quicksort, eight bytes a step: groups within one
+document are dropped at once, the others go on to the next bytes, and what is equal on all 50 is removed from
+every document but the smallest.  Equal leading bytes are always in one bucket, so nothing is compared across
+buckets but for leading strings counted more than ``hot_docs`` times: their windows travel one by one, spread by
 their whole content, so no bucket holds them all.
 
+The first pass numbers anchors by task and block, so ``docs`` should be read the same way when a task is
+repeated, as a table is; if it is not, the job fails rather than losing matches.
+
 Defined results: null or empty text: 0 bytes, nothing removed.  A null doc_id comes after all others.
 Equal doc_ids are not smaller than each other; repeated rows get one result each.  Texts of any length are cut
 into overlapping pieces for the search.  Extra columns are ignored.
@@ -26,6 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,15 +39,24 @@ from ..session import materialize
 from . import spans
 
 LENGTH = 50
-GRAM = 12
+GRAM = 20
 CHUNK_BYTES = 1 << 19
 #: Bytes of stretches that a task holds before it compresses and sends them.
 HELD_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
+#: Bytes of text whose anchors a task notes before it sends their hashes, and that one bucket of hashes stands for.
+NOTED_BYTES = 16 << 20
+#: Bits of an anchor's hash beyond those that number the anchors: one in 2 ** SPARE_BITS collides.
+SPARE_BITS = 12
+#: Anchors with more holders than this send their windows one by one.
+HOT_DOCS = 20_000
 #: The removals are broadcast to the texts only up to this size; beyond it both are shuffled.
 BROADCAST_BYTES = 32 << 20
 _LAST = np.iinfo(np.int64).max
 _POSITION = np.uint64(23)
+#: Places of the eight-byte words that make up a leading string, and a whole window.
+_STEPS = (*range(0, GRAM - 8, 8), GRAM - 8)
+_WINDOW_STEPS = (*range(0, LENGTH - 8, 8), LENGTH - 8)
 
 
 def _words8(buf: np.ndarray) -> np.ndarray:
@@ -56,7 +71,10 @@ def anchors(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     if n < LENGTH:
         return (np.zeros(0, np.int64),) * 4
     w = _words8(buf)
-    h = spans.mix(w[:n - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15) + (w[GRAM - 8:n - 7] * np.uint64(0xD6E8FEB86659FD93)))
+    h = np.zeros(n - GRAM + 1, np.uint64)
+    for k in _STEPS:
+        h = h * np.uint64(0x9E3779B97F4A7C15) + w[k:k + len(h)] * np.uint64(0xD6E8FEB86659FD93)
+    h = spans.mix(h)
     key = (h >> _POSITION << _POSITION) | np.arange(len(h), dtype=np.uint64)
     span, have = LENGTH - GRAM + 1, 1
     while 2 * have <= span:
@@ -142,16 +160,42 @@ def _unpack(compressed: list[bytes]) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(c) for c in cols)
 
 
-def _refine(group: np.ndarray, word: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One step of the multikey sort: (kept entries in order, their new groups, the groups' smallest doc)."""
-    order = np.lexsort((word, group))
-    g, w, d = group[order], word[order], doc[order]
-    new = np.ones(len(g), bool)
-    new[1:] = (g[1:] != g[:-1]) | (w[1:] != w[:-1])
-    first, number = np.flatnonzero(new), np.cumsum(new) - 1
-    least, most = np.minimum.reduceat(d, first), np.maximum.reduceat(d, first)
-    keep = (least != most)[number]
-    return order[keep], number[keep], least[number[keep]]
+def multikey_sort(word: np.ndarray, at: np.ndarray, steps: tuple[int, ...], group: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Three-way multikey quicksort of the strings ``word[at + steps]`` within each group, all groups at once:
+    (entries equal to one of another document, their numbers of equal strings, the smallest doc of each).
+
+    A round splits every group by its middle entry's word into smaller, equal and larger; only the equal part
+    goes on to the next word.  Groups within one document leave at once."""
+    places = np.array(steps)
+    depth = np.zeros(len(at), np.int64)
+    left = np.argsort(group, kind="stable")
+    group = group[left]
+    found, numbers, owners, given = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    while len(left):
+        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        number = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(left))))
+        d = doc[left]
+        least = np.minimum.reduceat(d, first)
+        several = (least != np.maximum.reduceat(d, first))[number]
+        end = several & (depth[left] == len(places))
+        found.append(left[end])
+        numbers.append(number[end] + given)
+        owners.append(least[number[end]])
+        given += len(first)
+        go = several & ~end
+        left, number = left[go], number[go]
+        if not len(left):
+            break
+        first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+        size = np.diff(np.append(first, len(left)))
+        w = word[at[left] + places[depth[left]]]
+        pivot = np.repeat(w[first + size // 2], size)
+        side = (w >= pivot).astype(np.int64) + (w > pivot)
+        depth[left[side == 1]] += 1
+        group = 3 * number + side
+        order = np.argsort(group, kind="stable")
+        left, group = left[order], group[order]
+    return np.concatenate(found), np.concatenate(numbers), np.concatenate(owners)
 
 
 def bucket_removals(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -160,12 +204,9 @@ def bucket_removals(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[b
     begin = np.cumsum(size.astype(np.int64)) - size
     word = _words8(text)
     none = np.zeros(0, np.int64), np.zeros(0, np.int64), []
-    left, group = np.arange(len(row)), np.zeros(len(row), np.int64)
-    for shift in (0, GRAM - 8):                      # the anchors' leading bytes
-        kept, group, _ = _refine(group, word[begin[left] + offset[left] + shift], doc[row[left]])
-        left = left[kept]
-        if not len(left):
-            return none
+    left, group, _ = multikey_sort(word, begin + offset, _STEPS, np.zeros(len(row), np.int64), doc[row])
+    if not len(left):
+        return none
     # equal stretches: only those of the smallest document go on, the others go as a whole
     last = begin[left] + size[left] - 8
     same = np.lexsort([size[left], offset[left], *(word[np.minimum(begin[left] + k, last)] for k in range(0, 2 * LENGTH - GRAM, 8)), group])
@@ -177,18 +218,13 @@ def bucket_removals(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[b
     whole = left[same[copy]]
     left, group = left[same[~copy]], group[same[~copy]]
     out = [(row[whole], position[whole], position[whole] + size[whole])]
-    kept, group, _ = _refine(group, np.zeros(len(left), np.uint64), doc[row[left]])
-    left = left[kept]
     windows = size[left].astype(np.int64) - LENGTH + 1
     step = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     of = np.repeat(left, windows)
     group = np.repeat(group, windows) * 64 + (offset[of] - step)
     at = begin[of] + step
-    for shift in (*range(0, LENGTH - 8, 8), LENGTH - 8):
-        if not len(of):
-            break
-        kept, group, least = _refine(group, word[at + shift], doc[row[of]])
-        of, at, step = of[kept], at[kept], step[kept]
+    kept, _, least = multikey_sort(word, at, _WINDOW_STEPS, group, doc[row[of]])
+    of, step = of[kept], step[kept]
     if len(of):
         gone = doc[row[of]] > least
         of, step = of[gone], step[gone]
@@ -203,30 +239,171 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_LAST))).alias("doc"), F.xxhash64(text).alias("key"), text.alias("text"))
 
 
-def _sample(docs: DataFrame, buckets: int, most_docs: int, hot_share: float) -> tuple[np.ndarray, np.ndarray]:
-    """(splitters, hot leading strings) from a bounded number of texts, those of least seeded hash of doc_id."""
-    ids = spans.smallest_by_hash(docs, "doc", most_docs)
-    chosen = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc long")
+def _lead_hash(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """64-bit hash of the leading GRAM bytes at each anchor."""
+    lead = np.lib.stride_tricks.sliding_window_view(buf, GRAM)[at]
+    return spans.join_hashes([np.ascontiguousarray(lead[:, k:k + 8]).view(np.uint64).ravel() for k in _STEPS])
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Unsigned numbers, byte plane after byte plane, so that high zero bytes compress to nothing."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind: type, n: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, size * n, at).reshape(size, n).T).view(kind).ravel()
+
+
+def shared(keyed: DataFrame, total: int, hot_docs: int) -> DataFrame:
+    """(doc, key, n_shared, bits) of the texts with an anchor that stands anywhere else, too.  bits: one bit per anchor of the text
+    in order, then as many again that tell the hot ones.
+
+    Tasks send sorted hashes by range, a few bytes each, with the anchor's number in its block of ``NOTED_BYTES``; a range counts
+    them and answers each block with the numbers found twice or more; a block turns its answers into bits of its texts."""
+    width = min(48, SPARE_BITS + max(1, total // 8).bit_length())
+    n_buckets = 1 + total // NOTED_BYTES
+    names = ["bucket", "noted", "hashes", "docs"]
+
+    def sent(noted: int, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        docs, keys, counts, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
+        some = counts > 0
+        if not some.any():
+            return
+        h = hashes >> np.uint64(64 - width)
+        order = np.argsort(h, kind="stable")
+        h = h[order]
+        bucket = ((h >> np.uint64(max(0, width - 24))) * np.uint64(n_buckets) >> np.uint64(min(24, width))).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        packer = zstandard.ZstdCompressor(level=1)
+        table = np.stack([docs[some], keys[some], counts[some]]).astype(np.int64).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([noted % n_buckets]), pa.array([noted]), pa.nulls(1, pa.binary()), pa.array([packer.compress(table)], pa.binary())], names)
+        ends = np.append(first[1:], len(h))
+        for i in range(0, len(first), 32):
+            blocks = []
+            for lo, hi in zip(first[i:i + 32], ends[i:i + 32], strict=True):
+                steps = np.diff(h[lo:hi], prepend=np.uint64(0))
+                blocks.append(packer.compress(np.array([hi - lo], np.int64).tobytes() + _planes(steps) + _planes(order[lo:hi].astype(np.uint32))))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[first[i:i + 32]]), pa.array(np.full(len(blocks), noted)), pa.array(blocks, pa.binary()), pa.nulls(len(blocks), pa.binary())], names)
+
+    def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        noted = TaskContext.get().partitionId() << 32
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        for batch in batches:
+            seen = 0
+            for c in spans.chunks([batch.select([0, 2])], CHUNK_BYTES):
+                docs = c.ids.to_numpy()
+                keys = batch.column(1).slice(seen, len(docs)).to_numpy()
+                seen += len(docs)
+                counts = np.zeros(len(docs), np.int64)
+                hashes = [np.zeros(0, np.uint64)]
+                for part, off, _ in _pieces(docs, c):
+                    row, _, _, at = anchors(part, off)
+                    if len(row):
+                        counts += np.bincount(row, minlength=len(docs))
+                        hashes.append(_lead_hash(part, at))
+                held.append((docs, keys, counts, np.concatenate(hashes)))
+                size += len(c.buf)
+                if size >= NOTED_BYTES:
+                    yield from sent(noted, held)
+                    noted, held, size = noted + 1, [], 0
+        if held:
+            yield from sent(noted, held)
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        tables = rows[rows["docs"].notna()]
+        out = [pd.DataFrame({"noted": tables["noted"], "numbers": None, "hot": None, "docs": tables["docs"]})]
+        sent_rows = rows[rows["hashes"].notna()]
+        hashes, numbers = [], []
+        for block in sent_rows["hashes"]:
+            raw = zstandard.ZstdDecompressor().decompress(block)
+            n = int(np.frombuffer(raw, np.int64, 1)[0])
+            hashes.append(np.cumsum(_from_planes(raw, np.uint64, n, 8)))
+            numbers.append(_from_planes(raw, np.uint32, n, 8 + 8 * n))
+        if hashes:
+            h = np.concatenate(hashes)
+            order = np.argsort(h, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
+            holders = np.empty(len(h), np.int64)
+            size = np.diff(np.append(first, len(h)))
+            holders[order] = np.repeat(size, size)
+            each = np.split(holders, np.cumsum([len(x) for x in hashes])[:-1])
+            packed = [[np.sort(x[n > least]).tobytes() for x, n in zip(numbers, each, strict=True)] for least in (1, hot_docs)]
+            found = pd.DataFrame({"noted": sent_rows["noted"].to_numpy(), "numbers": packed[0], "hot": packed[1], "docs": None})
+            out.append(found[found["numbers"].str.len() > 0])
+        return pd.concat(out)
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        tables = rows["docs"].dropna().tolist()
+        if len(tables) != 1:
+            raise RuntimeError("the documents were read in another order when a task was repeated")
+        docs, keys, counts = np.frombuffer(zstandard.ZstdDecompressor().decompress(tables[0]), np.int64).reshape(3, -1)
+        flags = np.zeros((2, int(counts.sum())), np.uint8)
+        for mark, column in zip(flags, ("numbers", "hot"), strict=True):
+            for packed in rows[column].dropna():
+                mark[np.frombuffer(packed, np.uint32)] = 1
+        ends = np.cumsum(counts)
+        n_shared = np.add.reduceat(flags[0], ends - counts, dtype=np.int64)
+        some = np.flatnonzero(n_shared)
+        bits = [np.packbits(flags[:, ends[i] - counts[i]:ends[i]], axis=1).tobytes() for i in some]
+        return pd.DataFrame({"doc": docs[some], "key": keys[some], "n_shared": n_shared[some], "bits": bits})
+
+    counted = keyed.mapInArrow(note, "bucket long, noted long, hashes binary, docs binary").groupBy("bucket").applyInPandas(count, "noted long, numbers binary, hot binary, docs binary")
+    answers = counted.groupBy("noted").applyInPandas(answer, "doc long, key long, n_shared long, bits binary")
+    return answers.groupBy("doc", "key").agg(F.max("n_shared").alias("n_shared"), F.max("bits").alias("bits"))      # repeated rows have equal bits
+
+
+def _flags(row: np.ndarray, before: np.ndarray, bits: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(shared, hot) of a piece's anchors; ``before``: anchors of each text in earlier pieces, brought up to date."""
+    half = np.diff(off) // 2
+    n = np.bincount(row, minlength=len(half))
+    number = np.arange(len(row)) - (np.cumsum(n) - n)[row] + before[row]
+    before += n
+    if (before > 8 * half).any():
+        raise RuntimeError("two texts of one document and one key")
+    at = 8 * off[:-1][row] + number
+    flags = np.unpackbits(bits).astype(bool)
+    return flags[at], flags[at + 8 * half[row]]
+
+
+def _sample(found: DataFrame, buckets: int, most_docs: int) -> np.ndarray:
+    """Splitters from the shared anchors of a bounded number of texts, those of least seeded hash of doc_id."""
+    ids = spans.smallest_by_hash(found, "doc", max(most_docs, buckets))
+    chosen = found.sparkSession.createDataFrame([(i,) for i in ids], "doc long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in spans.chunks(batches, CHUNK_BYTES):
-            for part, off, _ in _pieces(np.zeros(0), c):
-                doc, _, _, at = anchors(part, off)
-                for i in np.unique(doc):
-                    yield pa.RecordBatch.from_arrays([pa.array([x.ljust(GRAM, b"\0") for x in np.unique(_lead(part, at[doc == i])).tolist()], pa.binary())], ["lead"])
-
-    leads = docs.join(F.broadcast(chosen), "doc", "left_semi").select("doc", "text").mapInArrow(run, "lead binary").groupBy("lead").agg(F.count(F.lit(1)).alias("n"))
-    leads = materialize(leads, "leads")
-    hot = [bytes(r["lead"]) for r in leads.where(F.col("n") >= max(4, hot_share * len(ids))).select("lead").collect()]
+        for batch in batches:
+            bits, ends = spans.buffers(batch.column(2))
+            seen = 0
+            for c in spans.chunks([batch.select([0, 1])], CHUNK_BYTES):
+                own = ends[seen:seen + len(c.ids) + 1]
+                seen += len(c.ids)
+                before = np.zeros(len(c.ids), np.int64)
+                for part, off, _ in _pieces(np.zeros(0), c):
+                    row, _, _, at = anchors(part, off)
+                    if len(row):
+                        kept, _ = _flags(row, before, bits[own[0]:own[-1]], own - own[0])
+                        yield pa.RecordBatch.from_arrays([pa.array([x.ljust(GRAM, b"\0") for x in np.unique(_lead(part, at[kept])).tolist()], pa.binary())], ["lead"])
+
+    leads = found.join(F.broadcast(chosen), "doc", "left_semi").select("doc", "text", "bits").mapInArrow(run, "lead binary")
     drawn = np.sort(np.array([bytes(x) for x in spans.smallest_by_hash(leads, "lead", max(20_000, 20 * buckets))] or [b""], f"S{GRAM}"))
-    cuts = np.unique(drawn[np.linspace(0, len(drawn) - 1, buckets + 1).astype(np.int64)[1:-1]])
-    return cuts, np.sort(np.array(hot, f"S{GRAM}"))
+    return np.unique(drawn[np.linspace(0, len(drawn) - 1, buckets + 1).astype(np.int64)[1:-1]])
+
+
+def _sized(table: DataFrame, column: str) -> DataFrame:
+    """A written table, marked for broadcast if its counted bytes are few."""
+    size = table.agg(F.sum(F.octet_length(column) + 32)).first()[0] or 0
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
-def removals(keyed: DataFrame, most_docs: int = 500, hot_share: float = 0.01) -> DataFrame:
+def removals(keyed: DataFrame, most_docs: int = 500, hot_docs: int = HOT_DOCS) -> DataFrame:
     """(doc, key, spans): the runs of bytes to remove, packed, in one or more rows per document."""
     total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cuts, hot = _sample(keyed, 1 + total // BUCKET_BYTES, most_docs, hot_share)
+    answers = materialize(shared(keyed, total, hot_docs), "shared")
+    n_shared = answers.agg(F.sum("n_shared")).first()[0] or 0
+    found = keyed.join(_sized(answers.select("doc", "key", "bits"), "bits"), ["doc", "key"]).select("doc", "key", "text", "bits")
+    cuts = _sample(found, 1 + n_shared * 2 * LENGTH // BUCKET_BYTES, most_docs)
     n_buckets = len(cuts) + 1
     schema = "bucket long, doc long, key long, own binary, block binary"
     names = ["bucket", "doc", "key", "own", "block"]
@@ -243,18 +420,24 @@ def removals(keyed: DataFrame, most_docs: int = 500, hot_share: float = 0.01) ->
         held: dict[int, list[bytes]] = {}
         waiting = 0
         for batch in batches:
+            bits, ends = spans.buffers(batch.column(3))
             seen = 0
             for c in spans.chunks([batch.select([0, 2])], CHUNK_BYTES):
                 docs = c.ids.to_numpy()
                 keys = batch.column(1).slice(seen, len(docs)).to_numpy()
+                own = ends[seen:seen + len(docs) + 1]
                 seen += len(docs)
+                before = np.zeros(len(docs), np.int64)
                 for part, off, base in _pieces(docs, c):
                     row, lo, hi, at = anchors(part, off)
+                    if not len(row):
+                        continue
+                    kept, many = _flags(row, before, bits[own[0]:own[-1]], own - own[0])
+                    row, lo, hi, at, many = (x[kept] for x in (row, lo, hi, at, many))
                     if not len(row):
                         continue
                     lead = _lead(part, at)
-                    if len(hot):                     # windows of hot leading strings go one by one
-                        many = np.isin(lead, hot)
+                    if many.any():                   # windows of hot leading strings go one by one
                         count = np.where(many, hi - lo + 1, 1)
                         step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                         row, lo, hi, at, lead, many = (np.repeat(x, count) for x in (row, lo, hi, at, lead, many))
@@ -270,7 +453,7 @@ def removals(keyed: DataFrame, most_docs: int = 500, hot_share: float = 0.01) ->
                     if len(rows):
                         yield pa.RecordBatch.from_arrays([pa.array(keys[rows] % n_buckets), pa.array(docs[rows]), pa.array(keys[rows]), pa.array(packed, pa.binary()), pa.nulls(len(rows), pa.binary())], names)
                     bucket = np.searchsorted(cuts, lead, side="right") if len(cuts) else np.zeros(len(lead), np.int64)
-                    if len(hot):
+                    if many.any():
                         bucket = np.where(many, (same % np.uint64(n_buckets)).astype(np.int64), bucket)
                     stay = np.flatnonzero(~gone)
                     stay = stay[np.lexsort((lead[stay], bucket[stay]))]
@@ -294,13 +477,13 @@ def removals(keyed: DataFrame, most_docs: int = 500, hot_share: float = 0.01) ->
             out.append(pd.DataFrame({"doc": doc, "key": key, "spans": packed}))
         return pd.concat(out)
 
-    return keyed.mapInArrow(find, schema).groupBy("bucket").applyInPandas(settle, "doc long, key long, spans binary")
+    return found.mapInArrow(find, schema).groupBy("bucket").applyInPandas(settle, "doc long, key long, spans binary")
 
 
-def cut(docs: DataFrame) -> DataFrame:
+def cut(docs: DataFrame, hot_docs: int = HOT_DOCS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every whole text; kept: the remaining bytes."""
     keyed = _keyed(docs)
-    found = materialize(removals(keyed), "removals")
+    found = materialize(removals(keyed, hot_docs=hot_docs), "removals")
     gone = found.groupBy("doc", "key").agg(F.collect_list("spans").alias("spans"))       # runs within one text
     if (found.agg(F.sum(F.octet_length("spans") + 32)).first()[0] or 0) <= BROADCAST_BYTES:
         gone = F.broadcast(gone)

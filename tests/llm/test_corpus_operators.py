@@ -45,6 +45,28 @@ def test_repeats_in_many_small_buckets_and_hot_passages(spark, monkeypatch):
     assert table(repeats.digests(repeats.cut(spark.createDataFrame(rows, SCHEMA).repartition(6)))) == brute_repeats(rows)
 
 
+@pytest.mark.parametrize("hot_docs", [3, 30])
+def test_repeats_of_hot_leading_strings(spark, hot_docs):
+    rng = random.Random(12)
+    line = prose(rng, 20)
+    rows = [(i % 50, prose(rng, rng.randint(1, 40)) + line + prose(rng, 5), "en", "s", 0) for i in range(60)] + [(None, line, None, None, None), (90, "ab" * 400, None, None, None), (91, "ab" * 90, None, None, None)]
+    assert table(repeats.digests(repeats.cut(spark.createDataFrame(rows, SCHEMA).repartition(5), hot_docs))) == brute_repeats(rows)
+
+
+def test_multikey_sort_finds_the_strings_of_several_documents():
+    rng = np.random.default_rng(4)
+    buf = rng.integers(97, 99, 3000, dtype=np.uint8)
+    at, doc, group = rng.integers(0, 2900, 900), rng.integers(0, 40, 900), rng.integers(0, 3, 900)
+    strings = [(g, buf[a:a + 16].tobytes()) for g, a in zip(group, at)]
+    holders = {}
+    for s, d in zip(strings, doc):
+        holders.setdefault(s, set()).add(int(d))
+    kept, number, least = repeats.multikey_sort(repeats._words8(buf), at, (0, 8), group, doc)
+    assert sorted(kept.tolist()) == [i for i, s in enumerate(strings) if len(holders[s]) > 1]
+    assert all(min(holders[strings[i]]) == least[k] for k, i in enumerate(kept))
+    assert len({(n, strings[i]) for n, i in zip(number, kept)}) == len(set(number.tolist())) == len({strings[i] for i in kept})
+
+
 def test_repeats_in_pieces_of_a_long_text(spark, monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK_BYTES", 500)
     rng = random.Random(10)
