@@ -264,13 +264,10 @@ def _forest(node: np.ndarray, n: np.ndarray, component: np.ndarray, slot: np.nda
     return out
 
 
-def _families(buckets: DataFrame, label: DataFrame, nodes: DataFrame, like: Rule) -> DataFrame:
-    """(u, v): edges that tie the nodes of likely pairs of different families (node, component) together, for the
-    buckets that span several families."""
-    rest = buckets.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    apart = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("key", "members")
+def _tied(rows: DataFrame, nodes: DataFrame, like: Rule) -> DataFrame:
+    """(u, v): a spanning forest of the likely pairs of different components in each group of rows (key, node, n, component, members)."""
     slots = F.when(F.col("members") <= BLOCK, 1).otherwise(F.ceil(F.col("members") * 2 / BLOCK)).cast("int")
-    rows = _crossed(rest.join(apart, "key"), slots).join(nodes.select("node", "signature"), "node")
+    rows = _crossed(rows, slots).join(nodes.select("node", "signature"), "node")
     rows = rows.select("key", "a", "b", "node", "n", "component", "slot", "signature").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +276,29 @@ def _families(buckets: DataFrame, label: DataFrame, nodes: DataFrame, like: Rule
                 cols = _columns(block, range(1, 7))
                 yield _edges(_forest(*cols[2:6], cols[0][0] != cols[1][0], _bytes_of(block.column(7).combine_chunks()), like))
 
-    return rows.mapInArrow(run, "u long, v long").distinct()
+    return rows.mapInArrow(run, "u long, v long")
+
+
+def _families(buckets: DataFrame, label: DataFrame, nodes: DataFrame, like: Rule) -> DataFrame:
+    """(u, v): edges that tie the nodes of likely pairs of different families (node, component) together, for the
+    buckets that span several families.
+
+    The family with most nodes in a bucket is its host, the other nodes are visitors.  A visitor meets all nodes of
+    its host once, however many buckets they share, so a large family is not repeated for each; only
+    visitors of one bucket are compared bucket by bucket."""
+    rest = buckets.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    shares = rest.groupBy("key", "component").agg(F.count(F.lit(1)).alias("share"))
+    apart = shares.groupBy("key").agg(F.max(F.struct("share", "component")).alias("most"), F.count(F.lit(1)).alias("families")).where("families > 1").select("key", F.col("most.component").alias("host"))
+    visitors = materialize(rest.join(apart, "key").where("component <> host"), "visitors")
+    several = visitors.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("key", "members")
+    met = visitors.select(F.col("host").alias("key"), "node", "n", F.bitwise_not("host").alias("component")).distinct()      # never the host's number
+    hosts = met.groupBy("key").agg(F.count(F.lit(1)).alias("guests"))
+    own = nodes.select("node", "n").join(label, "node", "left").select(F.coalesce("component", "node").alias("key"), "node", "n")
+    own = own.join(hosts.select("key"), "key", "left_semi").withColumn("component", F.col("key"))
+    both = materialize(met.unionByName(own), "hosts")
+    sizes = both.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    edges = _tied(both.join(sizes, "key"), nodes, like).union(_tied(visitors.drop("host").join(several, "key"), nodes, like))
+    return edges.distinct()
 
 
 def block_links(node: np.ndarray, component: np.ndarray, slot: np.ndarray, crossed: bool, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
