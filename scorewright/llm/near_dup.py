@@ -10,7 +10,8 @@ most texts without any.
 Buckets are never expanded into rows of pairs.  First the least node of a bucket is paired with the others: a
 likely pair, whose set sizes allow it and at least ``likely`` of whose minhashes agree (a pair at the least
 similarity fails that with probability below ``UNLIKELY``), ties its two nodes into one family.  Buckets
-that still span several families are searched inside tasks, in blocks of at most ``BLOCK`` nodes against
+that still span several families are searched inside tasks: their nodes of other families than the bucket's largest meet
+all nodes of that one once, and each other bucket by bucket, in blocks of at most ``BLOCK`` nodes against
 each other, for likely pairs of different families; a task gives out only a spanning forest of them, at most
 a row a node.  So the two nodes of every likely pair are in one family.  Each member's full set travels once
 to its family's block (to several, if a family has more than ``2 * SET_BLOCK`` shingles).  There a prefix
