@@ -7,7 +7,8 @@ Within a length the documents of least seeded hash are chosen.
 
 Only counts meet in one task: a source is one row per distinct length there, however many documents it
 has.  Ranks within (source, length) are taken in 256 slices of the hash, so a length that holds a third
-of all rows is spread as well.  The list of sources is the size of the weights and goes to the driver.
+of all rows is spread as well.  Sources are numbered, and their targets found, where they lie: the driver
+only sees three sums a round of the resharing, so sources may be as many as hosts.
 
 Defined results: null text: size 0, taken 0.  A null source is a source of its own, last.  Repeated rows are
 separate documents of equal rank; either may be the one chosen.  Empty table: no rows.  Extra columns
@@ -16,7 +17,7 @@ are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -48,21 +49,41 @@ def sizes(docs: DataFrame) -> DataFrame:
         count, "doc_id long, source string, size long")
 
 
+def _unit(total: int, over: Callable[[float], tuple[int, int, float]], most: int) -> float:
+    """Words for a weight of one: what full sources leave of the total, shared by the others.  ``over(unit)`` gives the number
+    and size of the sources that the unit fills, and the weight of the others."""
+    unit, before, (full, size, weight) = 0.0, -1, over(0.0)
+    while full > before and weight:
+        unit, before = (total - most * size) / weight, full
+        full, size, weight = over(unit)
+    return unit
+
+
 def targets(size: dict[str | None, int], cycle: Sequence[float] = (1, 2, 3), most: int = 3) -> dict[str | None, float]:
     """Words of each source: the total shared by weight, none above ``most`` times its size."""
     names = sorted((s for s in size if s is not None)) + [None] * (None in size)
     weight = {s: float(cycle[i % len(cycle)]) for i, s in enumerate(names)}
-    out: dict[str | None, float] = {}
-    open_, left = list(names), float(sum(size.values()))
-    while open_:
-        unit = left / sum(weight[s] for s in open_)
-        full = [s for s in open_ if unit * weight[s] > most * size[s]]
-        if not full:
-            return out | {s: unit * weight[s] for s in open_}
-        out |= {s: float(most * size[s]) for s in full}
-        left -= sum(out[s] for s in full)
-        open_ = [s for s in open_ if s not in out]
-    return out
+
+    def over(unit: float) -> tuple[int, int, float]:
+        full = {s for s in names if unit * weight[s] > most * size[s]}
+        return len(full), sum(size[s] for s in full), sum(weight[s] for s in names if s not in full)
+
+    unit = _unit(sum(size.values()), over, most)
+    return {s: float(min(unit * weight[s], most * size[s])) for s in names}
+
+
+def source_targets(sources: DataFrame, cycle: Sequence[float] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """``targets`` of any number of sources: rows (name, source, source_size) with their target; a source is one row."""
+    numbered = spans.numbered(sources, [F.col("source").asc_nulls_last()], "place")
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in cycle)), (F.col("place") % len(cycle) + 1).cast("int"))
+    known = materialize(numbered.select("name", "source", "source_size", weight.alias("weight")), "sources")
+
+    def over(unit: float) -> tuple[int, int, float]:
+        full = F.lit(unit) * F.col("weight") > most * F.col("source_size")
+        return tuple(x or 0 for x in known.agg(F.count_if(full), F.sum(F.when(full, F.col("source_size"))), F.sum(F.when(~full, F.col("weight")))).first())
+
+    unit = _unit(known.agg(F.sum("source_size")).first()[0] or 0, over, most)
+    return known.select("name", "source", "source_size", F.least(F.lit(unit) * F.col("weight"), (most * F.col("source_size")).cast("double")).alias("target"))
 
 
 def knapsack(lengths: list[int], spare: list[int], budget: int) -> list[int]:
@@ -107,20 +128,18 @@ def mix(docs: DataFrame, cycle: Sequence[float] = (1, 2, 3), most: int = 3, seed
     order = F.xxhash64("doc_id", F.lit(seed)).bitwiseAND((1 << 62) - 1).alias("r")
     sized = materialize(sizes(docs).select("doc_id", "source", "size", name, order, F.shiftright(order, 62 - SLICE_BITS).alias("slice")), "sizes")
     by_length = sized.groupBy("name", "source", "size").agg(F.count(F.lit(1)).alias("n"))
-    total = {r["source"]: int(r["s"]) for r in by_length.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("s")).collect()}
-    goal = targets(total, cycle, most)
+    goal = source_targets(by_length.groupBy("name", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), cycle, most)
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        source = rows["source"].iloc[0]
-        source = None if pd.isna(source) else source
-        size, target = total[source], goal[source]
+        size, target = int(rows["source_size"].iloc[0]), float(rows["target"].iloc[0])
         passes = min(most, int(target / size + 1e-9)) if size else 0
         rows = rows.sort_values("size")
         counts = rows["n"].to_numpy(np.int64)
         extra = quotas(rows["size"].to_numpy(np.int64), counts, 0 if passes == most else round(target - passes * size), most - passes)
         return pd.DataFrame({"name": rows["name"], "size": rows["size"], "source_size": size, "target": target, "passes": passes + extra // counts, "extra": extra % counts})
 
-    quota = by_length.groupBy("name").applyInPandas(fit, "name string, size long, source_size long, target double, passes long, extra long")
+    budgets = by_length.join(spans.small_side(goal.drop("source")), "name").select("name", "size", "n", "source_size", "target")
+    quota = budgets.groupBy("name").applyInPandas(fit, "name string, size long, source_size long, target double, passes long, extra long")
     running = Window.partitionBy("name", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sliced = sized.groupBy("name", "size", "slice").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0)))
     need = sliced.join(quota, ["name", "size"]).select("name", "size", "slice", "source_size", "target", "passes", (F.col("extra") - F.col("before")).alias("need"))

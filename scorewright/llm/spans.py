@@ -11,9 +11,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 CHUNK_BYTES = 2 << 20
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -137,3 +139,16 @@ BROADCAST_ROWS = 1_000_000
 def small_side(frame: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``frame`` marked for broadcast if its counted rows are few; it should be a written table of narrow rows."""
     return F.broadcast(frame) if frame.limit(most_rows + 1).count() <= most_rows else frame
+
+
+def numbered(frame: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """``frame`` with each row's place, from 0, in the order ``by``.
+
+    Ranges of the order are numbered apart; only their row counts meet, one a shuffle partition."""
+    part = f"{name} part"
+    ranged = materialize(frame.repartitionByRange(*by).withColumn(part, F.spark_partition_id()), "ranged")
+    counts = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(part, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(f"{name} start"))
+    row = F.row_number().over(Window.partitionBy(part).orderBy(*by))
+    return ranged.join(F.broadcast(starts), part).withColumn(name, F.col(f"{name} start") + row - 1).drop(part, f"{name} start")

@@ -7,8 +7,9 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from scorewright.llm import fingerprints, mixing, near_dup, repeats
+from scorewright.llm import fingerprints, mixing, near_dup, repeats, spans
 
 from .conftest import SCHEMA, WORD, nasty_rows, prose, table
 
@@ -120,6 +121,21 @@ def test_targets():
     assert mixing.targets({}) == {} and mixing.targets({None: 0}) == {None: 0.0}
 
 
+def test_targets_of_many_sources(spark):
+    """As many sources as hosts, null among them, numbered in ranges: the targets of the plain form."""
+    size = {f"host {i * i % 7919}é{i}": i % 13 * (1 + i % 5 * 40) for i in range(2500)} | {None: 77, "": 5}
+    frame = spark.createDataFrame([(f"={s}" if s is not None else "null", s, n) for s, n in size.items()], "name string, source string, source_size long").repartition(7)
+    for cycle, most in (((1, 2, 3), 3), ((5, 1), 1), ((1, 40), 2)):
+        got = {r.source: r.target for r in mixing.source_targets(frame, cycle, most).collect()}
+        want = mixing.targets(size, cycle, most)
+        assert got == want and abs(sum(got.values()) - sum(size.values())) < 1e-6
+        assert all(want[s] <= most * n for s, n in size.items())
+    assert mixing.source_targets(frame.limit(0)).count() == 0
+    places = spans.numbered(frame, [F.col("source").asc_nulls_last()], "place").orderBy("place").collect()
+    assert [r.place for r in places] == list(range(len(size)))
+    assert [r.source for r in places] == sorted(s for s in size if s is not None) + [None]
+
+
 def test_mix(spark, docs, nasty, nothing):
     rows = mixing.mix(docs).collect()
     size = lambda t: len(WORD.findall(t or ""))
