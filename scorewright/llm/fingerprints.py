@@ -16,6 +16,8 @@ row each.  Extra columns are ignored.  A single document is its own neighbour.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,9 +25,11 @@ from ..session import materialize
 
 #: A likeness is a share of K samples: its standard error is at most 0.5 / sqrt(K), 0.089 (0.071 at 0.8, 0.054 at 0.9).
 K = 32
-RANGES = 256
-#: Characters of both versions that one partition holds; its words are counted in memory.
-PARTITION_CHARS = 16_000_000
+#: Characters of both versions that one partition holds; its words are counted in memory.  Beyond so many partitions
+#: each holds more and its aggregates spill; the results are the same.
+PARTITION_CHARS, MOST_PARTITIONS = 16_000_000, 100_000
+#: What names a distinct document, and the one before it.
+KEY, BEFORE = ["gid", "text_key"], ["before_gid", "before_text_key"]
 
 
 def _packed(i: int) -> Column:
@@ -63,22 +67,20 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _neighbours(keys: DataFrame) -> DataFrame:
-    """Each distinct document (gid) with its copies and the one before it in order; the first's is the last.
-
-    Ranges of ids, cut at approximate quantiles, are ordered apart; only their ends meet."""
-    bounds = keys.select(F.approx_percentile("doc_id", [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("q")).first()["q"] or []
-    part = F.lit(0)
-    cuts = sorted(set(bounds))
-    if cuts:
-        part = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda q: q <= F.col("doc_id"))), F.lit(-1))
-    k = keys.groupBy("gid", "doc_id", "h", "n_chars").agg(F.count(F.lit(1)).alias("copies")).withColumn("part", part)
-    k = k.withColumn("me", F.struct("doc_id", "h", "n_chars", "gid"))
+    """Each distinct document (KEY) with its copies and the one before it in order; the first's is the last.
+
+    Ranges of the order are ordered apart; only their ends meet.  Ranges and rows a range grow alike, with the root of
+    the rows: 25,000 ranges of 400,000 rows for 10 ** 10 documents."""
+    ranges = max(1, math.isqrt(keys.count()) // 4)
+    k = keys.groupBy(*KEY, "doc_id", "h", "n_chars").agg(F.count(F.lit(1)).alias("copies"))
+    k = materialize(k.repartitionByRange(ranges, "doc_id", "h", "n_chars").withColumn("part", F.spark_partition_id()), "ranged")
+    k = k.withColumn("me", F.struct("doc_id", "h", "n_chars", *KEY))
     k = k.withColumn("before", F.lag("me").over(Window.partitionBy("part").orderBy("me")))
-    ends = k.groupBy("part").agg(F.max("me").alias("last"))            # at most RANGES + 1 rows
+    ends = k.groupBy("part").agg(F.max("me").alias("last"))            # a row a range
     across, whole = Window.orderBy("part"), Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = ends.select("part", F.coalesce(F.lag("last").over(across), F.last("last").over(whole)).alias("part_before"))
     before = F.coalesce("before", "part_before")
-    return k.join(F.broadcast(ends), "part").select("gid", "doc_id", "n_chars", "copies", before["gid"].alias("before_gid"), before["n_chars"].alias("before_chars"))
+    return k.join(F.broadcast(ends), "part").select(*KEY, "doc_id", "n_chars", "copies", *(before[c].alias(f"before_{c}") for c in (*KEY, "n_chars")))
 
 
 def _pairs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -86,29 +88,30 @@ def _pairs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("h", F.xxhash64("text"))
     plain = plain.select("doc_id", "h", F.length("text").cast("long").alias("n_chars"), "text")
-    gid = F.xxhash64("doc_id", "h", "n_chars").alias("gid")
-    keys = materialize(plain.select(gid, "doc_id", "h", "n_chars"), "keys")
+    # a hash alone could name two of very many documents; a doc_id with a hash of its text can't
+    key = [F.coalesce("doc_id", F.lit(0).cast("long")).alias("gid"), F.xxhash64("h", "n_chars", F.col("doc_id").isNull()).alias("text_key")]
+    keys = materialize(plain.select(*key, "doc_id", "h", "n_chars"), "keys")
     order = materialize(_neighbours(keys), "order")
     parts = 1 + 2 * (keys.agg(F.sum("n_chars")).first()[0] or 0) // PARTITION_CHARS
     # both uses of the texts below read the same columns, so their one exchange is shared
-    one = plain.select(gid, "text").repartition(int(min(parts, 100_000)), "gid").groupBy("gid").agg(F.first("text").alias("text"))
-    all_ = one.join(order.select("gid", "n_chars", "before_gid", "before_chars"), "gid")
-    given = all_.select(F.col("before_gid").alias("gid"), F.expr("left(text, int(before_chars div 2))").alias("prefix"))
+    one = plain.select(*key, "text").repartition(int(min(parts, MOST_PARTITIONS)), *KEY).groupBy(*KEY).agg(F.first("text").alias("text"))
+    all_ = one.join(order.select(*KEY, "n_chars", *BEFORE, "before_n_chars"), KEY)
+    given = all_.select(*(F.col(b).alias(c) for b, c in zip(BEFORE, KEY)), F.expr("left(text, int(before_n_chars div 2))").alias("prefix"))
     edited = F.concat(F.expr("left(text, int(n_chars - n_chars div 2))"), F.col("prefix"))
-    return all_.select("gid", "n_chars", "text").join(given, "gid").select("gid", "text", edited.alias("edited")), order
+    return all_.select(*KEY, "n_chars", "text").join(given, KEY).select(*KEY, "text", edited.alias("edited")), order
 
 
 def compare(docs: DataFrame, k: int = K) -> DataFrame:
     """Fingerprints of every document and of its edited text, with their likeness, one row per input row."""
     pairs, order = _pairs(docs)
-    versions = pairs.select("gid", F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("text")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("text")))).alias("v"))
-    drawn = sketch(versions.select("gid", "v.version", "v.text"), ["gid", "version"], k)
-    both = drawn.groupBy("gid").agg(F.max(F.when(F.col("version") == 0, F.col("m"))).alias("m"), F.max(F.when(F.col("version") == 1, F.col("m"))).alias("e"))
-    known = both.join(pairs.select("gid", F.sha2("edited", 256).alias("edited_sha256")), "gid").join(order, "gid")
+    versions = pairs.select(*KEY, F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("text")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("text")))).alias("v"))
+    drawn = sketch(versions.select(*KEY, "v.version", "v.text"), [*KEY, "version"], k)
+    both = drawn.groupBy(*KEY).agg(F.max(F.when(F.col("version") == 0, F.col("m"))).alias("m"), F.max(F.when(F.col("version") == 1, F.col("m"))).alias("e"))
+    known = both.join(pairs.select(*KEY, F.sha2("edited", 256).alias("edited_sha256")), KEY).join(order, KEY)
     data = ["doc_id", "n_chars", "copies", "edited_sha256", "m", "e"]
     sent = known.select(F.explode(F.array(     # each sketch also goes to the document before it
-        F.struct(F.col("gid").alias("to"), *data, F.lit(0).alias("next")), F.struct(F.col("before_gid").alias("to"), *data, F.lit(1).alias("next")))).alias("s")).select("s.*")
-    met = sent.groupBy("to").agg(F.max(F.when(F.col("next") == 0, F.struct(*data))).alias("own"), F.max(F.when(F.col("next") == 1, F.col("m"))).alias("after")).select("own.*", "after")
+        F.struct(*KEY, *data, F.lit(0).alias("next")), F.struct(*(F.col(b).alias(c) for b, c in zip(BEFORE, KEY)), *data, F.lit(1).alias("next")))).alias("s")).select("s.*")
+    met = sent.groupBy(*KEY).agg(F.max(F.when(F.col("next") == 0, F.struct(*data))).alias("own"), F.max(F.when(F.col("next") == 1, F.col("m"))).alias("after")).select("own.*", "after")
     out = met.select("doc_id", "n_chars", "edited_sha256", text_of(F.col("m")).alias("fingerprint"), text_of(F.col("e")).alias("edited_fingerprint"),
                      likeness(F.col("m"), F.col("e")).alias("near_edited"), likeness(F.col("m"), F.col("after")).alias("near_next"), "copies")
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies", "copy")
