@@ -19,6 +19,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from threading import Lock
 
@@ -30,6 +31,10 @@ from pyspark.sql import types as T
 
 ERROR = "ERROR"
 
+#: Rows and bytes of one Arrow batch sent to a worker, at most: a worker holds a batch, its inputs and its answers.
+BATCH_ROWS = 500
+BATCH_BYTES = 4 << 20
+
 
 @dataclass
 class RetryPolicy:
@@ -130,15 +135,16 @@ def call_all(inputs: list[tuple], providers: list[str], fn: Callable, policy: Re
         texts, n, _ = policy.run(call)
         return [(t, n, None) for t in texts] if texts is not None else [one(i) for i in at]
 
-    with ThreadPoolExecutor(max(1, in_flight)) as pool:
+    with ThreadPoolExecutor(in_flight) if in_flight > 1 else nullcontext() as pool:
+        each = pool.map if pool else map
         if batch_size is None:
-            return list(pool.map(one, range(len(inputs))))
+            return list(each(one, range(len(inputs))))
         groups: dict[str, list[int]] = {}
         for i, p in enumerate(providers):
             groups.setdefault(p, []).append(i)
         parts = [at[k:k + batch_size] for at in groups.values() for k in range(0, len(at), batch_size)]
         out: list = [None] * len(inputs)
-        for at, found in zip(parts, pool.map(many, parts), strict=True):
+        for at, found in zip(parts, each(many, parts), strict=True):
             for i, f in zip(at, found, strict=True):
                 out[i] = f
         return out
@@ -168,7 +174,7 @@ def complete(df: DataFrame, fn: Callable, messages_col: str = "messages",
     contents as typed parts (D12)."""
     policy = policy or RetryPolicy(attempts=1, wait=0.0)
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType())])
-    src, budget = _spread(df, concurrency, rates)
+    src, budget = _spread(df, concurrency, rates, batch_size)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gate = budget.gate() if budget else None
@@ -203,7 +209,7 @@ def judge(df: DataFrame, fn: Callable, judge_col: str = "judge_name",
     schema = T.StructType(df.schema.fields + [
         T.StructField("response", T.StringType()), T.StructField("attempts", T.IntegerType()),
         T.StructField("error", T.StringType())])
-    src, budget = _spread(df, concurrency, rates)
+    src, budget = _spread(df, concurrency, rates, batch_size)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gate = budget.gate() if budget else None
@@ -219,10 +225,14 @@ def judge(df: DataFrame, fn: Callable, judge_col: str = "judge_name",
     return src.mapInPandas(run, schema)
 
 
-def _spread(df: DataFrame, concurrency: int | None, rates: dict[str, float] | None) -> tuple[DataFrame, RateBudget | None]:
-    """``df`` in ``concurrency`` partitions, and the rate budget that they share."""
+def _spread(df: DataFrame, concurrency: int | None, rates: dict[str, float] | None, batch_size: int | None = None) -> tuple[DataFrame, RateBudget | None]:
+    """``df`` in ``concurrency`` partitions, and the rate budget that they share.  From now on the session sends its
+    workers batches of ``BATCH_ROWS`` rows (``batch_size``, if that is more) and ``BATCH_BYTES`` at most."""
+    spark = df.sparkSession
+    for k, most in (("Records", max(BATCH_ROWS, batch_size or 0)), ("Bytes", BATCH_BYTES)):
+        spark.conf.set(f"spark.sql.execution.arrow.max{k}PerBatch", str(most))
     if rates and not concurrency:
-        concurrency = df.sparkSession.sparkContext.defaultParallelism
+        concurrency = spark.sparkContext.defaultParallelism
     return (df.repartition(concurrency) if concurrency else df), (RateBudget(dict(rates), concurrency) if rates else None)
 
 

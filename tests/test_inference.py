@@ -154,3 +154,23 @@ def test_failed_calls_stay_open_and_the_latest_success_wins(spark, tmp):
     twice = log.unionByName(log.filter("id = 1").withColumn("response", F.lit("older")).withColumn("judged_at", F.lit("2000-01-01").cast("timestamp")))
     twice = twice.unionByName(log.filter("id = 2").withColumn("error", F.lit("later 500")).withColumn("judged_at", F.lit("2100-01-01").cast("timestamp")))
     assert {r["id"]: r["response"] for r in latest_verdicts(twice, keys).collect()} == {k: v[0] for k, v in second.items()}
+
+
+def test_workers_get_small_batches(spark):
+    """A worker holds some hundred rows and a few MB at a time, however many rows its partition has and however long they are."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    for rows, letters in ((3000, 1), (200, 100_000)):
+        df = spark.range(0, rows, 1, 1).selectExpr("id", "'j' judge_name", "'S' system_text", f"repeat(cast(id % 10 as string), {letters}) prompt")
+        for more in ({}, {"batch_size": 7}, {"in_flight": 3}):
+            one = lambda name, system, prompt: f"{prompt[0]}{len(prompt)}"
+            fn = (lambda xs: [one(*x) for x in xs]) if "batch_size" in more else one
+            out = judge(df, fn, policy=NO_SLEEP, **more)
+            seen = out.mapInArrow(sizes, "rows long, bytes long").collect()
+            assert sum(r["rows"] for r in seen) == rows
+            assert max(r["rows"] for r in seen) <= 500 and max(r["bytes"] for r in seen) <= 6 << 20
+            assert {(r["id"], r["response"]) for r in out.select("id", "response").collect()} == {(i, f"{i % 10}{letters}") for i in range(rows)}
