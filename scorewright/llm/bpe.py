@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import spans
 
-CACHE_BYTES = 12 << 20
+CACHE_BYTES = 40 << 20
 CACHE_LENGTH = 64
 #: What an entry of a word table takes besides its letters.
 _ENTRY_BYTES = 240

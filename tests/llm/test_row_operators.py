@@ -285,3 +285,19 @@ def test_bpe_on_hard_strings():
         ids = reference.encode(text, add_special_tokens=False).ids
         assert own.encode(text) == ids, text
         assert own.decode(ids) == reference.decode(ids, skip_special_tokens=False)
+
+
+def test_bpe_keeps_a_large_vocabulary_within_its_bytes(monkeypatch):
+    """Words that come again are not merged again while their entries fit; beyond that the tables stay within their bytes."""
+    v, merged = bpe.Vocabulary(bpe.public_path("word_bpe_49k.json")), []
+    real = v.merge
+    monkeypatch.setattr(v, "merge", lambda piece: merged.append(piece) or real(piece))
+    letters = str.maketrans("0123456789", "abcdefghij")
+    text = " ".join(f"{i:06d}".translate(letters) for i in range(100_000))
+    first = v.encode(text)
+    assert len(merged) == 100_000
+    assert v.encode(text) == first and len(merged) == 100_000
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 1 << 20)
+    v.known, v.older, v.room = {}, {}, bpe.CACHE_BYTES
+    assert v.encode(text) == first
+    assert all(sum(len(w) + 8 * len(ids) + bpe._ENTRY_BYTES for w, ids in t.items()) <= 2 << 20 for t in (v.known, v.older))
